@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gablewise.llm import mixing, warc
+from gablewise.llm import jaccard, mixing, packing, quality, spans, tokens, warc
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +20,29 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_decisions(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = spans.drop_repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return x.select("row.doc_id", "text", "n_removed", "removed")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path(VOCABULARY))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path(VOCABULARY))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_segments, op2_source_mix)}
+    return {f.__name__: f for f in (op1_warc_segments, op2_source_mix, op3_sentence_spans, op4_quality_classifier, op5_jaccard_join, op6_token_counts, op8_best_fit_packing)}
 
 
 OP2_SQL = r"""

@@ -6,7 +6,7 @@ states the total length. Reading parses the records, brings continuations togeth
 verifies the lengths and removes the chunk framing. Records whose payload repeats another's are revisits without a payload.
 
 Archives are written by Spark's text writer, whose line separator is the end of a record, and read by its text reader, whose
-line separator is the end of one record and the start of the next. So neither holds a whole file in memory. The writer frames
+line separator is the version line that starts one. So neither holds a whole file in memory. The writer frames
 chunks so that no block contains that separator.
 """
 
@@ -24,7 +24,8 @@ from gablewise.llm.common import broadcast_if_small, save, scratch, small_batche
 
 VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
-SEPARATOR = END + VERSION
+#: What the text reader splits at. No part of it begins it anew, so a partial match cannot hide a whole one.
+SEPARATOR = VERSION
 CHUNK = 32_768
 #: Longest block of one record.
 SEGMENT = 65_536
