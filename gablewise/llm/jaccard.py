@@ -35,7 +35,7 @@ class Settings:
     #: Empty slices that the number of slices makes up for.
     spare: int = 2
     #: Documents that one task compares at most; pivots of a split; splits before the rest is compared in blocks.
-    region: int = 400
+    region: int = 800
     pivots: int = 12
     depth: int = 6
     seed: int = 1
@@ -131,12 +131,32 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """The sizes of all intersections, by products of incidence matrices over the values that two sets have at least."""
+    n = len(sets)
+    values, owner = np.concatenate(sets), np.repeat(np.arange(n), [len(x) for x in sets])
+    names, at, times = np.unique(values, return_inverse=True, return_counts=True)
+    place = np.full(len(names), -1)
+    shared = np.flatnonzero(times > 1)
+    place[shared] = np.arange(len(shared))
+    at = place[at]
+    at, owner = at[at >= 0], owner[at >= 0]
+    out = np.zeros((n, n), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    for start in range(0, len(shared), columns):
+        lo, hi = np.searchsorted(at, [start, start + columns])
+        m = np.zeros((n, min(columns, len(shared) - start)), np.float32)
+        m[owner[lo:hi], at[lo:hi] - start] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
 def links_within(ids: list[int], sets: list[np.ndarray], balls: list[int], s: Settings, left: int | None = None) -> list[tuple[int, int]]:
     """Links that connect what is linked among the sets: a spanning forest of the link graph.
 
-    Sets go by size, so that each meets only those that aren't too large for it; pairs already connected aren't compared; and
-    from the distances to a first set, pairs that differ too much in them can't be linked. balls: sets of one ball (if it is
-    not -1) are known to be connected. left: compare only the first `left` sets with the others.
+    balls: sets of one ball (if it is not -1) are known to be connected. left: only links of the first `left` sets to the
+    others are asked for.
     """
     n = len(ids)
     out, u = [], Unions(n)
@@ -144,22 +164,13 @@ def links_within(ids: list[int], sets: list[np.ndarray], balls: list[int], s: Se
     for i, ball in enumerate(balls):
         if ball >= 0:
             u.join(first.setdefault(ball, i), i)
-    size = np.array([len(x) for x in sets])
-    radius = 1 - s.percent / 100
-    far = np.array([1 - (c := overlap(sets[0], x)) / max(1, len(sets[0]) + len(x) - c) for x in sets]) if n > 8 else np.zeros(n)
-    order = np.argsort(size, kind="stable")
-    rank = size[order]
-    for i in range(n):
-        x = order[i]
-        stop = np.searchsorted(rank, size[x] * 100 // s.percent, "right")
-        near = order[i + 1 : stop]
-        near = near[np.abs(far[near] - far[x]) <= radius + 1e-9]
-        for y in near:
-            if left is not None and (x < left) == (y < left) or u.top(x) == u.top(y):
-                continue
-            if linked(overlap(sets[x], sets[y]), size[x], size[y], s.percent):
-                u.join(x, y)
-                out.append((ids[x], ids[y]))
+    common, size = overlaps(sets), np.array([len(x) for x in sets])
+    link = np.triu(100 * common >= s.percent * (size[:, None] + size[None, :] - common), 1)
+    if left is not None:
+        link[:left, :left] = link[left:, left:] = False
+    for x, y in zip(*(z.tolist() for z in np.nonzero(link)), strict=True):
+        if u.join(x, y):
+            out.append((ids[x], ids[y]))
     return out
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gablewise.llm import jaccard, mixing, packing, quality, spans, tokens, warc
+from gablewise.llm import fingerprints, jaccard, mixing, packing, quality, spans, tokens, topk, urls, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -37,12 +37,28 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_neighbours(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op10_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_segments, op2_source_mix, op3_sentence_spans, op4_quality_classifier, op5_jaccard_join, op6_token_counts, op8_best_fit_packing)}
+    every = (
+        op1_warc_segments, op2_source_mix, op3_sentence_spans, op4_quality_classifier, op5_jaccard_join, op6_token_counts,
+        op7_one_permutation_minhash, op8_best_fit_packing, op9_dual_tree_top_k, op10_url_language_models,
+    )
+    return {f.__name__: f for f in every}
 
 
 OP2_SQL = r"""
@@ -62,5 +78,14 @@ FROM r
 """
 
 
+OP9_SQL = """
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(1024e0 * c::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score FROM x AS q JOIN x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mix": OP2_SQL}
+    return {"op2_source_mix": OP2_SQL, "op9_dual_tree_top_k": OP9_SQL}
