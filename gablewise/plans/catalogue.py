@@ -1,6 +1,6 @@
 """All queries of the library, and their SQL."""
 
-from gablewise.plans import records
+from gablewise.plans import records, spatial
 from gablewise.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "records"]
+__all__ = ["ORACLES", "QUERIES", "records", "spatial"]
