@@ -58,9 +58,8 @@ def overlap_area(a: Sequence[Column | str], b: Sequence[Column | str]) -> Column
     return F.when((w > 0) & (h > 0), w * h).otherwise(F.lit(0.0))
 
 
-def segment_hits_rect(px: Column, py: Column, qx: Column, qy: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """Does the segment p-q touch the rectangle? By the parameters at which it is between the sides."""
-    dx, dy = qx - px, qy - py
+def segment_hits_rect(px: Column, py: Column, dx: Column, dy: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Does the segment from p by (dx, dy) touch the rectangle? By the parameters at which it is between the sides."""
 
     def span(p: Column, d: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
         inside = (p >= lo) & (p <= hi)

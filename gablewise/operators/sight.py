@@ -48,10 +48,10 @@ def outline_sights(pairs: DataFrame, blockers: DataFrame, s: Settings, side: flo
     pts = near.withColumns(outline(s.outline_step)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     qx, qy = outline_point(F.col("i") * F.col("step"))
     pts = pts.withColumns({"qx": qx, "qy": qy})
-    pts = pts.withColumn("d", F.greatest(F.hypot(F.col("qx") - F.col("px"), F.col("qy") - F.col("py")), F.lit(1e-9)))
+    pts = pts.withColumn("d", F.greatest(F.sqrt((F.col("qx") - F.col("px")) ** 2 + (F.col("qy") - F.col("py")) ** 2), F.lit(1e-9)))
     k = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("d") - s.sight_stop) / F.col("d")))
-    ex, ey = F.col("px") + (F.col("qx") - F.col("px")) * k, F.col("py") + (F.col("qy") - F.col("py")) * k
-    hit = segment_hits_rect(F.col("px"), F.col("py"), ex, ey, *[F.col(c) for c in ("b0", "b1", "b2", "b3")])
+    dx, dy = (F.col("qx") - F.col("px")) * k, (F.col("qy") - F.col("py")) * k
+    hit = segment_hits_rect(F.col("px"), F.col("py"), dx, dy, *[F.col(c) for c in ("b0", "b1", "b2", "b3")])
     keep = ["pano_date", "pano_ord", "px", "py", *RECT, "n", "step", "qx", "qy", "d"]
     # a pair's rows lie together, so the maximum is mostly taken before the shuffle
     return pts.groupBy("unit_id", "pano_id", "i").agg((~F.max(hit)).alias("visible"), *[F.first(c).alias(c) for c in keep])

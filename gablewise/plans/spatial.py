@@ -168,7 +168,7 @@ c1 as (select unit_id, pano_id, pano_ord, count(*) as m, min(d) as near, min(mid
   arg_min(struct_pack(x := qx, y := qy), struct_pack(a := off, b := pos)) as l, arg_max(struct_pack(x := qx, y := qy), struct_pack(a := off, b := -pos)) as rr from b3 group by all),
 c2 as (select *, round_even(m * step, 2) as visible_m, round_even(hi - lo, 2) as span_deg, round_even(near, 2) as dist_near,
   round_even(abs((rr.x - l.x) * cos(radians(mid)) - (rr.y - l.y) * sin(radians(mid))), 2) as apparent_m from c1),
-c as (select *, round_even(1 - least(0.8e0, 0.10e0 * greatest(0, 6 - dist_near) + 0.05e0 * greatest(0, dist_near - 18)), 2) as quality from c2 where visible_m >= 3 and span_deg between 12 and 120 and dist_near >= 1.5e0)"""
+c as (select *, round_even((1 - least(0.8e0, 0.10e0 * greatest(0, 6 - dist_near) + 0.05e0 * greatest(0, dist_near - 18)))::decimal(30, 15), 2)::double as quality from c2 where visible_m >= 3 and span_deg between 12 and 120 and dist_near >= 1.5e0)"""
 
 
 def sights(spark: SparkSession, sf_dir: str) -> DataFrame:
