@@ -57,6 +57,7 @@ def as_of(events: DataFrame, marks: DataFrame, time: str, tag: str, least_s: flo
     Marks and events are cut into slices of time; each slice starts with the last mark of an earlier slice, so the search is
     spread over slices rather than one window over all rows. Marks at one time: the last in the order of their tag counts.
     """
+    events, marks = (x.withColumn(time, F.col(time).cast("timestamp")) for x in (events, marks))
     cut = F.floor(F.unix_micros(time) / (slice_s * 1_000_000))
     m = marks.select(F.col(time).alias("mark_time"), F.col(tag).alias("mark"), cut.alias("slice"))
     lasts = m.groupBy("slice").agg(F.max(F.struct("mark_time", "mark")).alias("end"))

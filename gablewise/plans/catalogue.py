@@ -1,6 +1,6 @@
 """All queries of the library, and their SQL."""
 
-from gablewise.plans import records, spatial, verdicts
+from gablewise.plans import merges, records, spatial, streets, verdicts
 from gablewise.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "records", "spatial", "verdicts"]
+__all__ = ["ORACLES", "QUERIES", "merges", "records", "spatial", "streets", "verdicts"]

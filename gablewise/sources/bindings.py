@@ -68,7 +68,7 @@ READINGS = {
 }
 REVIEWS = {
     "unit_key": "user_id",
-    "at": "ts",
+    "said_at": "ts",
     "file_ord": "event_id",
     "reviewer": "concat('R', cast(event_id % 3 as string))",
     "ident": "case when event_type = 'click' then 'yes' when event_type = 'view' then 'no' else 'cannot tell' end",
