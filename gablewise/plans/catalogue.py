@@ -1,6 +1,6 @@
 """All queries of the library, and their SQL."""
 
-from gablewise.plans import merges, records, signs, spatial, streets, verdicts
+from gablewise.plans import layers, merges, records, signs, spatial, streets, verdicts
 from gablewise.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "merges", "records", "signs", "spatial", "streets", "verdicts"]
+__all__ = ["ORACLES", "QUERIES", "layers", "merges", "records", "signs", "spatial", "streets", "verdicts"]
