@@ -57,7 +57,7 @@ def same_road(a: Column, b: Column) -> Column:
     """Two spellings of one road: of one number, and alike in their letters to 0.85. A missing name is like none."""
     la, lb = F.lower(a), F.lower(b)
     plain = lambda c: F.regexp_replace(c, r"[^a-z0-9\u0B80-\u0BFF]", "")
-    close = street_number(la).eqNullSafe(street_number(lb)) & (F.when(la != lb, likeness(plain(la), plain(lb))).otherwise(F.lit(1.0)) >= 0.85)
+    close = street_number(la).eqNullSafe(street_number(lb)) & (F.when(la != lb, likeness(plain(la), plain(lb))) >= 0.85)
     return F.coalesce((la == lb) | close, F.lit(False))
 
 

@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gablewise.model import MONTHS
 
@@ -61,10 +62,10 @@ def floors_text(floors: Column) -> Column:
     return F.when(floors == 0, F.lit("G")).when(floors.isNotNull(), F.concat(F.lit("G+"), floors.cast("string")))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matching characters over all, by longest matching blocks; the order of the two matters."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if isinstance(x, str) and isinstance(y, str) else None for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def digits(text: Column) -> Column:
