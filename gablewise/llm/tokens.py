@@ -6,7 +6,7 @@ there on, as the pattern looks at nothing before a match. A chunk's last words m
 past a run of white space, or to the rest of the word. So the place where two chunks are spliced is a boundary of both that is
 followed, in the first, by two whole words. Without one, the overlap is widened, up to the whole document.
 
-The library encodes each distinct word of the pattern once per task and remembers it in a table of bounded size; texts with
+The library's model encodes each distinct word of the pattern once per task, which a table of bounded size remembers; texts with
 special tokens in them, and characters outside the plain range, go to the library whole.
 """
 
@@ -16,7 +16,8 @@ import os
 import re
 import sys
 import unicodedata
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ OVER = 512
 #: Characters of a chunk, and of the overlap of two at first. Texts of at most one chunk are encoded at once.
 CHUNK, OVERLAP = 20_000, 200
 #: Words that a task remembers.
-KNOWN = 400_000
+KNOWN = 700_000
 #: The range in which character classes are taken from a table; texts with others go to the library.
 PLAIN = 0x250
 
@@ -45,6 +46,13 @@ def word_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
 
 
+def byte_alphabet() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: visible Latin-1 characters as themselves, the others from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(256, 512))
+    return {b: chr(b if b in shown else next(other)) for b in range(256)}
+
+
 class Encoder:
     """Texts to token ids (32-bit little-endian, joined), as the library's encode gives them without special tokens added."""
 
@@ -57,6 +65,8 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         plain = str(type(self.library.pre_tokenizer).__name__) == "ByteLevel" and self.library.normalizer is None
         self.words = word_pattern() if plain else None
+        # the model itself takes a word as the library's byte alphabet writes it
+        self.model, self.bytes = self.library.model, byte_alphabet()
         self.strange = re.compile(f"[^\\x00-{re.escape(chr(PLAIN - 1))}‐-‧‰-⁞]")
         self.known: dict[str, bytes] = {}
 
@@ -77,9 +87,10 @@ class Encoder:
             pass
         if len(known) > KNOWN:
             known.clear()
-        new = list({w for w in ws if w not in known})
-        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+        for w in ws:
+            if w not in known:
+                written = w.encode("utf-8").decode("latin-1").translate(self.bytes)
+                known[w] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return [known[w] for w in ws]
 
     def __call__(self, text: str) -> bytes:
