@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from gablewise.llm.common import save, small_batches
 
 K, SCALE, EVERY = 10, 1024, 100
-#: Vectors of a data block and of a query block, points of a leaf, children of a node.
-DATA_BLOCK, QUERY_BLOCK, LEAF, FANOUT = 8192, 2048, 64, 8
+#: Vectors of a data block and of a query block, points of a leaf of either tree, children of a node.
+DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, FANOUT = 8192, 2048, 64, 4, 8
 
 
 @dataclass
@@ -33,7 +33,6 @@ class Node:
 
     def __post_init__(self) -> None:
         self.norm = float(np.linalg.norm(self.centre))
-        self.worst = -np.inf
 
 
 def cover_tree(x: np.ndarray, points: np.ndarray, leaf: int = LEAF, fanout: int = FANOUT) -> Node:
@@ -68,7 +67,7 @@ class Search:
         self.scores = np.full((len(q), k), -np.inf)
         self.found = np.full((len(q), k), np.iinfo(np.int64).max)
         if len(x) and len(q):
-            self.visit(cover_tree(q, np.arange(len(q))), cover_tree(x, np.arange(len(x))))
+            self.visit(cover_tree(q, np.arange(len(q)), QUERY_LEAF), cover_tree(x, np.arange(len(x))))
 
     def bound(self, a: Node, b: Node) -> float:
         top = float(a.centre @ b.centre) + a.radius * b.norm + b.radius * a.norm + a.radius * b.radius
