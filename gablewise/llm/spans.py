@@ -83,8 +83,8 @@ def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_W
     # null ids last, then by id, text and position
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "at")
     firsts = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").select("a", "b", "first")
-    firsts = broadcast_if_small(save(firsts, "span-firsts"))
-    later = found.join(firsts, ["a", "b"]).where(place > F.col("first"))
+    # always by shuffle, at every size: sums go ahead of it, and a hash that very many rows have is split between tasks
+    later = found.join(save(firsts, "span-firsts"), ["a", "b"]).where(place > F.col("first"))
     return save(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("positions")), "span-repeats")
 
 
