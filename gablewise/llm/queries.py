@@ -87,5 +87,65 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages), m AS (SELECT t, min(page_id) AS first_id FROM p GROUP BY t),
+h AS (SELECT page_id, first_id, t, sha1(t) || '000' AS hex FROM p JOIN m USING (t))
+SELECT page_id, octet_length(encode(t))::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, (5 * i // 4 + 1)::INT, 3))::INT >> (7 - 5 * i % 4)::INT) & 31) + 1, 1)), '') AS payload_digest,
+    CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to, TRUE AS valid FROM h
+"""
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: concat_ws(' ', ws[i], ws[i + 1], ws[i + 2])) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s AS a JOIN s AS b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n AS a ON a.doc_id = x JOIN n AS b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id AND r.c < e.y)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id FROM (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+def _level(n: int) -> str:
+    """The models of order n from the counts of order n and the models below."""
+    low = f"x{n - 1}"
+    q = ", ".join(f"CASE WHEN n_{m} > 0 THEN ({m} + t_{m} * p.p_{m}) / (n_{m} + t_{m}) ELSE p.p_{m} END AS p_{m}" for m in ("good", "bad"))
+    w = ", ".join(f"sum({m}) OVER (PARTITION BY x{n}) AS n_{m}, sum(({m} > 0)::INT) OVER (PARTITION BY x{n}) AS t_{m}" for m in ("good", "bad"))
+    return f"m{n} AS (SELECT v.x{n}, v.c, {q} FROM (SELECT *, {w}, {f'substr(x{n}, 2, {n - 1})' if n > 1 else chr(39) * 2} AS {low} FROM l{n}) AS v JOIN m{n - 1} AS p ON p.{low} = v.{low} AND p.c = v.c)"
+
+
+OP10_SQL = (
+    r"""
+WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+k AS (SELECT *, CASE"""
+    + "".join(f" WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'" for h, p, _ in sorted(urls.RULES, key=lambda r: -len(r[0] + r[1])))
+    + r""" END AS rule FROM u),
+j AS (SELECT *, CASE WHEN rule IN ("""
+    + ", ".join(f"'{h}{p}'" for h, p, v in urls.RULES if v == "allow")
+    + r""") THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said FROM k),
+d AS (SELECT DISTINCT host, path, said, host || path AS txt, ('0x' || left(md5(host || path), 4))::BIGINT % 5 AS fold FROM j),
+t AS (SELECT *, coalesce(fold > 0 AND said = 'allow', FALSE)::INT AS good, coalesce(fold > 0 AND said = 'block', FALSE)::INT AS bad, repeat(chr(2), 3) || txt || chr(3) AS s FROM d),
+g AS (SELECT host, path, said, fold, good, bad, substr(s, i, 3) AS x3, substr(s, i + 3, 1) AS c FROM t, unnest(range(1, length(s) - 2)) AS r(i)),
+l3 AS (SELECT x3, c, sum(good) AS good, sum(bad) AS bad FROM g GROUP BY ALL), l2 AS (SELECT substr(x3, 2, 2) AS x2, c, sum(good) AS good, sum(bad) AS bad FROM l3 GROUP BY ALL),
+l1 AS (SELECT substr(x2, 2, 1) AS x1, c, sum(good) AS good, sum(bad) AS bad FROM l2 GROUP BY ALL), l0 AS (SELECT '' AS x0, c, sum(good) AS good, sum(bad) AS bad FROM l1 GROUP BY ALL),
+m0 AS (SELECT x0, c, (good + 1e0) / (sum(good) OVER () + count(*) OVER ()) AS p_good, (bad + 1e0) / (sum(bad) OVER () + count(*) OVER ()) AS p_bad FROM l0),
+"""
+    + ",\n".join(_level(n) for n in (1, 2, 3))
+    + r""",
+f AS (SELECT x3, c, round((ln(p_good) - ln(p_bad)) * 1000000)::BIGINT AS ratio FROM m3),
+sc AS (SELECT host, path, said, sum(ratio)::BIGINT / count(*) AS score FROM g JOIN f USING (x3, c) WHERE said IS NULL OR fold = 0 GROUP BY ALL),
+st AS (SELECT floor(score / 10000) AS s, count(*) FILTER (said = 'allow') AS g, count(*) FILTER (said = 'block') AS b FROM sc WHERE said IS NOT NULL GROUP BY 1),
+th AS (SELECT s, sum(g) OVER (ORDER BY s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) / sum(g) OVER () + coalesce(sum(b) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(b) OVER () AS okay,
+    sum(g) OVER () > 0 AND sum(b) OVER () > 0 AS told FROM st),
+le AS (SELECT coalesce((SELECT s FROM th WHERE told ORDER BY okay DESC, s LIMIT 1), 0) * 10000 AS least)
+SELECT page_id, j.host, j.path, rule, coalesce(j.said, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict, score / 1000000 AS score
+FROM j CROSS JOIN le LEFT JOIN sc ON sc.host = j.host AND sc.path = j.path AND sc.said IS NULL AND j.said IS NULL
+"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mix": OP2_SQL, "op9_dual_tree_top_k": OP9_SQL}
+    return {"op1_warc_segments": OP1_SQL, "op2_source_mix": OP2_SQL, "op5_jaccard_join": OP5_SQL, "op9_dual_tree_top_k": OP9_SQL, "op10_url_language_models": OP10_SQL}

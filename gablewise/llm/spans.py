@@ -22,6 +22,8 @@ from gablewise.llm.common import broadcast_if_small, packed, run_hashes, save, s
 SPAN = 3
 MIN_WORDS = 10
 PIECE = 16
+#: Positions in a table that may be broadcast: tens of MB.
+BROADCAST_POSITIONS = 2_000_000
 SENTENCE = re.compile(r".*?(?:[.!?]+(?=\s)|\n|\Z)\s*", re.S)
 TOKEN = re.compile(r"\S+\s*")
 
@@ -95,7 +97,9 @@ def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_
     of the text. A null text stays null; a text without a repeated span stays as it is, and one that consists of such
     spans becomes empty. No rows give no rows.
     """
-    gone = broadcast_if_small(repeated_positions(docs.select("doc_id", "text"), span, min_words).withColumnsRenamed({"doc_id": "d", "text_hash": "t"}))
+    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words).withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
+    if (gone.agg(F.sum(F.size("positions"))).first()[0] or 0) <= BROADCAST_POSITIONS:
+        gone = broadcast_if_small(gone)
     rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left")
 

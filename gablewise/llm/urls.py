@@ -106,7 +106,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
     distinct = rows.groupBy("host", "path").agg(F.count("*").alias("n"))
     rule = best_rule(F.col("host"), F.col("path"), rules)
     text = F.concat("host", "path")
-    distinct = distinct.withColumn("r", rule).withColumn("fold", F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS)))
+    distinct = distinct.withColumn("r", rule).withColumn("fold", F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("long") % FOLDS)
     distinct = save(distinct.select("host", "path", text.alias("text"), F.col("r.verdict").alias("verdict"), "fold"), "urls")
     train = (F.col("fold") > 0) & F.col("verdict").isNotNull()
     seen = distinct.withColumn("good", (train & (F.col("verdict") == "allow")).cast("long")).withColumn("bad", (train & (F.col("verdict") == "block")).cast("long"))

@@ -404,11 +404,12 @@ def test_top_k_equals_brute_force(spark):
     assert topk.exact_top_k(df.limit(0)).count() == 0
 
 
-def test_search_prunes_and_stays_exact():
+def test_search_prunes_and_stays_exact(monkeypatch):
     r = np.random.default_rng(13)
     centres = r.normal(size=(40, 16)) * 2000
     x = np.floor(np.repeat(centres, 60, 0) + r.normal(size=(2400, 16)) * 20)
     q = np.floor(np.repeat(centres[:20], 3, 0) + r.normal(size=(60, 16)))
+    monkeypatch.setattr(topk, "QUERY_LEAF", 4)
     seen = []
 
     class Counting(topk.Search):
@@ -494,7 +495,7 @@ def test_queries_with_sql(spark, small):
 
     for name, sql in queries.oracle_sql().items():
         c = duckdb.connect()
-        for t in ("documents", "embeddings"):
+        for t in ("documents", "embeddings", "pages"):
             c.execute(f"create view {t} as select * from '{small}/{t}.parquet'")
         r = c.execute(sql)
         names = [x[0] for x in r.description]
