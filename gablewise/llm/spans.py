@@ -1,7 +1,8 @@
 """Substring dedup with sliding sentence spans.
 
 A text falls into sentences: up to a full stop, exclamation or question mark before white space, or to the end of a line; a
-sentence of more than PIECE words counts as several, so that a long passage without stops has spans too. Every run of SPAN
+sentence of more than PIECE words counts as several, so that a long passage without stops has spans too; it is cut after words
+chosen by their hash, so that the cuts are the same ones again soon after an edit or a different beginning. Every run of SPAN
 consecutive sentences with MIN_WORDS words at least is hashed, and the hashes are joined over all documents. A sentence goes
 if a span that covers it stood before: in a document with a smaller doc_id, or earlier in its own.
 """
@@ -22,6 +23,8 @@ from gablewise.llm.common import broadcast_if_small, packed, run_hashes, save, s
 SPAN = 3
 MIN_WORDS = 10
 PIECE = 16
+#: Words between two cuts at least; one word in so many is a place for a cut.
+LEAST = 4
 #: Positions in a table that may be broadcast: tens of MB.
 BROADCAST_POSITIONS = 2_000_000
 SENTENCE = re.compile(r".*?(?:[.!?]+(?=\s)|\n|\Z)\s*", re.S)
@@ -39,9 +42,13 @@ def sentences(text: str, piece: int = PIECE) -> list[tuple[int, int, int]]:
         if n <= piece:
             out.append((start, end, n))
             continue
-        ends = [t.end() for t in TOKEN.finditer(text, start, end)]
-        cuts = [start, *ends[piece - 1 : n - 1 : piece], end]
-        out += [(a, b, min(piece, n - i * piece)) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+        last, count = start, 0
+        for t in TOKEN.finditer(text, start, end):
+            count += 1
+            if t.end() < end and (count == piece or count >= LEAST and xxhash.xxh3_64_intdigest(t[0].lower().rstrip()) % LEAST == 0):
+                out.append((last, t.end(), count))
+                last, count = t.end(), 0
+        out.append((last, end, count))
     return out
 
 
