@@ -99,6 +99,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                 for k, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
                     out.append((doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+        encode.known.clear()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -8,6 +8,7 @@ one task, over a sample of labelled documents of a stated size; scoring runs ove
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -65,22 +66,23 @@ class Words(dict):
 
 def train(texts: list[str], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
     """The learned weight of each bucket for label 1 against 0, and the bias: the two linear layers in one."""
-    known: dict[str, list[int]] = {}
-    again = features(REPEAT, (), s.buckets) * REPEAT_WEIGHT
+    known: dict[str, array] = {}  # arrays: a few bytes a feature
+    again = array("i", features(REPEAT, (), s.buckets) * REPEAT_WEIGHT)
     ids, shares = [], []
     for t in texts:
-        f: list[int] = []
+        f = array("i")
         last = None
         for w in t.split():
             if w not in known:
-                known[w] = features(w, s.ngrams, s.buckets)
+                known[w] = array("i", features(w, s.ngrams, s.buckets))
             f += known[w]
             if w == last:
                 f += again
             last = w
-        u, c = np.unique(np.array(f, np.int32), return_counts=True)
+        u, c = np.unique(np.frombuffer(f, np.int32) if f else np.empty(0, np.int32), return_counts=True)
         ids.append(u)
         shares.append((c / max(1, c.sum())).astype(np.float32))
+    known.clear()
     rng = np.random.default_rng(s.seed)
     table = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     out, bias = np.zeros((s.dim, 2), np.float32), np.zeros(2, np.float32)
@@ -136,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[np.ndarray, fl
     return (np.frombuffer(bytes(got.w), np.float32), got.b) if got else (np.zeros(s.buckets, np.float32), 0.0)
 
 
-def scorer(w: np.ndarray, b: float, s: Settings, most: int = 1 << 18) -> Callable[[str | None], float]:
+def scorer(w: np.ndarray, b: float, s: Settings, most: int = 1 << 17) -> Callable[[str | None], float]:
     """The score of a text. Each word's summed weight is kept in a table of bounded size."""
     known, again = Words(s, w, most), REPEAT_WEIGHT * float(w[features(REPEAT, (), s.buckets)[0]])
 

@@ -30,7 +30,7 @@ OVER = 512
 #: Characters of a chunk, and of the overlap of two at first. Texts of at most one chunk are encoded at once.
 CHUNK, OVERLAP = 20_000, 200
 #: Words that a task remembers.
-KNOWN = 700_000
+KNOWN = 300_000
 #: The range in which character classes are taken from a table; texts with others go to the library.
 PLAIN = 0x250
 
@@ -99,10 +99,11 @@ class Encoder:
 
 
 def cached_encoder(vocabulary: str) -> Encoder:
-    """The process's encoder of a vocabulary: Python workers are used again by later tasks."""
+    """The process's encoder of a vocabulary, with nothing remembered: Python workers are used again by later tasks."""
     home = sys.modules.setdefault("_gablewise_encoders", type(sys)("_gablewise_encoders")).__dict__
     if vocabulary not in home:
         home[vocabulary] = Encoder(vocabulary)
+    home[vocabulary].known.clear()
     return home[vocabulary]
 
 
@@ -154,6 +155,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
         encoder = cached_encoder(vocabulary)
         for x in batches:
             yield pd.DataFrame({"doc_id": x.doc_id.astype("Int64"), "n_bytes": x.n_bytes, "n_tokens": [len(encoder(t)) // 4 for t in x.text]})
+        encoder.known.clear()
 
     counted = "doc_id long, n_bytes long, n_tokens long"
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
@@ -186,6 +188,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
                     got.append((at[near] + a, upto[near], int(upto[-1]) if len(upto) else 0))
                 x["at"], x["upto"], x["every"] = zip(*got, strict=True) if got else ([], [], [])
                 yield x.drop(columns="text").astype({"doc_id": "Int64"})
+            encoder.known.clear()
 
         def join(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("start")
