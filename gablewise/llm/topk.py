@@ -21,7 +21,7 @@ from gablewise.llm.common import save, small_batches
 
 K, SCALE, EVERY = 10, 1024, 100
 #: Vectors of a data block and of a query block, points of a leaf of either tree, children of a node.
-DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, FANOUT = 8192, 2048, 64, 4, 8
+DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, FANOUT = 8192, 2048, 256, 32, 8
 
 
 @dataclass
@@ -89,6 +89,11 @@ class Search:
     def compare(self, a: np.ndarray, b: np.ndarray) -> None:
         s = self.q[a] @ self.x[b].T
         s[self.query_ids[a][:, None] == self.ids[b][None, :]] = -np.inf
+        # only queries for which something may come in are sorted anew
+        change = (s >= self.scores[a, -1:]).any(1)
+        a, s = a[change], s[change]
+        if not len(a):
+            return
         scores, ids = np.hstack([self.scores[a], s]), np.hstack([self.found[a], np.broadcast_to(self.ids[b], s.shape)])
         order = np.lexsort((ids, -scores), axis=1)[:, : self.k]
         self.scores[a], self.found[a] = np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
