@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from gablewise.llm import jaccard, mixing, packing, quality, spans
 from gablewise.llm.common import save
 
+#: Near copies are a wider class than the links of the operator's own query.
+NEAR = jaccard.Settings(k=5, percent=80)
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good."""
@@ -19,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links connect: links are those of the operator's own query."""
-    return jaccard.one_of_each(docs)
+    """One document of each group that links connect: of five words a shingle, 80 of 100."""
+    return jaccard.one_of_each(docs, NEAR)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

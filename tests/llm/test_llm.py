@@ -488,6 +488,38 @@ def test_pipeline_runs_and_keeps_columns(spark, small):
     assert {x.doc_id for x in packed.select("doc_id").distinct().collect()} == {x.doc_id for x in d.select("doc_id").distinct().collect()}
 
 
+def test_near_copies_of_five_words(spark, small):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    r = random.Random(31)
+    w = [f"w{i}" for i in range(200)]
+    edited = list(w)
+    for i in (40, 90, 140, 190):
+        edited[i] = "other"
+    texts = [" ".join(x) for x in (w, w + [f"v{i}" for i in range(30)], w[:172], edited, w[:120] + [f"u{i}" for i in range(80)])]
+    d = docs(spark, [*texts, prose(r, 200)])
+    sets = {(k, i): set(shingle_set(texts[i], k).tolist()) for k in (3, 5) for i in range(5)}
+    for i in (1, 2, 3):
+        like = {k: len(sets[k, 0] & sets[k, i]) / len(sets[k, 0] | sets[k, i]) for k in (3, 5)}
+        assert like[3] < 0.9 and like[5] >= 0.8
+    assert {x.doc_id for x in pipeline.ngram_jaccard_join(spark, d, small).collect()} == {0, 4, 5}
+
+
+def test_five_word_links_equal_brute_force(spark):
+    """The windows and slices follow the settings: components of near copies are those of all pairs."""
+    r = random.Random(32)
+    s = jaccard.Settings(k=5, percent=80, region=40, pivots=3, depth=2)
+    rows = []
+    for n, copies in [(6, 4), (12, 6), (40, 8), (120, 60)] + [(r.randrange(5, 90), 3) for _ in range(20)]:
+        base = [f"w{r.randrange(900)}" for _ in range(n)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(r.choice([0, 1, 1, 2, 4])):
+                w[r.randrange(n)] = f"w{r.randrange(900)}"
+            rows.append((len(rows), " ".join(w + [f"w{r.randrange(900)}" for _ in range(r.choice([0, 0, n // 7]))])))
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), s).collect()
+    assert {x.doc_id: x.component_id for x in got} == brute_components(rows, s)
+
+
 def test_queries_with_sql(spark, small):
     import duckdb
 
