@@ -136,7 +136,7 @@ def blockers_beyond_own(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{B.with_views('units')}, p as (select gx * 5e0 as x, gy * 5e0 as y from range(-8, 121) a(gx), range(-8, 24) b(gy)), n as (select * from units where y0 < 120),
 d as (select x, y, min(sqrt(power(greatest(x0 - x, 0, x - x1), 2) + power(greatest(y0 - y, 0, y - y1), 2))) as dist from p, n group by all) select x, y from d where dist > 0 and dist < 40""")
 def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search points every 5 m around the first rows of houses, outside of them and less than 40 m away."""
+    """Search points every 5 m around the first rows of houses, outside of them and less than 40 m away; see grid_points_all."""
     n = B.units(spark, sf_dir).where("y0 < 120").select(*sight.RECT)
     xs = spark.range(-8, 121).select((F.col("id") * 5.0).alias("px"))
     p = xs.withColumn("y", F.explode(F.sequence(F.lit(-8), F.lit(23)))).select("px", (F.col("y") * 5.0).alias("py"))
@@ -144,6 +144,21 @@ def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.where((F.col("dist") > 0) & (F.col("dist") < S.search_radius)).select(F.col("px").alias("x"), F.col("py").alias("y"))
 
 
+def points_around(units: DataFrame, step: float, radius: float) -> DataFrame:
+    """(x, y): lattice points outside all units and less than radius away from one; each unit gives those of its grown box."""
+    at = lambda lo, hi: F.sequence(F.ceil((F.col(lo) - radius) / step), F.floor((F.col(hi) + radius) / step), F.lit(1).cast("long"))
+    p = units.select(*sight.RECT).withColumn("i", F.explode(at("x0", "x1"))).withColumn("j", F.explode(at("y0", "y1")))
+    p = p.withColumns({"px": F.col("i") * step, "py": F.col("j") * step})
+    near = p.withColumn("dist", geo.point_rect("px", "py", *sight.RECT)).groupBy("px", "py").agg(F.min("dist").alias("dist"))
+    return near.where((F.col("dist") > 0) & (F.col("dist") < radius)).select(F.col("px").alias("x"), F.col("py").alias("y"))
+
+
+@query()
+def grid_points_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search points every 5 m around all units."""
+    return points_around(B.units(spark, sf_dir), S.grid_step, S.search_radius)
+
+
 SIGHT_SQL = f"""{B.with_views('units', 'panos')}, {pairs_sql(30)},
 pn as (select pairs.*, greatest(8, floor(2 * (x1 - x0 + y1 - y0) / 0.5e0))::int as n from pairs), ps as (select *, 2 * (x1 - x0 + y1 - y0) / n as step, x1 - x0 as w, y1 - y0 as h from pn),
 pt as (select ps.*, i::int as i, i * step as a from ps, unnest(range(n)) r(i)),
