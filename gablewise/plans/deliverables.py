@@ -15,7 +15,7 @@ from gablewise.operators.grid import boxes_within, nearest, points_within
 from gablewise.plans import streets as street_plans
 from gablewise.plans.records import KEYS_SQL, main_value
 from gablewise.plans.registry import query
-from gablewise.plans.spatial import cameras, pairs_sql, sights
+from gablewise.plans.spatial import cameras, grid_points_all, pairs_sql, sights
 from gablewise.plans.streets import CUTS_SQL
 from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, SUM_SQL, VS_SQL, building_counts, cases, flagged, judged, street_rows
 from gablewise.sources import bindings as B
@@ -191,13 +191,26 @@ def clicks_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{B.with_views('panos')}, g as (select i * 20e0 as gx, j * 20e0 as gy, i * 1000 + j as ord from range(0, 28) a(i), range(0, 6) b(j)), n as (select ord, pano_id, row_number() over (partition by ord order by round_even(sqrt(power(px - gx, 2) + power(py - gy, 2)), 6), pano_ord) as nth from g join panos on sqrt(power(px - gx, 2) + power(py - gy, 2)) <= 10),
 l as (select pano_id, max(ord) as last_asked from n where nth = 1 group by pano_id) select pano_id, last_asked from l""")
 def panoramas_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panoramas found by asking at grid points for the nearest in reach; of several askings the last counts."""
+    """Panoramas found by asking at grid points for the nearest in reach; of several askings the last counts. See panoramas_found_all."""
     g = spark.range(0, 28).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long")))).select((F.col("id") * 1000 + F.col("j")).alias("ord"), (F.col("id") * 20.0).alias("g0"), (F.col("j") * 20.0).alias("h0"))
     g = g.withColumns({"g1": F.col("g0"), "h1": F.col("h0")})
     x = points_within(g, B.panos(spark, sf_dir), S.nearest_radius, ("g0", "h0", "g1", "h1"))
     return nearest(x, ["ord"], [F.bround("dist", 6), "pano_ord"]).groupBy("pano_id").agg(F.max("ord").alias("last_asked"))
 
 
+def panoramas_asked(points: DataFrame, panos: DataFrame, radius: float) -> DataFrame:
+    """(pano_id, x, y): panoramas that are the nearest in reach of a point (x, y), with the last such point, row by row."""
+    g = points.select("x", "y", F.col("x").alias("g1"), F.col("y").alias("h1"))
+    x = nearest(points_within(g, panos, radius, ("x", "y", "g1", "h1")), ["x", "y"], [F.bround("dist", 6), "pano_ord"])
+    return x.groupBy("pano_id").agg(F.max(F.struct("y", "x")).alias("last")).select("pano_id", "last.x", "last.y")
+
+
+@query()
+def panoramas_found_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panoramas found by asking at the search points around all units, 5 m apart."""
+    return panoramas_asked(grid_points_all(spark, sf_dir), B.panos(spark, sf_dir), S.nearest_radius)
+
+
 @query(f"{B.with_views('units', 'panos')}, {pairs_sql(30)}, c as (select unit_id, min(round_even(dist, 6)) as near, count(*) as n from pairs where dist >= 1.5e0 group by unit_id) select unit_id, near, n from c")
 def cameras_of_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cameras(spark, sf_dir).groupBy("unit_id").agg(F.min(F.bround("dist", 6)).alias("near"), F.count("*").alias("n"))

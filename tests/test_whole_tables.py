@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from gablewise.plans import spatial
+from gablewise.plans import deliverables, spatial
 from gablewise.plans.catalogue import QUERIES
 from gablewise.sources import bindings as B
 
@@ -31,3 +31,24 @@ def test_grid_points_of_all_units(spark, small):
     far = np.array([(3.0, 2.0, 11.0, 14.0), (907.0, 5001.0, 930.0, 5013.0), (925.0, 5040.0, 931.0, 5049.0)])
     d = spark.createDataFrame(far.tolist(), "x0 double, y0 double, x1 double, y1 double")
     assert {tuple(r) for r in spatial.points_around(d, 5.0, 40.0).collect()} == brute_grid(far)
+
+
+def brute_asked(points, panos, radius=10.0):
+    last = {}
+    for x, y in sorted(points, key=lambda p: (p[1], p[0])):
+        near = [(round(d, 6), o, name) for name, o, px, py in panos if (d := ((px - x) ** 2 + (py - y) ** 2) ** 0.5) <= radius]
+        if near:
+            last[min(near)[2]] = (x, y)
+    return last
+
+
+def test_panoramas_found_around_all_units(spark, small):
+    panos = [tuple(r) for r in B.panos(spark, small).select("pano_id", "pano_ord", "px", "py").collect()]
+    got = {r.pano_id: (r.x, r.y) for r in QUERIES["panoramas_found_all"](spark, small).collect()}
+    assert got == brute_asked(brute_grid(boxes(spark, small)), panos)
+    # between the points of a wider grid, and far from the first rows
+    few = [("a", 1, 10.0, 10.0), ("b", 2, 12.0, 5010.0), ("c", 3, 13.0, 5010.0)]
+    points = [(x * 5.0, y * 5.0) for x in range(6) for y in (0, 1, 2, 1001, 1002, 1003)]
+    p = spark.createDataFrame(few, "pano_id string, pano_ord long, px double, py double")
+    got = deliverables.panoramas_asked(spark.createDataFrame(points, "x double, y double"), p, 10.0)
+    assert {r.pano_id: (r.x, r.y) for r in got.collect()} == brute_asked(points, few)
