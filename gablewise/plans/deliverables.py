@@ -96,10 +96,21 @@ def viewer_placed_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{B.with_views('answer_views')}, r as (select unit_key, list(number_read order by view) filter (number_read is not null) as a from answer_views group by unit_key), o as (select l_orderkey as unit_key, list(distinct concat(l_linenumber, '-', cast(l_quantity as int))) as b from lineitem where l_quantity < 20 and l_suppkey % 2 = 1 group by 1)
 select unit_key, array_to_string(list_concat(coalesce(a, []), list_sort(list_filter(coalesce(b, []), lambda d: not list_contains(coalesce(a, []), d)))), ', ') as numbers from r left join o using (unit_key)""")
 def sign_doors_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of a reading, and after them those read off signs that it lacks; only where there is a reading."""
+    """Numbers of a reading, and after them those read off signs that it lacks, for some lines' signs; see sign_doors_merged_all."""
+    return sign_doors(spark, sf_dir, "l_quantity < 20 and l_suppkey % 2 = 1")
+
+
+@query()
+def sign_doors_merged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a reading, and after them those read off all lines' signs that it lacks."""
+    return sign_doors(spark, sf_dir, "true")
+
+
+def sign_doors(spark: SparkSession, sf_dir: str, lines: str) -> DataFrame:
+    """(unit_key, numbers): only where there is a reading."""
     v = B.answer_views(spark, sf_dir)
     a = v.groupBy("unit_key").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("number_read").isNotNull(), F.struct("view", "number_read")))), lambda s: s.number_read).alias("a"))
-    o = B.table(spark, sf_dir, "lineitem").where("l_quantity < 20 and l_suppkey % 2 = 1").selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as d")
+    o = B.table(spark, sf_dir, "lineitem").where(lines).selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as d")
     o = o.groupBy("unit_key").agg(F.array_sort(F.collect_set("d")).alias("b"))
     none = F.expr("cast(array() as array<string>)")
     x = a.join(o, "unit_key", "left").withColumn("b", F.coalesce("b", none))

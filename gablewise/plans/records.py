@@ -119,9 +119,9 @@ def match_doors(read: DataFrame, own: DataFrame, neighbours: DataFrame) -> DataF
     return x.groupBy("building_id").agg(join(hit, ", ").alias("own_hits"), join(other, "; ").alias("neighbour_hits")).where("own_hits <> '' or neighbour_hits <> ''")
 
 
-def numbers_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Door numbers as read from pictures: some lines' numbers, half of them at the building next door."""
-    line = B.table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0")
+def numbers_read(spark: SparkSession, sf_dir: str, lines: str = "true") -> DataFrame:
+    """Door numbers as read from pictures: the numbers of lines, half of them at the building next door."""
+    line = B.table(spark, sf_dir, "lineitem").where(lines)
     at = B.BUILDING.format("(l_partkey + l_linenumber % 2)")
     return line.selectExpr(f"{at} as building_id", f"{B.ASSESS['door_raw']} as raw").select("building_id", norm_door(F.col("raw")).alias("door")).distinct()
 
@@ -138,6 +138,14 @@ select building_id, coalesce(string_agg(door, ', ' order by door) filter (mine a
   coalesce(string_agg(concat(door, ' is ', held_by), '; ' order by concat(door, ' is ', held_by)) filter (not mine and held_by is not null), '') as neighbour_hits
 from x group by building_id having own_hits <> '' or neighbour_hits <> ''""")
 def door_match_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Door numbers of a tenth of the orders; see door_match_verdict_all."""
+    own = doors_of(B.assess(spark, sf_dir), "building_id", "door_raw")
+    return match_doors(numbers_read(spark, sf_dir, "l_orderkey % 10 = 0"), own, building_neighbours(B.units(spark, sf_dir), 50.0))
+
+
+@query()
+def door_match_verdict_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Door numbers of all lines."""
     own = doors_of(B.assess(spark, sf_dir), "building_id", "door_raw")
     return match_doors(numbers_read(spark, sf_dir), own, building_neighbours(B.units(spark, sf_dir), 50.0))
 

@@ -122,9 +122,19 @@ o as (select e.ord, (e.x1 - e.x0) * (e.y1 - e.y0) as area, coalesce(sum(greatest
  from e left join units u on u.x0 <= e.x1 and u.x1 >= e.x0 and u.y0 <= e.y1 and u.y1 >= e.y0 group by all)
 select ord, round_even(covered, 6) as covered from o where covered <= 0.2e0 * area""")
 def blockers_beyond_own(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring footprints that aren't copies of own ones: at most a fifth of their area is covered."""
-    u = B.units(spark, sf_dir)
-    e = u.where("ord % 3 = 0").selectExpr("ord", "x0 + (ord % 7) as e0", "y0 + (ord % 5) as f0", "x1 + (ord % 7) as e1", "y1 + (ord % 5) as f1")
+    """Neighbouring footprints that aren't copies of own ones, every third only; see blockers_beyond_own_all."""
+    return blockers(B.units(spark, sf_dir), "ord % 3 = 0")
+
+
+@query()
+def blockers_beyond_own_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbouring footprints that aren't copies of own ones."""
+    return blockers(B.units(spark, sf_dir), "true")
+
+
+def blockers(u: DataFrame, which: str) -> DataFrame:
+    """(ord, covered): footprints, shifted a little, of which own ones cover a fifth at most."""
+    e = u.where(which).selectExpr("ord", "x0 + (ord % 7) as e0", "y0 + (ord % 5) as f0", "x1 + (ord % 7) as e1", "y1 + (ord % 5) as f1")
     box = ("e0", "f0", "e1", "f1")
     pairs = boxes_within(e, u.select(*sight.RECT), 0.0, box, sight.RECT, 32.0)
     covered = pairs.groupBy("ord").agg(F.sum(geo.overlap_area(box, sight.RECT)).alias("covered"))

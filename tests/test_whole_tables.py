@@ -1,5 +1,7 @@
 """Queries over whole tables, against brute force on the smallest ones."""
 
+from collections import defaultdict
+
 import numpy as np
 
 from gablewise.plans import deliverables, spatial
@@ -52,3 +54,52 @@ def test_panoramas_found_around_all_units(spark, small):
     p = spark.createDataFrame(few, "pano_id string, pano_ord long, px double, py double")
     got = deliverables.panoramas_asked(spark.createDataFrame(points, "x double, y double"), p, 10.0)
     assert {r.pano_id: (r.x, r.y) for r in got.collect()} == brute_asked(points, few)
+
+
+def test_doors_of_all_lines(spark, small):
+    building = lambda k: f"B{k - (k % 10 == 1)}"
+    lines = B.table(spark, small, "lineitem").select("l_partkey", "l_linenumber", "l_quantity").collect()
+    own, read = defaultdict(set), defaultdict(set)
+    for k, n, q in lines:
+        door = "16/7" if n == 7 else f"{n}/{int(q)}"
+        own[building(k)].add(door)
+        read[building(k + n % 2)].add(door)
+    b, near = boxes(spark, small), defaultdict(set)
+    names = [r.building_id for r in B.units(spark, small).collect()]
+    for i, x in enumerate(b):
+        gap = np.sqrt(np.maximum(np.maximum(b[:, 0] - x[2], x[0] - b[:, 2]), 0) ** 2 + np.maximum(np.maximum(b[:, 1] - x[3], x[1] - b[:, 3]), 0) ** 2)
+        near[names[i]] |= {names[j] for j in np.flatnonzero(gap <= 50)} - {names[i]}
+    want = {}
+    for k, doors in read.items():
+        held = {d: sorted(o for o in near[k] if d in own[o]) for d in doors}
+        hits = sorted(d for d in doors if d in own[k] and not held[d])
+        others = sorted(f"{d} is {', '.join(held[d])}" for d in doors if d not in own[k] and held[d])
+        if hits or others:
+            want[k] = (", ".join(hits), "; ".join(others))
+    got = {r.building_id: (r.own_hits, r.neighbour_hits) for r in QUERIES["door_match_verdict_all"](spark, small).collect()}
+    assert got == want
+
+
+def test_blockers_of_all_units(spark, small):
+    u = [(r.ord, r.x0, r.y0, r.x1, r.y1) for r in B.units(spark, small).collect()]
+    want = {}
+    for o, *b in u:
+        e = (b[0] + o % 7, b[1] + o % 5, b[2] + o % 7, b[3] + o % 5)
+        covered = sum(max(0, min(e[2], c[2]) - max(e[0], c[0])) * max(0, min(e[3], c[3]) - max(e[1], c[1])) for _, *c in u)
+        if covered <= 0.2 * (e[2] - e[0]) * (e[3] - e[1]):
+            want[o] = round(covered, 6)
+    got = {r.ord: r.covered for r in QUERIES["blockers_beyond_own_all"](spark, small).collect()}
+    assert got == want
+    e = [(1, 0.0, 0.0, 1.0, 1.0), (2, 90.0, 0.0, 99.0, 9.0), (4, 200.0, 0.0, 201.0, 1.0)]
+    d = spark.createDataFrame(e, "ord long, x0 double, y0 double, x1 double, y1 double")
+    assert {r.ord for r in spatial.blockers(d, "true").collect()} == {1, 4}
+
+
+def test_sign_doors_of_all_lines(spark, small):
+    a, b = defaultdict(list), defaultdict(set)
+    for r in B.answer_views(spark, small).orderBy("unit_key", "view").collect():
+        a[r.unit_key] += [r.number_read] if r.number_read is not None else []
+    for k, n, q in B.table(spark, small, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").collect():
+        b[k].add(f"{n}-{int(q)}")
+    got = {r.unit_key: r.numbers for r in QUERIES["sign_doors_merged_all"](spark, small).collect()}
+    assert got == {k: ", ".join([*a[k], *sorted(b[k] - set(a[k]))]) for k in a}
