@@ -53,11 +53,15 @@ def street_number(name: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(name, p, 1), F.lit("")), F.nullif(F.regexp_extract(name, p, 2), F.lit("")))
 
 
+def road_letters(name: Column) -> Column:
+    """What of a name in lower case its likeness is about."""
+    return F.regexp_replace(name, r"[^a-z0-9\u0B80-\u0BFF]", "")
+
+
 def same_road(a: Column, b: Column) -> Column:
     """Two spellings of one road: of one number, and alike in their letters to 0.85. A missing name is like none."""
     la, lb = F.lower(a), F.lower(b)
-    plain = lambda c: F.regexp_replace(c, r"[^a-z0-9\u0B80-\u0BFF]", "")
-    close = street_number(la).eqNullSafe(street_number(lb)) & (F.when(la != lb, likeness(plain(la), plain(lb))) >= 0.85)
+    close = street_number(la).eqNullSafe(street_number(lb)) & (F.when(la != lb, likeness(road_letters(la), road_letters(lb))) >= 0.85)
     return F.coalesce((la == lb) | close, F.lit(False))
 
 

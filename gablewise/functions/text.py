@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,42 @@ def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if isinstance(x, str) and isinstance(y, str) else None for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+#: Letters from rare to common; others come before them.
+RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
+
+
+def letter_tokens(text: Column) -> Column:
+    """The characters of a text, each with its number among its like: 'abca' has a1, a2, b1, c1. Rare ones come first.
+
+    Texts have as many tokens in common as characters, so at least as many as match in any blocks. An empty text has one
+    token of its own.
+    """
+    chars = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
+    nth = lambda c, i: (i + 2 - F.array_position(chars, c)).cast("int")
+    one = lambda c, i: F.struct((-nth(c, i)).alias("n"), F.instr(F.lit(RARE_FIRST), c).alias("rank"), c.alias("c"))
+    tokens = F.transform(F.array_sort(F.transform(chars, one)), lambda t: F.concat(t.c, (-t.n).cast("string")))
+    return F.when(F.size(tokens) == 0, F.array(F.lit(""))).otherwise(tokens)
+
+
+def alike_candidates(names: DataFrame, text: Column, block: Column, percent: int = 85) -> DataFrame:
+    """(a, b): a < b of one block, from (name), without any pair lost whose likeness in text may reach percent hundredths.
+
+    A likeness is 2 m / (n + k) for m matching characters of texts of n and k, and m is at most what they have in common. So
+    n and k are bounded by each other, and what each must have in common with the shortest partner leaves a prefix of its
+    tokens that meets the partner's.
+    """
+    n, p = F.col("n"), percent
+    shortest = F.ceil(n * p / F.lit(200 - p) - 1e-9)
+    common = F.ceil((n + shortest) * p / F.lit(200) - 1e-9)
+    x = names.select(F.col("name"), block.alias("block"), text.alias("plain")).where("name is not null and plain is not null").distinct()
+    x = x.select("name", "block", F.length("plain").alias("n"), letter_tokens(F.col("plain")).alias("tokens"))
+    x = x.withColumn("token", F.explode(F.slice("tokens", F.lit(1), F.greatest(F.lit(1), (n - common + 1).cast("int")))))
+    a, b = x.withColumnsRenamed({"name": "a", "n": "na", "tokens": "ta"}), x.withColumnsRenamed({"name": "b", "n": "nb", "tokens": "tb"})
+    fits = (F.col("a") < F.col("b")) & (200 * F.least("na", "nb") >= p * (F.col("na") + F.col("nb")))
+    enough = 200 * F.size(F.array_intersect("ta", "tb")) >= p * (F.col("na") + F.col("nb"))
+    return a.join(b, ["block", "token"]).where(fits).where(enough).select("a", "b").distinct()
+
+
 def digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gablewise.functions import signs
+from gablewise.functions.text import alike_candidates
 from gablewise.operators import names
 from gablewise.plans.registry import query
 from gablewise.sources import bindings as B
@@ -39,13 +40,19 @@ def sign_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy(signs.sign_kind(F.col("lines")).alias("kind")).agg(F.count("*").alias("n"))
 
 
+def road_pairs(roads: DataFrame) -> DataFrame:
+    """(a, b): pairs of different names (name) that mean one road; only those with letters enough in common are compared."""
+    low = F.lower(F.col("name"))
+    pairs = alike_candidates(roads, signs.road_letters(low), F.coalesce(signs.street_number(low), F.lit("")))
+    return pairs.where(signs.same_road(F.col("a"), F.col("b")))
+
+
 @query()
 def same_road_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spellings of roads that mean one: compared within names that start alike."""
+    """Spellings of roads that mean one."""
     r = B.units(spark, sf_dir).select(signs.normal_name(F.col("road")).alias("name"), "ord")
     odd = F.when(F.col("ord") % 40 == 0, F.concat(F.col("name"), F.lit("e"))).otherwise(F.col("name"))
-    r = r.select(odd.alias("name")).distinct().withColumn("start", F.lower(F.substring("name", 1, 3)))
-    return r.withColumnRenamed("name", "a").join(r.withColumnRenamed("name", "b"), "start").where("a < b").where(signs.same_road(F.col("a"), F.col("b"))).select("a", "b")
+    return road_pairs(r.select(odd.alias("name")))
 
 
 @query()

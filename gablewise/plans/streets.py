@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablewise.functions.text import name_key, similar_keys
+from gablewise.functions.text import alike_candidates, digits, name_key, similar_keys
 from gablewise.model import Settings
 from gablewise.operators import selection, streets
 from gablewise.operators.grid import boxes_within, nearest, points_within
@@ -77,14 +77,9 @@ def unit_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alike_keys(keys: DataFrame) -> DataFrame:
     """(a, b): pairs of different keys of one street, as far as spelling tells.
 
-    Keys are paired only where they share their digits and, as two that differ in little keep most of their runs, one run of
-    three characters; so the comparison runs inside small groups.
+    Keys are compared only where they share their digits and have letters enough in common.
     """
-    k = keys.select("key").distinct().withColumn("digits", F.regexp_replace("key", r"\D", ""))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("key") - 2)), lambda i: F.substring(F.col("key"), i, F.lit(3)))
-    k = k.withColumn("run", F.explode(F.array_distinct(runs)))
-    other = k.selectExpr("key as b", "digits", "run")
-    pairs = k.withColumnRenamed("key", "a").join(other, ["digits", "run"]).where("a < b").select("a", "b").distinct()
+    pairs = alike_candidates(keys.select(F.col("key").alias("name")), F.col("name"), digits(F.col("name")))
     return pairs.where(similar_keys(F.col("a"), F.col("b")))
 
 

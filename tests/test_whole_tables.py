@@ -1,10 +1,15 @@
 """Queries over whole tables, against brute force on the smallest ones."""
 
+import random
 from collections import defaultdict
+from difflib import SequenceMatcher
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from gablewise.plans import deliverables, spatial
+from gablewise.functions import signs
+from gablewise.plans import deliverables, spatial, streets
+from gablewise.plans import signs as sign_plans
 from gablewise.plans.catalogue import QUERIES
 from gablewise.sources import bindings as B
 
@@ -103,3 +108,36 @@ def test_sign_doors_of_all_lines(spark, small):
         b[k].add(f"{n}-{int(q)}")
     got = {r.unit_key: r.numbers for r in QUERIES["sign_doors_merged_all"](spark, small).collect()}
     assert got == {k: ", ".join([*a[k], *sorted(b[k] - set(a[k]))]) for k in a}
+
+
+def slips(r, base):
+    """Words and their slips at any place: letters lost, doubled, changed and swapped."""
+    out = set(base)
+    for w in base:
+        for _ in range(6):
+            i = r.randrange(len(w))
+            out |= {w[:i] + w[i + 1 :], w[:i] + r.choice("abcxyz") + w[i:], w[:i] + "q" + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :]}
+    return out
+
+
+def test_alike_keys_equal_all_pairs(spark):
+    r = random.Random(41)
+    base = ["".join(r.choice("abcdef") for _ in range(r.randrange(2, 14))) + r.choice(["", "", "7", "12"]) for _ in range(25)]
+    keys = sorted(slips(r, base) | {"abcd", "abxcd", "abcdef", "abxcdyef", "", "a", "7"})
+    digits = lambda k: "".join(c for c in k if c.isdigit())
+    want = {(a, b) for a in keys for b in keys if a < b and min(len(a), len(b)) >= 4 and digits(a) == digits(b) and SequenceMatcher(None, a, b).ratio() >= 0.85}
+    got = [tuple(x) for x in streets.alike_keys(spark.createDataFrame([(k,) for k in keys], "key string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {("abcd", "abxcd"), ("abcdef", "abxcdyef")} <= want
+
+
+def test_road_pairs_equal_all_pairs(spark):
+    r = random.Random(42)
+    base = ["srinivasa road", "rajastreet", "Nehru 2nd Street", "West Car Street 3", "காந்தி சாலை"]
+    names = sorted(slips(r, base) | {"shrinivasa road", "rjastreet", "NEHRU 2ND STREET", "!!", "??", "Raja Street"})
+    d = spark.createDataFrame([(n,) for n in names], "name string")
+    every = d.withColumnRenamed("name", "a").join(d.withColumnRenamed("name", "b"), F.col("a") < F.col("b"))
+    want = {tuple(x) for x in every.where(signs.same_road(F.col("a"), F.col("b"))).collect()}
+    got = [tuple(x) for x in sign_plans.road_pairs(d).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {("shrinivasa road", "srinivasa road"), ("rajastreet", "rjastreet"), ("!!", "??")} <= want
