@@ -3,8 +3,11 @@
 A text falls into sentences: up to a full stop, exclamation or question mark before white space, or to the end of a line; a
 sentence of more than PIECE words counts as several, so that a long passage without stops has spans too; it is cut after words
 chosen by their hash, so that the cuts are the same ones again soon after an edit or a different beginning. Every run of SPAN
-consecutive sentences with MIN_WORDS words at least is hashed, and the hashes are joined over all documents. A sentence goes
-if a span that covers it stood before: in a document with a smaller doc_id, or earlier in its own.
+consecutive sentences with MIN_WORDS words at least is hashed, and the hashes are joined over all documents. A shorter run is
+hashed with as many of the following sentences as bring it to MIN_WORDS, and with as many of the ones before; so a passage
+of SPAN sentences and MIN_WORDS words is covered whole, however short its lines are. Of a whole text with fewer words, the
+one run is all of it. A sentence goes if a span that covers it stood before: in a document with a smaller doc_id, or earlier
+in its own.
 """
 
 from __future__ import annotations
@@ -52,22 +55,45 @@ def sentences(text: str, piece: int = PIECE) -> list[tuple[int, int, int]]:
     return out
 
 
-def span_hashes(text: str, found: list[tuple[int, int, int]], span: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the spans with enough words, and two hashes of each (of the words, in lower case)."""
-    n = len(found) - span + 1
+def span_places(sizes: np.ndarray, span: int, min_words: int, extend: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First sentences and numbers of sentences of the spans to hash; sizes are the words of each sentence."""
+    n = len(sizes) - span + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    total = np.cumsum([0, *sizes])
+    enough = total[span:] - total[:n] >= min_words
+    at, many = np.flatnonzero(enough), np.full(int(enough.sum()), span)
+    if not extend or enough.all():
+        return at, many
+    if total[-1] < min_words:
+        return np.zeros(1, np.int64), np.full(1, len(sizes))
+    short = np.flatnonzero(~enough)
+    ends = np.searchsorted(total, total[short] + min_words)  # on through the sentences that follow
+    on = ends <= len(sizes)
+    starts = np.searchsorted(total, total[short + span] - min_words, "right") - 1  # back through those before
+    back = total[short + span] >= min_words
+    first, last = np.concatenate([at, short[on], starts[back]]), np.concatenate([at + span, ends[on], short[back] + span])
+    places = np.unique(np.stack([first, last - first]), axis=1)
+    return places[0], places[1]
+
+
+def span_hashes(text: str, found: list[tuple[int, int, int]], span: int, min_words: int, extend: bool = False) -> tuple[np.ndarray, ...]:
+    """Positions of the spans, their numbers of sentences, and two hashes of each (of the words, in lower case)."""
+    at, many = span_places(np.array([w for _, _, w in found], np.int64), span, min_words, extend)
+    a, b = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    if not len(at):
+        return at, many, a, b
     parts = [" ".join(text[a:b].lower().split()).encode("utf-8", "replace") for a, b, _ in found]
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
-    sizes = np.cumsum([0, *(w for _, _, w in found)])
-    at = np.flatnonzero(sizes[span:] - sizes[:n] >= min_words)
-    a = run_hashes(h, span)[at].astype(np.int64)
-    b = run_hashes(h ^ np.uint64(0xC2B2AE3D27D4EB4F), span)[at].astype(np.int64)
-    return at, a, b
+    for k in np.unique(many).tolist():
+        those = many == k
+        a[those] = run_hashes(h, k)[at[those]].astype(np.int64)
+        b[those] = run_hashes(h ^ np.uint64(0xC2B2AE3D27D4EB4F), k)[at[those]].astype(np.int64)
+    return at, many, a, b
 
 
-def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, positions): for rows with spans that stood before, the positions of these in order.
+def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
+    """(doc_id, text_hash, positions): for rows with spans that stood before, the positions (at, n) of these in order.
 
     The first of a span is that with the smallest doc_id, then position; null doc_ids come last. Rows alike in doc_id and
     text count as one document.
@@ -76,49 +102,50 @@ def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_W
 
     def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            ids, marks, ats, hs, gs = [], [], [], [], []
+            ids, marks, ats, ns, hs, gs = [], [], [], [], [], []
             for doc, mark, text in zip(x.doc_id.astype("Int64"), x.text_hash, x.text, strict=True):
-                at, a, b = span_hashes(text, sentences(text), span, min_words)
+                at, n, a, b = span_hashes(text, sentences(text), span, min_words, extend)
                 ids += [doc] * len(at)
                 marks.append(np.full(len(at), mark, np.int64))
                 ats.append(at)
+                ns.append(n)
                 hs.append(a)
                 gs.append(b)
             cat = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-            yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "text_hash": cat(marks), "at": cat(ats).astype(np.int32), "a": cat(hs), "b": cat(gs)})
+            yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "text_hash": cat(marks), "at": cat(ats).astype(np.int32), "n": cat(ns).astype(np.int32), "a": cat(hs), "b": cat(gs)})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").where("text IS NOT NULL")
-    found = save(rows.mapInPandas(spans, "doc_id long, text_hash long, at int, a long, b long"), "spans")
+    found = save(rows.mapInPandas(spans, "doc_id long, text_hash long, at int, n int, a long, b long"), "spans")
     # null ids last, then by id, text and position
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "at")
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash", "at")
     firsts = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").select("a", "b", "first")
     # always by shuffle, at every size: sums go ahead of it, and a hash that very many rows have is split between tasks
     later = found.join(save(firsts, "span-firsts"), ["a", "b"]).where(place > F.col("first"))
-    return save(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("positions")), "span-repeats")
+    return save(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("at", "n"))).alias("positions")), "span-repeats")
 
 
-def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
     """(row, text, n_sentences, n_removed, removed) for every row of docs (doc_id, text, any others).
 
     row is the row itself as a struct, text what is left of its text, removed the (start, end) of what went, in characters
     of the text. A null text stays null; a text without a repeated span stays as it is, and one that consists of such
-    spans becomes empty. No rows give no rows.
+    spans becomes empty. No rows give no rows. With extend, runs of fewer words count with the sentences next to them.
     """
-    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words).withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
+    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words, extend).withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
     if (gone.agg(F.sum(F.size("positions"))).first()[0] or 0) <= BROADCAST_POSITIONS:
         gone = broadcast_if_small(gone)
     rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left")
 
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts, positions in batches:
+        for texts, starts, numbers in batches:
             out = []
-            for text, at in zip(texts, positions, strict=True):
+            for text, at, many in zip(texts, starts, numbers, strict=True):
                 if at is None:
                     out.append((text, 0, []))
                     continue
                 found = sentences(text)
-                covered = sorted({i for p in at for i in range(p, p + span)})
+                covered = sorted({i for p, n in zip(at, many, strict=True) for i in range(p, p + n)})
                 ranges: list[list[int]] = []
                 for i in covered:
                     a, b, _ = found[i]
@@ -136,7 +163,7 @@ def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_
     cut = F.pandas_udf(cut, "text string, n_removed int, removed array<struct<start int, end int>>")
     plain = F.struct(F.col("text").alias("text"), F.lit(0).alias("n_removed"), F.expr("cast(array() as array<struct<start int, end int>>)").alias("removed"))
     same = rows.where("positions IS NULL").select("row", plain.alias("x"))
-    other = rows.where("positions IS NOT NULL").select("row", cut("text", "positions").alias("x"))
+    other = rows.where("positions IS NOT NULL").select("row", cut("text", "positions.at", "positions.n").alias("x"))
     return same.unionByName(other).select("row", "x.*")
 
 
@@ -145,7 +172,7 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
 
     Rows without any text before stay as they are.
     """
-    x = drop_repeated_spans(docs)
+    x = drop_repeated_spans(docs, extend=True)
     x = x.where(~((F.col("n_removed") > 0) & (F.trim("text") == "")))
     for name, value in (("text", F.col("text")), ("n_chars", F.length("text").cast("long"))):
         if name in docs.columns:

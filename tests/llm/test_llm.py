@@ -136,6 +136,34 @@ def test_repeated_passages_go(spark):
     assert all(x.n_chars == len(x.text) for x in kept.collect())
 
 
+def test_passages_of_short_lines_go(spark, small):
+    lines = [f"menu item {i}" for i in range(20)]
+    words = "one\nA line of eight words is standing here.\n" + "\n".join("abcd")
+    passages = ["\n".join(lines) + "\n", words + "\n", "Yes!\nNo.\nMaybe so.\n"]
+    own = [f"Own beginning of text {i} which is in none of the other ones.\n" for i in range(9)]
+    texts = [own[i] + p + own[i + 1] for i, p in enumerate(passages[:2])] + [own[4 + i] + p + own[6 + i] for i, p in enumerate(passages[:2])] + [passages[2]] * 2
+    d = docs(spark, [*texts, own[8] + passages[2] + "Other lines follow it in this text only."])
+    got = {x.row.doc_id: x for x in spans.drop_repeated_spans(d, extend=True).collect()}
+    assert [got[i].text for i in (0, 1, 4, 6)] == [texts[0], texts[1], texts[4], got[6].row.text]
+    assert [got[i].text for i in (2, 3, 5)] == [own[4] + own[6], own[5] + own[7], ""]
+    kept = {x.doc_id: x.text for x in spans.dedup_documents(d).collect()}
+    assert kept[2] == own[4] + own[6] and 5 not in kept
+    # spans of every place, by their rule
+    r = random.Random(33)
+    for _ in range(400):
+        sizes = np.array([r.choice([0, 1, 1, 2, 3, 9, 15]) for _ in range(r.randrange(3, 14))])
+        total, want = sizes.sum(), set()
+        for i in range(len(sizes)):
+            for j in range(i + 3, len(sizes) + 1):
+                fits = sizes[i:j].sum() >= 10
+                if fits and (j - i == 3 or sizes[i : j - 1].sum() < 10 or sizes[i + 1 : j].sum() < 10):
+                    want.add((i, j - i))
+        at, n = spans.span_places(sizes, 3, 10, True)
+        got = set(zip(at.tolist(), n.tolist(), strict=True))
+        assert got <= want if total >= 10 else got == {(0, len(sizes))}
+        assert {k for i, m in got for k in range(i, i + m)} == set(range(len(sizes)))
+
+
 def test_spans_equal_brute_force(spark, small, odd):
     d = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     rows = sorted({(x.doc_id is None, x.doc_id or 0, x.text) for x in d.collect() if x.text is not None})
