@@ -27,8 +27,8 @@ END = b"\r\n\r\n"
 #: What the text reader splits at. No part of it begins it anew, so a partial match cannot hide a whole one.
 SEPARATOR = VERSION
 CHUNK = 32_768
-#: Longest block of one record.
-SEGMENT = 65_536
+#: Longest block of one record: common pages are longer, so that segments are the rule.
+SEGMENT = 2_048
 DATE = "2024-01-01T00:00:00Z"
 
 

@@ -56,6 +56,12 @@ def test_warc_round_trip(spark):
     assert warc.archive_round_trip(df.limit(0)).count() == 0
 
 
+def test_common_pages_have_segments(spark, small):
+    pages = [r.html.encode() for r in spark.read.parquet(f"{small}/pages.parquet").where("html is not null").collect()]
+    several = [len(warc.segments("urn:uuid:x", warc.chunked(p), warc.SEGMENT, Content_Type="text/html")) > 1 for p in pages]
+    assert sum(several) > len(pages) / 4
+
+
 def test_warc_broken_segments(spark):
     def rec(origin, n, block, total=None, length=None):
         return ("response" if n == 1 else "continuation", f"<{origin}:{n}>" if n > 1 else f"<{origin}>", 1, None, "d", n, None if n == 1 else f"<{origin}>", total, bytearray(block), True)
