@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows per Arrow batch: texts may be long, so that a batch stays in the tens of MB.
-BATCH_ROWS = 500
+#: Rows and bytes of an Arrow batch: texts may be long, so that a task holds some MB at a time.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 #: A table of at most so many narrow rows may be broadcast; beyond it, joins shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -35,15 +35,41 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gablewise/{name}-{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage, and survives lost executors."""
-    path = scratch(df.sparkSession, name)
+    """Write df to the shared folder and read it again: cuts the lineage, and survives lost executors.
+
+    The files go when forget() is called, or at the latest when the application ends.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    files, at = _files(spark, path)
+    files.deleteOnExit(at)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def forget(*saved: DataFrame) -> None:
+    """Removes the files of saved tables that no plan will read again."""
+    for df in saved:
+        files, at = _files(df.sparkSession, df._saved_at)
+        files.delete(at, True)
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bounds Arrow batches in rows and bytes unless the session has bounds of its own.
+
+    They are read when a plan runs, also one that an operator has returned, so they stay set.
+    """
+    known = spark.conf.getAll
+    for name, value in BATCHES.items():
+        if name not in known:
+            spark.conf.set(name, value)
 
 
 def broadcast_if_small(saved: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -1,13 +1,10 @@
 """Substring dedup with sliding sentence spans.
 
-A text falls into sentences: up to a full stop, exclamation or question mark before white space, or to the end of a line; a
-sentence of more than PIECE words counts as several, so that a long passage without stops has spans too; it is cut after words
-chosen by their hash, so that the cuts are the same ones again soon after an edit or a different beginning. Every run of SPAN
-consecutive sentences with MIN_WORDS words at least is hashed, and the hashes are joined over all documents. A shorter run is
-hashed with as many of the following sentences as bring it to MIN_WORDS, and with as many of the ones before; so a passage
-of SPAN sentences and MIN_WORDS words is covered whole, however short its lines are. Of a whole text with fewer words, the
-one run is all of it. A sentence goes if a span that covers it stood before: in a document with a smaller doc_id, or earlier
-in its own.
+A text falls into sentences: up to a full stop, exclamation or question mark before white space, or to the end of a line. Every
+run of SPAN consecutive sentences is hashed, and the hashes are joined over all documents. A run of fewer than MIN_WORDS words
+("Yes. No. Maybe.") would be no evidence of a copy, so it is hashed together with as many of the sentences after it, and once
+more of those before it, as bring it to MIN_WORDS; no run is left out. Of a text with fewer sentences or words, the one run is
+all of it. A sentence goes if a span that covers it stood before: in a document with a smaller doc_id, or earlier in its own.
 """
 
 from __future__ import annotations
@@ -19,54 +16,37 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, packed, run_hashes, save, small_batches
+from gablewise.llm.common import mix, packed, run_hashes, small_batches
 
 SPAN = 3
 MIN_WORDS = 10
-PIECE = 16
-#: Words between two cuts at least; one word in so many is a place for a cut.
-LEAST = 4
-#: Positions in a table that may be broadcast: tens of MB.
-BROADCAST_POSITIONS = 2_000_000
-SENTENCE = re.compile(r".*?(?:[.!?]+(?=\s)|\n|\Z)\s*", re.S)
-TOKEN = re.compile(r"\S+\s*")
-
-
-def sentences(text: str, piece: int = PIECE) -> list[tuple[int, int, int]]:
-    """(start, end, words) of the sentences of a text, with the white space after them; together they are the whole text."""
-    out = []
-    for m in SENTENCE.finditer(text):
-        start, end = m.span()
-        if start == end:
-            continue
-        n = len(m[0].split())
-        if n <= piece:
-            out.append((start, end, n))
-            continue
-        last, count = start, 0
-        for t in TOKEN.finditer(text, start, end):
-            count += 1
-            if t.end() < end and (count == piece or count >= LEAST and xxhash.xxh3_64_intdigest(t[0].lower().rstrip()) % LEAST == 0):
-                out.append((last, t.end(), count))
-                last, count = t.end(), 0
-        out.append((last, end, count))
-    return out
-
-
-def span_places(sizes: np.ndarray, span: int, min_words: int, extend: bool) -> tuple[np.ndarray, np.ndarray]:
+STOP = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
+FOUND = "a long, b int, doc_id long, mark long, at int, n int, sure boolean"
+
+
+def sentences(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the sentences of a text, with the white space after them; together they are the whole text."""
+    ends = [m.end() for m in STOP.finditer(text)]
+    if text and (not ends or ends[-1] < len(text)):
+        ends.append(len(text))
+    return list(zip([0, *ends], ends, strict=False))
+
+
+def span_places(sizes: np.ndarray, span: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """First sentences and numbers of sentences of the spans to hash; sizes are the words of each sentence."""
     n = len(sizes) - span + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
     total = np.cumsum([0, *sizes])
+    if not total[-1]:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    if n <= 0 or total[-1] < min_words:
+        return np.zeros(1, np.int64), np.full(1, len(sizes))
     enough = total[span:] - total[:n] >= min_words
     at, many = np.flatnonzero(enough), np.full(int(enough.sum()), span)
-    if not extend or enough.all():
+    if enough.all():
         return at, many
-    if total[-1] < min_words:
-        return np.zeros(1, np.int64), np.full(1, len(sizes))
     short = np.flatnonzero(~enough)
     ends = np.searchsorted(total, total[short] + min_words)  # on through the sentences that follow
     on = ends <= len(sizes)
@@ -77,102 +57,116 @@ def span_places(sizes: np.ndarray, span: int, min_words: int, extend: bool) -> t
     return places[0], places[1]
 
 
-def span_hashes(text: str, found: list[tuple[int, int, int]], span: int, min_words: int, extend: bool = False) -> tuple[np.ndarray, ...]:
-    """Positions of the spans, their numbers of sentences, and two hashes of each (of the words, in lower case)."""
-    at, many = span_places(np.array([w for _, _, w in found], np.int64), span, min_words, extend)
-    a, b = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-    if not len(at):
-        return at, many, a, b
-    parts = [" ".join(text[a:b].lower().split()).encode("utf-8", "replace") for a, b, _ in found]
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
-    for k in np.unique(many).tolist():
-        those = many == k
-        a[those] = run_hashes(h, k)[at[those]].astype(np.int64)
-        b[those] = run_hashes(h ^ np.uint64(0xC2B2AE3D27D4EB4F), k)[at[those]].astype(np.int64)
-    return at, many, a, b
+def span_hashes(text: str, span: int = SPAN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
+    """Positions of the spans of a text, their numbers of sentences, and 96 bits of hash of each (of the words, in lower case)."""
+    ws = [text[a:b].lower().split() for a, b in sentences(text)]
+    at, many = span_places(np.fromiter(map(len, ws), np.int64, len(ws)), span, min_words)
+    a, b = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+    if len(at):
+        h = np.fromiter((xxhash.xxh3_64_intdigest(" ".join(w).encode("utf-8", "replace")) for w in ws), np.uint64, len(ws))
+        for k in np.unique(many).tolist():
+            those = many == k
+            a[those] = run_hashes(h, k)[at[those]]
+            b[those] = run_hashes(h ^ np.uint64(0xC2B2AE3D27D4EB4F), k)[at[those]]
+    return at, many, a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
-    """(doc_id, text_hash, positions): for rows with spans that stood before, the positions (at, n) of these in order.
+def mark_later(x: pd.DataFrame) -> pd.DataFrame:
+    """sure: another row of this batch has the same span at an earlier place. Such rows need not meet the others of their hash.
 
-    The first of a span is that with the smallest doc_id, then position; null doc_ids come last. Rows alike in doc_id and
-    text count as one document.
+    They get a hash of their own, so that a span that very many documents share costs the shuffle one row a batch.
     """
+    if not len(x):
+        return x.assign(sure=pd.Series(dtype=bool))
+    without, doc = x.doc_id.isna().to_numpy(), x.doc_id.fillna(0).to_numpy(np.int64)
+    a, b, place = x.a.to_numpy(), x.b.to_numpy(), np.stack([without.astype(np.int64), doc, x.mark.to_numpy(), x["at"].to_numpy(np.int64)])
+    order = np.lexsort((*place[::-1], b, a))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    sure = np.empty(len(order), bool)
+    sure[order] = (place[:, order] != place[:, first]).any(0)
+    own = mix((x.mark.to_numpy() + x["at"].to_numpy(np.int64)).view(np.uint64)).view(np.int64)
+    return x.assign(a=np.where(sure, own, a), sure=sure)
+
+
+def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, mark, positions): for rows with spans that stood before, these as (at, n). mark is a hash of the text.
+
+    The first of a span is that with the smallest doc_id, then hash of its text, then position; null doc_ids come last. Rows
+    alike in doc_id and text count as one document. The spans are shuffled once, by their hash, and ranked where they land.
+    """
+
     small_batches(docs.sparkSession)
 
     def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            ids, marks, ats, ns, hs, gs = [], [], [], [], [], []
-            for doc, mark, text in zip(x.doc_id.astype("Int64"), x.text_hash, x.text, strict=True):
-                at, n, a, b = span_hashes(text, sentences(text), span, min_words, extend)
-                ids += [doc] * len(at)
-                marks.append(np.full(len(at), mark, np.int64))
-                ats.append(at)
-                ns.append(n)
-                hs.append(a)
-                gs.append(b)
-            cat = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-            yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "text_hash": cat(marks), "at": cat(ats).astype(np.int32), "n": cat(ns).astype(np.int32), "a": cat(hs), "b": cat(gs)})
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").where("text IS NOT NULL")
-    found = save(rows.mapInPandas(spans, "doc_id long, text_hash long, at int, n int, a long, b long"), "spans")
-    # null ids last, then by id, text and position
-    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash", "at")
-    firsts = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").select("a", "b", "first")
-    # always by shuffle, at every size: sums go ahead of it, and a hash that very many rows have is split between tasks
-    later = found.join(save(firsts, "span-firsts"), ["a", "b"]).where(place > F.col("first"))
-    return save(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("at", "n"))).alias("positions")), "span-repeats")
-
-
-def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
-    """(row, text, n_sentences, n_removed, removed) for every row of docs (doc_id, text, any others).
-
-    row is the row itself as a struct, text what is left of its text, removed the (start, end) of what went, in characters
-    of the text. A null text stays null; a text without a repeated span stays as it is, and one that consists of such
-    spans becomes empty. No rows give no rows. With extend, runs of fewer words count with the sentences next to them.
+            got = [span_hashes(t, span, min_words) for t in x.text]
+            sizes = [len(g[0]) for g in got]
+            cat = lambda i, kind, got=got: np.concatenate([g[i] for g in got] or [[]]).astype(kind)
+            of = np.repeat(np.arange(len(got)), sizes)
+            yield mark_later(pd.DataFrame({
+                "a": cat(2, np.int64), "b": cat(3, np.int32), "doc_id": x.doc_id.astype("Int64").take(of).array,
+                "mark": x.mark.to_numpy(np.int64)[of], "at": cat(0, np.int32), "n": cat(1, np.int32),
+            }))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").where("text IS NOT NULL")
+    found = rows.mapInPandas(spans, FOUND)
+    place = W.partitionBy("a", "b").orderBy(F.col("doc_id").asc_nulls_last(), "mark", "at")
+    later = found.withColumn("rank", F.rank().over(place)).where("sure OR rank > 1")
+    return later.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("at", "n")).alias("positions"))
+
+
+def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+    """(row, text, n_removed, removed) for every row of docs (doc_id, text, any others).
+
+    row is the row itself as a struct, so that no column of docs can clash; text what is left of its text, removed the (start,
+    end) of what went, in characters of the text. A null text stays null; an empty one, or one without a repeated span, stays
+    as it is, and one that consists of such spans becomes empty. Texts of any length are taken whole. No rows give no rows.
+    Rows and positions meet by shuffle at every size; each text is in it once.
     """
-    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words, extend).withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
-    if (gone.agg(F.sum(F.size("positions"))).first()[0] or 0) <= BROADCAST_POSITIONS:
-        gone = broadcast_if_small(gone)
-    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
-    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left")
+    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words)
+    key = lambda c: [F.coalesce(c, F.lit(0)).alias("k1"), c.isNull().alias("k2")]
+    gone = gone.select(*key(F.col("doc_id")), F.col("mark").alias("k3"), "positions").hint("merge")
+    rows = docs.select(packed(docs), *key(F.col("doc_id").cast("long")), F.xxhash64("text").alias("k3"))
+    rows = rows.join(gone, ["k1", "k2", "k3"], "left").select("row", "positions")
 
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts, starts, numbers in batches:
-            out = []
-            for text, at, many in zip(texts, starts, numbers, strict=True):
-                if at is None:
-                    out.append((text, 0, []))
-                    continue
-                found = sentences(text)
-                covered = sorted({i for p, n in zip(at, many, strict=True) for i in range(p, p + n)})
-                ranges: list[list[int]] = []
-                for i in covered:
-                    a, b, _ = found[i]
-                    if ranges and ranges[-1][1] == a:
-                        ranges[-1][1] = b
-                    else:
-                        ranges.append([a, b])
-                kept, last = [], 0
-                for a, b in ranges:
-                    kept.append(text[last:a])
-                    last = b
-                out.append(("".join([*kept, text[last:]]), len(covered), [{"start": a, "end": b} for a, b in ranges]))
-            yield pd.DataFrame(out, columns=["text", "n_removed", "removed"])
+            yield pd.DataFrame([without(*x) for x in zip(texts, starts, numbers, strict=True)], columns=["text", "n_removed", "removed"])
 
     cut = F.pandas_udf(cut, "text string, n_removed int, removed array<struct<start int, end int>>")
-    plain = F.struct(F.col("text").alias("text"), F.lit(0).alias("n_removed"), F.expr("cast(array() as array<struct<start int, end int>>)").alias("removed"))
-    same = rows.where("positions IS NULL").select("row", plain.alias("x"))
-    other = rows.where("positions IS NOT NULL").select("row", cut("text", "positions.at", "positions.n").alias("x"))
-    return same.unionByName(other).select("row", "x.*")
+    plain = F.struct(F.col("row.text").alias("text"), F.lit(0).alias("n_removed"), F.expr("cast(array() as array<struct<start int, end int>>)").alias("removed"))
+    # rows without positions send no text to Python
+    done = rows.withColumn("x", cut(F.when(F.col("positions").isNotNull(), F.col("row.text")), "positions.at", "positions.n"))
+    return done.withColumn("x", F.when(F.col("positions").isNull(), plain).otherwise(F.col("x"))).select("row", "x.*")
+
+
+def without(text: str | None, at: np.ndarray | None, many: np.ndarray | None) -> tuple[str | None, int, list[dict]]:
+    """What is left of a text without the sentences of some spans, how many went, and where they were."""
+    if at is None or text is None:
+        return text, 0, []
+    found = sentences(text)
+    ranges: list[list[int]] = []
+    covered = sorted({i for p, n in zip(at, many, strict=True) for i in range(p, p + n)})
+    for a, b in map(found.__getitem__, covered):
+        if ranges and ranges[-1][1] == a:
+            ranges[-1][1] = b
+        else:
+            ranges.append([a, b])
+    kept, last = [], 0
+    for a, b in ranges:
+        kept.append(text[last:a])
+        last = b
+    return "".join([*kept, text[last:]]), len(covered), [{"start": a, "end": b} for a, b in ranges]
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """docs with what is left of their texts, n_chars following it; rows of which nothing but white space is left go.
 
-    Rows without any text before stay as they are.
+    Rows without any text before stay as they are. Rows, nulls and clashing names: as drop_repeated_spans has them.
     """
-    x = drop_repeated_spans(docs, extend=True)
+    x = drop_repeated_spans(docs)
     x = x.where(~((F.col("n_removed") > 0) & (F.trim("text") == "")))
     for name, value in (("text", F.col("text")), ("n_chars", F.length("text").cast("long"))):
         if name in docs.columns:
