@@ -1,14 +1,16 @@
 """An exact similarity join of documents by the Jaccard similarity of their word shingles, in metric-space regions.
 
-Jaccard distance is a metric. Pivots split documents into Voronoi cells; a document is copied into another pivot's cell if it
-is at most two radii further from that pivot than from its own, since by the triangle inequality only such a document can be
-within the radius of one there; cells that are too large are split again by pivots of their own.
-
-Two things come before, neither of which loses a link. Documents with equal sets become one class. And as different texts are
-all at a distance of almost 1 from each other, where every window would hold every document, coarse regions come first: within
-a band of sizes, the universe of shingles is cut into more slices than two linked sets can have differences, so that linked
-sets agree on a whole slice. Documents joined by equal slices, directly or through others, form a region; the pivots work
-inside regions, where distances spread from 0 to 1.
+Jaccard distance is a metric. In a region, pivots are chosen far apart and split the documents into Voronoi cells. A document
+is copied into another pivot's cell if it is at most two radii further from that pivot than from its own: by the triangle
+inequality only such a document can be within the radius of one there. Cells are split again by pivots of their own until few
+documents are left, which are compared. What is within the radius of a pivot is linked to it, and a cell whose documents are
+connected already is done. A region that fits in a task is split there; larger ones are split by Spark first.
+
+Regions start from a coarse filter that loses no link, since a pivot of the whole corpus would tell nothing: different texts
+are all at a distance of almost 1 from each other, so that its window would hold every document. Documents with equal sets
+become one class. Within a band of sizes the universe of shingles is cut into more slices than two linked sets can have
+differences, so that linked sets agree on a whole slice. Documents joined by equal slices, directly or through others, form a
+region, and there distances spread from 0 to 1.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, mix, packed, save, shingle_set, small_batches
+from gablewise.llm.common import broadcast_if_small, forget, mix, packed, save, shingle_set, small_batches
 from gablewise.llm.components import connected_components
 
 
@@ -34,9 +37,12 @@ class Settings:
     ratio: float = 1.5
     #: Empty slices that the number of slices makes up for.
     spare: int = 2
-    #: Documents that one task compares at most; pivots of a split; splits before the rest is compared in blocks.
+    #: Documents and bytes of sets of a region that one task splits alone; pivots of a split; documents that are compared at once.
     region: int = 800
-    pivots: int = 12
+    region_bytes: int = 32 << 20
+    pivots: int = 8
+    leaf: int = 2
+    #: Splits by Spark before the rest is compared in blocks.
     depth: int = 6
     seed: int = 1
 
@@ -87,21 +93,21 @@ def signatures(h: np.ndarray, s: Settings) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
-def profiles(docs: DataFrame, s: Settings) -> DataFrame:
-    """(doc_id, n, a, b, signatures): the set's size, 128 bits that name the set, and its slices."""
+def profiles(docs: DataFrame, s: Settings, sliced: bool) -> DataFrame:
+    """(doc_id, n, a, b): the set's size and 128 bits that name the set; and its slices, if sliced."""
     small_batches(docs.sparkSession)
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             sets = [shingle_set(t, s.k) for t in x.text]
-            yield pd.DataFrame({
+            out = {
                 "doc_id": x.doc_id.astype("Int64"), "n": [len(h) for h in sets],
-                "a": np.array([mix(h).sum(dtype=np.uint64) for h in sets], np.uint64).astype(np.int64),
-                "b": np.array([mix(h ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for h in sets], np.uint64).astype(np.int64),
-                "signatures": [signatures(h, s).astype(np.int64) for h in sets],
-            })
+                "a": np.array([mix(h).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
+                "b": np.array([mix(h ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
+            }
+            yield pd.DataFrame(out | ({"signatures": [signatures(h, s).view(np.int64) for h in sets]} if sliced else {}))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(profile, "doc_id long, n long, a long, b long, signatures array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(profile, "doc_id long, n long, a long, b long" + ", signatures array<long>" * sliced)
 
 
 class Unions:
@@ -152,26 +158,73 @@ def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def links_within(ids: list[int], sets: list[np.ndarray], balls: list[int], s: Settings, left: int | None = None) -> list[tuple[int, int]]:
-    """Links that connect what is linked among the sets: a spanning forest of the link graph.
+class Region:
+    """The links of a region that is split inside one task: a spanning forest of the link graph.
 
-    balls: sets of one ball (if it is not -1) are known to be connected. left: only links of the first `left` sets to the
-    others are asked for.
+    balls: sets of one ball (if it is not -1) are known to be connected. cells and copies count the Voronoi cells that were
+    formed, and the documents that windows copied into a second one.
     """
-    n = len(ids)
-    out, u = [], Unions(n)
-    first: dict[int, int] = {}
-    for i, ball in enumerate(balls):
-        if ball >= 0:
-            u.join(first.setdefault(ball, i), i)
-    common, size = overlaps(sets), np.array([len(x) for x in sets])
-    link = np.triu(100 * common >= s.percent * (size[:, None] + size[None, :] - common), 1)
-    if left is not None:
-        link[:left, :left] = link[left:, left:] = False
-    for x, y in zip(*(z.tolist() for z in np.nonzero(link)), strict=True):
-        if u.join(x, y):
-            out.append((ids[x], ids[y]))
-    return out
+
+    def __init__(self, ids: list[int], sets: list[np.ndarray], balls: list[int], s: Settings):
+        self.ids, self.sets, self.s = ids, sets, s
+        self.size = np.array([len(x) for x in sets])
+        self.links: list[tuple[int, int]] = []
+        self.u = Unions(len(ids))
+        self.cells = self.copies = 0
+        first: dict[int, int] = {}
+        for i, ball in enumerate(balls):
+            if ball >= 0:
+                self.u.join(first.setdefault(ball, i), i)
+
+    def link(self, x: int, y: int) -> None:
+        if self.u.join(x, y):
+            self.links.append((self.ids[x], self.ids[y]))
+
+    def split(self, part: np.ndarray) -> None:
+        """Voronoi cells of the documents that part names, with their windows, each split again."""
+        if len({self.u.top(i) for i in part.tolist()}) < 2:
+            return
+        if len(part) <= self.s.leaf:
+            self.compare(part)
+            return
+        pivots, d = self.far_apart(part)
+        window = d <= d.min(1)[:, None] + two_radii(self.s)
+        self.cells += len(pivots)
+        self.copies += int(window.sum()) - len(part)
+        for j in range(len(pivots)):
+            cell = part[window[:, j]]
+            if 10 * len(cell) > 9 * len(part):  # every window holds nearly all of them: no pivot tells these apart
+                self.compare(cell)
+            else:
+                self.split(cell)
+
+    def far_apart(self, part: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Pivots, each the furthest document from those before, and all distances to them. Linked documents are joined."""
+        pivots, columns = [int(part[0])], []
+        while True:
+            p = pivots[-1]
+            common = np.array([overlap(self.sets[i], self.sets[p]) for i in part.tolist()])
+            union = self.size[part] + self.size[p] - common
+            columns.append(1 - common / union)
+            for i in part[100 * common >= self.s.percent * union].tolist():
+                self.link(p, i)
+            nearest = np.min(columns, axis=0)
+            if len(pivots) == self.s.pivots or nearest.max() == 0:
+                return pivots, np.stack(columns, 1)
+            pivots.append(int(part[nearest.argmax()]))
+
+    def compare(self, part: np.ndarray, left: int | None = None) -> None:
+        """All links of a part; left: only those of its first `left` documents with the others."""
+        common, size = overlaps([self.sets[i] for i in part.tolist()]), self.size[part]
+        link = np.triu(100 * common >= self.s.percent * (size[:, None] + size[None, :] - common), 1)
+        if left is not None:
+            link[:left, :left] = link[left:, left:] = False
+        for x, y in zip(*(part[z].tolist() for z in np.nonzero(link)), strict=True):
+            self.link(x, y)
+
+
+def two_radii(s: Settings) -> float:
+    return 2 * (1 - s.percent / 100) + 1e-9
 
 
 EDGES = "a long, b long"
@@ -185,24 +238,46 @@ def _sets(pdf: pd.DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(bytes(x), np.uint64) for x in pdf["set"]]
 
 
+def task_links(members: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): the links of regions that fit in a task, which takes its regions one after the other."""
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(rows: list[pd.DataFrame]) -> list[tuple[int, int]]:
+            x = pd.concat(rows).sort_values("id")
+            r = Region(x.id.tolist(), _sets(x), x.ball.tolist(), s)
+            r.split(np.arange(len(x)))
+            return r.links
+
+        held: list[pd.DataFrame] = []
+        for x in batches:
+            out = []
+            for region, rows in x.groupby("region", sort=False):
+                if held and held[0].region.iloc[0] != region:
+                    out += done(held)
+                    held = []
+                held.append(rows)
+            yield _edges(out)
+        yield _edges(done(held) if held else [])
+
+    dealt = members.select("region", "id", "set", "ball").repartition("region").sortWithinPartitions("region")
+    return dealt.mapInPandas(join, EDGES)
+
+
 def region_links(members: DataFrame, s: Settings) -> DataFrame:
     """(a, b): a spanning forest of the links inside regions, from (region long, id long, set binary, ball long).
 
-    Regions of at most s.region documents are compared in one task. Larger ones are split by pivots into Voronoi cells with
-    their windows, again and again; a region that does not shrink is compared in blocks, each pair of blocks in a task.
+    Every region is split by pivots into Voronoi cells with their windows, again and again: one that fits in a task there,
+    larger ones by Spark until their cells fit. A region whose windows hold nearly all of it, however often it is split, is
+    compared exactly in blocks, each pair of blocks in a task.
     """
     found: list[DataFrame] = []
     todo = save(members, "join-members")
     for depth in range(s.depth + 1):
-        sizes = save(todo.groupBy("region").agg(F.count("*").alias("m"), F.min("id").alias("first_id")), "join-sizes")
-        small = todo.join(broadcast_if_small(sizes.where(F.col("m").between(2, s.region))), "region")
-
-        def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("id")
-            return _edges(links_within(list(pdf.id), _sets(pdf), list(pdf.ball), s))
-
-        found.append(save(small.groupBy("region").applyInPandas(compare, EDGES), "join-links"))
-        large = sizes.where(F.col("m") > s.region)
+        sizes = todo.groupBy("region").agg(F.count("*").alias("m"), F.min("id").alias("first_id"), F.sum(F.octet_length("set")).alias("bytes"))
+        sizes = save(sizes, "join-sizes")
+        fits = (F.col("m") <= s.region) & (F.col("bytes") <= s.region_bytes)
+        found.append(save(task_links(todo.join(broadcast_if_small(sizes.where(fits & (F.col("m") > 1))), "region"), s), "join-links"))
+        large = sizes.where(~fits & (F.col("m") > 1)).withColumn("parts", F.greatest(F.ceil(F.col("m") / s.region), F.ceil(F.col("bytes") / s.region_bytes)).cast("int"))
         if not large.take(1):
             break
         rest = todo.join(broadcast_if_small(large), "region")
@@ -215,10 +290,11 @@ def region_links(members: DataFrame, s: Settings) -> DataFrame:
         grown = cells.groupBy("region", "was").agg(F.count("*").alias("m2"), F.max("m").alias("m")).where("m2 > 0.8 * m")
         grown = save(grown.select("was").distinct(), "join-stuck")
         if grown.take(1):
-            stuck = cells.join(broadcast_if_small(grown), "was", "left_semi").select(F.col("was").alias("region"), "id", "set", "m", "ball")
+            stuck = cells.join(broadcast_if_small(grown), "was", "left_semi").select(F.col("was").alias("region"), "id", "set", "parts", "ball")
             found.append(block_links(stuck.dropDuplicates(["region", "id", "set"]), s))
             cells = cells.join(broadcast_if_small(grown), "was", "left_anti")
-        todo = save(cells.select("region", "id", "set", "ball"), "join-members")
+        before, todo = todo, save(cells.select("region", "id", "set", "ball"), "join-members")
+        forget(before)
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
@@ -232,12 +308,11 @@ def voronoi(rest: DataFrame, s: Settings, depth: int) -> tuple[DataFrame, DataFr
     pivot is connected to it; those documents are connected among each other through it, and go on only to meet documents
     that aren't: so a cell without such a document is done.
     """
-    two = 2 * (1 - s.percent / 100) + 1e-9
+    two = two_radii(s)
     chosen = (F.pmod(F.xxhash64("id", F.lit(depth + s.seed)), F.col("m")) < s.pivots) | (F.col("id") == F.col("first_id"))
-    pivots = save(rest.where(chosen).select("region", "id", "set", "m"), "join-pivots")
-    part = F.greatest(F.lit(1), F.ceil(F.col("m") / s.region)).cast("int")
-    dealt = rest.withColumn("part", F.pmod(F.xxhash64("id"), part).cast("int"))
-    copies = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), part - 1)))
+    pivots = save(rest.where(chosen).select("region", "id", "set", "parts"), "join-pivots")
+    dealt = rest.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    copies = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def assign(docs: pd.DataFrame, piv: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -251,10 +326,10 @@ def voronoi(rest: DataFrame, s: Settings, depth: int) -> tuple[DataFrame, DataFr
                 best = int(np.argmin(d))
                 for j in range(len(ps)):
                     if d[j] <= d[best] + two:
-                        out.append((docs.region.iloc[0], names[j], i, x.tobytes(), docs.m.iloc[0], ball))
-        return pd.DataFrame(out, columns=["was", "pivot", "id", "set", "m", "ball"])
+                        out.append((docs.region.iloc[0], names[j], i, x.tobytes(), docs.m.iloc[0], docs.parts.iloc[0], ball))
+        return pd.DataFrame(out, columns=["was", "pivot", "id", "set", "m", "parts", "ball"])
 
-    cells = dealt.groupBy("region", "part").cogroup(copies.groupBy("region", "part")).applyInPandas(assign, "was long, pivot long, id long, set binary, m long, ball long")
+    cells = dealt.groupBy("region", "part").cogroup(copies.groupBy("region", "part")).applyInPandas(assign, "was long, pivot long, id long, set binary, m long, parts int, ball long")
     cells = save(cells, "join-cells")
     near = cells.where("ball >= 0 AND ball <> id").select(F.col("ball").alias("a"), F.col("id").alias("b")).distinct()
     # documents of one ball are connected: a cell that holds one ball only is done
@@ -265,34 +340,41 @@ def voronoi(rest: DataFrame, s: Settings, depth: int) -> tuple[DataFrame, DataFr
 
 
 def block_links(rest: DataFrame, s: Settings) -> DataFrame:
-    """Links of regions in blocks of about s.region / 2 documents: every pair of blocks meets in one task."""
-    n = F.ceil(F.col("m") * 2 / s.region).cast("int")
-    x = rest.withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    """Links of regions in blocks of about half of what a task takes: every pair of blocks meets in one task."""
+    n = F.col("parts") * 2
+    x = rest.withColumn("block", F.pmod(F.xxhash64("id"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
     x = x.select("region", "id", "set", "ball", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["block", "id"])
-        inside = pdf.block.nunique() == 1
-        return _edges(links_within(list(pdf.id), _sets(pdf), list(pdf.ball), s, None if inside else int((pdf.block == pdf.lo).sum())))
+        r = Region(pdf.id.tolist(), _sets(pdf), pdf.ball.tolist(), s)
+        r.compare(np.arange(len(pdf)), None if pdf.block.nunique() == 1 else int((pdf.block == pdf.lo).sum()))
+        return _edges(r.links)
 
     return save(x.groupBy("region", "lo", "hi").applyInPandas(compare, EDGES), "join-links")
 
 
+def coarse_regions(docs: DataFrame, s: Settings) -> DataFrame:
+    """(id, component): the classes that share slices, directly or through others. Classes alone in all their slices have no row.
+
+    Slices are shuffled once and ordered by document where they land: each document pairs with the first of its slice.
+    """
+    known = profiles(docs, s, sliced=True).where("doc_id IS NOT NULL AND n > 0")
+    classes = known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.min_by("signatures", "doc_id").alias("signatures"))
+    slices = classes.select("rep", F.explode("signatures").alias("slice"))
+    pairs = slices.withColumn("head", F.first("rep").over(W.partitionBy("slice").orderBy("rep"))).where("rep <> head")
+    return save(connected_components(pairs.select(F.col("rep").alias("a"), F.col("head").alias("b"))), "join-regions")
+
+
 def set_classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """The saved profile (doc_id, n, a, b) of each row, and (rep, n, a, b, component) of each class of equal sets.
 
     rep is the smallest doc_id of the class, component the smallest that its links reach. Rows without a doc_id take no part.
     """
-    spark = docs.sparkSession
-    every = save(profiles(docs, s), "join-profiles")
+    every = save(profiles(docs, s, sliced=False), "join-profiles")
     known = every.where("doc_id IS NOT NULL AND n > 0")
-    classes = save(known.groupBy("n", "a", "b").agg(F.min(F.struct("doc_id", "signatures")).alias("x")).select("n", "a", "b", F.col("x.doc_id").alias("rep"), "x.signatures"), "join-classes")
-
-    slices = classes.select("rep", F.explode("signatures").alias("slice")).repartition(F.col("slice"))  # one shuffle for both uses
-    heads = slices.groupBy("slice").agg(F.min("rep").alias("head"), F.count("*").alias("c")).where("c > 1")
-    pairs = slices.join(heads, "slice").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
-    regions = save(connected_components(pairs), "join-regions")
+    classes = save(known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep")), "join-classes")
+    regions = coarse_regions(docs, s)
 
     text = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
     text = text.join(broadcast_if_small(regions), "id").select(F.col("component").alias("region"), "id", "text")
@@ -312,7 +394,7 @@ def set_classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
         links = links.unionByName(rows.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     components = save(connected_components(links), "join-components")
     reps = classes.select("n", "a", "b", "rep").join(broadcast_if_small(components.withColumnRenamed("id", "rep")), "rep", "left")
-    return every.drop("signatures"), save(reps.withColumn("component", F.coalesce("component", "rep")), "join-reps")
+    return every, save(reps.withColumn("component", F.coalesce("component", "rep")), "join-reps")
 
 
 def jaccard_components(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -333,9 +415,14 @@ def jaccard_components(docs: DataFrame, settings: Settings | None = None) -> Dat
 def one_of_each(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """docs with one document of each group of linked ones, that with the smallest doc_id; all columns as they are.
 
-    Documents without words and rows without a doc_id stay. Of rows that share the kept doc_id, one stays.
+    Documents without words and rows without a doc_id stay. Of rows that share the kept doc_id, one stays: that of the text
+    with the least hash. No rows give no rows.
     """
-    c = jaccard_components(docs.select("doc_id", "text"), settings)
-    gone = save(c.where("doc_id <> component_id").select("doc_id").distinct(), "join-gone")
-    rows = docs.select(packed(docs), F.col("doc_id").alias("key")).join(broadcast_if_small(gone.withColumnRenamed("doc_id", "key")), "key", "left_anti")
+    c = save(jaccard_components(docs.select("doc_id", "text"), settings), "join-groups")
+    gone = save(c.where("doc_id <> component_id").select(F.col("doc_id").alias("key")).distinct(), "join-gone")
+    several = save(c.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("key")).count().where("count > 1").select("key"), "join-several")
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("key")).join(broadcast_if_small(gone), "key", "left_anti")
+    if several.take(1):
+        once = rows.join(broadcast_if_small(several), "key").groupBy("key").agg(F.min_by("row", F.struct(F.xxhash64("row.text"), "row.text")).alias("row"))
+        rows = rows.join(broadcast_if_small(several), "key", "left_anti").unionByName(once, allowMissingColumns=True)
     return rows.select("row.*")

@@ -254,7 +254,7 @@ def brute_components(rows, s):
     return {i: top(i) for i in sets}
 
 
-@pytest.mark.parametrize("settings", [jaccard.Settings(), jaccard.Settings(region=40, pivots=3, depth=2)])
+@pytest.mark.parametrize("settings", [jaccard.Settings(), jaccard.Settings(region=40, pivots=3, depth=2), jaccard.Settings(region=10, pivots=3, depth=1, leaf=2)])
 def test_components_equal_brute_force(spark, odd, settings):
     r = random.Random(8)
     vocabulary = [f"w{i}" for i in range(900)]
@@ -276,6 +276,36 @@ def test_components_equal_brute_force(spark, odd, settings):
     assert all(x.component_id is None for x in got if x.doc_id is None)
 
 
+def test_regions_form_cells_and_windows(spark, small):
+    """The links of the given table come from Voronoi cells: its regions are split, and windows copy documents."""
+    s = jaccard.Settings(k=5, percent=80)
+    d = spark.read.parquet(small.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text")
+    regions = defaultdict(list)
+    text = {x.doc_id: x.text for x in d.collect()}
+    for x in jaccard.coarse_regions(d, s).collect():
+        regions[x.component].append(x.id)
+    cells = copies = 0
+    up = jaccard.Unions(max(text) + 1)
+    for ids in regions.values():
+        r = jaccard.Region(sorted(ids), [shingle_set(text[i], s.k) for i in sorted(ids)], [-1] * len(ids), s)
+        r.split(np.arange(len(ids)))
+        cells, copies = cells + r.cells, copies + r.copies
+        for a, b in r.links:
+            up.join(a, b)
+    assert cells > 10, sorted(map(len, regions.values()))[-5:]
+    want = brute_components([(i, t) for i, t in text.items() if i in {j for v in regions.values() for j in v}], s)
+    assert {i: up.top(i) for i in want} == want
+
+
+def test_windows_copy_what_cells_share():
+    """Chains of sets: neighbours are linked, ends aren't; cells cut the chain, and windows keep every link."""
+    s = jaccard.Settings(pivots=3)
+    chain = [np.arange(i * 5, i * 5 + 100, dtype=np.uint64) for i in range(60)]
+    r = jaccard.Region(list(range(60)), chain, [-1] * 60, s)
+    r.split(np.arange(60))
+    assert {r.u.top(i) for i in range(60)} == {0} and r.cells > 3 and r.copies > 0
+
+
 def test_one_of_each_group(spark, odd):
     kept = jaccard.one_of_each(odd.unionByName(docs(spark, ["a b c d e f", "A B c d e f", "other words are here"], 50)))
     ids = [x.doc_id for x in kept.collect()]
@@ -302,8 +332,8 @@ def test_block_links_find_every_component(spark):
     rows = []
     for i in range(90):
         x = [v if r.random() > 0.03 else r.randrange(1 << 40) for v in base]
-        rows.append((1, i, bytearray(np.unique(np.array(x, np.uint64)).tobytes()), -1, 90))
-    got = jaccard.block_links(spark.createDataFrame(rows, "region long, id long, set binary, ball long, m long"), s)
+        rows.append((1, i, bytearray(np.unique(np.array(x, np.uint64)).tobytes()), -1, 5))
+    got = jaccard.block_links(spark.createDataFrame(rows, "region long, id long, set binary, ball long, parts int"), s)
     pairs = [(x.a, x.b) for x in got.collect()]
     sets = [set(np.frombuffer(bytes(x[2]), np.uint64).tolist()) for x in rows]
     u, v = jaccard.Unions(90), jaccard.Unions(90)
