@@ -1,14 +1,13 @@
 """A quality classifier over learned subword embeddings.
 
-A word's features are the word and its character n-grams, each hashed into one table of learned vectors; a word that repeats
-the one before it adds one more. A document is the mean of its features' vectors, and a softmax over two classes follows. Training is stochastic gradient descent in numpy, in
-one task, over a sample of labelled documents of a stated size; scoring runs over all documents, and whole texts.
+A document's features are its words, their character n-grams and its word bigrams, each hashed into one table of learned
+vectors. A document is the mean of its features' vectors, and a softmax over two classes follows. Training is stochastic
+gradient descent in numpy, in one task, over a sample of labelled documents of a stated size; scoring runs over all documents,
+and whole texts. Python sees texts alone: ids and rows stay where they are.
 """
 
 from __future__ import annotations
 
-import zlib
-from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, packed, save, small_batches
+from gablewise.llm.common import broadcast_if_small, mix, packed, save, small_batches
 
 
 @dataclass(frozen=True)
@@ -26,9 +25,11 @@ class Settings:
     max_train: int = 4000
     buckets: int = 1 << 17
     dim: int = 8
+    #: Passes over the sample, or more of them for a small one, until so many steps are done.
     epochs: int = 5
+    steps: int = 600
     rate: float = 0.5
-    ngrams: tuple[int, ...] = (3,)
+    ngrams: tuple[int, ...] = (3, 4)
     batch: int = 32
     seed: int = 7
     threshold: float = 0.7
@@ -39,75 +40,87 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def features(word: str, ngrams: tuple[int, ...], buckets: int) -> list[int]:
-    """Buckets of a word: of itself, and of its character n-grams with marks at both ends."""
-    marked = f"<{word}>".encode("utf-32-le", "replace")  # four bytes a character
-    n = len(marked)
-    return [zlib.crc32(marked) % buckets] + [zlib.crc32(marked[i : i + 4 * k]) % buckets for k in ngrams if 4 * k < n for i in range(0, n - 4 * k + 1, 4)]
+#: Odd multipliers of the characters of a word by their place.
+ODD = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
 
-#: A word that repeats the one before it: the word bigram of equal words, whatever the word. It counts as so many features.
-REPEAT, REPEAT_WEIGHT = "\0same again\0", 8
+def word_features(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, bucket, hash): the buckets of the words and of their character n-grams, whose word each is, and a hash of each word.
 
-
-class Words(dict):
-    """Numbers of words as they come; up to `most` of them."""
-
-    def __init__(self, s: Settings, w: np.ndarray, most: int):
-        self.s, self.w, self.most = s, w.tolist(), most
-        self.sums, self.sizes = np.zeros(most), np.zeros(most)
-
-    def __missing__(self, word: str) -> int:
-        k = self[word] = len(self)
-        f = features(word, self.s.ngrams, self.s.buckets)
-        self.sums[k], self.sizes[k] = sum(map(self.w.__getitem__, f)), len(f)
-        return k
+    A word has marks at both ends, so that an n-gram tells a beginning or an end.
+    """
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(codes)) - starts[owner]
+    own = mix(np.add.reduceat(codes * ODD[place % len(ODD)], starts))
+    owners, found = [np.arange(len(words))], [own]
+    for k in s.ngrams:
+        n = len(codes) - k + 1
+        if n > 0:
+            inside = np.flatnonzero((owner[:n] == owner[k - 1 :]) & (sizes[owner[:n]] > k))
+            h = np.full(len(inside), k, np.uint64)
+            for j in range(k):
+                h = h * ODD[0] + codes[inside + j]
+            owners.append(owner[inside])
+            found.append(mix(h))
+    return np.concatenate(owners), (np.concatenate(found) % np.uint64(s.buckets)).astype(np.int64), own
+
+
+def pair_features(hashes: np.ndarray, s: Settings) -> np.ndarray:
+    """Buckets of the word bigrams of a text, from the hashes of its words. A bigram has no order; all doubled words are one."""
+    return (mix((hashes[1:] ^ hashes[:-1]) + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(s.buckets)).astype(np.int64)
+
+
+def text_features(text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text, and what share of its features each has."""
+    ws = text.split()
+    if not ws:
+        return np.empty(0, np.int64), np.empty(0, np.float32)
+    words = {w: i for i, w in enumerate(dict.fromkeys(ws))}
+    at = np.fromiter(map(words.__getitem__, ws), np.int64, len(ws))
+    owner, bucket, own = word_features(list(words), s)
+    times = np.bincount(at, minlength=len(words))[owner]
+    pairs = pair_features(own[at], s)
+    every, place = np.unique(np.concatenate([bucket, pairs]), return_inverse=True)
+    c = np.bincount(place, np.concatenate([times, np.ones(len(pairs))]), len(every))
+    return every, (c / c.sum()).astype(np.float32)
+
+
+def sgd_step(table: np.ndarray, out: np.ndarray, bias: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rate: float) -> None:
+    """One step of gradient descent on the cross entropy of a batch of (buckets, shares), in place."""
+    f, c = np.concatenate([x for x, _ in docs]), np.concatenate([x for _, x in docs])
+    sizes = np.array([len(x) for x, _ in docs])
+    row, starts = np.repeat(np.arange(len(docs)), sizes), np.cumsum(sizes) - sizes
+    h = np.add.reduceat(table[f] * c[:, None], starts)
+    z = h @ out + bias
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    p[np.arange(len(docs)), labels] -= 1
+    back = p @ out.T
+    out -= rate * (h.T @ p)
+    bias -= rate * p.mean(0)
+    near, at = np.unique(f, return_inverse=True)
+    for d in range(table.shape[1]):
+        table[near, d] -= rate * np.bincount(at, c * back[row, d], len(near)).astype(np.float32)
 
 
 def train(texts: list[str], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
     """The learned weight of each bucket for label 1 against 0, and the bias: the two linear layers in one."""
-    known: dict[str, array] = {}  # arrays: a few bytes a feature
-    again = array("i", features(REPEAT, (), s.buckets) * REPEAT_WEIGHT)
-    ids, shares = [], []
-    for t in texts:
-        f = array("i")
-        last = None
-        for w in t.split():
-            if w not in known:
-                known[w] = array("i", features(w, s.ngrams, s.buckets))
-            f += known[w]
-            if w == last:
-                f += again
-            last = w
-        u, c = np.unique(np.frombuffer(f, np.int32) if f else np.empty(0, np.int32), return_counts=True)
-        ids.append(u)
-        shares.append((c / max(1, c.sum())).astype(np.float32))
-    known.clear()
+    known = [text_features(t, s) for t in texts]
     rng = np.random.default_rng(s.seed)
     table = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     out, bias = np.zeros((s.dim, 2), np.float32), np.zeros(2, np.float32)
-    full = np.array([i for i in range(len(texts)) if len(ids[i])])
-    steps, step = max(1, s.epochs * -(-len(full) // s.batch)), 0
-    for _ in range(s.epochs):
-        order = rng.permutation(full)
-        for i in range(0, len(order), s.batch):
-            rate = s.rate * (1 - step / steps)
-            step += 1
-            part = order[i : i + s.batch]
-            f, c = np.concatenate([ids[j] for j in part]), np.concatenate([shares[j] for j in part])
-            sizes = [len(ids[j]) for j in part]
-            row, starts = np.repeat(np.arange(len(part)), sizes), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            h = np.add.reduceat(table[f] * c[:, None], starts)
-            z = h @ out + bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(part)), labels[part]] -= 1
-            back = p @ out.T
-            out -= rate * (h.T @ p)
-            bias -= rate * p.mean(0)
-            near, at = np.unique(f, return_inverse=True)
-            for d in range(s.dim):
-                table[near, d] -= rate * np.bincount(at, c * back[row, d], len(near)).astype(np.float32)
+    full = np.array([i for i, (f, _) in enumerate(known) if len(f)], np.int64)
+    per_pass = -(-len(full) // s.batch)
+    epochs = max(s.epochs, -(-s.steps // per_pass)) if per_pass else 0
+    for step in range(epochs * per_pass):
+        at = step % per_pass * s.batch
+        if at == 0:
+            order = rng.permutation(full)
+        part = order[at : at + s.batch]
+        sgd_step(table, out, bias, [known[i] for i in part], labels[part], s.rate * (1 - step / (epochs * per_pass)))
     return table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0])
 
 
@@ -138,57 +151,78 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[np.ndarray, fl
     return (np.frombuffer(bytes(got.w), np.float32), got.b) if got else (np.zeros(s.buckets, np.float32), 0.0)
 
 
-def scorer(w: np.ndarray, b: float, s: Settings, most: int = 1 << 17) -> Callable[[str | None], float]:
-    """The score of a text. Each word's summed weight is kept in a table of bounded size."""
-    known, again = Words(s, w, most), REPEAT_WEIGHT * float(w[features(REPEAT, (), s.buckets)[0]])
+class Scorer:
+    """The score of a text. Each word's summed weight, number of features and hash are kept in tables of bounded size."""
 
-    def one(text: str | None) -> float:
+    def __init__(self, w: np.ndarray, b: float, s: Settings, most: int = 1 << 16):
+        self.w, self.b, self.s, self.most = w.astype(np.float64), b, s, most
+        self.known: dict[str, int] = {}
+        self.sums, self.sizes, self.hashes = np.zeros(most), np.zeros(most), np.zeros(most, np.uint64)
+
+    def learn(self, words: list[str]) -> None:
+        """Takes new words into the tables, which hold that many at least."""
+        if len(self.known) + len(words) > self.most:
+            self.known.clear()
+        at = len(self.known)
+        owner, bucket, own = word_features(words, self.s)
+        end = at + len(words)
+        self.sums[at:end] = np.bincount(owner, self.w[bucket], len(words))
+        self.sizes[at:end] = np.bincount(owner, minlength=len(words))
+        self.hashes[at:end] = own
+        self.known.update(zip(words, range(at, end), strict=True))
+
+    def __call__(self, text: str | None) -> float:
         ws = text.split() if text else []
         total = number = 0.0
-        last = None
-        for i in range(0, len(ws), most // 2):
-            part = ws[i : i + most // 2]
-            if len(known) + len(part) > most:
-                known.clear()
-            at = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
-            repeats = int((at[1:] == at[:-1]).sum()) + (part[0] == last)
-            total += known.sums[at].sum() + again * repeats
-            number += known.sizes[at].sum() + REPEAT_WEIGHT * repeats
-            last = part[-1]
-        return float(1 / (1 + np.exp(-(total / max(number, 1) + b))))
-
-    return one
-
-
-def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """(row, score, predicted) for each row of docs (doc_id, text, any others): row is the row itself, as a struct.
-
-    score is the likelihood of quality 1, from the text alone; a null or empty text has the score of no features. predicted
-    is 1 from the threshold on. Equal texts have equal scores; no rows give no rows.
-    """
-    s = settings or Settings()
+        last = np.empty(0, np.uint64)
+        for i in range(0, len(ws), self.most // 2):  # one part, but for the longest texts
+            part = ws[i : i + self.most // 2]
+            new = list(dict.fromkeys(w for w in part if w not in self.known))
+            if new:
+                if len(self.known) + len(new) > self.most:
+                    self.known.clear()
+                    new = list(dict.fromkeys(part))
+                self.learn(new)
+            at = np.fromiter(map(self.known.__getitem__, part), np.int64, len(part))
+            h = np.concatenate([last, self.hashes[at]])
+            pairs = pair_features(h, self.s)
+            total += self.sums[at].sum() + self.w[pairs].sum()
+            number += self.sizes[at].sum() + len(pairs)
+            last = h[-1:]
+        return float(1 / (1 + np.exp(-(total / max(number, 1) + self.b))))
+
+
+def score_column(docs: DataFrame, labels: DataFrame, s: Settings) -> Callable[[Column], Column]:
+    """Fits the model, and gives the function from a column of texts to their scores."""
     w, b = fit(docs.select("doc_id", "text"), labels, s)
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((w, b))  # of a fixed size: one number a bucket
+    model = docs.sparkSession.sparkContext.broadcast((w, b))  # of a fixed size: one number a bucket
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = scorer(*model.value, s)
-        for x in batches:
-            x["score"] = [one(t) for t in x.pop("text")]
-            yield x
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        one = Scorer(*model.value, s)
+        for texts in batches:
+            yield pd.Series([one(t) for t in texts], dtype="float64")
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    rows = docs.mapInPandas(score, f"{schema}, score double")
-    return rows.withColumn("predicted", (F.col("score") >= s.threshold).cast("int"))
+    return F.pandas_udf(score, "double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row of docs."""
-    scored = score_documents(docs.select("doc_id", "text"), labels, settings)
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    """(doc_id, held_out, score, predicted) for each row of docs (doc_id, text, any others).
+
+    score is the likelihood of quality 1, from the text alone; a null or empty text has the score of no features. predicted is
+    1 from the threshold on. Equal texts have equal scores; a text of any length is scored whole. Null and repeated doc_ids
+    give a row each. No rows give no rows.
+    """
+    s = settings or Settings()
+    score = score_column(docs, labels, s)
+    scored = docs.select("doc_id", score(F.col("text")).alias("score"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= s.threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """docs without the rows that the classifier rejects; all columns stay as they are."""
-    scored = score_documents(docs.select(packed(docs), F.col("doc_id"), F.col("text")), labels, settings)
-    return scored.where("predicted = 1").select("row.*")
+    """docs without the rows that the classifier rejects; all columns, whatever their names, stay as they are.
+
+    A row without text is judged as quality_scores does. Null and repeated doc_ids are rows like others. No rows give no rows.
+    """
+    s = settings or Settings()
+    score = score_column(docs, labels, s)
+    return docs.select(packed(docs), score(F.col("text")).alias("score")).where(F.col("score") >= s.threshold).select("row.*")

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gablewise.llm import fingerprints, jaccard, mixing, packing, quality, spans, tokens, topk, urls, warc
-from gablewise.llm.common import shingle_set
+from gablewise.llm.common import mix, shingle_set
 from gablewise.llm.components import connected_components
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -231,6 +231,78 @@ def test_quality_held_out(spark, odd):
     assert quality.quality_scores(d.limit(0), labels, s).count() == 0
 
 
+def plain_features(text, s):
+    """The buckets of a text with their counts, one word, n-gram and bigram at a time."""
+    m = (1 << 64) - 1
+    mix1 = lambda h: int(mix(np.array([h & m], np.uint64))[0])
+    odd = [mix1(i) | 1 for i in range(1, 257)]
+    ws, out, own = text.split(), defaultdict(int), []
+    for w in ws:
+        codes = [ord(c) for c in f"<{w}>"]
+        own.append(mix1(sum(c * odd[i % 256] for i, c in enumerate(codes))))
+        out[own[-1] % s.buckets] += 1
+        for k in s.ngrams:
+            for i in range(len(codes) - k + 1 if len(codes) > k else 0):
+                h = k
+                for c in codes[i : i + k]:
+                    h = h * odd[0] + c
+                out[mix1(h) % s.buckets] += 1
+    for a, b in zip(own, own[1:]):
+        out[mix1((a ^ b) + 0x2545F4914F6CDD1D) % s.buckets] += 1
+    return dict(out)
+
+
+def test_quality_equals_brute_force():
+    """Features, a training step and scores against versions that go feature by feature."""
+    s = quality.Settings(buckets=512, dim=3, ngrams=(2, 3))
+    texts = ["the cat sat on the mat", "no no no", "Ünïcode 🙂 words", "a", "x" * 300 + " y", ""]
+    r = np.random.default_rng(0)
+    table, out, bias = r.normal(size=(512, 3)).astype(np.float32), r.normal(size=(3, 2)).astype(np.float32), r.normal(size=2).astype(np.float32)
+    plain = [plain_features(t, s) for t in texts]
+    for t, want in zip(texts, plain):
+        f, c = quality.text_features(t, s)
+        assert dict(zip(f.tolist(), c.tolist())) == pytest.approx({k: v / sum(want.values()) for k, v in want.items()})
+    w, b = table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0])
+    for most in (1 << 16, 8):
+        one = quality.Scorer(w, b, s, most)
+        for t, want in [*zip(texts, plain)] * 2:
+            z = b + sum(v * float(w[k]) for k, v in want.items()) / max(1, sum(want.values()))
+            assert one(t) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-5)
+    assert quality.Scorer(w, b, s)(None) == pytest.approx(1 / (1 + np.exp(-b)))
+    batch, labels, rate = [0, 1, 2], np.array([1, 0, 1]), 0.3
+    t2, o2, b2 = table.astype(float).copy(), out.astype(float).copy(), bias.astype(float).copy()
+    dt, do, db = np.zeros_like(t2), np.zeros_like(o2), np.zeros_like(b2)
+    for i in batch:
+        n = sum(plain[i].values())
+        h = sum(v / n * t2[k] for k, v in plain[i].items())
+        z = h @ o2 + b2
+        p = np.exp(z) / np.exp(z).sum()
+        g = p - np.eye(2)[labels[i]]
+        for k, v in plain[i].items():
+            dt[k] += v / n * (o2 @ g)
+        do += np.outer(h, g)
+        db += g / len(batch)
+    quality.sgd_step(table, out, bias, [quality.text_features(texts[i], s) for i in batch], labels, rate)
+    assert np.allclose(table, t2 - rate * dt, atol=1e-5) and np.allclose(out, o2 - rate * do, atol=1e-5) and np.allclose(bias, b2 - rate * db, atol=1e-5)
+
+
+def test_quality_keeps_large_ids_beside_nulls(spark):
+    big = (1 << 53) + 1
+    d = spark.createDataFrame([(big, "good words here", "r"), (None, "good words here", "r"), (big + 2, None, None)], "doc_id long, text string, row string")
+    labels = spark.createDataFrame([(big, 1), (big + 2, 1)], "doc_id long, quality int")
+    assert {x.doc_id for x in quality.quality_scores(d, labels).collect()} == {big, None, big + 2}
+    kept = quality.keep_good(d, labels).collect()
+    assert kept and {tuple(x) for x in kept} <= {tuple(x) for x in d.collect()}
+
+
+def test_quality_on_the_given_tables(spark, small):
+    at = small.replace("sf0.001", "sf0.01")
+    d, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    y = {x.doc_id: x.quality for x in labels.collect()}
+    got = [x for x in quality.quality_scores(d, labels).collect() if x.held_out and y.get(x.doc_id) is not None]
+    assert len(got) > 50 and np.mean([x.predicted == y[x.doc_id] for x in got]) > 0.95
+
+
 # ---------------------------------------------------------------------------------------------- 5: Jaccard join
 
 
