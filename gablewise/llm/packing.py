@@ -23,8 +23,8 @@ from gablewise.llm.tokens import cached_encoder
 
 CAPACITY = 1024
 END_OF_DOCUMENT = 2
-#: Rows of one length that are ranked together at most, on average.
-RANKED = 50_000
+#: Rows of one length that are ranked together, on average: a fourth of a partition's share, and this many at least.
+RANKED = 256
 
 
 def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
@@ -114,7 +114,8 @@ def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["count"] for r in found.groupBy("length").count().collect()}  # at most `capacity` rows
     if not counts:
         return found.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
-    parts = spark.createDataFrame([(k, v // RANKED + 1) for k, v in counts.items()], "length long, parts long")
+    ranked = max(RANKED, sum(counts.values()) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    parts = spark.createDataFrame([(k, v // ranked + 1) for k, v in counts.items()], "length long, parts long")
     rows = found.withColumn("all", packed(found)).join(F.broadcast(parts), "length")
     h = F.xxhash64(*[f"all.{c}" for c in found.columns])
     rows = rows.select("all", "length", F.pmod(h, "parts").alias("part"), h.alias("h"))
@@ -124,29 +125,19 @@ def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     order = W.partitionBy("length", "part").orderBy("h", *[f"all.{c}" for c in found.columns])
     rows = rows.join(before, ["length", "part"]).withColumn("rank", F.col("before") + F.row_number().over(order) - 1)
 
+    # a range join: of the plan's rows of a length, the one whose ranks hold the row's
     plan = bin_plan(counts, capacity)
-    table = plan.groupby("length")[["first", "per_bin", "bins", "first_bin", "place"]].agg(list).reset_index()
-    cells = [(int(r["length"]), [int(x) for x in r["first"]], [int(x) for x in r.per_bin], [int(x) for x in r.first_bin], [int(x) for x in r["place"]]) for _, r in table.iterrows()]
-    table = spark.createDataFrame(cells, "length long, firsts array<long>, per_bin array<long>, first_bin array<long>, places array<long>")
-    rows = rows.join(F.broadcast(table), "length")
-
-    def locate(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for length, rank, firsts, per_bin, first_bin, places in batches:
-            out = []
-            for n, r, f, p, s, q in zip(length, rank, firsts, per_bin, first_bin, places, strict=True):
-                i = int(np.searchsorted(f, r, "right")) - 1
-                of = r - f[i]
-                out.append((s[i] + of // p[i], q[i] + of % p[i] * n))
-            yield pd.DataFrame(out, columns=["sequence_id", "offset"]).astype("int64")
-
-    locate = F.pandas_udf(locate, "sequence_id long, offset long")
-    rows = rows.select("all", locate("length", "rank", "firsts", "per_bin", "first_bin", "places").alias("x"))
-    return rows.select("all.*", "x.*")
+    plan = spark.createDataFrame(plan.assign(end=plan["first"] + plan.per_bin * plan.bins)).withColumnRenamed("length", "of")
+    rows = rows.join(F.broadcast(plan), (F.col("of") == F.col("length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
+    of = F.col("rank") - F.col("first")
+    sequence = F.col("first_bin") + F.floor(of / F.col("per_bin"))
+    return rows.select("all.*", sequence.cast("long").alias("sequence_id"), (F.col("place") + of % F.col("per_bin") * F.col("length")).cast("long").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row of docs (doc_id, text).
 
-    Rows with a null or repeated doc_id are packed like any others. No rows give no rows.
+    Rows with a null or repeated doc_id are packed like any others; a very long text gives as many pieces as it needs. Other
+    columns of docs don't matter. No rows give no rows.
     """
     return place(save(pieces(docs, vocabulary, capacity), "pack-pieces"), capacity)

@@ -3,11 +3,13 @@
 Byte-level BPE merges within words of a split pattern. A chunk that starts at an arbitrary place may split its first
 characters otherwise than the whole text does; but as soon as both have a word boundary in the same place they agree from
 there on, as the pattern looks at nothing before a match. A chunk's last words may be wrong too, as the pattern looks ahead:
-past a run of white space, or to the rest of the word. So the place where two chunks are spliced is a boundary of both that is
-followed, in the first, by two whole words. Without one, the overlap is widened, up to the whole document.
+past a run of white space, or to the rest of the word; and a special token may be cut. So the place where two chunks are spliced
+is a boundary of both that is followed, in the first, by two whole words and as many characters as the longest special token
+has. Without one, the overlap is widened, up to the whole document.
 
-The library's model encodes each distinct word of the pattern once per task, which a table of bounded size remembers; texts with
-special tokens in them, and characters outside the plain range, go to the library whole.
+The library's model encodes each distinct word of the pattern once per task, which a table of bounded size remembers. Texts of
+one chunk with special tokens in them, or characters outside the plain range, go to the library whole; chunks of such texts
+have the boundaries that the library's own splitting gives, so that huge texts of any script are spliced alike.
 """
 
 from __future__ import annotations
@@ -62,7 +64,8 @@ class Encoder:
 
         self.library = Tokenizer.from_file(vocabulary)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
+        self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.guard = max(map(len, added), default=0)
         plain = str(type(self.library.pre_tokenizer).__name__) == "ByteLevel" and self.library.normalizer is None
         self.words = word_pattern() if plain else None
         # the model itself takes a word as the library's byte alphabet writes it
@@ -79,6 +82,19 @@ class Encoder:
             return None
         return self.words.findall(text)
 
+    def library_words(self, text: str) -> tuple[list[int], list[int]]:
+        """The ends of the library's words in characters, and the tokens of each; a special token is a word."""
+        ends, tokens, at = [], [], 0
+        for m in [*(self.special.finditer(text) if self.special else ()), None]:
+            for w, (_, end) in self.library.pre_tokenizer.pre_tokenize_str(text[at : m.start() if m else len(text)]):
+                ends.append(at + end)
+                tokens.append(len(self.model.tokenize(w)))
+            if m:
+                at = m.end()
+                ends.append(at)
+                tokens.append(1)
+        return ends, tokens
+
     def of_words(self, ws: list[str]) -> list[bytes]:
         known = self.known
         try:
@@ -114,25 +130,30 @@ def chunks_of(n: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
 
 
 def boundaries(encoder: Encoder, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-    """The ends of a chunk's words in characters, and the tokens up to each."""
+    """The ends of a chunk's words in characters, and the tokens up to each; None if the vocabulary isn't byte-level."""
     ws = encoder.split(text)
     if ws is None:
-        return None
+        if encoder.words is None:
+            return None
+        ends, tokens = encoder.library_words(text)
+        return np.array(ends, np.int64), np.cumsum(np.array(tokens, np.int64))
     tokens = np.fromiter((len(x) // 4 for x in encoder.of_words(ws)), np.int64, len(ws))
     return np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws))), np.cumsum(tokens)
 
 
-def splice(parts: list[tuple[int, int, np.ndarray, np.ndarray, int]]) -> int | None:
+def splice(parts: list[tuple[int, int, np.ndarray, np.ndarray, int]], guard: int = 0) -> int | None:
     """The tokens of a document from its chunks (start, end, boundaries, tokens up to them, all its tokens), or None.
 
-    Boundaries are in characters of the document and hold, of each chunk, those in its overlaps with the neighbours.
+    Boundaries are in characters of the document and hold, of each chunk, those in its overlaps with the neighbours. guard:
+    the characters of the longest special token.
     """
     total, before = 0, 0  # before: tokens of the chunk that precede the last splice
-    for i, (_, _, at, upto, every) in enumerate(parts):
+    for i, (_, end, at, upto, every) in enumerate(parts):
         if i + 1 == len(parts):
             return total + every - before
         _, _, there, upto2, _ = parts[i + 1]
         stable = at[:-2]  # two whole words follow
+        stable = stable[stable <= end - guard]
         common, x, y = np.intersect1d(stable, there, return_indices=True)
         if not len(common) or upto[x[-1]] < before:
             return None
@@ -145,7 +166,8 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of docs (doc_id, text).
 
     The counts are those of the library on the whole text, with nothing added. A null text counts as an empty one. Null and
-    repeated doc_ids give a row each. No rows give no rows.
+    repeated doc_ids give a row each; other columns of docs don't matter. No rows give no rows. Only a text that has no common
+    boundary in overlaps as long as a chunk, like one word of that length, is encoded in one piece.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -164,7 +186,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
     # a huge text is one row a chunk; its own hash and number tell it from others with the same doc_id
     todo = rows.where(size > chunk).withColumn("mark", F.monotonically_increasing_id()).select("doc_id", "n_bytes", "mark", "text")
     todo = save(todo, "huge-texts")
-    out = [short]
+    out, guard = [short], Encoder(vocabulary).guard
     while todo.take(1):
         step, back = chunk, overlap
 
@@ -193,7 +215,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
         def join(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("start")
             bad = (pdf.every < 0).any()
-            n = None if bad else splice([(a, b, np.asarray(p), np.asarray(u), e) for a, b, p, u, e in zip(pdf.start, pdf.end, pdf["at"], pdf.upto, pdf.every, strict=True)])
+            n = None if bad else splice([(a, b, np.asarray(p), np.asarray(u), e) for a, b, p, u, e in zip(pdf.start, pdf.end, pdf["at"], pdf.upto, pdf.every, strict=True)], guard)
             one = pdf.iloc[:1]
             return pd.DataFrame({"doc_id": one.doc_id.astype("Int64"), "n_bytes": one.n_bytes, "mark": one.mark, "n_tokens": pd.array([n], "Int64")})
 

@@ -441,19 +441,36 @@ def test_token_counts_equal_the_library(spark, small, odd):
     assert tokens.token_counts(d.limit(0), VOCABULARY).count() == 0
 
 
+@pytest.mark.parametrize("alphabet", ["абвгд еёж, ", "αβγ δέ. ", "汉字，文 本。", "🙂👍🏽 ok ", "नमस्ते दुनिया ", "ab <|endoftext|> c"])
+def test_huge_texts_of_all_scripts_are_spliced(alphabet):
+    """At the first overlap, without the whole text."""
+    e = tokens.Encoder(VOCABULARY)
+    r = random.Random(len(alphabet))
+    parts = ["<|endoftext|>", "ab ", "c "] if "<" in alphabet else list(alphabet)
+    text = "".join(r.choice(parts) for _ in range(60_000))
+    got = []
+    for a, b in tokens.chunks_of(len(text), tokens.CHUNK, tokens.OVERLAP):
+        at, upto = tokens.boundaries(e, text[a:b])
+        assert at[-1] == b - a
+        near = (at <= tokens.OVERLAP + 1) | (at >= b - a - tokens.OVERLAP)
+        got.append((a, b, at[near] + a, upto[near], int(upto[-1])))
+    assert len(got) > 2 and tokens.splice(got, e.guard) == len(e.whole(text)) // 4
+
+
 def test_splicing_is_exact_or_refused():
     e = tokens.Encoder(VOCABULARY)
     r = random.Random(7)
     refused = 0
     for _ in range(400):
-        text = "".join(r.choice("ab Zé1² \t\n\r\x0b\x85\xa0'_-.s tre ll") for _ in range(r.randrange(40, 400)))
+        some = [*"ab Zé1² \t\n\r\x0b\x85\xa0'_-.s tre ll", *(["<|endoftext|>", "<|endof", "汉", "ж"] if r.random() < 0.3 else [])]
+        text = "".join(r.choice(some) for _ in range(r.randrange(40, 400)))
         for step, back in ((50, 30), (37, 20)):
             parts = []
             for a, b in tokens.chunks_of(len(text), step, back):
                 at, upto = tokens.boundaries(e, text[a:b])
                 near = (at <= back + 1) | (at >= b - a - back)
                 parts.append((a, b, at[near] + a, upto[near], int(upto[-1]) if len(upto) else 0))
-            n = tokens.splice(parts)
+            n = tokens.splice(parts, e.guard)
             refused += n is None
             assert n is None or n == len(e.whole(text)) // 4
     assert refused < 200
