@@ -35,8 +35,12 @@ class Settings:
     percent: int = 90
     #: Sizes of a band, the largest over the smallest.
     ratio: float = 1.5
-    #: Empty slices that the number of slices makes up for.
+    #: Slices without telling shingles that the number of slices makes up for: so many, and one more for so many differences.
     spare: int = 2
+    spare_each: int = 8
+    #: Shingles that `frequent` of about `sample` documents have tell little. Any choice of them is exact.
+    sample: int = 10_000
+    frequent: int = 4
     #: Documents and bytes of sets of a region that one task splits alone; pivots of a split; documents that are compared at once.
     region: int = 800
     region_bytes: int = 32 << 20
@@ -46,6 +50,13 @@ class Settings:
     depth: int = 6
     seed: int = 1
 
+    def pays(self, squares: float, m: int) -> bool:
+        """Whether cells are worth a split of m documents: the sum of their squared sizes is well below m squared.
+
+        Else the windows hold nearly everything, pivots don't tell the documents apart, and these are compared as they are.
+        """
+        return squares < 0.7 * m * m
+
 
 def linked(common: int, a: int, b: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
@@ -65,37 +76,67 @@ def start_of(b: int, s: Settings) -> int:
     return int(np.ceil(s.ratio**b))
 
 
-def signatures(h: np.ndarray, s: Settings) -> np.ndarray:
+def signatures(h: np.ndarray, s: Settings, frequent: np.ndarray | None = None) -> np.ndarray:
     """The slices of a set: linked, unequal sets share one at least.
 
     Sets of sizes m <= n that are linked have a union of at most 100 m / percent, so at most d = m (100 - percent) / percent
-    differences. A band's number of slices is over d for its largest m, and by `spare` more; if at most `spare` slices are
-    empty in both, one that isn't must agree. A set with more empty slices also gives the d + 1 first of its shingles in the
-    order of their hashes: the prefixes of linked sets meet. The larger set looks up the bands of all sizes that m may have.
+    differences. A band's number of slices is over d for its largest m, and by `spare` more, so that spare + 1 slices agree.
+    Slices that are empty or hold frequent shingles only (sorted hashes; passages that very many texts share) are left out if
+    there are no more than spare of them: then one that agrees is given by both sets. A set with more of them gives all slices
+    that aren't empty; with too many empty ones also the d + 1 first of its shingles in the order of their hashes, since the
+    prefixes of linked sets meet. The larger set looks up the bands of all sizes that m may have.
     """
     n = len(h)
     out: list[np.ndarray] = []
-    if n:
-        for b in range(band_of(-(-n * s.percent // 100), s), band_of(n, s) + 1):
-            d = (start_of(b + 1, s) - 1) * (100 - s.percent) // s.percent
-            if d == 0:
-                continue
-            slices = d + 1 + s.spare
-            at = (mix(h + np.uint64(1000003 * (b + 1))) % np.uint64(slices)).astype(np.int64)
-            order = np.argsort(at, kind="stable")
-            starts = np.flatnonzero(np.diff(at[order], prepend=-1))
-            which = at[order][starts].astype(np.uint64)
-            sums = np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))[order], starts)
-            out.append(mix(sums + mix(which * np.uint64(4096) + np.uint64(b))))
-            if slices - len(starts) > s.spare:
-                prefix = np.sort(mix(h + np.uint64(7)))[: d + 1]
-                out.append(mix(prefix ^ mix(np.uint64(1 << 40) + np.array([b], np.uint64))))
+    if not n:
+        return np.empty(0, np.uint64)
+    telling = np.ones(n, np.int64)
+    if frequent is not None and len(frequent):
+        telling = (frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] != h).astype(np.int64)
+    for b in range(band_of(-(-n * s.percent // 100), s), band_of(n, s) + 1):
+        d = (start_of(b + 1, s) - 1) * (100 - s.percent) // s.percent
+        if d == 0:
+            continue
+        spare = s.spare + d // s.spare_each
+        slices = d + 1 + spare
+        at = (mix(h + np.uint64(1000003 * (b + 1))) % np.uint64(slices)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.diff(at[order], prepend=-1))
+        which = at[order][starts].astype(np.uint64)
+        sums = mix(np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))[order], starts) + mix(which * np.uint64(4096) + np.uint64(b)))
+        tells = np.add.reduceat(telling[order], starts) > 0
+        if slices - int(tells.sum()) <= spare:
+            out.append(sums[tells])
+            continue
+        out.append(sums)
+        if slices - len(starts) > spare:
+            prefix = np.sort(mix(h + np.uint64(7)))[: d + 1]
+            out.append(mix(prefix ^ mix(np.uint64(1 << 40) + np.array([b], np.uint64))))
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
+def frequent_shingles(docs: DataFrame, s: Settings) -> np.ndarray:
+    """The sorted hashes of the shingles that `frequent` of a sample of about s.sample documents have.
+
+    The sample serves the choice of slices alone, and its bound is that of the result: links are exact without it.
+    """
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL")
+    share = min(1.0, s.sample / max(1, rows.count()))
+    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            sets = [shingle_set(t, s.k).view(np.int64) for t in x.text]
+            yield pd.DataFrame({"h": np.concatenate(sets) if sets else np.empty(0, np.int64)})
+
+    found = rows.select("text").mapInPandas(shingles, "h long").groupBy("h").count().where(F.col("count") >= s.frequent).select("h")
+    return np.sort(np.fromiter((r.h for r in found.collect()), np.int64).view(np.uint64))
+
+
 def profiles(docs: DataFrame, s: Settings, sliced: bool) -> DataFrame:
     """(doc_id, n, a, b): the set's size and 128 bits that name the set; and its slices, if sliced."""
     small_batches(docs.sparkSession)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, s)) if sliced else None
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -105,7 +146,7 @@ def profiles(docs: DataFrame, s: Settings, sliced: bool) -> DataFrame:
                 "a": np.array([mix(h).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
                 "b": np.array([mix(h ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
             }
-            yield pd.DataFrame(out | ({"signatures": [signatures(h, s).view(np.int64) for h in sets]} if sliced else {}))
+            yield pd.DataFrame(out | ({"signatures": [signatures(h, s, frequent.value).view(np.int64) for h in sets]} if sliced else {}))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(profile, "doc_id long, n long, a long, b long" + ", signatures array<long>" * sliced)
 
@@ -191,12 +232,11 @@ class Region:
         window = d <= d.min(1)[:, None] + two_radii(self.s)
         self.cells += len(pivots)
         self.copies += int(window.sum()) - len(part)
+        if not self.s.pays(float((window.sum(0).astype(np.float64) ** 2).sum()), len(part)):
+            self.compare(part)
+            return
         for j in range(len(pivots)):
-            cell = part[window[:, j]]
-            if 10 * len(cell) > 9 * len(part):  # every window holds nearly all of them: no pivot tells these apart
-                self.compare(cell)
-            else:
-                self.split(cell)
+            self.split(part[window[:, j]])
 
     def far_apart(self, part: np.ndarray) -> tuple[list[int], np.ndarray]:
         """Pivots, each the furthest document from those before, and all distances to them. Linked documents are joined."""
@@ -286,9 +326,10 @@ def region_links(members: DataFrame, s: Settings) -> DataFrame:
             break
         cells, near = voronoi(rest, s, depth)
         found.append(near)
-        # a cell no smaller than most of its region goes to the blocks at once
-        grown = cells.groupBy("region", "was").agg(F.count("*").alias("m2"), F.max("m").alias("m")).where("m2 > 0.8 * m")
-        grown = save(grown.select("was").distinct(), "join-stuck")
+        # a region whose cells aren't worth the split goes to the blocks at once
+        grown = cells.groupBy("region", "was").agg(F.count("*").alias("c"), F.max("m").alias("m"))
+        grown = grown.groupBy("was").agg(F.sum(F.col("c").cast("double") * F.col("c")).alias("squares"), F.max("m").alias("m"))
+        grown = save(grown.where(~s.pays(F.col("squares"), F.col("m").cast("double"))).select("was"), "join-stuck")
         if grown.take(1):
             stuck = cells.join(broadcast_if_small(grown), "was", "left_semi").select(F.col("was").alias("region"), "id", "set", "parts", "ball")
             found.append(block_links(stuck.dropDuplicates(["region", "id", "set"]), s))

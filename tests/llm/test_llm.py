@@ -385,16 +385,24 @@ def test_one_of_each_group(spark, odd):
     assert jaccard.jaccard_components(odd.limit(0)).count() == 0
 
 
-def test_linked_sets_share_a_slice():
+@pytest.mark.parametrize("s", [jaccard.Settings(), jaccard.Settings(k=5, percent=80)])
+def test_linked_sets_share_a_slice(s):
+    """Whatever shingles count as frequent."""
     r = np.random.default_rng(3)
-    s = jaccard.Settings()
-    for _ in range(1500):
-        n = int(r.integers(1, 120))
-        x = r.integers(0, 1 << 62, n).astype(np.uint64)
-        y = np.concatenate([x[int(r.integers(0, max(1, n // 12 + 1))) :], r.integers(0, 1 << 62, int(r.integers(0, max(1, n // 12 + 1)))).astype(np.uint64)])
+    passage = r.integers(0, 1 << 62, 60).astype(np.uint64)
+    few = []
+    for i in range(2500):
+        n = int(r.integers(1, 160))
+        x = np.concatenate([r.integers(0, 1 << 62, n).astype(np.uint64), passage[: int(r.integers(0, 60))]])
+        edits = max(1, len(x) * (100 - s.percent) // 100 + 1)
+        y = np.concatenate([x[int(r.integers(0, edits)) :], r.integers(0, 1 << 62, int(r.integers(0, edits))).astype(np.uint64)])
         a, b = np.unique(x), np.unique(y)
         if len(b) and not np.array_equal(a, b) and jaccard.linked(jaccard.overlap(a, b), len(a), len(b), s.percent):
-            assert np.intersect1d(jaccard.signatures(a, s), jaccard.signatures(b, s)).size
+            for frequent in (None, np.sort(passage), np.unique(np.concatenate([passage, a[:: 1 + i % 5]])), a):
+                p, q = jaccard.signatures(a, s, frequent), jaccard.signatures(b, s, frequent)
+                few.append(len(p))
+                assert np.intersect1d(p, q).size
+    assert len(few) > 1000
 
 
 def test_block_links_find_every_component(spark):
