@@ -5,16 +5,19 @@ part is the record itself (segment 1), the others are continuation records that
 states the total length. Reading parses the records, brings continuations together by origin, orders them by segment number,
 verifies the lengths and removes the chunk framing. Records whose payload repeats another's are revisits without a payload.
 
-Archives are written by Spark's text writer, whose line separator is the end of a record, and read by its text reader, whose
-line separator is the version line that starts one. So neither holds a whole file in memory. The writer frames
-chunks so that no block contains that separator.
+Archives are written by Spark's text writer as one gzip member a record; its line separator is an empty gzip member, so that a
+file is a sequence of members that any WARC reader takes, and Spark's text reader, with the same separator, hands a task one
+record at a time. Other archives, plain or gzip, are read by the text reader cut at every "WARC/"; the pieces of a file come
+in order, and are put together again as far as each record's Content-Length says. So neither holds a whole file in memory.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +27,10 @@ from gablewise.llm.common import broadcast_if_small, save, scratch, small_batche
 
 VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
-#: What the text reader splits at. No part of it begins it anew, so a partial match cannot hide a whole one.
-SEPARATOR = VERSION
+#: What every version line starts with, and what one goes on with.
+MARK, FIRST_LINE = b"WARC/", re.compile(rb"\d+\.\d+\r\n")
+#: A gzip member of nothing.
+EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff") + b"\x03" + bytes(9)
 CHUNK = 32_768
 #: Longest block of one record: common pages are longer, so that segments are the rule.
 SEGMENT = 2_048
@@ -37,15 +42,17 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def chunked(payload: bytes, size: int = CHUNK) -> bytes:
-    """HTTP/1.1 chunked framing; a chunk also ends inside each record separator, which the framed bytes then lack."""
+    """HTTP/1.1 chunked framing."""
     out = []
-    for run in payload.replace(SEPARATOR, SEPARATOR[:5] + b"\0cut\0" + SEPARATOR[5:]).split(b"\0cut\0") if SEPARATOR in payload else [payload]:
-        for i in range(0, len(run), size):
-            part = run[i : i + size]
-            out += [b"%x\r\n" % len(part), part, b"\r\n"]
+    for i in range(0, len(payload), size):
+        part = payload[i : i + size]
+        out += [b"%x\r\n" % len(part), part, b"\r\n"]
     return b"".join([*out, b"0\r\n\r\n"])
 
 
+SIZE = re.compile(rb"[0-9A-Fa-f]{1,15}")
+
+
 def dechunked(body: bytes) -> bytes | None:
     """The payload of a chunked body (extensions and trailers are skipped); None if the framing is broken."""
     out, at = [], 0
@@ -53,15 +60,14 @@ def dechunked(body: bytes) -> bytes | None:
         end = body.find(b"\r\n", at)
         if end < 0:
             return None
-        try:
-            n = int(body[at:end].split(b";")[0].strip(), 16)
-        except ValueError:
+        n = int(m[0], 16) if (m := SIZE.fullmatch(body[at:end].split(b";")[0].strip())) else -1
+        if n < 0:
             return None
         if n == 0:
             return b"".join(out)
         part = body[end + 2 : end + 2 + n]
         at = end + 2 + n + 2
-        if n < 0 or len(part) < n or body[at - 2 : at] != b"\r\n":
+        if len(part) < n or body[at - 2 : at] != b"\r\n":
             return None
         out.append(part)
 
@@ -80,6 +86,12 @@ def record(kind: str, record_id: str, block: bytes, **headers: str) -> bytes:
     return VERSION + b"".join(f"{k.replace('_', '-')}: {v}\r\n".encode("utf-8", "replace") for k, v in head.items()) + b"\r\n" + block
 
 
+def member(record: bytes) -> bytes:
+    """A record with the separator after it, as one gzip member."""
+    z = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return z.compress(record + END) + z.flush()
+
+
 def segments(record_id: str, block: bytes, size: int, **headers: str) -> list[bytes]:
     """The records of one response block."""
     if len(block) <= size:
@@ -125,37 +137,133 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT) -> Non
                     out.append(record("revisit", name, http, Content_Type="application/http; msgtype=response", **own))
                 else:
                     out += segments(name, http + chunked(payload), segment_bytes, Content_Type="application/http; msgtype=response", **own)
-            yield pd.DataFrame({"record": out})
+            yield pd.DataFrame({"record": [member(r) for r in out]})
 
     records = rows.mapInPandas(to_records, "record binary").select(F.col("record").cast("string"))
-    records.write.option("lineSep", END.decode()).option("compression", "gzip").text(path)
+    records.write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
 
 
 RECORD = "kind string, record_id string, page_id long, refers_to long, digest string, segment int, origin string, total long, block binary, whole boolean"
+FIELDS = [x.split()[0] for x in RECORD.split(", ")]
+DIGITS = re.compile(r"\d{1,18}")
+
 
+def headers_of(head: bytes) -> dict[str, str]:
+    lines = (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))
+    return {k.strip().lower(): v.strip() for k, _, v in lines}
 
-def parse_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Records from pieces between separators. whole: the block is as long as stated."""
-    names = [x.split()[0] for x in RECORD.split(", ")]
-    for b in batches:
-        out = []
-        for piece in map(bytes, b.value):
-            head, _, block = piece.removeprefix(VERSION).partition(END)
-            h = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))}
-            if "warc-type" not in h:
-                continue
-            n = int(h.get("content-length", "-1"))
-            number = lambda k, h=h: int(h[k]) if k in h else None
-            out.append((h["warc-type"], h.get("warc-record-id"), number("x-page-id"), number("x-refers-to-page"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, number("warc-segment-number"), h.get("warc-segment-origin-id"), number("warc-segment-total-length"), block[:n] if n >= 0 else block, len(block) >= n >= 0))
-        frame = pd.DataFrame(out, columns=names)
-        yield frame.astype({"page_id": "Int64", "refers_to": "Int64", "segment": "Int32", "total": "Int64"})
-
-
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives in path."""
+
+def stated_length(head: bytes) -> int | None:
+    """The Content-Length of a record's headers; None if there is no sound one."""
+    n = headers_of(head).get("content-length", "")
+    return int(n) if DIGITS.fullmatch(n) else None
+
+
+def parse(raw: bytes) -> tuple | None:
+    """The fields of a record from its version line on. whole: its block is as long as stated. None: it's no record.
+
+    A header that should be a number and isn't counts as missing; without a sound Content-Length a record is not whole.
+    """
+    head, found, block = raw.partition(END)
+    h, n = headers_of(head), stated_length(head)
+    if "warc-type" not in h:
+        return None
+    number = lambda k, most: int(h[k]) if DIGITS.fullmatch(h.get(k, "")) and int(h[k]) <= most else None
+    long, short = (1 << 63) - 1, (1 << 31) - 1
+    segment, sound = number("warc-segment-number", short), "warc-segment-number" not in h
+    whole = bool(found) and n is not None and len(block) >= n and (sound or segment is not None)
+    digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    block = block[:n] if n is not None else block.removesuffix(END)
+    return h["warc-type"], h.get("warc-record-id"), number("x-page-id", long), number("x-refers-to-page", long), digest, segment, h.get("warc-segment-origin-id"), number("warc-segment-total-length", long), block, whole
+
+
+def glued(pieces: Iterable[tuple[str, bytes]]) -> Iterator[bytes]:
+    """Records from the pieces (file, bytes) that a file falls into at every MARK, in order.
+
+    A record goes on over further pieces until it has its Content-Length. If no separator follows there, the length was wrong:
+    then the first piece is a record by itself, and the next one begins another.
+    """
+    held: list[bytes] = []
+    file = None
+
+    def need(first: bytes) -> int | None:
+        head, found, _ = first.partition(END)
+        n = stated_length(head) if found else None
+        return None if n is None else len(head) + len(END) + n
+
+    def settle(last: bool) -> Iterator[bytes]:
+        """Gives the records that are complete; with last, all that is held."""
+        nonlocal held
+        while held:
+            raw = MARK.join(held)
+            size = need(raw)
+            if size is None and END not in raw and not last and len(held) == 1:
+                return  # the headers may go on
+            if size is not None and len(raw) < size and not last:
+                return
+            if size is not None and len(raw) >= size and raw[size:].strip(b"\r\n") == b"":
+                yield raw
+                held = []
+            else:
+                yield held[0]
+                held = [x for x in held[1:] if FIRST_LINE.match(x)] if len(held) > 1 else []
+
+    for name, piece in pieces:
+        if name != file:
+            yield from settle(True)
+            held, file = [], name
+        if held and END not in MARK.join(held) and FIRST_LINE.match(piece):
+            yield from settle(True)  # headers that never end
+        if held or FIRST_LINE.match(piece):
+            held.append(piece)
+        yield from settle(False)
+    yield from settle(True)
+
+
+def _records(raws: Iterable[bytes]) -> Iterator[pd.DataFrame]:
+    rows: list[tuple] = []
+    size = 0
+
+    def frame() -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=FIELDS).astype({"page_id": "Int64", "refers_to": "Int64", "segment": "Int32", "total": "Int64"})
+
+    for raw in raws:
+        if (r := parse(raw)) is not None:
+            rows.append(r)
+            size += len(raw)
+        if len(rows) == 1000 or size > 8 << 20:
+            yield frame()
+            rows, size = [], 0
+    yield frame()
+
+
+def inflated(raw: bytes) -> bytes:
+    """A gzip member's content; as much of it as there is if it is broken."""
+    z = zlib.decompressobj(31)
+    try:
+        return z.decompress(raw)
+    except zlib.error:
+        return b""
+
+
+def read_records(spark: SparkSession, path: str, own: bool = False) -> DataFrame:
+    """The records of the archives in path, of any WARC version. own: archives that write_warc has written.
+
+    Other archives should be in gzip or smaller than spark.sql.files.maxPartitionBytes: a plain file that Spark reads in several
+    parts may lose a record that contains "WARC/" at a cut. What is no record is skipped, and a broken one is not whole.
+    """
     small_batches(spark)
-    pieces = spark.read.option("lineSep", SEPARATOR.decode()).text(path).select(F.col("value").cast("binary").alias("value"))
-    return pieces.mapInPandas(parse_records, RECORD)
+    sep = EMPTY_MEMBER if own else MARK
+    text = spark.read.option("lineSep", sep.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    pieces = text.select(F.col("value").cast("binary").alias("value"), F.input_file_name().alias("file"))
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _records(inflated(bytes(v)) for x in batches for v in x.value)
+
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _records(MARK + r for r in glued((f, bytes(v)) for x in batches for f, v in zip(x.file, x.value, strict=True)))
+
+    return pieces.mapInPandas(members if own else others, RECORD)
 
 
 def reassemble(records: DataFrame) -> DataFrame:
@@ -171,14 +279,14 @@ def reassemble(records: DataFrame) -> DataFrame:
         first("kind"), first("page_id"), first("refers_to"), first("digest"), F.max("total").alias("total"), F.min("whole").alias("each"),
         F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("s"),
     )
-    block = F.expr("aggregate(s, X'', (a, x) -> concat(a, x.block))")
+    block = F.expr("unhex(array_join(transform(s, x -> hex(x.block)), ''))")  # in time linear in the length
     numbered = F.expr("s.segment = sequence(1, size(s))")
     g = g.withColumn("block", block)
     whole = F.col("each") & numbered & F.coalesce(F.octet_length("block") == F.col("total"), F.lit(False)) & F.col("kind").isNotNull()
     return one.unionByName(g.select(F.coalesce("kind", F.lit("continuation")).alias("kind"), F.col("origin").alias("record_id"), "page_id", "refers_to", "digest", "block", whole.alias("whole")))
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str, own: bool = False) -> DataFrame:
     """(page_id, record_type, refers_to, payload_digest, payload, valid) of the archives in path.
 
     valid: the record is whole, its framing is sound, and the payload has the stated digest (of a revisit: the record is
@@ -192,18 +300,19 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
             valid = [bool(w and (k == "revisit" or o is not None and o == d)) for k, w, o, d in zip(b.kind, b.whole, own, b.digest, strict=True)]
             yield pd.DataFrame({"page_id": b.page_id.astype("Int64"), "record_type": b.kind, "refers_to": b.refers_to.astype("Int64"), "payload_digest": b.digest, "payload": got, "valid": valid})
 
-    return reassemble(read_records(spark, path)).mapInPandas(decode, "page_id long, record_type string, refers_to long, payload_digest string, payload binary, valid boolean")
+    return reassemble(read_records(spark, path, own)).mapInPandas(decode, "page_id long, record_type string, refers_to long, payload_digest string, payload binary, valid boolean")
 
 
 def archive_round_trip(pages: DataFrame, segment_bytes: int = SEGMENT) -> DataFrame:
     """Writes pages as WARC and reads them back: (page_id, payload_bytes, payload_digest, record_type, refers_to, valid).
 
-    A revisit's payload_bytes are those of the response that it refers to.
+    A revisit's payload_bytes are those of the response that it refers to. Rows, nulls, ties and repeated rows: as write_warc
+    has them. A payload of any length is written whole, in segments; other columns of pages don't matter. No rows give no rows.
     """
     spark = pages.sparkSession
     path = scratch(spark, "warc")
     write_warc(pages, path, segment_bytes)
-    read = read_payloads(spark, path).select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to", "valid")
+    read = read_payloads(spark, path, own=True).select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to", "valid")
     read = save(read, "warc-read")
     revisits = read.where("record_type = 'revisit'").drop("payload_bytes")
     wanted = broadcast_if_small(save(revisits.select(F.col("payload_digest").alias("d")).distinct(), "warc-wanted"))

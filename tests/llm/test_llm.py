@@ -72,13 +72,41 @@ def test_warc_broken_segments(spark):
     assert not got["<b>"][1] and not got["<c>"][1]
 
 
+def test_warc_of_others(spark, tmp_path):
+    """Records by Content-Length: blocks that hold version lines, several versions, gzip members, malformed headers."""
+    import gzip
+
+    http = b"HTTP/1.1 200 OK\r\n\r\n"
+    rec = lambda n, body, version=b"1.0", length=None, more=b"": b"WARC/%s\r\nWARC-Type: response\r\nWARC-Record-ID: <r%d>\r\n%sContent-Length: %s\r\n\r\n%s\r\n\r\n" % (version, n, more, str(len(body)).encode() if length is None else length, body)
+    bodies = [http + b"plain", http + b"a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n", b"", http + b"\r\n\r\nWARC/ and WARC/1.0\r\n", http + bytes(range(256)) * 20]
+    good = [rec(i, b, b"1.1" if i % 2 else b"1.0") for i, b in enumerate(bodies)] + [rec(5, b"x", more=b"WARC-Target-URI: http://h/WARC/1\r\n")]
+    bad = [rec(10, b"abc", length=b"999999"), rec(11, b"abc", length=b"x"), rec(12, b"abc", length=b""), rec(13, b"abc", more=b"WARC-Segment-Number: two\r\n"), rec(14, b"abc", length=b"1"), b"WARC/1.0\r\nWARC-Type: response\r\nno end\r\n", b"WARC/1.0\r\n\r\n\r\n\r\n"]
+    (tmp_path / "a.warc").write_bytes(b"junk" + b"".join(good))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, [good[0], bad[1], good[1], *bad[2:], *good[2:], bad[0]])))
+    for name, many in (("a.warc", 0), ("b.warc.gz", 6)):
+        rows = warc.read_records(spark, str(tmp_path / name)).collect()
+        got = {r.record_id: (bytes(r.block), r.whole) for r in rows if r.record_id and int(r.record_id[2:-1]) < 10}
+        assert got == {f"<r{i}>": (b, True) for i, b in enumerate([*bodies, b"x"])}
+        assert sum(not r.whole or bytes(r.block) == b"a" for r in rows) == many
+    assert warc.reassemble(warc.read_records(spark, str(tmp_path))).count() > 0
+
+
+def test_own_archives_are_gzip_members(spark, tmp_path):
+    import gzip
+
+    df = spark.createDataFrame([(i, "u", "WARC/1.1\r\n" * i) for i in range(20)], "page_id long, url string, html string")
+    warc.write_warc(df, str(tmp_path / "w"), 50)
+    raw = b"".join(gzip.decompress(f.read_bytes()) for f in sorted((tmp_path / "w").glob("part*")))
+    rows = [r for r in map(warc.parse, (b"WARC/" + x for x in warc.glued(("f", x) for x in raw.split(b"WARC/")))) if r]
+    own = warc.read_records(spark, str(tmp_path / "w"), own=True).collect()
+    assert sorted(r[1] for r in rows) == sorted(r.record_id for r in own) and all(r.whole for r in own) and len(own) > 40
+
+
 def test_chunked_framing():
-    for p in (b"", b"x", b"ab" * 50_000, warc.SEPARATOR * 4, b"\r\n0\r\n\r\n"):
-        framed = warc.chunked(p, 1000)
-        assert warc.dechunked(framed) == p
-        assert warc.SEPARATOR not in framed
+    for p in (b"", b"x", b"ab" * 50_000, warc.VERSION * 4, b"\r\n0\r\n\r\n"):
+        assert warc.dechunked(warc.chunked(p, 1000)) == p
     assert warc.dechunked(b"5;x=1\r\nhello\r\n0\r\nTrailer: x\r\n\r\n") == b"hello"
-    for broken in (b"", b"5\r\nhel", b"zz\r\nhello\r\n0\r\n\r\n", b"5\r\nhelloXX0\r\n\r\n"):
+    for broken in (b"", b"5\r\nhel", b"zz\r\nhello\r\n0\r\n\r\n", b"5\r\nhelloXX0\r\n\r\n", b"-5\r\nhello\r\n0\r\n\r\n"):
         assert warc.dechunked(broken) is None
 
 
