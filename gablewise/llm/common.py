@@ -77,6 +77,15 @@ def broadcast_if_small(saved: DataFrame, rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(saved) if saved.limit(rows + 1).count() <= rows else saved
 
 
+def id_columns(c: Column) -> list[Column]:
+    """id and no_id of a column of ids, for Python: pandas would turn ids beside nulls into floats."""
+    return [F.coalesce(c.cast("long"), F.lit(0)).alias("id"), c.isNull().alias("no_id")]
+
+
+def id_again() -> Column:
+    return F.when(~F.col("no_id"), F.col("id"))
+
+
 def packed(df: DataFrame, name: str = "row") -> Column:
     """The whole row as one struct, so that its columns clash with none of the operator's."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(name)

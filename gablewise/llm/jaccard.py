@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, forget, mix, packed, save, shingle_set, small_batches
+from gablewise.llm.common import broadcast_if_small, forget, id_again, id_columns, mix, packed, save, shingle_set, small_batches
 from gablewise.llm.components import connected_components
 
 
@@ -42,7 +42,7 @@ class Settings:
     sample: int = 10_000
     frequent: int = 4
     #: Documents and bytes of sets of a region that one task splits alone; pivots of a split; documents that are compared at once.
-    region: int = 800
+    region: int = 250
     region_bytes: int = 32 << 20
     pivots: int = 8
     leaf: int = 2
@@ -142,13 +142,14 @@ def profiles(docs: DataFrame, s: Settings, sliced: bool) -> DataFrame:
         for x in batches:
             sets = [shingle_set(t, s.k) for t in x.text]
             out = {
-                "doc_id": x.doc_id.astype("Int64"), "n": [len(h) for h in sets],
+                "id": x.id, "no_id": x.no_id, "n": [len(h) for h in sets],
                 "a": np.array([mix(h).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
                 "b": np.array([mix(h ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
             }
             yield pd.DataFrame(out | ({"signatures": [signatures(h, s, frequent.value).view(np.int64) for h in sets]} if sliced else {}))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(profile, "doc_id long, n long, a long, b long" + ", signatures array<long>" * sliced)
+    found = docs.select(*id_columns(F.col("doc_id")), "text").mapInPandas(profile, "id long, no_id boolean, n long, a long, b long" + ", signatures array<long>" * sliced)
+    return found.select(id_again().alias("doc_id"), *found.columns[2:])
 
 
 class Unions:

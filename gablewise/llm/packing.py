@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, packed, save, small_batches
+from gablewise.llm.common import broadcast_if_small, id_again, id_columns, packed, save, small_batches
 from gablewise.llm.tokens import cached_encoder
 
 CAPACITY = 1024
@@ -92,16 +92,17 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
         encode = cached_encoder(vocabulary)
         for x in batches:
             out = []
-            for doc, text in zip(x.doc_id.astype("Int64"), x.text, strict=True):
+            for doc, none, text in zip(x.id, x.no_id, x.text, strict=True):
                 ids = encode(text or "") + end
                 n = len(ids) // 4
                 ends = list(range(n % capacity or capacity, n + 1, capacity))
                 for k, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
-                    out.append((doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+                    out.append((doc, none, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
+            yield pd.DataFrame(out, columns=["id", "no_id", "piece", "start", "length", "ids_crc32"])
         encode.known.clear()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(*id_columns(F.col("doc_id")), "text").mapInPandas(cut, "id long, no_id boolean, piece int, start long, length long, ids_crc32 long")
+    return rows.select(id_again().alias("doc_id"), "piece", "start", "length", "ids_crc32")
 
 
 def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:

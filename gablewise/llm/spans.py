@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import mix, packed, run_hashes, small_batches
+from gablewise.llm.common import id_columns, mix, packed, run_hashes, small_batches
 
 SPAN = 3
 MIN_WORDS = 10
 STOP = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
-FOUND = "a long, b int, doc_id long, mark long, at int, n int, sure boolean"
+FOUND = "a long, b int, id long, no_id boolean, mark long, at int, n int, sure boolean"
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -78,8 +78,7 @@ def mark_later(x: pd.DataFrame) -> pd.DataFrame:
     """
     if not len(x):
         return x.assign(sure=pd.Series(dtype=bool))
-    without, doc = x.doc_id.isna().to_numpy(), x.doc_id.fillna(0).to_numpy(np.int64)
-    a, b, place = x.a.to_numpy(), x.b.to_numpy(), np.stack([without.astype(np.int64), doc, x.mark.to_numpy(), x["at"].to_numpy(np.int64)])
+    a, b, place = x.a.to_numpy(), x.b.to_numpy(), np.stack([x.no_id.to_numpy(np.int64), x.id.to_numpy(), x.mark.to_numpy(), x["at"].to_numpy(np.int64)])
     order = np.lexsort((*place[::-1], b, a))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
@@ -91,7 +90,7 @@ def mark_later(x: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, mark, positions): for rows with spans that stood before, these as (at, n). mark is a hash of the text.
+    """(id, no_id, mark, positions): for rows with spans that stood before, these as (at, n). mark is a hash of the text.
 
     The first of a span is that with the smallest doc_id, then hash of its text, then position; null doc_ids come last. Rows
     alike in doc_id and text count as one document. The spans are shuffled once, by their hash, and ranked where they land.
@@ -106,15 +105,15 @@ def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_W
             cat = lambda i, kind, got=got: np.concatenate([g[i] for g in got] or [[]]).astype(kind)
             of = np.repeat(np.arange(len(got)), sizes)
             yield mark_later(pd.DataFrame({
-                "a": cat(2, np.int64), "b": cat(3, np.int32), "doc_id": x.doc_id.astype("Int64").take(of).array,
+                "a": cat(2, np.int64), "b": cat(3, np.int32), "id": x.id.to_numpy(np.int64)[of], "no_id": x.no_id.to_numpy(bool)[of],
                 "mark": x.mark.to_numpy(np.int64)[of], "at": cat(0, np.int32), "n": cat(1, np.int32),
             }))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").where("text IS NOT NULL")
+    rows = docs.select(*id_columns(F.col("doc_id")), F.xxhash64("text").alias("mark"), "text").where("text IS NOT NULL")
     found = rows.mapInPandas(spans, FOUND)
-    place = W.partitionBy("a", "b").orderBy(F.col("doc_id").asc_nulls_last(), "mark", "at")
+    place = W.partitionBy("a", "b").orderBy("no_id", "id", "mark", "at")
     later = found.withColumn("rank", F.rank().over(place)).where("sure OR rank > 1")
-    return later.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("at", "n")).alias("positions"))
+    return later.groupBy("id", "no_id", "mark").agg(F.collect_set(F.struct("at", "n")).alias("positions"))
 
 
 def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -126,10 +125,8 @@ def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_
     Rows and positions meet by shuffle at every size; each text is in it once.
     """
     gone = repeated_positions(docs.select("doc_id", "text"), span, min_words)
-    key = lambda c: [F.coalesce(c, F.lit(0)).alias("k1"), c.isNull().alias("k2")]
-    gone = gone.select(*key(F.col("doc_id")), F.col("mark").alias("k3"), "positions").hint("merge")
-    rows = docs.select(packed(docs), *key(F.col("doc_id").cast("long")), F.xxhash64("text").alias("k3"))
-    rows = rows.join(gone, ["k1", "k2", "k3"], "left").select("row", "positions")
+    rows = docs.select(packed(docs), *id_columns(F.col("doc_id")), F.xxhash64("text").alias("mark"))
+    rows = rows.join(gone.hint("merge"), ["id", "no_id", "mark"], "left").select("row", "positions")
 
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts, starts, numbers in batches:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import save, small_batches
+from gablewise.llm.common import id_again, id_columns, save, small_batches
 
 OVER = 512
 #: Characters of a chunk, and of the overlap of two at first. Texts of at most one chunk are encoded at once.
@@ -171,20 +171,21 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(*id_columns(F.col("doc_id")), F.coalesce("text", F.lit("")).alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = cached_encoder(vocabulary)
         for x in batches:
-            yield pd.DataFrame({"doc_id": x.doc_id.astype("Int64"), "n_bytes": x.n_bytes, "n_tokens": [len(encoder(t)) // 4 for t in x.text]})
+            x["n_tokens"] = [len(encoder(t)) // 4 for t in x.pop("text")]
+            yield x
         encoder.known.clear()
 
-    counted = "doc_id long, n_bytes long, n_tokens long"
-    rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
+    counted = "id long, no_id boolean, n_bytes long, n_tokens long"
+    rows = rows.select("id", "no_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
     size = F.length("text")
     short = rows.where(size <= chunk).mapInPandas(count, counted)
     # a huge text is one row a chunk; its own hash and number tell it from others with the same doc_id
-    todo = rows.where(size > chunk).withColumn("mark", F.monotonically_increasing_id()).select("doc_id", "n_bytes", "mark", "text")
+    todo = rows.where(size > chunk).withColumn("mark", F.monotonically_increasing_id()).select("id", "no_id", "n_bytes", "mark", "text")
     todo = save(todo, "huge-texts")
     out, guard = [short], Encoder(vocabulary).guard
     while todo.take(1):
@@ -192,9 +193,9 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
 
         def to_chunks(batches: Iterator[pd.DataFrame], step: int = step, back: int = back) -> Iterator[pd.DataFrame]:
             for x in batches:
-                for doc, n, mark, text in zip(x.doc_id.astype("Int64"), x.n_bytes, x.mark, x.text, strict=True):
+                for doc, none, n, mark, text in x.itertuples(index=False):
                     spans = chunks_of(len(text), step, back)
-                    yield pd.DataFrame({"doc_id": pd.array([doc] * len(spans), "Int64"), "n_bytes": n, "mark": mark, "start": [a for a, _ in spans], "end": [b for _, b in spans], "text": [text[a:b] for a, b in spans]})
+                    yield pd.DataFrame({"id": doc, "no_id": none, "n_bytes": n, "mark": mark, "start": [a for a, _ in spans], "end": [b for _, b in spans], "text": [text[a:b] for a, b in spans]})
 
         def encode(batches: Iterator[pd.DataFrame], step: int = step, back: int = back) -> Iterator[pd.DataFrame]:
             encoder = cached_encoder(vocabulary)
@@ -209,7 +210,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
                     near = (at <= back + 1) | (at >= b - a - back)
                     got.append((at[near] + a, upto[near], int(upto[-1]) if len(upto) else 0))
                 x["at"], x["upto"], x["every"] = zip(*got, strict=True) if got else ([], [], [])
-                yield x.drop(columns="text").astype({"doc_id": "Int64"})
+                yield x.drop(columns="text")
             encoder.known.clear()
 
         def join(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -217,18 +218,18 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
             bad = (pdf.every < 0).any()
             n = None if bad else splice([(a, b, np.asarray(p), np.asarray(u), e) for a, b, p, u, e in zip(pdf.start, pdf.end, pdf["at"], pdf.upto, pdf.every, strict=True)], guard)
             one = pdf.iloc[:1]
-            return pd.DataFrame({"doc_id": one.doc_id.astype("Int64"), "n_bytes": one.n_bytes, "mark": one.mark, "n_tokens": pd.array([n], "Int64")})
+            return one[["id", "no_id", "n_bytes", "mark"]].assign(n_tokens=pd.array([n], "Int64"))
 
-        spread = todo.mapInPandas(to_chunks, "doc_id long, n_bytes long, mark long, start long, end long, text string")
-        encoded = spread.repartition("mark", "start").mapInPandas(encode, "doc_id long, n_bytes long, mark long, start long, end long, at array<long>, upto array<long>, every long")
-        joined = save(encoded.groupBy("mark").applyInPandas(join, "doc_id long, n_bytes long, mark long, n_tokens long"), "huge-counts")
-        out.append(joined.where("n_tokens IS NOT NULL").select("doc_id", "n_bytes", "n_tokens"))
-        todo = save(todo.join(joined.where("n_tokens IS NULL").select("mark"), "mark").select("doc_id", "n_bytes", "mark", "text"), "huge-texts")
+        spread = todo.mapInPandas(to_chunks, "id long, no_id boolean, n_bytes long, mark long, start long, end long, text string")
+        encoded = spread.repartition("mark", "start").mapInPandas(encode, "id long, no_id boolean, n_bytes long, mark long, start long, end long, at array<long>, upto array<long>, every long")
+        joined = save(encoded.groupBy("mark").applyInPandas(join, "id long, no_id boolean, n_bytes long, mark long, n_tokens long"), "huge-counts")
+        out.append(joined.where("n_tokens IS NOT NULL").select("id", "no_id", "n_bytes", "n_tokens"))
+        todo = save(todo.join(joined.where("n_tokens IS NULL").select("mark"), "mark").select("id", "no_id", "n_bytes", "mark", "text"), "huge-texts")
         if overlap >= chunk:  # the chunks were mostly overlap: the library takes these texts whole
-            out.append(todo.select("doc_id", "n_bytes", "text").mapInPandas(count, counted))
+            out.append(todo.select("id", "no_id", "n_bytes", "text").mapInPandas(count, counted))
             break
         overlap *= 16
     result = out[0]
     for x in out[1:]:
         result = result.unionByName(x)
-    return result.withColumn("over_limit", F.col("n_tokens") > over)
+    return result.select(id_again().alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > over).alias("over_limit"))

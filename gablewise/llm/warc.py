@@ -119,21 +119,21 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT) -> Non
     twice = broadcast_if_small(save(twice.select("sha", "first_id"), "warc-repeats"))
     rows = rows.join(twice.withColumn("repeats", F.lit(True)), "sha", "left")
     visit = F.col("repeats").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    rows = rows.select("page_id", "url", "payload", F.expr("uuid()").alias("uuid"), F.when(visit, F.col("first_id")).alias("first_id"), visit.alias("visit"))
+    rows = rows.select(F.col("page_id").cast("string").alias("page_id"), "url", "payload", F.expr("uuid()").alias("uuid"), F.when(visit, F.col("first_id")).cast("string").alias("first_id"), visit.alias("visit"))
 
     def to_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out: list[bytes] = []
-            for page, url, payload, uid, first, again in zip(b.page_id.astype("Int64"), b.url, b.payload, b.uuid, b.first_id.astype("Int64"), b.visit, strict=True):
+            for page, url, payload, uid, first, again in zip(b.page_id, b.url, b.payload, b.uuid, b.first_id, b.visit, strict=True):
                 payload, name = bytes(payload), f"urn:uuid:{uid}"
                 own = {"WARC_Payload_Digest": f"sha1:{base32_sha1(payload)}"}
                 if url is not None:
                     own["WARC_Target_URI"] = " ".join(url.split())
-                if page is not pd.NA:
-                    own["X_Page_Id"] = str(page)
+                if page is not None:
+                    own["X_Page_Id"] = page
                 http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked" + END
                 if again:
-                    own |= {"WARC_Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X_Refers_To_Page": str(first)}
+                    own |= {"WARC_Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X_Refers_To_Page": first}
                     out.append(record("revisit", name, http, Content_Type="application/http; msgtype=response", **own))
                 else:
                     out += segments(name, http + chunked(payload), segment_bytes, Content_Type="application/http; msgtype=response", **own)
@@ -225,7 +225,9 @@ def _records(raws: Iterable[bytes]) -> Iterator[pd.DataFrame]:
     size = 0
 
     def frame() -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=FIELDS).astype({"page_id": "Int64", "refers_to": "Int64", "segment": "Int32", "total": "Int64"})
+        whole = {"page_id": "Int64", "refers_to": "Int64", "segment": "Int32", "total": "Int64"}
+        columns = zip(*rows, strict=True) if rows else [()] * len(FIELDS)
+        return pd.DataFrame({k: pd.array(list(v), whole.get(k, object)) for k, v in zip(FIELDS, columns, strict=True)}).astype({"whole": bool})
 
     for raw in raws:
         if (r := parse(raw)) is not None:
@@ -293,14 +295,16 @@ def read_payloads(spark: SparkSession, path: str, own: bool = False) -> DataFram
     whole). The payload of a revisit is null.
     """
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            got = [payload_of(bytes(x)) if k != "revisit" else None for k, x in zip(b.kind, b.block, strict=True)]
+    def decode(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for kind, block, digest, whole in batches:
+            got = [payload_of(bytes(x)) if k != "revisit" else None for k, x in zip(kind, block, strict=True)]
             own = [base32_sha1(x) if x is not None else None for x in got]
-            valid = [bool(w and (k == "revisit" or o is not None and o == d)) for k, w, o, d in zip(b.kind, b.whole, own, b.digest, strict=True)]
-            yield pd.DataFrame({"page_id": b.page_id.astype("Int64"), "record_type": b.kind, "refers_to": b.refers_to.astype("Int64"), "payload_digest": b.digest, "payload": got, "valid": valid})
+            valid = [bool(w and (k == "revisit" or o is not None and o == d)) for k, w, o, d in zip(kind, whole, own, digest, strict=True)]
+            yield pd.DataFrame({"payload": got, "valid": valid})
 
-    return reassemble(read_records(spark, path, own)).mapInPandas(decode, "page_id long, record_type string, refers_to long, payload_digest string, payload binary, valid boolean")
+    decode = F.pandas_udf(decode, "payload binary, valid boolean")
+    x = reassemble(read_records(spark, path, own)).withColumn("x", decode("kind", F.coalesce("block", F.lit(b"")), "digest", "whole"))
+    return x.select("page_id", F.col("kind").alias("record_type"), "refers_to", F.col("digest").alias("payload_digest"), "x.payload", "x.valid")
 
 
 def archive_round_trip(pages: DataFrame, segment_bytes: int = SEGMENT) -> DataFrame:

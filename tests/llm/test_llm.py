@@ -32,7 +32,8 @@ def prose(r, n, words=400):
 def odd(spark):
     """Odd texts, repeated rows, rows that share an id, and rows without one."""
     d = docs(spark, ODD)
-    extra = [(2, " ", "en", "s2", 1, 5, "k", "r"), (4, "another text of the same id", "en", "s1", 1, 5, "k", "r"), (None, None, None, None, None, None, None, None), (None, "no id at all", None, None, None, None, None, None)]
+    big = (1 << 53) + 1  # an id that floats don't hold
+    extra = [(big, "a text with a large id", None, None, None, None, None, None), (2, " ", "en", "s2", 1, 5, "k", "r"), (4, "another text of the same id", "en", "s1", 1, 5, "k", "r"), (None, None, None, None, None, None, None, None), (None, "no id at all", None, None, None, None, None, None)]
     return d.unionByName(d.where("doc_id = 4")).unionByName(spark.createDataFrame(extra, DOCS))
 
 
@@ -537,6 +538,24 @@ def test_fingerprints_of_neighbours(spark, small, odd):
     assert fingerprints.fingerprint_neighbours(odd.limit(0)).count() == 0
 
 
+def test_neighbours_across_ranges_and_shared_ids(spark, monkeypatch):
+    """Many ranges, more than one block of them, ids that a third of the rows share: as in one sorted list."""
+    monkeypatch.setattr(fingerprints, "WIDE", 4)
+    r = random.Random(4)
+    ids = [r.choice([None, 7, 7, i, i * 1000]) for i in range(400)] + [-(1 << 63) + 1, (1 << 63) - 1]
+    d = spark.createDataFrame([(i, f"text {k} of words {r.random()}", "x") for k, i in enumerate(ids)], "doc_id long, text string, key string")
+    hashed = d.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    rows = sorted(hashed, key=lambda x: (-(x.doc_id if x.doc_id is not None else -(1 << 63)), x.h, x.text))
+    want = sorted(hashlib.sha256(fingerprints.edited(x.text, y.text).encode()).hexdigest() for x, y in zip(rows, rows[1:] + rows[:1]))
+    for parts in (1, 2, 40):
+        got = fingerprints.fingerprint_neighbours(d, parts).collect()
+        assert sorted(x.edited_sha256 for x in got) == want
+    ranges = fingerprints.even_ranges(d.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), F.xxhash64("text").alias("h")), 40)
+    assert len(ranges.splits) == 2
+    dealt = ranges.deal(d.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), F.xxhash64("text").alias("h"))).groupBy("range").count()
+    assert dealt.agg(F.max("count")).first()[0] < 40 and dealt.agg(F.max("range")).first()[0] < ranges.count()
+
+
 def test_likeness_is_unbiased():
     r = random.Random(9)
     miss = []
