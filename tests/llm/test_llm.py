@@ -612,40 +612,64 @@ def test_fullest_is_optimal():
 # ---------------------------------------------------------------------------------------------- 9: top-k
 
 
-def test_top_k_equals_brute_force(spark):
+@pytest.mark.parametrize("block", [8192, 60])
+def test_top_k_equals_brute_force(spark, monkeypatch, block):
+    """One block, and many cells and blocks; repeated ids, rows that take no part, extra columns, components of any size."""
+    monkeypatch.setattr(topk, "DATA_BLOCK", block)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
     r = np.random.default_rng(12)
-    rows = [(i, [float(v) for v in r.normal(size=8) * r.choice([0.1, 1, 3])]) for i in range(900)]
-    rows += [(2000 + i, [0.5] * 8) for i in range(200)] + [(3000, None), (3100, [float("nan")] * 8), (3200, [None] * 8), (3300, []), (None, [1.0] * 8), (4000, [1.0, 2.0]), (4001, [3.0, 4.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    rows = [(i, [float(v) for v in r.normal(size=8) * r.choice([0.1, 1, 3])]) for i in range(400)]
+    rows += [(2000 + i, [0.5] * 8) for i in range(120)] + [(100, [0.25] * 8), (100, [0.25] * 8), (200, [0.5] * 8)]
+    rows += [(3000, None), (3100, [float("nan")] * 8), (3200, [None] * 8), (3300, []), (None, [1.0] * 8), (4000, [1.0, 2.0]), (4001, [3.0, 4.0])]
+    rows += [(5000, [1e9, 1.0, 3.0]), (5001, [1e9 + 1, 1.0, 1.0]), (5002, [1e9, 1.5, 3.0]), (5100, [1e15, 0.0, 0.0])]
+    df = spark.createDataFrame([(*x, 1, 2) for x in rows], "vec_id long, embedding array<double>, row int, cell int")
     got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in topk.exact_top_k(df).collect())
-    fine = [(i, np.floor(np.array(v) * 1024).astype(np.int64)) for i, v in rows if i is not None and v and all(c is not None and np.isfinite(c) for c in v)]
+    fine = [(i, [int(np.floor(c * 1024)) for c in v]) for i, v in rows if i is not None and v and all(c is not None and np.isfinite(c) for c in v)]
     want = []
-    for q, v in fine:
+    for n, (q, v) in enumerate(fine):
         if q % 100 == 0:
-            best = sorted((-int(v @ x), i) for i, x in fine if i != q and len(x) == len(v))[:10]
+            score = lambda x: max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, x))))  # noqa: E731, B023
+            best = sorted((-score(x), i) for m, (i, x) in enumerate(fine) if m != n and len(x) == len(v))[:10]
             want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert got == sorted(want)
     assert topk.exact_top_k(df.limit(0)).count() == 0
 
 
+def test_cover_trees_cover_and_separate():
+    r = np.random.default_rng(14)
+    x = np.repeat(r.normal(size=(12, 5)) * 1000, 50, 0) + r.normal(size=(600, 5)) * np.repeat([1, 30], 300)[:, None]
+    seen, inner = [], 0
+
+    def check(node):
+        nonlocal inner
+        d = topk.distances(x[node.points], node.centre)
+        assert d.max() <= 2.0**node.level and node.radius == pytest.approx(d.max())
+        if not node.children:
+            seen.extend(node.points.tolist())
+            return
+        inner += 1
+        for i, c in enumerate(node.children):
+            assert c.level < node.level and topk.distances(x[c.points], c.centre).max() <= 2.0 ** (node.level - 1)
+            for other in node.children[:i]:
+                assert np.linalg.norm(c.centre - other.centre) > 2.0 ** (node.level - 1)
+            check(c)
+
+    check(topk.cover_tree(x, np.arange(600), 10))
+    assert sorted(seen) == list(range(600)) and inner > 3
+
+
 def test_search_prunes_and_stays_exact(monkeypatch):
     r = np.random.default_rng(13)
     centres = r.normal(size=(40, 16)) * 2000
     x = np.floor(np.repeat(centres, 60, 0) + r.normal(size=(2400, 16)) * 20)
     q = np.floor(np.repeat(centres[:20], 3, 0) + r.normal(size=(60, 16)))
     monkeypatch.setattr(topk, "QUERY_LEAF", 4)
-    seen = []
-
-    class Counting(topk.Search):
-        def compare(self, a, b):
-            seen.append(len(a) * len(b))
-            super().compare(a, b)
-
-    got = Counting(x, np.arange(2400), q, np.arange(5000, 5060), 10)
-    s = q @ x.T
-    for i in range(60):
-        assert got.found[i].tolist() == np.lexsort((np.arange(2400), -s[i]))[:10].tolist()
-    assert sum(seen) < 0.7 * s.size
+    ids, s = np.arange(2400), q @ x.T
+    for floor in (-np.inf, np.sort(s, 1)[:, -10].min()):
+        got = topk.Search(x, ids, ids, q, np.arange(5000, 5060), np.full(60, floor), 10)
+        for i in range(60):
+            assert got.found[i].tolist() == np.lexsort((ids, -s[i]))[:10].tolist()
+        assert got.compared < 0.7 * s.size
 
 
 # ---------------------------------------------------------------------------------------------- 10: URLs
