@@ -14,44 +14,59 @@ from gablewise.model import TRADE_USAGES, VISIBLE
 
 
 
-def view_summary(views: DataFrame, key: str) -> DataFrame:
+def view_summary(views: DataFrame, key: str, named: DataFrame | None = None) -> DataFrame:
     """One row a reading: usable and agreeing views, the reference view's marks, hiding things, boards.
 
-    The reference is the first usable view; those that agree are it and the usable ones that say yes.
+    named: (key, reference_view), the view that a reading names as its reference. That counts if the building is visible in
+    it, else no view agrees; without a name the reference is the first usable view. Those that agree are the reference and the
+    other usable ones that say yes. One aggregation, whose rows are mostly combined before the shuffle.
     """
+    views = views.withColumn("named", F.lit(None).cast("int")) if named is None else views.join(named.withColumnRenamed("reference_view", "named"), key, "left")
     usable = F.col("target_visible").isin(*VISIBLE)
-    first = F.min(F.when(usable, F.struct("view", "between_marks"))).alias("reference")
+    chosen = usable & (F.col("named").isNull() | (F.col("named") == F.col("view")))
+    yes = F.col("same_as_ref") == "yes"
     x = views.groupBy(key).agg(
         F.count("*").alias("n_views"),
         F.count_if(usable).alias("n_usable"),
-        first,
-        F.min(F.when(usable & (F.col("same_as_ref") == "yes"), F.col("view"))).alias("first_yes"),
-        F.count_if(usable & (F.col("same_as_ref") == "yes")).alias("n_yes"),
+        F.min(F.when(chosen, F.struct("view", "between_marks", yes.alias("yes")))).alias("reference"),
+        F.count_if(usable & yes).alias("n_yes"),
         F.array_join(F.array_sort(F.collect_set(F.coalesce("hidden_by", F.lit("?")))), ", ").alias("hidden_by"),
     )
-    # the reference itself may also say yes: it counts once
-    ref_yes = views.where(usable & (F.col("same_as_ref") == "yes")).select(key, F.col("view").alias("ref_view"), F.lit(1).alias("ref_yes"))
-    x = x.withColumn("ref_view", F.col("reference.view")).join(ref_yes, [key, "ref_view"], "left")
-    agree = F.when(F.col("n_usable") > 0, 1 + F.col("n_yes") - F.coalesce("ref_yes", F.lit(0))).otherwise(0)
-    return x.select(key, "n_views", "n_usable", "ref_view", F.col("reference.between_marks").alias("ref_marks"), agree.cast("long").alias("n_agree"), "hidden_by")
+    # a reference that says yes of itself counts once
+    agree = F.when(F.col("reference").isNotNull(), 1 + F.col("n_yes") - F.col("reference.yes").cast("int")).otherwise(0)
+    return x.select(key, "n_views", "n_usable", F.col("reference.view").alias("ref_view"), F.col("reference.between_marks").alias("ref_marks"), agree.cast("long").alias("n_agree"), "hidden_by")
 
 
-def two_view_reason(n_usable: Column, n_agree: Column, ref_marks: Column, aerial: Column, core_ok: Column) -> Column:
-    """Why two views don't prove the building; null if they do."""
+def two_view_reason(r: dict[str, Column], run: str = "") -> Column:
+    """Why two views of a run ("" or "2") don't prove the building; null if they do."""
+    n_usable, n_agree, ref_marks, aerial, both = (r[k + run] for k in ("n_usable", "n_agree", "ref_marks", "aerial", "features_both"))
     return (
         F.when(n_usable < 2, F.lit("only one clear view and no door number read"))
         .when(n_agree < 2, F.lit("no second view clearly shows the same building as the closest view"))
         .when(ref_marks.startswith("no"), F.concat(F.lit("marks in the reference view do not hold exactly one building: "), ref_marks))
-        .when(aerial != "yes", F.lit("views agree but nothing matches the ortho"))
-        .when(~core_ok, F.lit("frontage too narrow for the camera position error; needs a door number"))
+        .when((aerial != "yes") & ~both, F.lit("views agree but nothing matches the ortho"))
+        .when(~r["core_ok"], F.lit("frontage too narrow for the camera position error; needs a door number"))
     )
 
 
+def viewer_placed_verdict(r: dict[str, Column]) -> tuple[Column, Column]:
+    """(verdict, reason) where a person placed the camera: identity rests on them, but the reading must find one building."""
+    none, part, away = r["n_agree"] == 0, r["ref_marks"].startswith("no"), r["moved_away"]
+    why = (
+        F.when(none, "screenshot: the reading could not confirm the building")
+        .when(part, F.concat(F.lit("screenshot shows more than one building or only part of one: "), r["ref_marks"]))
+        .when(away.isNotNull(), F.concat(F.lit("screenshot taken away from the planned spot: "), away))
+        .otherwise("camera placed by the checker at the planned spot; reading confirms one building")
+    )
+    return F.when(none | part | away.isNotNull(), "Unsure").otherwise("Verified"), why
+
+
 def verdict(r: dict[str, Column]) -> tuple[Column, Column]:
     """(verdict, reason) in the order in which the rules bind."""
-    two = two_view_reason(r["n_usable"], r["n_agree"], r["ref_marks"], r["aerial"], r["core_ok"])
+    two, second = two_view_reason(r), two_view_reason(r, "2")
     ok = F.concat(r["n_agree"].cast("string"), F.lit(" views agree and match the ortho"))
     no_answer, once = r["n_runs"] == 0, r["n_runs"] < 2
+    placed = viewer_placed_verdict(r)
     steps = [
         (r["access"] == "not visible", "Not visible", F.lit("no panorama has a line of sight")),
         (r["access"] == "not street-facing", "Not street-facing", F.lit("seen only from a distance, through gaps between other buildings")),
@@ -60,10 +75,11 @@ def verdict(r: dict[str, Column]) -> tuple[Column, Column]:
         (r["n_usable"] == 0, "Not visible", F.concat(F.lit("hidden in every view ("), r["hidden_by"], F.lit(")"))),
         (r["neighbour_hits"] != "", "Unsure", F.concat(F.lit("door number read belongs to a neighbour: "), r["neighbour_hits"])),
         (r["own_hits"] != "", "Verified", F.concat(F.lit("door number read: "), r["own_hits"])),
+        (r["viewer_placed"], *placed),
         (two.isNotNull(), "Unsure", two),
         (once & r["second_required"], "Unsure", F.lit("second LLM run missing")),
         (once, "Verified", F.concat(ok, F.lit(" (LLM asked once)"))),
-        (r["second_reason"].isNotNull(), "Unsure", F.concat(F.lit("the two LLM runs disagree on identity: "), r["second_reason"])),
+        (second.isNotNull(), "Unsure", F.concat(F.lit("the two LLM runs disagree on identity: "), second)),
     ]
     said, why = F.lit("Verified"), F.concat(ok, F.lit(", in both LLM runs"))
     for test, v, reason in reversed(steps):
@@ -74,8 +90,13 @@ def verdict(r: dict[str, Column]) -> tuple[Column, Column]:
 
 def needs_second_opinion(r: dict[str, Column]) -> Column:
     """A second run is asked for if the first would verify the building by its views alone."""
-    two = two_view_reason(r["n_usable"], r["n_agree"], r["ref_marks"], r["aerial"], r["core_ok"])
-    return (r["own_hits"] == "") & (r["neighbour_hits"] == "") & (r["n_usable"] > 0) & two.isNull()
+    return (r["own_hits"] == "") & (r["neighbour_hits"] == "") & (r["n_usable"] > 0) & two_view_reason(r).isNull()
+
+
+def runs_agree(floors: Column, floors2: Column, usage: Column, usage2: Column) -> Column:
+    """Do two runs say the same floors and, in any spelling, the same usage?"""
+    norm = lambda c: norm_usage(F.coalesce(c, F.lit("None")))
+    return floors2.eqNullSafe(floors) & (norm(usage) == norm(usage2))
 
 
 def record_floors(storeys: Column) -> Column:

@@ -13,17 +13,17 @@ from gablewise.model import TRADE_USAGES, VISIBLE, Settings
 from gablewise.operators import rules, selection, sight
 from gablewise.operators.grid import boxes_within, nearest, points_within
 from gablewise.plans import streets as street_plans
-from gablewise.plans.records import KEYS_SQL, main_value
+from gablewise.plans.records import KEY_SQL, KEYS_SQL, cut_sql, main_value
 from gablewise.plans.registry import query
 from gablewise.plans.spatial import cameras, grid_points_all, pairs_sql, sights
 from gablewise.plans.streets import CUTS_SQL
-from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, SUM_SQL, VS_SQL, building_counts, cases, flagged, judged, street_rows
+from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, PLACED, PLACED_WHY, SUM_SQL, VS_SQL, building_counts, cases, columns, flagged, judged, street_rows
 from gablewise.sources import bindings as B
 
 S = Settings()
 
 
-@query(f"{B.with_views('lanes')}, {CUTS_SQL} select stretch_id from si where road_fid = 100001 or lower(road_name) = 'lane 2' or stretch_id in (select min(stretch_id) from si)")
+@query(f"{B.with_views('lanes')}, {CUTS_SQL}, c as (select *, {cut_sql('road_name')} as s from si) select stretch_id from c where road_fid = 100001 or replace({KEY_SQL}, 'dh', 'th') = 'lane2' or stretch_id in (select min(stretch_id) from si)")
 def select_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches that any of three selectors takes: a road, a name in any spelling, an id."""
     s = street_plans.stretches(spark, sf_dir)
@@ -75,21 +75,11 @@ def upper_floors_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("unit_key", ((F.col("n") >= 1) & missing).alias("unseen"))
 
 
-@query(f"""{CASE_SQL} select unit_key, case when n_agree = 0 then 'Unsure' when ref_marks like 'no%' then 'Unsure' when unit_key % 8 = 0 then 'Unsure' else 'Verified' end as verdict,
- case when n_agree = 0 then 'screenshot: the reading could not confirm the building' when ref_marks like 'no%' then concat('screenshot shows more than one building or only part of one: ', ref_marks)
- when unit_key % 8 = 0 then 'screenshot taken away from the planned spot: moved' else 'camera placed by the checker at the planned spot; reading confirms one building' end as reason from y""")
+@query(f"{CASE_SQL} select unit_key, {PLACED} as verdict, {PLACED_WHY} as reason from y")
 def viewer_placed_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts where a person placed the camera: identity rests on them, but the reading must find one building."""
+    """What each reading would prove if a person had placed its camera."""
     x = cases(spark, sf_dir)
-    away = F.when(F.col("unit_key") % 8 == 0, "moved")
-    none, part = F.col("n_agree") == 0, F.col("ref_marks").startswith("no")
-    said = F.when(none | part | away.isNotNull(), "Unsure").otherwise("Verified")
-    why = (
-        F.when(none, "screenshot: the reading could not confirm the building")
-        .when(part, F.concat(F.lit("screenshot shows more than one building or only part of one: "), "ref_marks"))
-        .when(away.isNotNull(), F.concat(F.lit("screenshot taken away from the planned spot: "), away))
-        .otherwise("camera placed by the checker at the planned spot; reading confirms one building")
-    )
+    said, why = rules.viewer_placed_verdict(columns(x))
     return x.select("unit_key", said.alias("verdict"), why.alias("reason"))
 
 

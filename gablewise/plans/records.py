@@ -171,7 +171,13 @@ def units_numbered_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KEY_SQL = """list_reduce(list_prepend('', string_split(s, '')), lambda a, c: case when right(a, 1) = c and a <> '' then a else concat(a, c) end)"""
-CUT_SQL = "coalesce(nullif(regexp_replace(regexp_replace(lower(road), '[^a-z0-9]', '', 'g'), '(street|st|road|rd)([0-9]*)$', '\\2'), ''), regexp_replace(lower(road), '[^a-z0-9]', '', 'g'))"
+def cut_sql(name: str) -> str:
+    """A name in small letters and digits, without the word for a street at its end."""
+    plain = f"regexp_replace(lower({name}), '[^a-z0-9]', '', 'g')"
+    return f"coalesce(nullif(regexp_replace({plain}, '(street|st|road|rd)([0-9]*)$', '\\2'), ''), {plain})"
+
+
+CUT_SQL = cut_sql("road")
 KEYS_SQL = f"k as (select road, ord, replace({KEY_SQL}, 'dh', 'th') as key from (select road, ord, {CUT_SQL} as s from units))"
 
 

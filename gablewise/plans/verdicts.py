@@ -15,45 +15,60 @@ from gablewise.sources import bindings as B
 
 S = Settings()
 USABLE = "target_visible in ('clear', 'partly hidden')"
-SUMMARY_SQL = f"""vs as (select unit_key, count(*) as n_views, count(*) filter ({USABLE}) as n_usable, min(view) filter ({USABLE}) as ref_view,
-  string_agg(distinct coalesce(hidden_by, '?'), ', ' order by coalesce(hidden_by, '?')) as hidden_by from answer_views group by unit_key),
-vm as (select vs.*, r.between_marks as ref_marks, case when n_usable > 0 then 1 + (select count(*) from answer_views o where o.unit_key = vs.unit_key and o.{USABLE} and o.same_as_ref = 'yes' and o.view <> vs.ref_view) else 0 end as n_agree
-  from vs left join answer_views r on r.unit_key = vs.unit_key and r.view = vs.ref_view)"""
 
 
-@query(f"{B.with_views('answer_views')}, {SUMMARY_SQL} select unit_key, n_views, n_usable, ref_view, ref_marks, n_agree, hidden_by from vm")
+def summary_sql(name: str, views: str, named: str = "reference_view") -> str:
+    """The summary of a reading's views, as the table `name`; named: the column of readings that names the reference."""
+    return f"""{name}0 as (select a.*, n.{named} as named from {views} a left join readings n using (unit_key)),
+{name}1 as (select unit_key, count(*) as n_views, count(*) filter ({USABLE}) as n_usable, min(view) filter ({USABLE} and (named is null or named = view)) as ref_view,
+  string_agg(distinct coalesce(hidden_by, '?'), ', ' order by coalesce(hidden_by, '?')) as hidden_by from {name}0 group by unit_key),
+{name} as (select s.*, r.between_marks as ref_marks, case when ref_view is not null then 1 + (select count(*) from {views} o where o.unit_key = s.unit_key and o.{USABLE} and o.same_as_ref = 'yes' and o.view <> s.ref_view) else 0 end as n_agree
+  from {name}1 s left join {views} r on r.unit_key = s.unit_key and r.view = s.ref_view)"""
+
+
+SUMMARY_SQL = summary_sql("vm", "answer_views")
+
+
+@query(f"{B.with_views('answer_views', 'readings')}, {SUMMARY_SQL} select unit_key, n_views, n_usable, ref_view, ref_marks, n_agree, hidden_by from vm")
 def view_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.view_summary(B.answer_views(spark, sf_dir), "unit_key")
+    return rules.view_summary(B.answer_views(spark, sf_dir), "unit_key", B.readings(spark, sf_dir).select("unit_key", "reference_view"))
 
 
-TWO = """case when {0}n_usable < 2 then 'only one clear view and no door number read' when {0}n_agree < 2 then 'no second view clearly shows the same building as the closest view'
- when {0}ref_marks like 'no%' then concat('marks in the reference view do not hold exactly one building: ', {0}ref_marks) when {0}aerial <> 'yes' then 'views agree but nothing matches the ortho'
- when not {0}core_ok then 'frontage too narrow for the camera position error; needs a door number' end"""
+TWO = """case when n_usable{0} < 2 then 'only one clear view and no door number read' when n_agree{0} < 2 then 'no second view clearly shows the same building as the closest view'
+ when ref_marks{0} like 'no%' then concat('marks in the reference view do not hold exactly one building: ', ref_marks{0}) when aerial{0} <> 'yes' and not features_both{0} then 'views agree but nothing matches the ortho'
+ when not core_ok then 'frontage too narrow for the camera position error; needs a door number' end"""
+PLACED = """case when n_agree = 0 then 'Unsure' when ref_marks like 'no%' then 'Unsure' when moved_away is not null then 'Unsure' else 'Verified' end"""
+PLACED_WHY = """case when n_agree = 0 then 'screenshot: the reading could not confirm the building' when ref_marks like 'no%' then concat('screenshot shows more than one building or only part of one: ', ref_marks)
+ when moved_away is not null then concat('screenshot taken away from the planned spot: ', moved_away) else 'camera placed by the checker at the planned spot; reading confirms one building' end"""
 
 #: Doors on record of a unit: those of its lines with an even supplier; its neighbour is the next order with the same customer's number.
 HITS_SQL = f"""own as (select distinct l_orderkey as unit_key, {door_sql("concat(l_linenumber, '-', cast(l_quantity as int))")} as door from lineitem where l_suppkey % 2 = 0),
-rd as (select distinct unit_key, {door_sql('number_read')} as door from answer_views where number_read is not null),
+rd as (select distinct unit_key, {door_sql('number_read')} as door from (select unit_key, number_read from answer_views union all select unit_key, number_read from second_views join readings using (unit_key) where n_runs > 1) where number_read is not null),
 hit as (select rd.unit_key, rd.door, exists (select 1 from own o where o.unit_key = rd.unit_key and o.door = rd.door) as mine, exists (select 1 from own o where o.unit_key = rd.unit_key + 1 and o.door = rd.door) as next from rd),
 hs as (select unit_key, coalesce(string_agg(door, ', ' order by door) filter (mine and not next), '') as own_hits,
  coalesce(string_agg(concat(door, ' is ', unit_key + 1), '; ' order by concat(door, ' is ', unit_key + 1)) filter (next and not mine), '') as neighbour_hits from hit group by unit_key)"""
-CASE_SQL = f"""{B.with_views('answer_views', 'readings')}, {SUMMARY_SQL}, {HITS_SQL},
-x as (select r.*, coalesce(n_usable, 0) as n_usable, coalesce(n_agree, 0) as n_agree, coalesce(ref_marks, '') as ref_marks, coalesce(hidden_by, '') as hidden_by, coalesce(own_hits, '') as own_hits, coalesce(neighbour_hits, '') as neighbour_hits,
-  case when r.unit_key % 6 = 0 then 'views agree but nothing matches the ortho' end as second_reason from readings r left join vm using (unit_key) left join hs using (unit_key)),
-y as (select *, {TWO.format('')} as two, concat(n_agree, ' views agree and match the ortho') as okay from x),
+CASE_SQL = f"""{B.with_views('answer_views', 'second_views', 'readings')}, {SUMMARY_SQL}, {summary_sql("vn", "second_views", "reference_view")}, {HITS_SQL},
+w as (select unit_key, n_usable as n_usable2, n_agree as n_agree2, ref_marks as ref_marks2 from vn),
+x as (select r.*, coalesce(n_usable2, 0) as n_usable2, coalesce(n_agree2, 0) as n_agree2, coalesce(ref_marks2, '') as ref_marks2, coalesce(n_usable, 0) as n_usable, coalesce(n_agree, 0) as n_agree, coalesce(ref_marks, '') as ref_marks, coalesce(hidden_by, '') as hidden_by, coalesce(own_hits, '') as own_hits, coalesce(neighbour_hits, '') as neighbour_hits
+  from readings r left join vm using (unit_key) left join w using (unit_key) left join hs using (unit_key)),
+y as (select *, {TWO.format('')} as two, {TWO.format('2')} as second_reason, concat(n_agree, ' views agree and match the ortho') as okay from x),
 v as (select *, case when access = 'not visible' then 'Not visible' when access = 'not street-facing' then 'Not street-facing' when n_runs = 0 and error is not null then 'Unsure' when n_runs = 0 then 'Pending'
-  when n_usable = 0 then 'Not visible' when neighbour_hits <> '' then 'Unsure' when own_hits <> '' then 'Verified' when two is not null then 'Unsure' when n_runs < 2 and second_required then 'Unsure'
+  when n_usable = 0 then 'Not visible' when neighbour_hits <> '' then 'Unsure' when own_hits <> '' then 'Verified' when viewer_placed then {PLACED} when two is not null then 'Unsure' when n_runs < 2 and second_required then 'Unsure'
   when n_runs < 2 then 'Verified' when second_reason is not null then 'Unsure' else 'Verified' end as verdict,
  case when access = 'not visible' then 'no panorama has a line of sight' when access = 'not street-facing' then 'seen only from a distance, through gaps between other buildings' when n_runs = 0 and error is not null then concat('LLM error: ', error)
   when n_runs = 0 then 'images are ready, the LLM has not been asked yet' when n_usable = 0 then concat('hidden in every view (', hidden_by, ')') when neighbour_hits <> '' then concat('door number read belongs to a neighbour: ', neighbour_hits)
-  when own_hits <> '' then concat('door number read: ', own_hits) when two is not null then two when n_runs < 2 and second_required then 'second LLM run missing' when n_runs < 2 then concat(okay, ' (LLM asked once)')
+  when own_hits <> '' then concat('door number read: ', own_hits) when viewer_placed then {PLACED_WHY} when two is not null then two when n_runs < 2 and second_required then 'second LLM run missing' when n_runs < 2 then concat(okay, ' (LLM asked once)')
   when second_reason is not null then concat('the two LLM runs disagree on identity: ', second_reason) else concat(okay, ', in both LLM runs') end as reason from y)"""
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with the summary of their views and their door hits."""
-    line, views = B.table(spark, sf_dir, "lineitem"), B.answer_views(spark, sf_dir)
+    line, views, readings = B.table(spark, sf_dir, "lineitem"), B.answer_views(spark, sf_dir), B.readings(spark, sf_dir)
+    again, named = B.second_views(spark, sf_dir), readings.select("unit_key", "reference_view")
     own = line.where("l_suppkey % 2 = 0").selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as raw").select("unit_key", norm_door(F.col("raw")).alias("door")).distinct()
-    read = views.where("number_read is not null").select("unit_key", norm_door(F.col("number_read")).alias("door")).distinct()
+    numbers = again.join(readings.where("n_runs > 1").select("unit_key"), "unit_key", "left_semi").select("unit_key", "number_read")
+    numbers = views.select("unit_key", "number_read").unionByName(numbers).where("number_read is not null")
+    read = numbers.select("unit_key", norm_door(F.col("number_read")).alias("door")).distinct()
     mine = own.withColumn("mine", F.lit(True))
     after = own.select((F.col("unit_key") - 1).alias("unit_key"), "door", F.lit(True).alias("next"))
     h = read.join(mine, ["unit_key", "door"], "left").join(after, ["unit_key", "door"], "left")
@@ -62,9 +77,9 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         join(F.when(F.col("mine") & F.col("next").isNull(), F.col("door")), ", ").alias("own_hits"),
         join(F.when(F.col("next") & F.col("mine").isNull(), F.concat("door", F.lit(" is "), (F.col("unit_key") + 1).cast("string"))), "; ").alias("neighbour_hits"),
     )
-    x = B.readings(spark, sf_dir).join(rules.view_summary(views, "unit_key"), "unit_key", "left").join(hits, "unit_key", "left")
-    x = x.fillna(0, ["n_usable", "n_agree"]).fillna("", ["ref_marks", "hidden_by", "own_hits", "neighbour_hits"])
-    return x.withColumn("second_reason", F.when(F.col("unit_key") % 6 == 0, "views agree but nothing matches the ortho"))
+    second = rules.view_summary(again, "unit_key", named).select("unit_key", F.col("n_usable").alias("n_usable2"), F.col("n_agree").alias("n_agree2"), F.col("ref_marks").alias("ref_marks2"))
+    x = readings.join(rules.view_summary(views, "unit_key", named), "unit_key", "left").join(second, "unit_key", "left").join(hits, "unit_key", "left")
+    return x.fillna(0, ["n_usable", "n_agree", "n_usable2", "n_agree2"]).fillna("", ["ref_marks", "ref_marks2", "hidden_by", "own_hits", "neighbour_hits"])
 
 
 def columns(df: DataFrame) -> dict[str, Column]:
@@ -91,7 +106,7 @@ def second_opinion_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
 NORM = "regexp_replace(lower(coalesce({0}, 'None')), '[^a-z]', '', 'g')"
 FLAGS_SQL = f"""f as (select *, case when storeys > 0 then storeys - 1 end as rec_floors, verdict in ('Verified', 'Unsure') and n_runs > 0 as checked from v),
 g as (select *, case when not checked then 'Not checked' when llm_floors is null or rec_floors is null then 'Cannot tell' when llm_floors = rec_floors then 'Same' when llm_floors > rec_floors then 'LLM higher' else 'LLM lower' end as floor_flag,
- case when not checked then 'Not checked' when {NORM.format('llm_usage')} = {NORM.format('rec_usage')} then 'Same' else 'Different' end as usage_flag, case when checked and n_runs > 1 then llm_floors2 is not distinct from llm_floors end as runs_agree from f),
+ case when not checked then 'Not checked' when {NORM.format('llm_usage')} = {NORM.format('rec_usage')} then 'Same' else 'Different' end as usage_flag, case when checked and n_runs > 1 then llm_floors2 is not distinct from llm_floors and {NORM.format('llm_usage')} = {NORM.format('llm_usage2')} end as runs_agree from f),
 fl as (select *, case when not checked then 'Not checked' when runs_agree = false then 'LLM runs disagree' when (floor_flag in ('LLM higher', 'LLM lower') or usage_flag = 'Different') and newest < '2025-01' then 'Mismatch (old imagery)'
  when floor_flag in ('LLM higher', 'LLM lower') or usage_flag = 'Different' then 'Mismatch' when possible_shop then 'Possible shop - check' else 'Match' end as flag from g)"""
 
@@ -105,7 +120,7 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = x.withColumns({
         "floor_flag": only(rules.floor_flag(F.col("llm_floors"), F.col("rec_floors"))),
         "usage_flag": only(rules.usage_flag(F.col("llm_usage"), F.col("rec_usage"))),
-        "runs_agree": F.when(F.col("checked") & (F.col("n_runs") > 1), F.col("llm_floors2").eqNullSafe(F.col("llm_floors"))),
+        "runs_agree": F.when(F.col("checked") & (F.col("n_runs") > 1), rules.runs_agree(*map(F.col, ("llm_floors", "llm_floors2", "llm_usage", "llm_usage2")))),
     })
     c = columns(x)
     return x.withColumn("flag", only(rules.overall_flag(c["floor_flag"], c["usage_flag"], c["runs_agree"], c["possible_shop"], c["newest"], S.old_imagery_before)))

@@ -49,9 +49,23 @@ ANSWER_VIEWS = {
     "number_read": "case when l_quantity < 12 then concat(cast(l_linenumber as string), '-', cast(cast(l_quantity as int) as string)) end",
     "has_board": "l_discount > 0.06e0",
 }
+#: What a second run says of the same views.
+SECOND_VIEWS = ANSWER_VIEWS | {
+    "target_visible": "case when l_returnflag = 'R' then 'hidden' when l_suppkey % 5 = 0 then 'hidden' else 'clear' end",
+    "same_as_ref": "case when l_linenumber = 1 then 'this is the reference view' when l_suppkey % 4 = 0 then 'no' else 'yes' end",
+    "between_marks": "case when l_partkey % 11 = 0 then 'no, a part of one' else 'yes' end",
+    "number_read": "case when l_quantity > 49 then concat(cast(l_linenumber as string), '-', cast(cast(l_quantity as int) as string)) end",
+}
 #: One reading a unit_key: what was concluded from all views. Run 2 exists for every third.
 READINGS = {
     "unit_key": "o_orderkey",
+    "reference_view": "cast(case o_orderkey % 9 when 0 then 2 when 3 then 1 when 4 then 3 when 7 then 9 end as int)",
+    "features_both": "o_orderkey % 12 = 0",
+    "viewer_placed": "o_orderkey % 8 = 7",
+    "moved_away": "case when o_orderkey % 16 = 7 then 'another house' end",
+    "aerial2": "case when o_orderkey % 6 = 3 then 'no' else 'yes' end",
+    "features_both2": "o_orderkey % 18 = 9",
+    "llm_usage2": "case when o_orderkey % 7 = 0 then 'MIXED.' when o_orderkey % 5 = 0 then 'residential' when o_orderkey % 5 = 1 then 'Mixed' when o_orderkey % 5 = 2 then 'Commercial' when o_orderkey % 5 = 3 then 'cannot tell' else '' end",
     "access": "case o_orderkey % 13 when 0 then 'not visible' when 1 then 'not street-facing' else 'street-facing' end",
     "error": "case when o_orderkey % 17 = 2 then 'timeout' end",
     "n_runs": "cast(case when o_orderkey % 17 in (2, 3) then 0 when o_orderkey % 3 = 0 then 2 else 1 end as int)",
@@ -103,6 +117,10 @@ def answer_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "lineitem"), ANSWER_VIEWS)
 
 
+def second_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _select(table(spark, sf_dir, "lineitem"), SECOND_VIEWS)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "orders"), READINGS)
 
@@ -129,6 +147,7 @@ WITH = {
     "panos": f"select {_text(PANOS)} from customer cross join (select cast(floor(max(p_partkey) / 40.0e0) as int) + 1 as n from part) m",
     "assess": f"select {_text(ASSESS)} from lineitem",
     "answer_views": f"select {_text(ANSWER_VIEWS)} from lineitem",
+    "second_views": f"select {_text(SECOND_VIEWS)} from lineitem",
     "readings": f"select {_text(READINGS)} from orders",
     "reviews": f"select {_text(REVIEWS)} from events",
     "lanes": "select range as road_fid, -5e0 as x0, range * 24e0 as y0, 565e0 as x1, range * 24e0 as y1, concat('Lane ', range) as road_name from range((select cast(floor(max(p_partkey) / 40.0e0) as int) + 1 from part))"

@@ -114,14 +114,26 @@ def test_carry_over_keeps_the_last_that_says_something(spark):
 
 
 def test_verdict_order(spark):
-    base = {"access": "street-facing", "error": None, "n_runs": 1, "n_usable": 2, "n_agree": 2, "ref_marks": "yes", "aerial": "yes", "core_ok": True, "second_required": False, "hidden_by": "tree", "own_hits": "", "neighbour_hits": "", "second_reason": None}
-    cases = [({}, "Verified"), ({"access": "not visible"}, "Not visible"), ({"n_runs": 0, "error": "x"}, "Unsure"), ({"n_runs": 0}, "Pending"), ({"n_usable": 0}, "Not visible"), ({"neighbour_hits": "1 is X", "own_hits": "2"}, "Unsure"), ({"own_hits": "2", "n_agree": 1}, "Verified"), ({"n_agree": 1}, "Unsure"), ({"second_required": True}, "Unsure"), ({"n_runs": 2, "second_reason": "r"}, "Unsure"), ({"core_ok": False}, "Unsure")]
-    schema = "i int, access string, error string, n_runs int, n_usable int, n_agree int, ref_marks string, aerial string, core_ok boolean, second_required boolean, hidden_by string, own_hits string, neighbour_hits string, second_reason string"
+    base = {"access": "street-facing", "error": None, "n_runs": 1, "n_usable": 2, "n_agree": 2, "ref_marks": "yes", "aerial": "yes", "core_ok": True, "second_required": False, "hidden_by": "tree", "own_hits": "", "neighbour_hits": "", "features_both": False, "viewer_placed": False, "moved_away": None, "n_usable2": 2, "n_agree2": 2, "ref_marks2": "yes", "aerial2": "yes", "features_both2": False}
+    cases = [({}, "Verified"), ({"access": "not visible"}, "Not visible"), ({"n_runs": 0, "error": "x"}, "Unsure"), ({"n_runs": 0}, "Pending"), ({"n_usable": 0}, "Not visible"), ({"neighbour_hits": "1 is X", "own_hits": "2"}, "Unsure"), ({"own_hits": "2", "n_agree": 1}, "Verified"), ({"n_agree": 1}, "Unsure"), ({"second_required": True}, "Unsure"), ({"n_runs": 2}, "Verified"), ({"n_runs": 2, "n_agree2": 1}, "Unsure"), ({"core_ok": False}, "Unsure"), ({"aerial": "no"}, "Unsure"), ({"aerial": "no", "features_both": True}, "Verified"), ({"viewer_placed": True, "n_agree": 1, "n_usable": 1}, "Verified"), ({"viewer_placed": True, "moved_away": "off"}, "Unsure"), ({"viewer_placed": True, "neighbour_hits": "1 is X"}, "Unsure")]
+    schema = "i int, access string, error string, n_runs int, n_usable int, n_agree int, ref_marks string, aerial string, core_ok boolean, second_required boolean, hidden_by string, own_hits string, neighbour_hits string, features_both boolean, viewer_placed boolean, moved_away string, n_usable2 int, n_agree2 int, ref_marks2 string, aerial2 string, features_both2 boolean"
     df = spark.createDataFrame([(i, *(base | c).values()) for i, (c, _) in enumerate(cases)], schema)
     said, _ = rules.verdict({c: F.col(c) for c in df.columns})
     assert [r.v for r in df.select("i", said.alias("v")).orderBy("i").collect()] == [w for _, w in cases]
 
 
+def test_the_named_reference_counts(spark):
+    """The reference view is the one that the reading names; if that one is hidden, nothing can be concluded."""
+    v = [(1, 1, "clear", None, "yes", "yes"), (1, 2, "clear", None, "yes", "no, two"), (1, 3, "hidden", "tree", "no", "yes")]
+    views = spark.createDataFrame(v, "k int, view int, target_visible string, hidden_by string, same_as_ref string, between_marks string")
+    for named, want in ((None, (1, "yes", 2)), (2, (2, "no, two", 2)), (3, (None, None, 0)), (9, (None, None, 0))):
+        r = rules.view_summary(views, "k", spark.createDataFrame([(1, named)], "k int, reference_view int")).first()
+        assert (r.ref_view, r.ref_marks, r.n_agree) == want
+    assert rules.view_summary(views, "k").first().ref_view == 1
+    x = spark.createDataFrame([(1, 1, "Mixed", "mixed."), (1, 1, "Mixed", "Office"), (1, 2, "Mixed", "Mixed"), (None, None, "", "")], "a int, b int, u string, w string")
+    assert [r.v for r in x.select(rules.runs_agree(*map(F.col, "abuw")).alias("v")).collect()] == [True, False, False, True]
+
+
 def test_split_lines(spark):
     lines = spark.createDataFrame([(0, "r", 0.0, 0.0, 100.0, 0.0), (1, "c", 50.0, -40.0, 50.0, 40.0), (2, "e", 80.0, 0.6, 80.0, 30.0)], "road_fid long, road_name string, x0 double, y0 double, x1 double, y1 double")
     s = streets.split_lines(lines, streets.junction_cuts(lines, 1.0), 1.0, 10.0)
