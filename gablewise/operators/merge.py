@@ -74,3 +74,39 @@ def as_of(events: DataFrame, marks: DataFrame, time: str, tag: str, least_s: flo
     gap = (F.unix_micros(time) - F.unix_micros("found.mark_time")) / 1e6
     why = F.when(F.col("found").isNull(), "before first").when(gap < least_s, "too soon").when(gap > most_s, "too long").otherwise("ok")
     return found.select(*events.columns, F.when(why == "ok", F.col("found.mark")).alias("mark"), why.alias("reason"))
+
+
+def reusable(now: DataFrame, before: DataFrame, place: Sequence[str], same: Sequence[str], name: str) -> DataFrame:
+    """Adds whether the row of an earlier plan at the same place is the same in all that matters."""
+    old = before.select(*place, *[F.col(c).alias(f"{c}_before") for c in same])
+    x, alike = now.join(old, list(place), "left"), F.lit(True)
+    for c in same:
+        alike = alike & (F.col(c) == F.col(f"{c}_before"))
+    return x.withColumn(name, F.coalesce(alike, F.lit(False))).drop(*[f"{c}_before" for c in same])
+
+
+def rekey(answers: DataFrame, requests: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Kept answers (key..., key) with the fresh key of their request (key..., fresh, legacy) if they have one of its legacy keys."""
+    x, saved = answers.join(requests, list(key), "left"), F.col("key")
+    old = F.array_contains("legacy", saved)
+    state = F.when(F.col("fresh").isNull(), "no images").when(saved == F.col("fresh"), "already new").when(old, "re-keyed").otherwise("images changed, left alone")
+    return x.select(*key, state.alias("state"), F.when(old, F.col("fresh")).otherwise(saved).alias("key"))
+
+
+def import_counts(answers: DataFrame, known: DataFrame, key: str, at: str, order: str, reviewer: str, same: Sequence[str]) -> DataFrame:
+    """One row of counts of an import: answers of another run (other_run) are rejected, those on unknown keys skipped.
+
+    A disagreement is an answer that differs from the one just before it on the same key, by another reviewer.
+    """
+    x = answers.join(known.select(key).distinct().withColumn("known", F.lit(True)), key, "left")
+    taken = ~F.col("other_run") & F.col("known").isNotNull()
+    w = W.partitionBy(key, F.when(taken, 1).otherwise(0)).orderBy(at, order)
+    differs = F.lit(False)
+    for c in same:
+        differs = differs | ~F.lag(c).over(w).eqNullSafe(F.col(c))
+    x = x.withColumns({"taken": taken, "first": F.row_number().over(w) == 1, "other": ~F.lag(reviewer).over(w).eqNullSafe(F.col(reviewer)) & differs})
+    n = F.count_if
+    return x.agg(
+        n("other_run").alias("rejected"), n(~F.col("other_run") & F.col("known").isNull()).alias("unknown_buildings"), n("taken").alias("answers"),
+        n(F.col("taken") & F.col("first")).alias("unique_buildings"), n(F.col("taken") & ~F.col("first") & F.col("other")).alias("disagreements"),
+    )

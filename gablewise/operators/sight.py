@@ -98,9 +98,18 @@ def candidates(runs: DataFrame, s: Settings) -> DataFrame:
         F.col("l.qx").alias("left_x"), F.col("l.qy").alias("left_y"), F.col("r.qx").alias("right_x"), F.col("r.qy").alias("right_y"),
     )
     c = c.where((F.col("visible_m") >= s.min_visible) & F.col("span_deg").between(s.min_span, s.max_span) & (F.col("dist_near") >= s.min_view_dist))
-    loss = 0.10 * F.greatest(F.lit(0.0), 6 - F.col("dist_near")) + 0.05 * F.greatest(F.lit(0.0), F.col("dist_near") - 18)
-    c = c.withColumn("quality", F.bround(1 - F.least(F.lit(0.8), loss), 2))
-    return c.withColumn("score", F.bround(F.col("apparent_m") * F.col("quality"), 2))
+    # in whole ten-thousandths: no sum of decimal fractions stands between a tie and its rounding
+    near = F.rint(F.col("dist_near") * 100).cast("long")
+    loss = 10 * F.greatest(F.lit(0), 600 - near) + 5 * F.greatest(F.lit(0), near - 1800)
+    q = half_even(10_000 - F.least(F.lit(8000), loss), 100)
+    score = half_even(F.rint(F.col("apparent_m") * 100).cast("long") * q, 100)
+    return c.withColumns({"quality": q / 100, "score": score / 100})
+
+
+def half_even(n: Column, by: int) -> Column:
+    """n / by for whole numbers n >= 0, rounded to a whole number, halves to the even one."""
+    low, rest = F.floor(n / by), n % by
+    return low + F.when((2 * rest > by) | (2 * rest == by) & (low % 2 == 1), 1).otherwise(0)
 
 
 def square_on(sights: DataFrame, s: Settings) -> DataFrame:

@@ -109,7 +109,7 @@ def sign_doors(spark: SparkSession, sf_dir: str, lines: str) -> DataFrame:
 
 @query()
 def link_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to four links a unit: panoramas that see it first, on different sides, then the nearest others."""
+    """Up to four links a unit: panoramas that see it first, on different sides, then the nearest others, spread likewise."""
     u, p = B.units(spark, sf_dir), B.panos(spark, sf_dir)
     x = points_within(u, p, S.link_dist)
     seen = sight.candidates(sight.longest_runs(sights(spark, sf_dir)), S).select("unit_id", "pano_id", "dist_near")
@@ -119,7 +119,8 @@ def link_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = x.groupBy("unit_id").agg(F.array_sort(F.collect_list(one)).alias("c"))
     first = selection.spread(F.filter("c", lambda k: ~k.blind), S.max_links, S.link_sector)
     rest = F.filter("c", lambda k: k.blind)
-    lists = lists.withColumn("s", first).select("unit_id", F.concat("s", F.slice(rest, 1, F.greatest(F.lit(0), S.max_links - F.size("s")))).alias("s"))
+    # both kinds are spread over the sides of the building
+    lists = lists.withColumns({"s": first, "r": selection.spread(rest, S.max_links - F.size(first), S.link_sector)}).select("unit_id", F.concat("s", "r").alias("s"))
     return lists.select("unit_id", F.posexplode("s").alias("at", "k")).select("unit_id", (F.col("at") + 1).alias("n"), "k.pano_id", (~F.col("k.blind")).alias("los"))
 
 

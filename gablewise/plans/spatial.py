@@ -206,11 +206,17 @@ def los_visible_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sights(spark, sf_dir).groupBy("unit_id", "pano_id").agg(F.min("n").alias("n_points"), F.count_if("visible").alias("n_visible"))
 
 
-@query(f"{SIGHT_SQL}, {RUN_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m from c")
+#: Quality in hundredths from whole numbers, and the score with it.
+SCORE_SQL = """h1 as (select *, 10000 - least(8000, 10 * greatest(0, 600 - round(dist_near * 100)::bigint) + 5 * greatest(0, round(dist_near * 100)::bigint - 1800)) as n from c),
+h2 as (select *, n // 100 + case when 2 * (n % 100) > 100 or 2 * (n % 100) = 100 and (n // 100) % 2 = 1 then 1 else 0 end as q from h1), h3 as (select *, round(apparent_m * 100)::bigint * q as m2 from h2),
+h as (select * replace (q / 100e0 as quality), (m2 // 100 + case when 2 * (m2 % 100) > 100 or 2 * (m2 % 100) = 100 and (m2 // 100) % 2 = 1 then 1 else 0 end) / 100e0 as score from h3)"""
+
+
+@query(f"{SIGHT_SQL}, {RUN_SQL}, {SCORE_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m, quality, score from h")
 def los_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each camera sees. quality and score are left out here: the engines round ties of their sums differently."""
+    """What each camera sees, how good the view is, and its score."""
     c = sight.candidates(sight.longest_runs(sights(spark, sf_dir)), S)
-    return c.select("unit_id", "pano_id", "visible_m", "span_deg", "dist_near", "apparent_m")
+    return c.select("unit_id", "pano_id", "visible_m", "span_deg", "dist_near", "apparent_m", "quality", "score")
 
 
 @query(f"""{SIGHT_SQL}, {RUN_SQL}, k as (select unit_id, count(*) as n, min(dist_near) as near from c group by unit_id)

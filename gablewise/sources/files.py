@@ -79,3 +79,39 @@ def write_features(df: DataFrame, geometry: Column, properties: Sequence[str], p
 def vanished_notes(notes: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Notes on rows that are there no more, to be kept aside."""
     return notes.join(rows.select(*key).distinct(), list(key), "left_anti")
+
+
+def latest_result(names: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """(key, latest): of each key's files the newest result: result.gpkg, or of result_<n>.gpkg the one with the highest n."""
+    number = F.when(F.col(name) == "result.gpkg", 1).otherwise(F.regexp_extract(name, r"^result_(\d+)\.gpkg$", 1).try_cast("int"))
+    x = names.withColumn("number", number).where("number is not null")
+    return x.groupBy(*key).agg(F.max_by(name, F.struct("number", name)).alias("latest"))
+
+
+GEOMETRY = "struct<type:string,coordinates:string>"
+POINTS = "array<array<double>>"
+
+
+def load_roads(rows: DataFrame, fid: str, geometry: str, name: str) -> DataFrame:
+    """(road_fid, part, road_name, path) from GeoJSON geometries: single lines of two points at least, each with its points (x, y).
+
+    Lines of several parts give a row each; other shapes, empty ones and nulls none. A blank name is null.
+    """
+    g = F.from_json(F.col(geometry), GEOMETRY)
+    lines = F.when(g.type == "LineString", F.array(F.from_json(g.coordinates, POINTS))).when(g.type == "MultiLineString", F.from_json(g.coordinates, f"array<{POINTS}>"))
+    x = rows.select(F.col(fid).alias("road_fid"), F.nullif(F.trim(name), F.lit("")).alias("road_name"), F.posexplode(lines).alias("at", "line")).where(F.size("line") > 1)
+    path = F.transform("line", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    return x.select("road_fid", (F.col("at") + 1).alias("part"), "road_name", path.alias("path"))
+
+
+def write_summary(figures: DataFrame, name: str, value: str, path: str) -> None:
+    """A small table of figures as one JSON object, put in the place of what was there."""
+    one = figures.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(name), F.col(value)))))).alias("text"))
+    fs, fresh = filesystem(figures.sparkSession, f"{path}.{uuid.uuid4().hex}")
+    _, target = filesystem(figures.sparkSession, path)
+    one.coalesce(1).write.text(str(fresh.toString()))
+    part = next(x.getPath() for x in fs.listStatus(fresh) if x.getPath().getName().startswith("part-"))
+    fs.delete(target, True)
+    if not fs.rename(part, target):
+        raise RuntimeError(f"{path}: the new summary is at {fresh}")
+    fs.delete(fresh, True)
