@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +76,21 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, value)
 
 
+def tidied(f: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's function that gives freed memory back to the system when it ends: its worker goes on to other tasks."""
+
+    @wraps(f)
+    def g(*args):
+        yield from f(*args)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return g
+
+
 def broadcast_if_small(saved: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if the (saved, narrow) table has at most so many rows; else the table as it is, for a shuffle join."""
     return F.broadcast(saved) if saved.limit(rows + 1).count() <= rows else saved

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import id_again, id_columns, mix, shingle_set, small_batches
+from gablewise.llm.common import id_again, id_columns, mix, shingle_set, small_batches, tidied
 
 #: Words a shingle, bins, and bits kept of each; 4 bits are one hexadecimal digit a bin.
 SHINGLE, BINS, BITS = 5, 512, 4
@@ -172,6 +172,7 @@ def fingerprint_neighbours(docs: DataFrame, parts: int | None = None) -> DataFra
 
     names = [c.split()[0] for c in NEIGHBOURS.split(", ")][1:]
 
+    @tidied
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for x in batches:

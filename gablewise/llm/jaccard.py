@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, forget, id_again, id_columns, mix, packed, save, shingle_set, small_batches
+from gablewise.llm.common import broadcast_if_small, forget, id_again, id_columns, mix, packed, save, shingle_set, small_batches, tidied
 from gablewise.llm.components import connected_components
 
 
@@ -124,6 +124,7 @@ def frequent_shingles(docs: DataFrame, s: Settings) -> np.ndarray:
     share = min(1.0, s.sample / max(1, rows.count()))
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
+    @tidied
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             sets = [shingle_set(t, s.k).view(np.int64) for t in x.text]
@@ -138,6 +139,7 @@ def profiles(docs: DataFrame, s: Settings, sliced: bool) -> DataFrame:
     small_batches(docs.sparkSession)
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, s)) if sliced else None
 
+    @tidied
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             sets = [shingle_set(t, s.k) for t in x.text]
@@ -282,6 +284,7 @@ def _sets(pdf: pd.DataFrame) -> list[np.ndarray]:
 def task_links(members: DataFrame, s: Settings) -> DataFrame:
     """(a, b): the links of regions that fit in a task, which takes its regions one after the other."""
 
+    @tidied
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def done(rows: list[pd.DataFrame]) -> list[tuple[int, int]]:
             x = pd.concat(rows).sort_values("id")
@@ -421,6 +424,7 @@ def set_classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     text = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
     text = text.join(broadcast_if_small(regions), "id").select(F.col("component").alias("region"), "id", "text")
 
+    @tidied
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             x["set"] = [shingle_set(t, s.k).tobytes() for t in x.pop("text")]

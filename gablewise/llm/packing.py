@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, id_again, id_columns, packed, save, small_batches
+from gablewise.llm.common import broadcast_if_small, id_again, id_columns, packed, save, small_batches, tidied
 from gablewise.llm.tokens import cached_encoder
 
 CAPACITY = 1024
@@ -88,6 +88,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     small_batches(docs.sparkSession)
     end = int(END_OF_DOCUMENT).to_bytes(4, "little")
 
+    @tidied
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = cached_encoder(vocabulary)
         for x in batches:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import broadcast_if_small, mix, packed, save, small_batches
+from gablewise.llm.common import broadcast_if_small, mix, packed, save, small_batches, tidied
 
 
 @dataclass(frozen=True)
@@ -197,6 +197,7 @@ def score_column(docs: DataFrame, labels: DataFrame, s: Settings) -> Callable[[C
     w, b = fit(docs.select("doc_id", "text"), labels, s)
     model = docs.sparkSession.sparkContext.broadcast((w, b))  # of a fixed size: one number a bucket
 
+    @tidied
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         one = Scorer(*model.value, s)
         for texts in batches:

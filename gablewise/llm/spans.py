@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import id_columns, mix, packed, run_hashes, small_batches
+from gablewise.llm.common import id_columns, mix, packed, run_hashes, small_batches, tidied
 
 SPAN = 3
 MIN_WORDS = 10
@@ -98,6 +98,7 @@ def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_W
 
     small_batches(docs.sparkSession)
 
+    @tidied
     def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             got = [span_hashes(t, span, min_words) for t in x.text]
@@ -128,6 +129,7 @@ def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_
     rows = docs.select(packed(docs), *id_columns(F.col("doc_id")), F.xxhash64("text").alias("mark"))
     rows = rows.join(gone.hint("merge"), ["id", "no_id", "mark"], "left").select("row", "positions")
 
+    @tidied
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts, starts, numbers in batches:
             yield pd.DataFrame([without(*x) for x in zip(texts, starts, numbers, strict=True)], columns=["text", "n_removed", "removed"])

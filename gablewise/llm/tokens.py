@@ -26,13 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import id_again, id_columns, save, small_batches
+from gablewise.llm.common import id_again, id_columns, save, small_batches, tidied
 
 OVER = 512
 #: Characters of a chunk, and of the overlap of two at first. Texts of at most one chunk are encoded at once.
 CHUNK, OVERLAP = 20_000, 200
 #: Words that a task remembers.
-KNOWN = 300_000
+KNOWN = 100_000
 #: The range in which character classes are taken from a table; texts with others go to the library.
 PLAIN = 0x250
 
@@ -173,6 +173,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
     small_batches(spark)
     rows = docs.select(*id_columns(F.col("doc_id")), F.coalesce("text", F.lit("")).alias("text"))
 
+    @tidied
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = cached_encoder(vocabulary)
         for x in batches:
@@ -191,12 +192,14 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap:
     while todo.take(1):
         step, back = chunk, overlap
 
+        @tidied
         def to_chunks(batches: Iterator[pd.DataFrame], step: int = step, back: int = back) -> Iterator[pd.DataFrame]:
             for x in batches:
                 for doc, none, n, mark, text in x.itertuples(index=False):
                     spans = chunks_of(len(text), step, back)
                     yield pd.DataFrame({"id": doc, "no_id": none, "n_bytes": n, "mark": mark, "start": [a for a, _ in spans], "end": [b for _, b in spans], "text": [text[a:b] for a, b in spans]})
 
+        @tidied
         def encode(batches: Iterator[pd.DataFrame], step: int = step, back: int = back) -> Iterator[pd.DataFrame]:
             encoder = cached_encoder(vocabulary)
             for x in batches:

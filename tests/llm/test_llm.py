@@ -736,6 +736,22 @@ def test_pipeline_runs_and_keeps_columns(spark, small):
     assert {x.doc_id for x in packed.select("doc_id").distinct().collect()} == {x.doc_id for x in d.select("doc_id").distinct().collect()}
 
 
+def test_pipeline_stages_at_the_edges(spark, small, odd):
+    """Nulls in any column, empty and long texts, repeated rows and ids, clashing names; and no rows."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    given = [tuple(x) for x in odd.collect()]
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, odd, small)
+        rows = [tuple(x) for x in out.collect()]
+        if name == "best_fit_packing":
+            assert len(rows) >= len(given)
+        else:
+            assert out.columns == odd.columns, name
+            assert rows and (set(rows) <= set(given) or name == "substring_dedup"), name
+        assert stage(spark, odd.limit(0), small).count() == 0, name
+    assert len(pipeline.substring_dedup(spark, odd, small).where("text is null").collect()) == sum(x[1] is None for x in given)
+
+
 def test_near_copies_of_five_words(spark, small):
     pipeline = pytest.importorskip("corpus_pipeline")
     r = random.Random(31)
