@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.functions.geo import segment_hits_rect, turn
+from gablewise.functions.geo import turn
 from gablewise.model import Settings
 from gablewise.operators.grid import cell, in_cells, points_within
 
@@ -32,29 +36,76 @@ def sight_pairs(units: DataFrame, panos: DataFrame, radius: float) -> DataFrame:
     return points_within(units.select("unit_id", *RECT), panos.select("pano_id", "pano_date", "pano_ord", "px", "py"), radius)
 
 
+def hidden_points(rects: np.ndarray, cameras: np.ndarray, n: np.ndarray, step: np.ndarray, blockers: list[np.ndarray], stop: float) -> list[np.ndarray]:
+    """For each pair of a rectangle and a camera, whether each of its n outline points is hidden by one of its blockers.
+
+    All pairs are tested at once: each outline point with each blocker of its pair.
+    """
+    pair = np.repeat(np.arange(len(n)), n)
+    at = (np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)) * step[pair]
+    x0, y0, x1, y1 = rects[pair].T
+    px, py = cameras[pair].T
+    w, h = x1 - x0, y1 - y0
+    qx = np.select([at < w, at < w + h, at < w + h + w], [x0 + at, x1, x1 - (at - w - h)], x0)
+    qy = np.select([at < w, at < w + h, at < w + h + w], [y0, y0 + (at - w), y1], y1 - (at - w - h - w))
+    d = np.maximum(np.sqrt((qx - px) ** 2 + (qy - py) ** 2), 1e-9)
+    k = np.minimum(1.0, np.maximum(0.0, (d - stop) / d))
+    dx, dy = (qx - px) * k, (qy - py) * k
+    many = np.array([len(b) for b in blockers])
+    first = np.cumsum(many) - many
+    times = many[pair]
+    point = np.repeat(np.arange(len(pair)), times)
+    which = np.arange(len(point)) - np.repeat(np.cumsum(times) - times, times) + first[pair][point]
+    walls = np.concatenate(blockers)[which].T
+
+    def span(p: np.ndarray, v: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Between which parameters the sight line is between two sides of a blocker."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            a, b = (lo - p) / v, (hi - p) / v
+        within = (p >= lo) & (p <= hi)
+        return np.where(v != 0, np.minimum(a, b), np.where(within, 0.0, 2.0)), np.where(v != 0, np.maximum(a, b), np.where(within, 1.0, -1.0))
+
+    ex, lx = span(px[point], dx[point], walls[0], walls[2])
+    ey, ly = span(py[point], dy[point], walls[1], walls[3])
+    hit = np.maximum(np.maximum(ex, ey), 0.0) <= np.minimum(np.minimum(lx, ly), 1.0)
+    hidden = np.bincount(point, hit, len(pair)) > 0
+    return np.split(hidden, np.cumsum(n)[:-1])
+
+
 def outline_sights(pairs: DataFrame, blockers: DataFrame, s: Settings, side: float = 32.0) -> DataFrame:
     """(unit_id, pano_id, i, n, step, qx, qy, d, visible, and the pair's columns) for each outline point of each pair.
 
     A sight line stops a little short of its point, and any footprint that it touches hides the point; the target is a
-    footprint too. Only footprints that meet the box around the camera and the target can: those are joined by grid cells
-    before the outline points are made, so the many points meet few footprints.
+    footprint too. Only footprints that meet the box around the camera and the target can: those few are gathered into one
+    array a pair, the only shuffle after the join by cells; behind it batches of pairs are tested at once.
     """
     box = (F.least("x0", "px"), F.least("y0", "py"), F.greatest("x1", "px"), F.greatest("y1", "py"))
     p = in_cells(pairs, box, side)
     b = in_cells(blockers.selectExpr("x0 as b0", "y0 as b1", "x1 as b2", "y1 as b3"), ("b0", "b1", "b2", "b3"), side).withColumnsRenamed({"first_x": "other_x", "first_y": "other_y"})
     once = (F.col("cell_x") == F.greatest("first_x", "other_x")) & (F.col("cell_y") == F.greatest("first_y", "other_y"))
     touch = (F.col("b0") <= box[2]) & (F.col("b2") >= box[0]) & (F.col("b1") <= box[3]) & (F.col("b3") >= box[1])
-    near = p.join(b, ["cell_x", "cell_y"]).where(once & touch).drop("cell_x", "cell_y", "first_x", "first_y", "other_x", "other_y")
-    pts = near.withColumns(outline(s.outline_step)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    near = p.join(b, ["cell_x", "cell_y"]).where(once & touch)
+    keep = ["pano_date", "pano_ord", "px", "py", *RECT]
+    walls = F.flatten(F.collect_list(F.array("b0", "b1", "b2", "b3"))).alias("walls")
+    x = near.groupBy("unit_id", "pano_id").agg(walls, *[F.first(c).alias(c) for c in keep]).withColumns(outline(s.outline_step))
+    stop = s.sight_stop
+
+    def seen(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for x0, y0, x1, y1, px, py, n, step, walls in batches:
+            every = [np.asarray(w, np.float64).reshape(-1, 4) for w in walls]
+            rects, cameras = np.stack([x0, y0, x1, y1], 1), np.stack([px, py], 1)
+            out, some = [], 500  # pairs at once
+            for i in range(0, len(every), some):
+                j = slice(i, i + some)
+                out += [~h for h in hidden_points(rects[j], cameras[j], n.to_numpy()[j], step.to_numpy()[j], every[j], stop)]
+            yield pd.Series(out)
+
+    seen = F.pandas_udf(seen, "array<boolean>")
+    x = x.withColumn("seen", seen(*RECT, "px", "py", "n", "step", "walls")).drop("walls")
+    x = x.select("*", F.posexplode("seen").alias("i", "visible")).drop("seen")
     qx, qy = outline_point(F.col("i") * F.col("step"))
-    pts = pts.withColumns({"qx": qx, "qy": qy})
-    pts = pts.withColumn("d", F.greatest(F.sqrt((F.col("qx") - F.col("px")) ** 2 + (F.col("qy") - F.col("py")) ** 2), F.lit(1e-9)))
-    k = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("d") - s.sight_stop) / F.col("d")))
-    dx, dy = (F.col("qx") - F.col("px")) * k, (F.col("qy") - F.col("py")) * k
-    hit = segment_hits_rect(F.col("px"), F.col("py"), dx, dy, *[F.col(c) for c in ("b0", "b1", "b2", "b3")])
-    keep = ["pano_date", "pano_ord", "px", "py", *RECT, "n", "step", "qx", "qy", "d"]
-    # a pair's rows lie together, so the maximum is mostly taken before the shuffle
-    return pts.groupBy("unit_id", "pano_id", "i").agg((~F.max(hit)).alias("visible"), *[F.first(c).alias(c) for c in keep])
+    x = x.withColumns({"qx": qx, "qy": qy})
+    return x.withColumn("d", F.greatest(F.sqrt((F.col("qx") - F.col("px")) ** 2 + (F.col("qy") - F.col("py")) ** 2), F.lit(1e-9)))
 
 
 def longest_runs(sights: DataFrame) -> DataFrame:
