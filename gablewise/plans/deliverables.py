@@ -15,7 +15,7 @@ from gablewise.operators.grid import boxes_within, nearest, points_within
 from gablewise.plans import streets as street_plans
 from gablewise.plans.records import KEY_SQL, KEYS_SQL, cut_sql, main_value
 from gablewise.plans.registry import query
-from gablewise.plans.spatial import cameras, grid_points_all, pairs_sql, sights
+from gablewise.plans.spatial import GRID_SQL, cameras, grid_points, pairs_sql, sights
 from gablewise.plans.streets import CUTS_SQL
 from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, PLACED, PLACED_WHY, SUM_SQL, VS_SQL, building_counts, cases, columns, flagged, judged, street_rows
 from gablewise.sources import bindings as B
@@ -83,24 +83,24 @@ def viewer_placed_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("unit_key", said.alias("verdict"), why.alias("reason"))
 
 
-@query(f"""{B.with_views('answer_views')}, r as (select unit_key, list(number_read order by view) filter (number_read is not null) as a from answer_views group by unit_key), o as (select l_orderkey as unit_key, list(distinct concat(l_linenumber, '-', cast(l_quantity as int))) as b from lineitem where l_quantity < 20 and l_suppkey % 2 = 1 group by 1)
+@query(f"""{B.with_views('answer_views')}, r as (select unit_key, list(number_read order by view) filter (number_read is not null) as a from answer_views group by unit_key), o as (select l_orderkey as unit_key, list(distinct concat(l_linenumber, '-', cast(l_quantity as int))) as b from lineitem group by 1)
 select unit_key, array_to_string(list_concat(coalesce(a, []), list_sort(list_filter(coalesce(b, []), lambda d: not list_contains(coalesce(a, []), d)))), ', ') as numbers from r left join o using (unit_key)""")
 def sign_doors_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of a reading, and after them those read off signs that it lacks, for some lines' signs; see sign_doors_merged_all."""
-    return sign_doors(spark, sf_dir, "l_quantity < 20 and l_suppkey % 2 = 1")
+    """Numbers of a reading, and after them those read off all lines' signs that it lacks."""
+    return sign_doors(spark, sf_dir)
 
 
 @query()
 def sign_doors_merged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of a reading, and after them those read off all lines' signs that it lacks."""
-    return sign_doors(spark, sf_dir, "true")
+    """The same under its earlier name."""
+    return sign_doors_merged(spark, sf_dir)
 
 
-def sign_doors(spark: SparkSession, sf_dir: str, lines: str) -> DataFrame:
+def sign_doors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(unit_key, numbers): only where there is a reading."""
     v = B.answer_views(spark, sf_dir)
     a = v.groupBy("unit_key").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("number_read").isNotNull(), F.struct("view", "number_read")))), lambda s: s.number_read).alias("a"))
-    o = B.table(spark, sf_dir, "lineitem").where(lines).selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as d")
+    o = B.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as d")
     o = o.groupBy("unit_key").agg(F.array_sort(F.collect_set("d")).alias("b"))
     none = F.expr("cast(array() as array<string>)")
     x = a.join(o, "unit_key", "left").withColumn("b", F.coalesce("b", none))
@@ -190,16 +190,6 @@ def clicks_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.where("unit <> '' and t is not null").select("event_id", "unit", F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("at_time"))
 
 
-@query(f"""{B.with_views('panos')}, g as (select i * 20e0 as gx, j * 20e0 as gy, i * 1000 + j as ord from range(0, 28) a(i), range(0, 6) b(j)), n as (select ord, pano_id, row_number() over (partition by ord order by round_even(sqrt(power(px - gx, 2) + power(py - gy, 2)), 6), pano_ord) as nth from g join panos on sqrt(power(px - gx, 2) + power(py - gy, 2)) <= 10),
-l as (select pano_id, max(ord) as last_asked from n where nth = 1 group by pano_id) select pano_id, last_asked from l""")
-def panoramas_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panoramas found by asking at grid points for the nearest in reach; of several askings the last counts. See panoramas_found_all."""
-    g = spark.range(0, 28).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long")))).select((F.col("id") * 1000 + F.col("j")).alias("ord"), (F.col("id") * 20.0).alias("g0"), (F.col("j") * 20.0).alias("h0"))
-    g = g.withColumns({"g1": F.col("g0"), "h1": F.col("h0")})
-    x = points_within(g, B.panos(spark, sf_dir), S.nearest_radius, ("g0", "h0", "g1", "h1"))
-    return nearest(x, ["ord"], [F.bround("dist", 6), "pano_ord"]).groupBy("pano_id").agg(F.max("ord").alias("last_asked"))
-
-
 def panoramas_asked(points: DataFrame, panos: DataFrame, radius: float) -> DataFrame:
     """(pano_id, x, y): panoramas that are the nearest in reach of a point (x, y), with the last such point, row by row."""
     g = points.select("x", "y", F.col("x").alias("g1"), F.col("y").alias("h1"))
@@ -207,10 +197,17 @@ def panoramas_asked(points: DataFrame, panos: DataFrame, radius: float) -> DataF
     return x.groupBy("pano_id").agg(F.max(F.struct("y", "x")).alias("last")).select("pano_id", "last.x", "last.y")
 
 
+@query(f"""{B.with_views('units', 'panos')}, {GRID_SQL}, gn as (select x, y, pano_id, row_number() over (partition by x, y order by round_even(sqrt(power(px - x, 2) + power(py - y, 2)), 6), pano_ord) as nth from gp join panos on px between x - 10 and x + 10 and py between y - 10 and y + 10 and sqrt(power(px - x, 2) + power(py - y, 2)) <= 10),
+gl as (select pano_id, max(struct_pack(y := y, x := x)) as last from gn where nth = 1 group by pano_id) select pano_id, last.x as x, last.y as y from gl""")
+def panoramas_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panoramas found by asking at the search points around all units, 5 m apart; of several askings the last counts."""
+    return panoramas_asked(grid_points(spark, sf_dir), B.panos(spark, sf_dir), S.nearest_radius)
+
+
 @query()
 def panoramas_found_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panoramas found by asking at the search points around all units, 5 m apart."""
-    return panoramas_asked(grid_points_all(spark, sf_dir), B.panos(spark, sf_dir), S.nearest_radius)
+    """The same under its earlier name."""
+    return panoramas_found(spark, sf_dir)
 
 
 @query(f"{B.with_views('units', 'panos')}, {pairs_sql(30)}, c as (select unit_id, min(round_even(dist, 6)) as near, count(*) as n from pairs where dist >= 1.5e0 group by unit_id) select unit_id, near, n from c")

@@ -119,35 +119,28 @@ def match_doors(read: DataFrame, own: DataFrame, neighbours: DataFrame) -> DataF
     return x.groupBy("building_id").agg(join(hit, ", ").alias("own_hits"), join(other, "; ").alias("neighbour_hits")).where("own_hits <> '' or neighbour_hits <> ''")
 
 
-def numbers_read(spark: SparkSession, sf_dir: str, lines: str = "true") -> DataFrame:
+def numbers_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Door numbers as read from pictures: the numbers of lines, half of them at the building next door."""
-    line = B.table(spark, sf_dir, "lineitem").where(lines)
+    line = B.table(spark, sf_dir, "lineitem")
     at = B.BUILDING.format("(l_partkey + l_linenumber % 2)")
     return line.selectExpr(f"{at} as building_id", f"{B.ASSESS['door_raw']} as raw").select("building_id", norm_door(F.col("raw")).alias("door")).distinct()
 
 
-READ_SQL = f"rd as (select distinct {B.BUILDING.format('(l_partkey + l_linenumber % 2)')} as building_id, {door_sql(B.ASSESS['door_raw'])} as door from lineitem where l_orderkey % 10 = 0)"
 NEAR_SQL = """nb as (select distinct a.building_id, b.building_id as other from units a join units b on a.building_id <> b.building_id
   and sqrt(power(greatest(b.x0 - a.x1, 0, a.x0 - b.x1), 2) + power(greatest(b.y0 - a.y1, 0, a.y0 - b.y1), 2)) <= {0})"""
 
 
-@query(f"""{B.with_views('units', 'assess')}, {DOORS_SQL}, {READ_SQL}, {NEAR_SQL.format(50)},
-h as (select rd.building_id, rd.door, string_agg(distinct nb.other, ', ' order by nb.other) as held_by from rd join nb using (building_id) join doors d on d.building_id = nb.other and d.door = rd.door group by all),
-x as (select rd.*, d.door is not null as mine, held_by from rd left join doors d using (building_id, door) left join h using (building_id, door))
-select building_id, coalesce(string_agg(door, ', ' order by door) filter (mine and held_by is null), '') as own_hits,
-  coalesce(string_agg(concat(door, ' is ', held_by), '; ' order by concat(door, ' is ', held_by)) filter (not mine and held_by is not null), '') as neighbour_hits
-from x group by building_id having own_hits <> '' or neighbour_hits <> ''""")
+@query()
 def door_match_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Door numbers of a tenth of the orders; see door_match_verdict_all."""
+    """Door numbers of all lines: found at the building itself, or at a neighbour."""
     own = doors_of(B.assess(spark, sf_dir), "building_id", "door_raw")
-    return match_doors(numbers_read(spark, sf_dir, "l_orderkey % 10 = 0"), own, building_neighbours(B.units(spark, sf_dir), 50.0))
+    return match_doors(numbers_read(spark, sf_dir), own, building_neighbours(B.units(spark, sf_dir), 50.0))
 
 
 @query()
 def door_match_verdict_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Door numbers of all lines."""
-    own = doors_of(B.assess(spark, sf_dir), "building_id", "door_raw")
-    return match_doors(numbers_read(spark, sf_dir), own, building_neighbours(B.units(spark, sf_dir), 50.0))
+    """The same under its earlier name."""
+    return door_match_verdict(spark, sf_dir)
 
 
 @query(f"{B.with_views('assess')} select building_id, coalesce(string_agg(distinct trim(usage_raw), '+' order by trim(usage_raw)), '') as usages from assess group by building_id")

@@ -117,24 +117,24 @@ def select_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hit.unionByName(u.where(F.col("building_id").isin("B10", "B100", "B3"))).distinct()
 
 
-@query(f"""{B.with_views('units')}, e as (select ord, x0 + (ord % 7) as x0, y0 + (ord % 5) as y0, x1 + (ord % 7) as x1, y1 + (ord % 5) as y1 from units where ord % 3 = 0),
+@query(f"""{B.with_views('units')}, e as (select ord, x0 + (ord % 7) as x0, y0 + (ord % 5) as y0, x1 + (ord % 7) as x1, y1 + (ord % 5) as y1 from units),
 o as (select e.ord, (e.x1 - e.x0) * (e.y1 - e.y0) as area, coalesce(sum(greatest(0, least(e.x1, u.x1) - greatest(e.x0, u.x0)) * greatest(0, least(e.y1, u.y1) - greatest(e.y0, u.y0))), 0) as covered
  from e left join units u on u.x0 <= e.x1 and u.x1 >= e.x0 and u.y0 <= e.y1 and u.y1 >= e.y0 group by all)
 select ord, round_even(covered, 6) as covered from o where covered <= 0.2e0 * area""")
 def blockers_beyond_own(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring footprints that aren't copies of own ones, every third only; see blockers_beyond_own_all."""
-    return blockers(B.units(spark, sf_dir), "ord % 3 = 0")
+    """Neighbouring footprints that aren't copies of own ones."""
+    return blockers(B.units(spark, sf_dir))
 
 
 @query()
 def blockers_beyond_own_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring footprints that aren't copies of own ones."""
-    return blockers(B.units(spark, sf_dir), "true")
+    """The same under its earlier name."""
+    return blockers_beyond_own(spark, sf_dir)
 
 
-def blockers(u: DataFrame, which: str) -> DataFrame:
+def blockers(u: DataFrame) -> DataFrame:
     """(ord, covered): footprints, shifted a little, of which own ones cover a fifth at most."""
-    e = u.where(which).selectExpr("ord", "x0 + (ord % 7) as e0", "y0 + (ord % 5) as f0", "x1 + (ord % 7) as e1", "y1 + (ord % 5) as f1")
+    e = u.selectExpr("ord", "x0 + (ord % 7) as e0", "y0 + (ord % 5) as f0", "x1 + (ord % 7) as e1", "y1 + (ord % 5) as f1")
     box = ("e0", "f0", "e1", "f1")
     pairs = boxes_within(e, u.select(*sight.RECT), 0.0, box, sight.RECT, 32.0)
     covered = pairs.groupBy("ord").agg(F.sum(geo.overlap_area(box, sight.RECT)).alias("covered"))
@@ -143,15 +143,15 @@ def blockers(u: DataFrame, which: str) -> DataFrame:
     return x.where(F.col("covered") <= S.blocker_overlap * area).select("ord", F.bround("covered", 6).alias("covered"))
 
 
-@query(f"""{B.with_views('units')}, p as (select gx * 5e0 as x, gy * 5e0 as y from range(-8, 121) a(gx), range(-8, 24) b(gy)), n as (select * from units where y0 < 120),
-d as (select x, y, min(sqrt(power(greatest(x0 - x, 0, x - x1), 2) + power(greatest(y0 - y, 0, y - y1), 2))) as dist from p, n group by all) select x, y from d where dist > 0 and dist < 40""")
+#: Search points: lattice points of each unit's grown box, outside of all units and less than 40 m from one.
+GRID_SQL = """ga as (select x0, y0, x1, y1, unnest(range(ceil((x0 - 40) / 5)::bigint, floor((x1 + 40) / 5)::bigint + 1)) * 5e0 as x from units), gb as (select *, unnest(range(ceil((y0 - 40) / 5)::bigint, floor((y1 + 40) / 5)::bigint + 1)) * 5e0 as y from ga),
+gd as (select x, y, min(sqrt(power(greatest(x0 - x, 0, x - x1), 2) + power(greatest(y0 - y, 0, y - y1), 2))) as dist from gb group by all), gp as (select x, y from gd where dist > 0 and dist < 40)"""
+
+
+@query(f"{B.with_views('units')}, {GRID_SQL} select x, y from gp")
 def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search points every 5 m around the first rows of houses, outside of them and less than 40 m away; see grid_points_all."""
-    n = B.units(spark, sf_dir).where("y0 < 120").select(*sight.RECT)
-    xs = spark.range(-8, 121).select((F.col("id") * 5.0).alias("px"))
-    p = xs.withColumn("y", F.explode(F.sequence(F.lit(-8), F.lit(23)))).select("px", (F.col("y") * 5.0).alias("py"))
-    near = points_within(n, p, S.search_radius).groupBy("px", "py").agg(F.min("dist").alias("dist"))
-    return near.where((F.col("dist") > 0) & (F.col("dist") < S.search_radius)).select(F.col("px").alias("x"), F.col("py").alias("y"))
+    """Search points every 5 m around all units, outside of them and less than 40 m away."""
+    return points_around(B.units(spark, sf_dir), S.grid_step, S.search_radius)
 
 
 def points_around(units: DataFrame, step: float, radius: float) -> DataFrame:
@@ -165,8 +165,8 @@ def points_around(units: DataFrame, step: float, radius: float) -> DataFrame:
 
 @query()
 def grid_points_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search points every 5 m around all units."""
-    return points_around(B.units(spark, sf_dir), S.grid_step, S.search_radius)
+    """The same under its earlier name."""
+    return grid_points(spark, sf_dir)
 
 
 SIGHT_SQL = f"""{B.with_views('units', 'panos')}, {pairs_sql(30)},

@@ -97,7 +97,7 @@ def test_blockers_of_all_units(spark, small):
     assert got == want
     e = [(1, 0.0, 0.0, 1.0, 1.0), (2, 90.0, 0.0, 99.0, 9.0), (4, 200.0, 0.0, 201.0, 1.0)]
     d = spark.createDataFrame(e, "ord long, x0 double, y0 double, x1 double, y1 double")
-    assert {r.ord for r in spatial.blockers(d, "true").collect()} == {1, 4}
+    assert {r.ord for r in spatial.blockers(d).collect()} == {1, 4}
 
 
 def test_sign_doors_of_all_lines(spark, small):
