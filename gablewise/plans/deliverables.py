@@ -120,7 +120,8 @@ def link_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = selection.spread(F.filter("c", lambda k: ~k.blind), S.max_links, S.link_sector)
     rest = F.filter("c", lambda k: k.blind)
     # both kinds are spread over the sides of the building
-    lists = lists.withColumns({"s": first, "r": selection.spread(rest, S.max_links - F.size(first), S.link_sector)}).select("unit_id", F.concat("s", "r").alias("s"))
+    lists = lists.withColumns({"s": first, "r": selection.spread(rest, S.max_links, S.link_sector)})
+    lists = lists.select("unit_id", F.concat("s", F.slice("r", 1, S.max_links - F.size("s"))).alias("s"))  # fewer are the first of more
     return lists.select("unit_id", F.posexplode("s").alias("at", "k")).select("unit_id", (F.col("at") + 1).alias("n"), "k.pano_id", (~F.col("k.blind")).alias("los"))
 
 
