@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gablewise.llm import fingerprints, jaccard, mixing, packing, quality, spans, tokens, topk, urls, warc
+from gablewise.llm import alignment, chat, fingerprints, jaccard, mixing, packing, quality, runs, spans, tokens, topk, urls, warc
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +53,23 @@ def op10_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_warc_segments, op2_source_mix, op3_sentence_spans, op4_quality_classifier, op5_jaccard_join, op6_token_counts,
         op7_one_permutation_minhash, op8_best_fit_packing, op9_dual_tree_top_k, op10_url_language_models,
+        op11_cross_tokenizer_alignment, op12_chat_formatting, op13_periodic_runs,
     )
     return {f.__name__: f for f in every}
 
@@ -147,5 +160,20 @@ FROM j CROSS JOIN le LEFT JOIN sc ON sc.host = j.host AND sc.path = j.path AND s
 )
 
 
+OP12_SQL = r"""
+WITH t AS (SELECT FALSE AS added, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (TRUE, -1, 0, 'user', '</s>[INST] ok [/INST]'), (TRUE, -1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+o AS (SELECT *, coalesce(lag(role) OVER w = role, FALSE) AS goes_on, coalesce(lead(role) OVER w = role, FALSE) AS stays,
+    row_number() OVER w AS k FROM t WINDOW w AS (PARTITION BY added, conv_id ORDER BY turn NULLS FIRST, role, text)),
+n AS (SELECT *, length(text) + len(regexp_extract_all(text, '\[\\*(?:/?INST|/?ROLE|TEXT|NEXT)\]|<\\*/?s>')) AS of_text,
+    length(role) + len(regexp_extract_all(role, '\[\\*(?:/?INST|/?ROLE|TEXT|NEXT)\]|<\\*/?s>')) AS of_role FROM o)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (3 + sum(of_text + CASE WHEN goes_on THEN 6 WHEN role = 'user' THEN 7 WHEN role = 'assistant' THEN 0 ELSE 12 + of_role END
+        + CASE WHEN stays THEN 0 WHEN role = 'user' THEN 8 WHEN role = 'assistant' THEN 4 ELSE 7 END))::BIGINT AS formatted_chars
+FROM n GROUP BY added, conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_segments": OP1_SQL, "op2_source_mix": OP2_SQL, "op5_jaccard_join": OP5_SQL, "op9_dual_tree_top_k": OP9_SQL, "op10_url_language_models": OP10_SQL}
+    return {"op1_warc_segments": OP1_SQL, "op2_source_mix": OP2_SQL, "op5_jaccard_join": OP5_SQL, "op9_dual_tree_top_k": OP9_SQL, "op10_url_language_models": OP10_SQL, "op12_chat_formatting": OP12_SQL}
