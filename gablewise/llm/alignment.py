@@ -2,11 +2,13 @@
 
 Two token sequences of the same bytes are read by a transducer. Its state is the dangling suffix: which side is ahead, and the bytes
 by which it is. The side behind reads its next token; where the suffix becomes empty both sides end in the same byte, and a group
-of tokens closes. Transitions depend on the state and the next token alone and are remembered.
+of tokens closes. Transitions depend on the state and the next token alone and are remembered. There are no more states than tokens
+have suffixes.
 
 Both vocabularies here never join what stands on two sides of a space or a line feed that follows another character than white space (the
 constructor verifies it), so a text falls into units there. A unit's ids and groups are remembered too, if it is short; a text is the sum of its
-units. With other vocabularies a text is one unit.
+units. With other vocabularies a text is one unit. Units of plain characters are encoded by another library with the ranks of the same
+vocabulary, if its merges are ranked as its ids are, which is faster; all others by the vocabulary's own.
 
 Counts over the corpus: a document yields each of its id pairs once, with how often it links them. Blocks of documents sum up their pairs before
 anything is shuffled, totals go back to the blocks, and the documents of a block look their pairs up there; so a pair that all
@@ -15,10 +17,12 @@ documents hold travels once a block.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,46 +33,72 @@ from pyspark.sql import functions as F
 from gablewise.llm.common import id_again, id_columns, save, small_batches, tidied
 from gablewise.llm.tokens import byte_alphabet
 
-#: What a task remembers: units, the characters of each at most, and transitions.
-UNITS, UNIT_SIZE, TRANSITIONS = 100_000, 40, 200_000
+#: Units that a task remembers, twice, the characters of each at most, and transitions.
+UNITS, UNIT_SIZE, TRANSITIONS = 100_000, 40, 500_000
+#: Links of a unit that are listed one by one; a unit of more gives its pairs with their numbers.
+LISTED = 4096
 #: Bytes of text whose documents sum up their pairs together.
 BLOCK = 16 << 20
 SPACE = "▁"
+PLAIN = re.compile(r"[\x00-\u024f‐-‧]*")
 
 
 class Transducer:
-    """Reads token ids of two sides, given the bytes of all tokens of each."""
+    """Reads token ids of two sides, given the bytes of all tokens of each. State 0: nothing dangles, and side 0 reads next."""
 
     def __init__(self, a: list[bytes], b: list[bytes]):
         self.bytes = a, b
-        self.moves: dict[tuple[int, bytes, int], tuple[int, bytes] | None] = {}
+        self.forget()
 
-    def step(self, behind: int, rest: bytes, token: int) -> tuple[int, bytes] | None:
-        """The side behind reads a token: which side is behind then, and by what; None if the bytes differ."""
+    def forget(self) -> None:
+        self.states, self.numbers = [(0, b"")], {(0, b""): 0}  # which side is behind, and by what
+        self.behind, self.moves, self.size = [0], [{}], 0
+
+    def step(self, state: int, token: int) -> int:
+        """The state after the side behind has read a token; -1 if the bytes differ."""
+        behind, rest = self.states[state]
         read = self.bytes[behind][token]
         if rest.startswith(read):
-            return behind, rest[len(read) :]
-        return (1 - behind, read[len(rest) :]) if read.startswith(rest) else None
-
-    def __call__(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        """The groups; None if the bytes of the two sides aren't the same."""
-        sides, at, since, groups, moves = (a, b), [0, 0], [0, 0], [], self.moves
-        behind, rest = 0, b""
-        while at[behind] < len(sides[behind]):
-            key = (behind, rest, sides[behind][at[behind]])
-            if key not in moves:
-                if len(moves) > TRANSITIONS:
-                    moves.clear()
-                moves[key] = self.step(*key)
-            move = moves[key]
-            if move is None:
-                return None
-            at[behind] += 1
-            behind, rest = move
-            if not rest:
-                groups.append((a[since[0] : at[0]], b[since[1] : at[1]]))
-                since, behind = at.copy(), 0
-        return groups if not rest and at[1] == len(b) else None
+            after = (behind, rest[len(read) :])
+        elif read.startswith(rest):
+            after = (1 - behind, read[len(rest) :])
+        else:
+            return -1
+        if not after[1]:
+            after = (0, b"")
+        if after not in self.numbers:
+            self.numbers[after] = len(self.states)
+            self.states.append(after)
+            self.behind.append(after[0])
+            self.moves.append({})
+        self.moves[state][token] = self.numbers[after]
+        self.size += 1
+        return self.numbers[after]
+
+    def group(self, a: list[int], i: int, b: list[int], j: int) -> tuple[int, int] | None:
+        """Where the group ends that starts at a[i] and b[j]; None if it doesn't, or the bytes differ."""
+        if self.size > TRANSITIONS:
+            self.forget()
+        n, m, behind, moves, state = len(a), len(b), self.behind, self.moves, 0
+        while True:
+            if behind[state]:
+                if j == m:
+                    return None
+                token = b[j]
+                j += 1
+            else:
+                if i == n:
+                    return None
+                token = a[i]
+                i += 1
+            after = moves[state].get(token)
+            if after is None:
+                after = self.step(state, token)
+                if after < 0:
+                    return None
+            if not after:
+                return i, j
+            state = after
 
 
 class Aligner:
@@ -92,33 +122,77 @@ class Aligner:
         apart = self.mark >= 0 and str(type(self.a.pre_tokenizer).__name__) == "ByteLevel" and self.a.normalizer is None
         self.apart = apart and not any(across.search(p) for p in pieces) and self.b.encode(" a  b") == self.b.encode(" a") + self.b.encode(" b")
         self.cut = re.compile(r"(?<=\S)(?=[ \n])")
-        self.known: dict[str, tuple | None] = {}
-
-    def ids_b(self, units: list[str]) -> list[list[int]]:
-        """The ids of units that start with a space, which the library adds, or with a line feed, before which it adds one too."""
-        got = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        return [(ids or [self.mark]) if u[0] == " " else ids[1:] for u, ids in zip(units, got, strict=True)]
-
-    def align(self, units: list[str]) -> list[tuple | None]:
-        """(ids of a, ids of b, groups, groups written, codes of linked pairs, how often each) of units; None where the bytes differ."""
-        out = []
-        for u, x, b in zip(units, self.a.encode_batch(units, add_special_tokens=False), self.ids_b(units), strict=True):
-            a = x.ids
-            groups = self.transducer(a, b)
-            if groups is None or b"".join(map(self.transducer.bytes[0].__getitem__, a)) != u.encode():
-                out.append(None)
-                continue
-            links: Counter[int] = Counter()
-            for p, q in groups:
-                if len(p) == len(q) == 1:
-                    links[p[0] * self.size_b + q[0]] += 1
+        self.fast = ranked(a, self.transducer.bytes[0]) if apart else None
+        self.lengths = [np.array(list(map(len, x)), np.int64) for x in self.transducer.bytes]
+        self.pairs: dict[int, str] = {}  # of groups of one token each: how they are written; others have ""
+        self.known: dict[str, tuple | bool] = {}
+        self.before: dict[str, tuple | bool] = {}  # known before the last were too many
+
+    def ids_a(self, text: str) -> list[int]:
+        return self.fast(text) if self.fast and PLAIN.fullmatch(text) else self.a.encode(text, add_special_tokens=False).ids
+
+    def ids_b(self, text: str) -> list[int]:
+        """The ids of a text that starts with a space, which the library adds, or with a line feed, before which it adds one too."""
+        return (self.b.encode(text[1:]) or [self.mark]) if text[0] == " " else self.b.encode(text)[1:]
+
+    def ids(self, units: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """The ids of a and b of each unit, from those of all of them in a row, which end where units do."""
+        text = "".join(units)
+        ends, parts = np.cumsum([len(u.encode()) for u in units]), []
+        for encode, lengths in ((self.ids_a, self.lengths[0]), (self.ids_b, self.lengths[1])):
+            ids = encode(text)
+            upto = np.cumsum(lengths[ids])
+            at = np.searchsorted(upto, ends)
+            if not len(upto) or at[-1] >= len(upto) or (upto[at] != ends).any():  # not these bytes, or not these units
+                return ((self.ids_a(u), self.ids_b(u)) for u in units)
+            stops = (at + 1).tolist()
+            parts.append([ids[i:j] for i, j in zip([0, *stops], stops, strict=False)])
+        return zip(*parts, strict=True)
+
+    def align(self, units: list[str]) -> list[tuple | bool]:
+        """(tokens of a, of b and groups in one number, groups written, codes of all links, codes with their numbers if many) of units; False where the bytes differ."""
+        out, width, of_a, group, pairs = [], self.size_b, self.transducer.bytes[0], self.transducer.group, self.pairs
+        for u, (a, b) in zip(units, self.ids(units), strict=True):
+            i = j = links = 0
+            n, m, written, codes, large = len(a), len(b), [], [], []
+            while i < n and j < m:
+                code = a[i] * width + b[j]
+                pair = pairs.get(code)
+                if pair:
+                    written.append(pair)
+                    codes.append(code)
+                    i += 1
+                    j += 1
+                    continue
+                end = group(a, i, b, j)
+                if end is None:
+                    break
+                k, l = end  # noqa: E741
+                p, q = a[i:k], b[j:l]
+                written.append(f"{','.join(map(str, p))}|{','.join(map(str, q))}")
+                if pair is None:
+                    pairs[code] = written[-1] if k - i == l - j == 1 else ""
+                if len(p) * len(q) > LISTED:
+                    large.append((p, q))
                 else:
-                    q_times = Counter(q).items()
-                    for i, m in Counter(p).items():
-                        for j, n in q_times:
-                            links[i * self.size_b + j] += m * n
-            written = ";".join(f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups)
-            out.append((len(a), len(b), len(groups), written, np.fromiter(links, np.int64).tobytes(), np.fromiter(links.values(), np.int64).tobytes()))
+                    codes += [x * width + y for x in p for y in q]
+                links += len(p) * len(q)
+                i, j = k, l
+            if i < n or j < m or b"".join([of_a[x] for x in a]) != u.encode():
+                out.append(False)
+                continue
+            times = None
+            if large or links > LISTED:
+                times = Counter(codes)
+                for p, q in large:
+                    of_q = Counter(q).items()
+                    for x, c in Counter(p).items():
+                        for y, d in of_q:
+                            times[x * width + y] += c * d
+                codes = ()
+            out.append(((n << 80) + (m << 40) + len(written), ";".join(written), array("q", codes).tobytes(), times))
+        if len(pairs) > TRANSITIONS:
+            pairs.clear()
         return out
 
     def units(self, text: str) -> list[str]:
@@ -126,25 +200,57 @@ class Aligner:
             return []
         return self.cut.split(" " + text) if self.apart else [" " + text]
 
+    def of_units(self, units: list[str]) -> list[tuple | bool]:
+        got = list(map(self.known.get, units))
+        if None not in got:
+            return got
+        missing = {u for u, x in zip(units, got, strict=True) if x is None}
+        if len(self.known) + len(missing) > UNITS:
+            self.known, self.before = {}, self.known
+        new, before = [u for u in missing if u not in self.before], self.before
+        found = {u: before[u] for u in missing if u in before}
+        if new:
+            found.update(zip(new, self.align(new), strict=True))
+        self.known.update((u, x) for u, x in found.items() if len(u) <= UNIT_SIZE)
+        return [found[u] if x is None else x for u, x in zip(units, got, strict=True)]
+
     def __call__(self, texts: list[str]) -> Iterator[tuple]:
         """(n_a, n_b, n_groups, groups written, codes, times) for each text; without tokens where the bytes differ."""
         nothing = (0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
-        split, known = [self.units(t) for t in texts], self.known
-        new = list({u for us in split for u in us if len(u) <= UNIT_SIZE and u not in known})
-        if len(known) + len(new) > UNITS:
-            known.clear()
-            new = list({u for us in split for u in us if len(u) <= UNIT_SIZE})
-        known |= zip(new, self.align(new), strict=True)
-        for us in split:
-            got = [known[u] if len(u) <= UNIT_SIZE else self.align([u])[0] for u in us]
-            if not got or None in got:
+        low = (1 << 40) - 1
+        for text in texts:
+            got = self.of_units(self.units(text))
+            if not got or False in got:
                 yield nothing
                 continue
-            n_a, n_b, n, written, codes, times = zip(*got, strict=True)
-            codes, at = np.unique(np.frombuffer(b"".join(codes), np.int64), return_inverse=True)
-            sums = np.zeros(len(codes), np.int64)
-            np.add.at(sums, at, np.frombuffer(b"".join(times), np.int64))
-            yield sum(n_a), sum(n_b), sum(n), ";".join(written), codes, sums
+            numbers, written, listed, counted = zip(*got, strict=True)
+            codes, times = np.unique(np.frombuffer(b"".join(listed), np.int64), return_counts=True)
+            if any(counted):
+                every = Counter(dict(zip(codes.tolist(), times.tolist(), strict=True)))
+                for c in filter(None, counted):
+                    every.update(c)
+                codes = np.array(sorted(every), np.int64)
+                times = np.array([every[c] for c in codes.tolist()], np.int64)
+            n = sum(numbers)
+            yield n >> 80, n >> 40 & low, n & low, ";".join(written), codes, times
+
+
+def ranked(vocabulary: str, of: list[bytes]) -> Callable[[str], list[int]] | None:
+    """The encoder that takes a vocabulary's ids as ranks of its merges; None if they aren't."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(vocabulary, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    ids, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    order = [ids.get(x + y, -1) for x, y in merges]
+    known = set(ids.values())
+    if order != list(range(256, 256 + len(order))) or any(len(of[i]) != 1 for i in range(256)) or not known.issuperset(range(256 + len(order))):
+        return None
+    ranks = {of[i]: i for i in range(256 + len(order))}
+    if len(ranks) != 256 + len(order):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def align_documents(docs: DataFrame, a: str, b: str, block: int = BLOCK) -> DataFrame:

@@ -87,11 +87,21 @@ def test_one_huge_word(spark):
 
 def test_transducer_states():
     t = alignment.Transducer([b"ab", b"c", b"abc"], [b"a", b"bc", b"b"])
-    assert t([0, 1], [0, 1]) == [([0, 1], [0, 1])]
-    assert t([0, 1], [0, 2]) is None and t([0], [0, 1]) is None and t([1], [0]) is None
-    assert t([0, 2], [0, 2, 0, 1]) == [([0], [0, 2]), ([2], [0, 1])]
-    assert t([], []) == [] and t([], [0]) is None
-    assert t.moves[(0, b"", 0)] == (1, b"ab") and t.moves[(1, b"ab", 0)] == (1, b"b")
+
+    def groups(a, b):
+        ends = [(0, 0)]
+        while ends[-1][0] < len(a) or ends[-1][1] < len(b):
+            end = t.group(a, ends[-1][0], b, ends[-1][1])
+            if end is None:
+                return None
+            ends.append(end)
+        return ends[1:]
+
+    assert groups([0, 1], [0, 1]) == [(2, 2)]
+    assert groups([0, 1], [0, 2]) is None and groups([0], [0, 1]) is None and groups([1], [0]) is None
+    assert groups([0, 2], [0, 2, 0, 1]) == [(1, 2), (2, 4)]
+    assert groups([], []) == [] and groups([], [0]) is None
+    assert t.states[t.moves[0][0]] == (1, b"ab") and t.states[t.moves[t.moves[0][0]][0]] == (1, b"b")
 
 
 # ---------------------------------------------------------------------------------------------- 12: chat
