@@ -10,17 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.model import Settings
 from gablewise.operators.grid import cell, in_cells
 
 BOUNDS = ("min_x", "min_y", "max_x", "max_y")
+EDGES = "array<struct<ax:double,ay:double,bx:double,by:double>>"
+
+
+def broken(df: DataFrame, points: str, closed: bool) -> DataFrame:
+    """The rows that no operator here takes: outlines of fewer than three points, roads of fewer than two, or none at all."""
+    return df.where(F.coalesce(F.size(points), F.lit(0)) < (3 if closed else 2))
 
 
 def edges(points: Column, closed: bool) -> Column:
-    """The edges of an outline or a road: an array of structs (ax, ay, bx, by)."""
+    """The edges of an outline or a road: an array of structs (ax, ay, bx, by); none of a shape with too few points."""
     n = F.size(points)
     one = lambda i: F.struct(F.get(points, i).x.alias("ax"), F.get(points, i).y.alias("ay"), F.get(points, (i + 1) % n).x.alias("bx"), F.get(points, (i + 1) % n).y.alias("by"))
-    return F.transform(F.sequence(F.lit(0), n - (1 if closed else 2)), one)
+    return F.when(n >= (3 if closed else 2), F.transform(F.sequence(F.lit(0), n - (1 if closed else 2)), one)).otherwise(F.array().cast(EDGES))
 
 
 def bounds(points: Column) -> dict[str, Column]:
@@ -52,37 +57,66 @@ def distance(px: Column, py: Column, es: Column) -> Column:
     return F.when(inside(px, py, es), 0.0).otherwise(depth(px, py, es))
 
 
+def millimetres(c: Column) -> Column:
+    return F.floor(c * 1000 + F.lit(0.5)).cast("long")
+
+
+def turning(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
+    """1, 0 or -1: c is to the left of the line from a to b, on it, or to its right. Whole numbers, so exact up to some 2,000 km in millimetres."""
+    return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+
+
 def touches(px: Column, py: Column, qx: Column, qy: Column, e: Column) -> Column:
-    """Does the segment from p to q touch an edge? Each one's ends lie on both sides of the other, or on it."""
-    side = lambda ax, ay, bx, by, cx, cy: (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
-    across = side(px, py, qx, qy, e.ax, e.ay) * side(px, py, qx, qy, e.bx, e.by) <= 0
-    along = side(e.ax, e.ay, e.bx, e.by, px, py) * side(e.ax, e.ay, e.bx, e.by, qx, qy) <= 0
-    near = (F.least(px, qx) <= F.greatest(e.ax, e.bx)) & (F.greatest(px, qx) >= F.least(e.ax, e.bx)) & (F.least(py, qy) <= F.greatest(e.ay, e.by)) & (F.greatest(py, qy) >= F.least(e.ay, e.by))
+    """Do the segment from p to q and an edge have a point in common, ends included? Decided in whole millimetres, without rounding."""
+    px, py, qx, qy, ax, ay, bx, by = (millimetres(c) for c in (px, py, qx, qy, e.ax, e.ay, e.bx, e.by))
+    across = turning(px, py, qx, qy, ax, ay) * turning(px, py, qx, qy, bx, by) <= 0
+    along = turning(ax, ay, bx, by, px, py) * turning(ax, ay, bx, by, qx, qy) <= 0
+    near = (F.least(px, qx) <= F.greatest(ax, bx)) & (F.greatest(px, qx) >= F.least(ax, bx)) & (F.least(py, qy) <= F.greatest(ay, by)) & (F.greatest(py, qy) >= F.least(ay, by))
     return near & across & along
 
 
+def strictly_inside(px: Column, py: Column, es: Column) -> Column:
+    """Is a point inside an outline and not on it? In whole millimetres, without rounding."""
+    px, py = millimetres(px), millimetres(py)
+    of = lambda e: [millimetres(c) for c in (e.ax, e.ay, e.bx, e.by)]
+
+    def crossed(e: Column) -> Column:
+        ax, ay, bx, by = of(e)
+        return ((ay > py) != (by > py)) & (turning(ax, ay, bx, by, px, py) == F.when(by > ay, 1).otherwise(-1))
+
+    def on(e: Column) -> Column:
+        ax, ay, bx, by = of(e)
+        return (turning(ax, ay, bx, by, px, py) == 0) & px.between(F.least(ax, bx), F.greatest(ax, bx)) & py.between(F.least(ay, by), F.greatest(ay, by))
+
+    return (F.size(F.filter(es, crossed)) % 2 == 1) & ~F.exists(es, on)
+
+
 def with_lengths(es: Column) -> Column:
     """The edges with the distances along the shape at which they start and end: structs (a, b, ax, ay, bx, by)."""
     none = F.expr("cast(array() as array<struct<a:double,b:double,ax:double,ay:double,bx:double,by:double>>)")
 
     def add(done: Column, e: Column) -> Column:
         at = F.coalesce(F.try_element_at(done, F.lit(-1)).b, F.lit(0.0))
-        return F.concat(done, F.array(F.struct(at.alias("a"), (at + F.hypot(e.bx - e.ax, e.by - e.ay)).alias("b"), e.ax.alias("ax"), e.ay.alias("ay"), e.bx.alias("bx"), e.by.alias("by"))))
+        dx, dy = e.bx - e.ax, e.by - e.ay
+        return F.concat(done, F.array(F.struct(at.alias("a"), (at + F.sqrt(dx * dx + dy * dy)).alias("b"), e.ax.alias("ax"), e.ay.alias("ay"), e.bx.alias("bx"), e.by.alias("by"))))
 
     return F.aggregate(es, none, add)
 
 
 def point_along(ls: Column, at: Column) -> Column:
     """The point (x, y) at a distance along a shape, from its edges with lengths."""
-    e = F.coalesce(F.get(F.filter(ls, lambda e: e.b > at), F.lit(0)), F.element_at(ls, -1))
+    e = F.coalesce(F.get(F.filter(ls, lambda e: e.b > at), F.lit(0)), F.try_element_at(ls, F.lit(-1)))
     k = (at - e.a) / F.greatest(e.b - e.a, F.lit(1e-12))
     return F.struct((e.ax + (e.bx - e.ax) * k).alias("x"), (e.ay + (e.by - e.ay) * k).alias("y"))
 
 
 def points_near(shapes: DataFrame, points: DataFrame, radius: float, outline: str = "ring") -> DataFrame:
-    """Pairs of a footprint and a point (px, py) at most radius apart, with dist (0 inside) and depth. Pairs come once."""
+    """Pairs of a footprint and a point (px, py) at most radius apart, with dist (0 inside) and depth. Pairs come once.
+
+    Outlines of fewer than three points are near nothing.
+    """
     side = max(radius, 1.0)
-    s = shapes.withColumn("es", edges(F.col(outline), True)).withColumns(bounds(F.col(outline)))
+    s = shapes.where(F.size(outline) >= 3).withColumn("es", edges(F.col(outline), True)).withColumns(bounds(F.col(outline)))
     s = in_cells(s, BOUNDS, side, radius).drop("first_x", "first_y")
     p = points.withColumns({"cell_x": cell("px", side), "cell_y": cell("py", side)})
     x = s.join(p, ["cell_x", "cell_y"]).drop("cell_x", "cell_y")
@@ -91,34 +125,9 @@ def points_near(shapes: DataFrame, points: DataFrame, radius: float, outline: st
     return x.withColumn("dist", F.when(F.col("inside"), 0.0).otherwise(F.col("depth"))).where(F.col("dist") <= radius)
 
 
-def outline_sights(pairs: DataFrame, blockers: DataFrame, s: Settings, side: float = 32.0) -> DataFrame:
-    """(unit_id, pano_id, i, n, step, qx, qy, d, visible, and the pair's columns) for each outline point of each pair.
-
-    pairs: of points_near, with es; blockers: (ring). A sight line stops a little short of its point, and an edge of any
-    footprint that it touches hides the point, the target's too. The few edges around a pair's camera and target are gathered
-    into one array, the only shuffle of pairs after the join by cells; outline points are made and tested behind it.
-    """
-    box = [F.least(F.col("min_x"), F.col("px")), F.least(F.col("min_y"), F.col("py")), F.greatest(F.col("max_x"), F.col("px")), F.greatest(F.col("max_y"), F.col("py"))]
-    keep = ["pano_date", "pano_ord", "px", "py", "es"]
-    p = in_cells(pairs.select("unit_id", "pano_id", *keep, *[b.alias(f"b{i}") for i, b in enumerate(box)]), ("b0", "b1", "b2", "b3"), side)
-    b = blockers.select(edges(F.col("ring"), True).alias("walls"), *[c.alias(n) for n, c in bounds(F.col("ring")).items()])
-    b = in_cells(b, BOUNDS, side).withColumnsRenamed({"first_x": "other_x", "first_y": "other_y"})
-    once = (F.col("cell_x") == F.greatest("first_x", "other_x")) & (F.col("cell_y") == F.greatest("first_y", "other_y"))
-    meets = (F.col("min_x") <= F.col("b2")) & (F.col("max_x") >= F.col("b0")) & (F.col("min_y") <= F.col("b3")) & (F.col("max_y") >= F.col("b1"))
-    near = p.join(b, ["cell_x", "cell_y"]).where(once & meets).groupBy("unit_id", "pano_id").agg(F.flatten(F.collect_list("walls")).alias("walls"), *[F.first(c).alias(c) for c in keep])
-    x = near.withColumn("ls", with_lengths(F.col("es"))).withColumn("ring_m", F.element_at("ls", -1).b)
-    x = x.withColumn("n", F.greatest(F.lit(8), F.floor(F.col("ring_m") / s.outline_step)).cast("int")).withColumn("step", F.col("ring_m") / F.col("n"))
-    x = x.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("q", point_along(F.col("ls"), F.col("i") * F.col("step")))
-    x = x.withColumns({"qx": F.col("q.x"), "qy": F.col("q.y")}).withColumn("d", F.greatest(F.hypot(F.col("qx") - F.col("px"), F.col("qy") - F.col("py")), F.lit(1e-9)))
-    k = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("d") - s.sight_stop) / F.col("d")))
-    x = x.withColumns({"tx": F.col("px") + (F.col("qx") - F.col("px")) * k, "ty": F.col("py") + (F.col("qy") - F.col("py")) * k})
-    hidden = F.exists("walls", lambda e: touches(F.col("px"), F.col("py"), F.col("tx"), F.col("ty"), e))
-    return x.select("unit_id", "pano_id", "i", "n", "step", "qx", "qy", "d", (~hidden).alias("visible"), "pano_date", "pano_ord", "px", "py")
-
-
 def path_segments(roads: DataFrame) -> DataFrame:
     """(road_fid, seg, a, b, ax, ay, bx, by, starts, ends): each road's edges; whether they hold an end of the road."""
-    x = roads.select("road_fid", F.posexplode(with_lengths(edges(F.col("path"), False))).alias("seg", "e"), (F.size("path") - 2).alias("last"))
+    x = roads.where(F.size("path") >= 2).select("road_fid", F.posexplode(with_lengths(edges(F.col("path"), False))).alias("seg", "e"), (F.size("path") - 2).alias("last"))
     return x.select("road_fid", "seg", "e.*", (F.col("seg") == 0).alias("starts"), (F.col("seg") == F.col("last")).alias("ends"))
 
 
@@ -151,8 +160,9 @@ def split_paths(roads: DataFrame, cuts: DataFrame, min_gap: float, min_length: f
     """Stretches (road_fid, road_name, n, path, length_m, stretch_id) of roads (road_fid, road_name, path) between the cuts.
 
     Cuts close to an end, or to the last one kept, don't count; short pieces go. A piece keeps the bends between its ends. Of
-    equal stretches the first stays. The thinning is a fold over one road's cuts.
+    equal stretches the first stays. The thinning is a fold over one road's cuts. Roads of fewer than two points have no stretches.
     """
+    roads = roads.where(F.size("path") >= 2)
     lists = cuts.groupBy("road_fid").agg(F.array_sort(F.collect_set("cut")).alias("cuts"))
     x = roads.join(lists, "road_fid", "left").withColumn("ls", with_lengths(edges(F.col("path"), False))).withColumn("len", F.element_at("ls", -1).b)
     none = F.expr("cast(array() as array<double>)")

@@ -148,6 +148,11 @@ def candidates(runs: DataFrame, s: Settings) -> DataFrame:
         F.bround(turn(F.col("mid") + F.col("l.off")), 2).alias("bearing_left"), F.bround(turn(F.col("mid") + F.col("r.off")), 2).alias("bearing_right"),
         F.col("l.qx").alias("left_x"), F.col("l.qy").alias("left_y"), F.col("r.qx").alias("right_x"), F.col("r.qy").alias("right_y"),
     )
+    return graded(c, s)
+
+
+def graded(c: DataFrame, s: Settings) -> DataFrame:
+    """The views that show enough at a fitting angle and distance, with quality and score. Lengths come rounded to centimetres."""
     c = c.where((F.col("visible_m") >= s.min_visible) & F.col("span_deg").between(s.min_span, s.max_span) & (F.col("dist_near") >= s.min_view_dist))
     # in whole ten-thousandths: no sum of decimal fractions stands between a tie and its rounding
     near = F.rint(F.col("dist_near") * 100).cast("long")
