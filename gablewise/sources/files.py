@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -18,6 +19,20 @@ def filesystem(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed and kept in the shared folder of spark.checkpoint.dir, with its lineage cut: for loops, and to survive lost executors.
+
+    Only a local session without such a folder gets its own.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        root = sc.getConf().get("spark.checkpoint.dir")
+        if not root and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="spark-gablewise-"))
+    return df.checkpoint()
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at path, or one without rows if nothing is there."""
     fs, p = filesystem(spark, path)
