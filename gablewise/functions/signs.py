@@ -6,6 +6,9 @@ The patterns, word lists and prefixes below are fixed values.
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +24,10 @@ NOISE = r"(?i)\b(?:coimbatore\s+city\s+municipal\s+corporation|municipal\s+corpo
 TAMIL_NOISE = r"(?:கோயம்புத்தூர்\s*மாநகராட்சி|கோயம்புத்தூர்|மாநகராட்சி|வார்டு\s*\d*|மண்டலம்)\s*"
 NUMBER_FIRST = r"(?i)^(?:(?:old|new)?\s*no\.?\s*[\d/]+[A-Za-z]?\s*,?\s*)+"
 PIN_LAST = r"[\s,\-]*6\s?4\s?1\s?\d\s?\d\s?\d\s*$"
-SHORT_FORMS = (("Rd", "Road"), ("St", "Street"), ("Ave", "Avenue"), ("Ln", "Lane"), ("Extn", "Extension"))
-ORDINALS = (("First", "1st"), ("Second", "2nd"), ("Third", "3rd"), ("Fourth", "4th"))
+SPELLINGS = (
+    (r"(?i)\bRd\b\.?", "Road"), (r"(?i)\bSt\b\.?", "Street"), (r"(?i)\bAve\b\.?", "Avenue"), (r"(?i)\bLn\b\.?", "Lane"), (r"(?i)\bExtn\b\.?", "Extension"),
+    (r"(?i)\bFirst\b", "1st"), (r"(?i)\bSecond\b", "2nd"), (r"(?i)\bThird\b", "3rd"), (r"(?i)\bFourth\b", "4th"), (r"(?i)\b(\d+)\s*(st|nd|rd|th)\b", "$1$2"),
+)
 VIEWER = r"(?i)search google maps|google street view|google maps|image capture|^©|^\(c\)|^goo[gl~]*e?\s*$|^\s*(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+20\d\d\s*$|^(?:view|zoom|ortho|screenshot|p)\s*\d*[\s/]*(?:of view)?\s*\d*\s+20\d\d|^view \d|^zoom of|^ortho"
 PRIORITY = ("road", "street", "salai", "cross", "lane", "avenue", "veethi", "layout", "nagar", "colony", "extension")
 
@@ -36,11 +41,8 @@ def normal_name(name: Column) -> Column:
     s = _ends(F.regexp_replace(name, r"\s+", " "))
     s = F.regexp_replace(F.regexp_replace(s, NOISE, " "), TAMIL_NOISE, "")
     s = F.regexp_replace(F.regexp_replace(_ends(s), NUMBER_FIRST, ""), PIN_LAST, "")
-    for a, b in SHORT_FORMS:
-        s = F.regexp_replace(s, rf"(?i)\b{a}\b\.?", b)
-    for a, b in ORDINALS:
-        s = F.regexp_replace(s, rf"(?i)\b{a}\b", b)
-    s = F.regexp_replace(s, r"(?i)\b(\d+)\s*(st|nd|rd|th)\b", "$1$2")
+    for pattern, spelling in SPELLINGS:
+        s = F.regexp_replace(s, pattern, spelling)
     s = _ends(F.regexp_replace(s, r"\s+", " "))
     keep = lambda w: w.rlike(r"^\d|\.") | ((w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) <= 3))
     cased = F.array_join(F.transform(F.split(s, " "), lambda w: F.when(keep(w), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w)))))), " ")
@@ -93,6 +95,36 @@ def raw_roads(lines: Column) -> Column:
     return F.transform(F.array_sort(F.transform(found, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("name")))), lambda s: s["name"])
 
 
+@F.pandas_udf("array<int>")
+def _unlike(lows: pd.Series, numbers: pd.Series, letters: pd.Series) -> pd.Series:
+    """The places of names that are like none kept before them."""
+
+    def kept(low: list[str], number: list[str | None], letter: list[str]) -> list[int]:
+        out: list[int] = []
+        for i in range(len(low)):
+            like = lambda k: low[i] == low[k] or number[i] == number[k] and difflib.SequenceMatcher(None, letter[i], letter[k]).ratio() >= 0.85  # noqa: B023, E731
+            if not any(map(like, out)):
+                out.append(i)
+        return out
+
+    return pd.Series([kept(*x) if x[0] is not None else None for x in zip(lows, numbers, letters, strict=True)])
+
+
+def road_names(lines: Column) -> Column:
+    """Up to three roads that a sign names, each in one spelling: of names that mean one road the longest; roads before streets before others."""
+    fine = F.filter(F.transform(raw_roads(lines), normal_name), lambda n: n.isNotNull() & (F.size(F.split(n, r"\s+")) >= 2))
+    lows = F.transform(fine, F.lower)
+    places = _unlike(lows, F.transform(lows, street_number), F.transform(lows, road_letters))
+    first = F.transform(places, lambda i: F.struct(priority(F.get(fine, i)).alias("type"), i.alias("i")))
+    return F.slice(F.transform(F.array_sort(first), lambda p: F.get(fine, p.i)), 1, 3)
+
+
+def viewer_address(panel: Column) -> Column:
+    """The road in the first line that the viewer itself drew and that names one."""
+    hit = F.filter(panel, lambda x: x.rlike(ROAD) & ~x.rlike(VIEWER))
+    return normal_name(F.regexp_extract(F.get(hit, F.lit(0)), ROAD, 1))
+
+
 def sign_kind(lines: Column) -> Column:
     text = sign_text(lines)
     low = F.lower(text)

@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 from gablewise.functions.signs import normal_name, street_number
 
 ALIKE = 0.85
+#: How a decision is put in words.
+STATUS = {
+    "a": "Accepted - board confirms",
+    "b, other name": "Board overrides road layer",
+    "b, no name": "Accepted - board (no road layer name)",
+    "c": "Accepted - shop addresses agree",
+    "conflict": "Conflict - needs review",
+    "d": "Unverified - road layer only",
+    "none, a sign": "Unverified - single sign only",
+    "none": "No name found",
+}
 
 
 def _plain(name: str) -> str:
@@ -49,7 +60,7 @@ def leader_groups(evidence: DataFrame, key: str) -> DataFrame:
 
 
 def decide_names(evidence: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
-    """(key, name, rule, fix) from the signs along each stretch and the road layer's name (key, candidate).
+    """(key, name, rule, status, fix) from the signs along each stretch and the road layer's name (key, candidate).
 
     A board like the candidate confirms it (a); else the largest group of boards decides (b), two equally large ones conflict;
     without boards two buildings' addresses that agree decide (c), one vote a building; then the candidate (d); then the most
@@ -80,4 +91,9 @@ def decide_names(evidence: DataFrame, candidates: DataFrame, key: str) -> DataFr
     x = x.withColumn("rule", rule)
     name = F.when(rule == "a", F.col("confirmed.group_name")).when(rule == "b", top(F.col("boards"))["name"]).when(rule == "c", top(F.col("shops"))["name"]).when(rule == "d", F.col("candidate")).when(rule == "none", F.col("common"))
     fix = ((rule == "b") & F.col("candidate").isNotNull()) | ((rule == "c") & F.col("candidate").isNotNull() & ~top(F.col("shops")).hit)
-    return x.select(key, name.alias("name"), "rule", F.coalesce(fix, F.lit(False)).alias("fix"))
+    known = F.col("candidate").isNotNull()
+    status = (
+        F.when(rule == "a", STATUS["a"]).when(rule == "conflict", STATUS["conflict"]).when((rule == "b") & known, STATUS["b, other name"]).when(rule == "b", STATUS["b, no name"])
+        .when(rule == "c", STATUS["c"]).when(rule == "d", STATUS["d"]).when(F.col("common").isNotNull(), STATUS["none, a sign"]).otherwise(STATUS["none"])
+    )
+    return x.select(key, name.alias("name"), "rule", status.alias("status"), F.coalesce(fix, F.lit(False)).alias("fix"))

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from gablewise.functions.geo import bearing
 from gablewise.functions.text import name_key, similar_keys
+from gablewise.model import Settings
 from gablewise.operators.grid import cell, in_cells
-from gablewise.operators.shapes import BOUNDS, bounds, edge_distance, edges, inside, millimetres, point_along, touches, turning, with_lengths
+from gablewise.operators.selection import choose_in_turn
+from gablewise.operators.shapes import BOUNDS, bounds, edge_distance, edges, inside, point_along, touches, with_lengths
 
 SIDE = 64.0
 
@@ -122,12 +124,22 @@ def cameras_on_roads(points: DataFrame, panos: DataFrame, roads: DataFrame, key:
     c = panos.select("pano_id", "pano_date", "pano_ord", "px", "py").withColumns({"cell_x": cell("px", side), "cell_y": cell("py", side)})
     dx, dy = F.col("px") - F.col("qx"), F.col("py") - F.col("qy")
     near = p.join(c, ["cell_x", "cell_y"]).withColumn("dist", F.sqrt(dx * dx + dy * dy)).where(F.col("dist") <= reach)
-    # a panoroma near a point is that near its road, so no road farther off can be its nearest
+    # a panorama near a point is that near its road, so no road farther off can be its nearest
     asked = near.select("pano_id", "px", "py").distinct()
     own = nearest_roads(roads_near_points(asked, roads, ["pano_id"], key, reach), ["pano_id"], key, ties=True).select("pano_id", key)
     return near.join(own, ["pano_id", key]).select(key, "n", "pano_id", "pano_date", "pano_ord", "dist")
 
 
+def choose_pictures(roads: DataFrame, panos: DataFrame, key: str, s: Settings) -> DataFrame:
+    """(key, n, pick): for each picture point in turn the pano_ord of the newest, then nearest panorama on its road that no earlier point of it took."""
+    p = picture_points(roads, key, s.picture_step)
+    c = cameras_on_roads(p, panos, roads, key, s.picture_reach)
+    age = 999_999 - F.replace(F.coalesce("pano_date", F.lit("0")), F.lit("-"), F.lit("")).cast("int")  # months count down
+    lists = c.groupBy(key, "n").agg(F.array_sort(F.collect_list(F.struct(age.alias("age"), F.bround("dist", 6).alias("dist"), F.col("pano_ord").alias("ord")))).alias("cands"))
+    none = F.array().cast("array<struct<age:int,dist:double,ord:bigint>>")
+    return choose_in_turn(p.select(key, "n").join(lists, [key, "n"], "left").withColumn("cands", F.coalesce("cands", none)), key)
+
+
 def assign_units(units: DataFrame, access: DataFrame, views: DataFrame, roads: DataFrame, names: DataFrame, key: str, camera_reach: float, back_reach: float) -> DataFrame:
     """(unit_id, key, role) of the units (unit_id, road, ring) that belong to a road.
 

@@ -1,4 +1,4 @@
-"""Street networks: lines split at junctions, points along them, gaps between the fronts, names of stretches.
+"""Street networks: lines split at junctions, points along them, names of stretches.
 
 Lines are axis-aligned segments (road_fid, x0, y0, x1, y1) here; distances along a line start at its first end.
 """
@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gablewise.functions.geo import bearing
-from gablewise.operators.grid import boxes_within, in_cells
+from gablewise.operators.grid import boxes_within
 
 LINE = ("x0", "y0", "x1", "y1")
 OTHER = ("u0", "v0", "u1", "v1")
@@ -77,19 +77,3 @@ def points_along(lines: DataFrame, key: str, step: float) -> DataFrame:
     x = x.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("k")))).withColumn("along", (F.col("n") - 0.5) * F.col("len") / F.col("k"))
     at = lambda p, q: F.col(p) + (F.col(q) - F.col(p)) * (F.col("along") / F.col("len"))
     return x.select(key, "n", F.bround("along", 1).alias("along_m"), at("x0", "x1").alias("x"), at("y0", "y1").alias("y"), bearing(*LINE).alias("heading"))
-
-
-def front_gaps(lines: DataFrame, key: str, footprints: DataFrame, step: float, reach: float) -> DataFrame:
-    """(key, samples, both, median_m, min_m): gaps between the fronts on both sides, sampled along level lines.
-
-    At each sample the nearest footprint straight above and straight below counts, up to reach; a gap needs both.
-    """
-    s = points_along(lines.where("y0 = y1"), key, step)
-    s = s.select(key, "n", "x", "y").withColumns({"lo": F.col("y") - reach, "hi": F.col("y") + reach})
-    ray = in_cells(s, ("x", "lo", "x", "hi"), 32.0)
-    f = in_cells(footprints.selectExpr("x0 as b0", "y0 as b1", "x1 as b2", "y1 as b3"), ("b0", "b1", "b2", "b3"), 32.0).withColumnsRenamed({"first_x": "other_x", "first_y": "other_y"})
-    hit = ray.join(f, ["cell_x", "cell_y"]).where((F.col("b0") <= F.col("x")) & (F.col("b2") >= F.col("x")) & (F.col("b1") <= F.col("hi")) & (F.col("b3") >= F.col("lo")))
-    up, down = F.min(F.when(F.col("b3") >= F.col("y"), F.greatest(F.lit(0.0), F.col("b1") - F.col("y")))), F.min(F.when(F.col("b1") <= F.col("y"), F.greatest(F.lit(0.0), F.col("y") - F.col("b3"))))
-    gaps = hit.groupBy(key, "n").agg(up.alias("up"), down.alias("down")).where("up is not null and down is not null").select(key, "n", (F.col("up") + F.col("down")).alias("gap"))
-    x = s.select(key, "n").join(gaps, [key, "n"], "left")
-    return x.groupBy(key).agg(F.count("*").alias("samples"), F.count("gap").alias("both"), F.bround(F.median("gap"), 1).alias("median_m"), F.bround(F.min("gap"), 1).alias("min_m"))

@@ -130,7 +130,13 @@ NEAR_SQL = """nb as (select distinct a.building_id, b.building_id as other from
   and sqrt(power(greatest(b.x0 - a.x1, 0, a.x0 - b.x1), 2) + power(greatest(b.y0 - a.y1, 0, a.y0 - b.y1), 2)) <= {0})"""
 
 
-@query()
+READ_SQL = f"""rd as (select distinct {B.BUILDING.format('(l_partkey + l_linenumber % 2)')} as building_id, {door_sql(B.ASSESS['door_raw'])} as door from lineitem),
+hl as (select rd.building_id, rd.door, string_agg(distinct nb.other, ', ' order by nb.other) as held_by from rd join nb on nb.building_id = rd.building_id join doors on doors.building_id = nb.other and doors.door = rd.door group by all),
+dh as (select rd.building_id, rd.door, doors.door is not null as mine, held_by from rd left join doors on doors.building_id = rd.building_id and doors.door = rd.door left join hl on hl.building_id = rd.building_id and hl.door = rd.door),
+dv as (select building_id, coalesce(string_agg(door, ', ' order by door) filter (mine and held_by is null), '') as own_hits, coalesce(string_agg(concat(door, ' is ', held_by), '; ' order by concat(door, ' is ', held_by)) filter (not mine and held_by is not null), '') as neighbour_hits from dh group by building_id)"""
+
+
+@query(f"{B.with_views('units', 'assess')}, {NEAR_SQL.format(50)}, {DOORS_SQL}, {READ_SQL} select * from dv where own_hits <> '' or neighbour_hits <> ''")
 def door_match_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Door numbers of all lines: found at the building itself, or at a neighbour."""
     own = doors_of(B.assess(spark, sf_dir), "building_id", "door_raw")

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from gablewise.functions.text import norm_door, norm_usage
 from gablewise.model import Settings
-from gablewise.operators import merge, selection
-from gablewise.operators.grid import points_within
+from gablewise.operators import merge, selection, sight
+from gablewise.plans import spatial
 from gablewise.plans.registry import query
 from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, NORM, flagged
 from gablewise.sources import bindings as B
 from gablewise.sources import files
-
+from gablewise.sources.files import settled
 
 S = Settings()
 ROW_SQL = f"""{CASE_SQL}, {FLAGS_SQL}, dr as (select unit_key, string_agg(door, ', ' order by door) as door_read from rd group by unit_key), dn as (select unit_key, string_agg(door, ', ' order by door) as door_record from own group by unit_key),
@@ -173,12 +173,19 @@ def answers_rekeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def views_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to two more views a unit beside its nearest one, from panoramas at least 6 m away from all that are taken."""
-    x = points_within(B.units(spark, sf_dir), B.panos(spark, sf_dir), S.max_view_dist)
-    c = F.array_sort(F.collect_list(F.struct(F.bround("dist", 6).alias("dist"), F.col("pano_ord").alias("ord"), "px", "py", "pano_id")))
-    x = x.groupBy("unit_id").agg(c.alias("c")).withColumn("taken", F.slice("c", 1, 1))
-    x = x.withColumn("more", selection.further(F.col("c"), F.col("taken"), 2, 6, 6.0))
-    return x.select("unit_id", F.posexplode("more").alias("at", "k")).select("unit_id", (F.col("at") + 2).alias("n"), "k.pano_id")
+    """Up to two more views a unit beside its chosen ones: the candidates of the best score at least 6 m from all that are taken, six in all."""
+    x = settled(spatial.sights(spark, sf_dir))
+    c = settled(sight.candidates(sight.longest_runs(x), S))
+    chosen = selection.choose_views(c, sight.square_on(x, S), S).select("unit_id", "pano_id", "nth")
+    return extra_views(c, chosen, 2, 6, S.views_apart)
+
+
+def extra_views(cands: DataFrame, chosen: DataFrame, extras: int, most: int, apart: float) -> DataFrame:
+    """(unit_id, n, pano_id): views beside the chosen ones (unit_id, pano_id, nth), numbered on; units without chosen views get none."""
+    one = F.struct((-F.col("score")).alias("less"), F.col("pano_ord").alias("ord"), "px", "py", "pano_id")
+    x = cands.join(chosen, ["unit_id", "pano_id"], "left").groupBy("unit_id").agg(F.array_sort(F.collect_list(one)).alias("c"), F.collect_list(F.when(F.col("nth").isNotNull(), one)).alias("taken"))
+    x = x.where(F.size("taken") > 0).withColumn("more", selection.further(F.col("c"), F.col("taken"), extras, most, apart))
+    return x.select("unit_id", F.size("taken").alias("n"), F.posexplode("more").alias("at", "k")).select("unit_id", (F.col("n") + F.col("at") + 1).alias("n"), "k.pano_id")
 
 
 LINE = "concat('[[', {0}, ',0],[', {0}, ',', 10 + s_suppkey % 7, '],[', {0} + 30, ',', 10 + s_suppkey % 7, ']]')"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gablewise.functions.text import name_key, norm_zone
 from gablewise.model import Settings
-from gablewise.operators import leaders, network, outlook, selection, sight
+from gablewise.operators import leaders, network, outlook, sight
 from gablewise.plans.outlines import EDGES_SQL, SIGN, mm, outline_looks, outlines
 from gablewise.plans.records import building_roads, main_value
 from gablewise.plans.registry import query
@@ -113,17 +113,7 @@ def bent_picture_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bent_picture_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each picture point of a bent road in turn the newest, then nearest panorama on this road that no earlier point took; null if there is none."""
-    return choose_pictures(roads(spark, sf_dir), B.panos(spark, sf_dir), S)
-
-
-def choose_pictures(roads: DataFrame, panos: DataFrame, s: Settings) -> DataFrame:
-    p = network.picture_points(roads, "road_fid", s.picture_step)
-    c = network.cameras_on_roads(p, panos, roads, "road_fid", s.picture_reach)
-    age = 999_999 - F.replace(F.coalesce("pano_date", F.lit("0")), F.lit("-"), F.lit("")).cast("int")
-    lists = c.groupBy("road_fid", "n").agg(F.array_sort(F.collect_list(F.struct(age.alias("age"), F.bround("dist", 6).alias("dist"), F.col("pano_ord").alias("ord")))).alias("cands"))
-    none = F.array().cast("array<struct<age:int,dist:double,ord:bigint>>")
-    x = p.select("road_fid", "n").join(lists, ["road_fid", "n"], "left").withColumn("cands", F.coalesce("cands", none))
-    return selection.choose_in_turn(x, "road_fid")
+    return network.choose_pictures(roads(spark, sf_dir), B.panos(spark, sf_dir), "road_fid", S)
 
 
 @query()

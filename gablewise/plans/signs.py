@@ -24,12 +24,18 @@ def sign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def sign_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s, text = sign_rows(spark, sf_dir), signs.sign_text(F.col("lines"))
-    lines = F.col("lines")
+    """What each sign says: its kind, doors, pin codes, shops, up to three roads, and the viewer's own address line."""
+    return extracted(sign_rows(spark, sf_dir).withColumn("panel", F.array(F.lit("Image capture: Feb 2026"), F.concat(F.col("p_name"), F.lit(" Rd")))), "p_partkey")
+
+
+def extracted(s: DataFrame, key: str) -> DataFrame:
+    """(key, kind, doors, pins, shops, road, roads, google_address, text) of signs (key, lines, panel)."""
+    lines, text = F.col("lines"), signs.sign_text(F.col("lines"))
     joined = lambda c: F.array_join(c, "; ")
-    return s.select(
-        "p_partkey", signs.sign_kind(lines).alias("kind"), joined(signs.doors(text)).alias("doors"), joined(signs.pins(text)).alias("pins"), joined(signs.shop_lines(lines)).alias("shops"),
-        signs.normal_name(F.get(signs.raw_roads(lines), F.lit(0))).alias("road"), F.substring(text, 1, 400).alias("text"),
+    x = s.withColumn("names", signs.road_names(lines))
+    return x.select(
+        key, signs.sign_kind(lines).alias("kind"), joined(signs.doors(text)).alias("doors"), joined(signs.pins(text)).alias("pins"), joined(signs.shop_lines(lines)).alias("shops"),
+        F.get("names", F.lit(0)).alias("road"), joined("names").alias("roads"), signs.viewer_address(F.col("panel")).alias("google_address"), F.substring(text, 1, 400).alias("text"),
     )
 
 

@@ -15,7 +15,6 @@ from gablewise.plans.registry import query
 from gablewise.sources import bindings as B
 
 S = Settings()
-#: Sight lines run over every so many-th panorama at most as far apart as the settings say.
 PAIR = "sqrt(power(greatest(x0 - px, 0, px - x1), 2) + power(greatest(y0 - py, 0, py - y1), 2))"
 PAIRS_SQL = "pairs as (select u.unit_id, u.building_id, x0, y0, x1, y1, pano_id, pano_date, pano_ord, px, py, {pair} as dist from units u join panos p on {pair} <= {d})"
 
@@ -325,14 +324,19 @@ def panos_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy("cell_x", "cell_y").agg(F.max_by("pano_id", "pano_ord").alias("pano_id"))
 
 
-@query(f"""{B.with_views('units', 'panos')}, {pairs_sql(50)}, n as (select unit_id, pano_id, row_number() over (partition by unit_id order by round_even(dist, 6), pano_ord) as nth from pairs)
-select unit_id, string_agg(concat(chr(64 + nth::int), '=', pano_id), ' ' order by nth) as letters from n where nth <= 12 group by unit_id""")
+@query(f"""{B.with_views('units')}, n as (select a.unit_id, b.unit_id as other, row_number() over (partition by a.unit_id order by round_even(sqrt(power(greatest(b.x0 - a.x1, 0, a.x0 - b.x1), 2) + power(greatest(b.y0 - a.y1, 0, a.y0 - b.y1), 2)), 6), b.ord) as nth
+ from units a join units b on a.unit_id <> b.unit_id and b.x0 <= a.x1 + 25 and b.x1 >= a.x0 - 25 and b.y0 <= a.y1 + 25 and b.y1 >= a.y0 - 25)
+select unit_id, string_agg(concat(chr(64 + nth::int), '=', other), ' ' order by nth) as letters from n where nth <= 12 group by unit_id""")
 def neighbour_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twelve nearest panoramas of each unit, by letters."""
-    x = points_within(B.units(spark, sf_dir), B.panos(spark, sf_dir), S.link_dist)
-    w = W.partitionBy("unit_id").orderBy(F.bround("dist", 6), "pano_ord")
-    x = x.withColumn("nth", F.row_number().over(w)).where("nth <= 12")
-    one = F.struct("nth", F.concat(F.char(64 + F.col("nth")), F.lit("="), "pano_id").alias("t"))
-    return x.groupBy("unit_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda s: s.t), " ").alias("letters"))
+    """The twelve nearest neighbours whose bounds meet a unit's, grown by 25 m, by letters."""
+    return letters(B.units(spark, sf_dir), 25.0, 12)
 
 
+def letters(units: DataFrame, reach: float, most: int) -> DataFrame:
+    other = units.selectExpr("unit_id as other", "ord as other_ord", "x0 as u0", "y0 as v0", "x1 as u1", "y1 as v1")
+    x = boxes_within(units, other, reach * 2**0.5 + 1e-6, sight.RECT, ("u0", "v0", "u1", "v1"), 2 * reach).where("unit_id <> other")
+    x = x.where((F.col("u0") <= F.col("x1") + reach) & (F.col("u1") >= F.col("x0") - reach) & (F.col("v0") <= F.col("y1") + reach) & (F.col("v1") >= F.col("y0") - reach))
+    w = W.partitionBy("unit_id").orderBy(F.bround("dist", 6), "other_ord")
+    x = x.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= most)
+    one = F.struct("nth", F.concat(F.char(64 + F.col("nth")), F.lit("="), "other").alias("t"))
+    return x.groupBy("unit_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda s: s.t), " ").alias("letters"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from gablewise.functions.text import alike_candidates, digits, name_key, similar_keys
 from gablewise.model import Settings
-from gablewise.operators import selection, streets
-from gablewise.operators.grid import boxes_within, nearest, points_within
+from gablewise.operators import network, streets
+from gablewise.operators.grid import boxes_within, nearest
 from gablewise.plans.records import KEYS_SQL, spellings
 from gablewise.plans.registry import query
 from gablewise.sources import bindings as B
@@ -44,24 +44,33 @@ def picture_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("stretch_id", "n", "along_m", F.bround("x", 3).alias("x"), F.bround("y", 3).alias("y"), F.bround("heading", 6).alias("heading"))
 
 
-@query(f"""{B.with_views('units', 'lanes')}, {CUTS_SQL}, gk as (select *, greatest(1, round_even((x1 - x0) / 10, 0))::int as k, x1 - x0 as len from si where y0 = y1),
-gs as (select stretch_id, n, x0 + (x1 - x0) * (((n - 0.5e0) * len / k) / len) as x, y0 as y from (select * exclude (n) from gk), unnest(range(1, k + 1)) r(n)),
-gh as (select gs.stretch_id, gs.n, min(case when u.y1 >= y then greatest(0, u.y0 - y) end) as up, min(case when u.y0 <= y then greatest(0, y - u.y1) end) as down from gs join units u on u.x0 <= x and u.x1 >= x and u.y0 <= y + 25 and u.y1 >= y - 25 group by all)
-select stretch_id, count(*) as samples, count(up + down) as both, round_even(median(up + down), 1) as median_m, round_even(min(up + down), 1) as min_m from gs left join gh using (stretch_id, n) group by stretch_id""")
+def with_paths(lines: DataFrame) -> DataFrame:
+    """Straight lines as paths."""
+    point = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return lines.withColumn("path", F.array(point("x0", "y0"), point("x1", "y1")))
+
+
+def with_rings(rects: DataFrame) -> DataFrame:
+    """Rectangles as outlines."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return rects.withColumn("ring", F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1")))
+
+
+@query(f"""{B.with_views('units', 'lanes')}, {CUTS_SQL}, gk as (select *, x1 - x0 + y1 - y0 as len, y0 = y1 as level from si),
+gs as (select stretch_id, n, level, case when level then x0 + (5e0 + n * 10e0) else x0 end as x, case when level then y0 else y0 + (5e0 + n * 10e0) end as y from (select * exclude (n) from gk), unnest(range(greatest(0, ceil((len - 5e0) / 10e0)::int))) r(n)),
+gl as (select stretch_id, n, round(case when level then x else y end, 3) as w, case when level then y else x end as z, level from gs),
+ul as (select true as level, x0 as lo, x1 as hi, y0 as near, y1 as far from units union all select false, y0, y1, x0, x1 from units),
+gh as (select stretch_id, n, min(case when far >= z then greatest(0, near - z) end) as up, min(case when near <= z then greatest(0, z - far) end) as down from gl join ul on ul.level = gl.level and lo <= w and hi >= w and near <= z + 25 and far >= z - 25 group by all)
+select stretch_id, count(*) as samples, count(up + down) as both, round_even(median(up + down), 1) as median_m, round_even(min(up + down), 1) as min_m from gl left join gh using (stretch_id, n) group by stretch_id""")
 def stretch_gap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streets.front_gaps(stretches(spark, sf_dir), "stretch_id", B.units(spark, sf_dir), S.gap_step, S.gap_reach)
+    """Gaps between the fronts on both sides of each stretch, sampled half a step from its start and then every step."""
+    return network.front_gaps(with_paths(stretches(spark, sf_dir)), "stretch_id", with_rings(B.units(spark, sf_dir)), S.gap_step, S.gap_reach)
 
 
 @query()
 def street_picture_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each picture point in turn the newest, then nearest panorama within reach that the stretch hasn't taken yet."""
-    p = streets.points_along(stretches(spark, sf_dir), "stretch_id", S.picture_step).selectExpr("stretch_id", "n", "x as q0", "y as r0", "x as q1", "y as r1")
-    x = points_within(p, B.panos(spark, sf_dir), S.picture_reach, ("q0", "r0", "q1", "r1"))
-    # newest first: months count down
-    age = 999_999 - F.replace(F.coalesce("pano_date", F.lit("0")), F.lit("-"), F.lit("")).cast("int")
-    one = F.struct(age.alias("age"), F.bround("dist", 6).alias("dist"), F.col("pano_ord").alias("ord"))
-    near = x.groupBy("stretch_id", "n").agg(F.array_sort(F.collect_list(one)).alias("cands"))
-    return selection.choose_in_turn(near, "stretch_id")
+    """For each picture point in turn the newest, then nearest panorama on this stretch that it hasn't taken yet; null if there is none."""
+    return network.choose_pictures(with_paths(stretches(spark, sf_dir)), B.panos(spark, sf_dir), "stretch_id", S)
 
 
 @query(f"""{B.with_views('units', 'lanes')}, {CUTS_SQL}, d as (select unit_id, stretch_id, sqrt(power(greatest(least(s.x0, s.x1) - u.x1, 0, u.x0 - greatest(s.x0, s.x1)), 2) + power(greatest(least(s.y0, s.y1) - u.y1, 0, u.y0 - greatest(s.y0, s.y1)), 2)) as dist from units u, si s),

@@ -104,9 +104,13 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "part"), UNITS)
 
 
+def last_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(n): the number of rows of houses, found when a plan runs."""
+    return table(spark, sf_dir, "part").agg((F.floor(F.max("p_partkey") / 40).cast("int") + 1).alias("n"))
+
+
 def panos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "part").agg(F.floor(F.max("p_partkey") / 40).cast("int") + 1).first()[0]
-    return _select(table(spark, sf_dir, "customer").withColumn("n", F.lit(n)), PANOS)
+    return _select(table(spark, sf_dir, "customer").withColumn("n", last_row(spark, sf_dir).scalar()), PANOS)
 
 
 def assess(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,10 +134,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Road lines: a lane below each row of houses, and cross lines. (road_fid, x0, y0, x1, y1, road_name)."""
-    n = table(spark, sf_dir, "part").agg(F.floor(F.max("p_partkey") / 40).cast("int") + 1).first()[0]
-    rows = spark.range(0, n).selectExpr("id as road_fid", "-5e0 as x0", "id * 24e0 as y0", "565e0 as x1", "id * 24e0 as y1", "concat('Lane ', cast(id as string)) as road_name")
-    cross = spark.range(0, 4).selectExpr("100000 + id as road_fid", "id * 140e0 - 1.5e0 as x0", "-10e0 as y0", "id * 140e0 - 1.5e0 as x1", f"{n} * 24e0 as y1", "concat('Cross ', cast(id as string)) as road_name")
+    """Road lines: a lane below each row of houses that has any, and cross lines. (road_fid, x0, y0, x1, y1, road_name)."""
+    rows = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 40).cast("bigint").alias("id")).distinct()
+    rows = rows.selectExpr("id as road_fid", "-5e0 as x0", "id * 24e0 as y0", "565e0 as x1", "id * 24e0 as y1", "concat('Lane ', cast(id as string)) as road_name")
+    cross = last_row(spark, sf_dir).where("n is not null").select("n", F.explode(F.expr("sequence(0L, 3L)")).alias("id"))
+    cross = cross.selectExpr("100000 + id as road_fid", "id * 140e0 - 1.5e0 as x0", "-10e0 as y0", "id * 140e0 - 1.5e0 as x1", "n * 24e0 as y1", "concat('Cross ', cast(id as string)) as road_name")
     return rows.unionByName(cross)
 
 

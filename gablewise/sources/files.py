@@ -126,7 +126,11 @@ def write_summary(figures: DataFrame, name: str, value: str, path: str) -> None:
     _, target = filesystem(figures.sparkSession, path)
     one.coalesce(1).write.text(str(fresh.toString()))
     part = next(x.getPath() for x in fs.listStatus(fresh) if x.getPath().getName().startswith("part-"))
-    fs.delete(target, True)
+    _, aside = filesystem(figures.sparkSession, f"{path}.{uuid.uuid4().hex}.old")
+    if fs.exists(target):  # the old one is there until the new one is in its place
+        fs.rename(target, aside)
     if not fs.rename(part, target):
+        fs.rename(aside, target)
         raise RuntimeError(f"{path}: the new summary is at {fresh}")
+    fs.delete(aside, True)
     fs.delete(fresh, True)

@@ -8,7 +8,6 @@ import statistics
 
 from gablewise.model import Settings
 from gablewise.operators import leaders, network
-from gablewise.plans.roads import choose_pictures
 from tests.test_outlook import box, star
 
 S = Settings()
@@ -146,14 +145,14 @@ def test_picture_points_and_their_panoramas(spark):
     assert [(x.along_m, x.heading) for x in p] == [(23.0, 90.0), (69.0, 90.0), (115.0, 90.0), (161.0, 90.0), (207.0, 90.0)]
     roads = spark.createDataFrame([(1, "r", [(0.0, 0.0), (100.0, 0.0)]), (2, "c", [(51.0, 0.0), (51.0, 60.0)]), (3, "bend", [(0.0, 200.0), (30.0, 200.0), (30.0, 230.0)])], PATH)
     panos = spark.createDataFrame([("old", "2022-12", 1, 20.0, 1.0), ("new", "2026-02", 2, 26.0, -1.0), ("cross", "2026-02", 3, 51.0, 8.0), ("x", None, 4, 80.0, 2.0), ("corner", "2026-02", 5, 30.0, 200.0)], PANOS)
-    x = {(r.road_fid, r.n): r.pick for r in choose_pictures(roads, panos, S).collect()}
+    x = {(r.road_fid, r.n): r.pick for r in network.choose_pictures(roads, panos, "road_fid", S).collect()}
     assert x == {(1, 1): 2, (1, 2): 4, (2, 1): None, (3, 1): 5}  # the crossing road's camera is not one of road 1
     near = spark.createDataFrame([("cross", "2026-02", 3, 51.0, 8.0)], PANOS)
     mid = spark.createDataFrame([(1, "r", [(0.0, 0.0), (100.0, 0.0)]), (2, "c", [(51.0, 0.5), (51.0, 60.0)])], PATH)
-    assert {(r.road_fid, r.n): r.pick for r in choose_pictures(mid, near, S).collect()}[1, 1] is None
+    assert {(r.road_fid, r.n): r.pick for r in network.choose_pictures(mid, near, "road_fid", S).collect()}[1, 1] is None
     short = spark.createDataFrame([(1, "r", [(0.0, 0.0), (20.0, 0.0)])], PATH)
     two = spark.createDataFrame([("old", "2022-12", 1, 8.0, 1.0), ("new", "2026-02", 2, 10.0, -1.0)], PANOS)
-    assert {r.n: r.pick for r in choose_pictures(short, two, Settings(picture_step=10.0)).collect()} == {1: 2, 2: 1}  # the new one is taken
+    assert {r.n: r.pick for r in network.choose_pictures(short, two, "road_fid", Settings(picture_step=10.0)).collect()} == {1: 2, 2: 1}  # the new one is taken
 
 
 def test_units_belong_to_roads(spark):
