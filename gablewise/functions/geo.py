@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -111,25 +111,52 @@ def core_span(px: Column, py: Column, lx: Column, ly: Column, rx: Column, ry: Co
     return F.when(hi > lo, F.struct(turn(left + lo).alias("left"), turn(left + hi).alias("right")))
 
 
+#: The ellipsoid WGS 84 and the scale of UTM.
+AXIS, FLATTENING, SCALE = 6378137.0, 1 / 298.257223563, 0.9996
+_N = FLATTENING / (2 - FLATTENING)
+#: Radius of the rectifying sphere, and the coefficients of the series in the third flattening, to its fourth power (Krueger 1912, Kawase 2011).
+RADIUS = AXIS / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+TO_PLANE = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180, 13 * _N**2 / 48 - 3 * _N**3 / 5 + 557 * _N**4 / 1440, 61 * _N**3 / 240 - 103 * _N**4 / 140, 49561 * _N**4 / 161280)
+TO_SPHERE = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96 - _N**4 / 360, _N**2 / 48 + _N**3 / 15 - 437 * _N**4 / 1440, 17 * _N**3 / 480 - 37 * _N**4 / 840, 4397 * _N**4 / 161280)
+TO_LATITUDE = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3 + 116 * _N**4 / 45, 7 * _N**2 / 3 - 8 * _N**3 / 5 - 227 * _N**4 / 45, 56 * _N**3 / 15 - 136 * _N**4 / 35, 4279 * _N**4 / 630)
+
+
+def _series(start: Column, coefficients: Sequence[float], term: Callable[[int], Column]) -> Column:
+    for j, c in enumerate(coefficients, 1):
+        start = start + c * term(2 * j)
+    return start
+
+
 def utm_to_degrees(x: Column, y: Column, zone: int = 43) -> Column:
-    """A struct (lat, lon) of a point of the northern UTM zone on WGS 84, by Snyder's series (1987, section 8)."""
-    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
-    e2 = f * (2 - f)
-    ep2 = e2 / (1 - e2)
-    e1 = (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
-    mu = y / k0 / (a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
-    terms = [(2, 3 * e1 / 2 - 27 * e1**3 / 32), (4, 21 * e1**2 / 16 - 55 * e1**4 / 32), (6, 151 * e1**3 / 96), (8, 1097 * e1**4 / 512)]
-    phi = mu
-    for n, c in terms:
-        phi = phi + c * F.sin(mu * n)
-    sin, cos, tan = F.sin(phi), F.cos(phi), F.tan(phi)
-    c1, t1 = ep2 * cos * cos, tan * tan
-    n1 = a / F.sqrt(1 - e2 * sin * sin)
-    r1 = a * (1 - e2) / F.pow(1 - e2 * sin * sin, F.lit(1.5))
-    d = (x - 500000) / (n1 * k0)
-    lat = phi - n1 * tan / r1 * (
-        d * d / 2 - (5 + 3 * t1 + 10 * c1 - 4 * c1 * c1 - 9 * ep2) * F.pow(d, F.lit(4)) / 24
-        + (61 + 90 * t1 + 298 * c1 + 45 * t1 * t1 - 252 * ep2 - 3 * c1 * c1) * F.pow(d, F.lit(6)) / 720
-    )
-    lon = (d - (1 + 2 * t1 + c1) * F.pow(d, F.lit(3)) / 6 + (5 - 2 * c1 + 28 * t1 - 3 * c1 * c1 + 8 * ep2 + 24 * t1 * t1) * F.pow(d, F.lit(5)) / 120) / cos
-    return F.struct(F.degrees(lat).alias("lat"), (F.degrees(lon) + (zone * 6 - 183)).alias("lon"))
+    """A struct (lat, lon) of a point of the northern UTM zone on WGS 84."""
+    u, v = y / (SCALE * RADIUS), (x - 500000) / (SCALE * RADIUS)
+    back = [-c for c in TO_SPHERE]
+    u1, v1 = _series(u, back, lambda k: F.sin(u * k) * F.cosh(v * k)), _series(v, back, lambda k: F.cos(u * k) * F.sinh(v * k))
+    sphere = F.asin(F.sin(u1) / F.cosh(v1))
+    lat = _series(sphere, TO_LATITUDE, lambda k: F.sin(sphere * k))
+    return F.struct(F.degrees(lat).alias("lat"), (F.degrees(F.atan2(F.sinh(v1), F.cos(u1))) + (zone * 6 - 183)).alias("lon"))
+
+
+def degrees_to_utm(lat: Column, lon: Column, zone: int = 43) -> Column:
+    """A struct (x, y), in metres of the northern UTM zone, of a place on WGS 84."""
+    e = 2 * _N**0.5 / (1 + _N)
+    sine, away = F.sin(F.radians(lat)), F.radians(lon - (zone * 6 - 183))
+    t = F.sinh(F.atanh(sine) - e * F.atanh(e * sine))
+    u, v = F.atan2(t, F.cos(away)), F.atanh(F.sin(away) / F.sqrt(1 + t * t))
+    y, x = _series(u, TO_PLANE, lambda k: F.sin(u * k) * F.cosh(v * k)), _series(v, TO_PLANE, lambda k: F.cos(u * k) * F.sinh(v * k))
+    return F.struct((x * (SCALE * RADIUS) + 500000).alias("x"), (y * (SCALE * RADIUS)).alias("y"))
+
+
+def path_in_metres(path: Column, zone: int = 43) -> Column:
+    """A line or outline whose points have longitude as x and latitude as y, as layers have them, in metres."""
+    return F.transform(path, lambda p: degrees_to_utm(p.y, p.x, zone))
+
+
+def path_in_degrees(path: Column, zone: int = 43) -> Column:
+    """A line or outline in metres, as layers have it: longitude as x and latitude as y."""
+
+    def one(p: Column) -> Column:
+        d = utm_to_degrees(p.x, p.y, zone)
+        return F.struct(d.lon.alias("x"), d.lat.alias("y"))
+
+    return F.transform(path, one)

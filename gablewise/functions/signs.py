@@ -11,6 +11,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gablewise.functions.text import likeness
 
@@ -95,7 +96,7 @@ def raw_roads(lines: Column) -> Column:
     return F.transform(F.array_sort(F.transform(found, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("name")))), lambda s: s["name"])
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _unlike(lows: pd.Series, numbers: pd.Series, letters: pd.Series) -> pd.Series:
     """The places of names that are like none kept before them."""
 

@@ -308,12 +308,32 @@ def viewer_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("pano_id", F.concat(F.lit("pano="), "pano_id", F.lit("&heading="), F.bround(F.col("px") % 360, 1).cast("string"), F.lit("&fov="), fov.cast("string")).alias("url"))
 
 
-@query()
+def _sum_sql(start: str, coefficients, sign: str, term: str) -> str:
+    return start + "".join(f" {sign} {c!r} * ({term.format(k=2 * j)})" for j, c in enumerate(coefficients, 1))
+
+
+DEGREES_SQL = f"""dm as (select unit_id, (x0 + x1) / 2 + 711679.6e0 as x, (y0 + y1) / 2 + 1219908.4e0 as y from units), du as (select *, y / {geo.SCALE * geo.RADIUS!r} as u, (x - 500000) / {geo.SCALE * geo.RADIUS!r} as v from dm),
+dv as (select *, {_sum_sql('u', geo.TO_SPHERE, '-', 'sin(u * {k}) * cosh(v * {k})')} as u1, {_sum_sql('v', geo.TO_SPHERE, '-', 'cos(u * {k}) * sinh(v * {k})')} as v1 from du),
+dw as (select *, asin(sin(u1) / cosh(v1)) as w from dv), dd as (select unit_id, x, y, degrees({_sum_sql('w', geo.TO_LATITUDE, '+', 'sin(w * {k})')}) as lat, degrees(atan2(sinh(v1), cos(u1))) + 75 as lon from dw)"""
+
+
+@query(f"{B.with_views('units')}, {DEGREES_SQL} select unit_id, round_even(lat, 7) as lat, round_even(lon, 7) as lon from dd")
 def degrees_of_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latitude and longitude of each unit's middle, with the metric origin at a place of UTM zone 43."""
+    d = unit_degrees(spark, sf_dir)
+    return d.select("unit_id", F.bround("d.lat", 7).alias("lat"), F.bround("d.lon", 7).alias("lon"))
+
+
+def unit_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = B.units(spark, sf_dir)
-    d = geo.utm_to_degrees((F.col("x0") + F.col("x1")) / 2 + 711679.6, (F.col("y0") + F.col("y1")) / 2 + 1219908.4)
-    return u.select("unit_id", d.alias("d")).select("unit_id", F.bround("d.lat", 7).alias("lat"), F.bround("d.lon", 7).alias("lon"))
+    return u.select("unit_id", geo.utm_to_degrees((F.col("x0") + F.col("x1")) / 2 + 711679.6, (F.col("y0") + F.col("y1")) / 2 + 1219908.4).alias("d"))
+
+
+@query(f"{B.with_views('units')}, {DEGREES_SQL} select unit_id, round_even(x, 3) as x, round_even(y, 3) as y from dd")
+def metres_of_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metres of each unit's middle again, from its latitude and longitude; in the SQL those that it started from."""
+    m = unit_degrees(spark, sf_dir).select("unit_id", geo.degrees_to_utm(F.col("d.lat"), F.col("d.lon")).alias("m"))
+    return m.select("unit_id", F.bround("m.x", 3).alias("x"), F.bround("m.y", 3).alias("y"))
 
 
 @query(f"""{B.with_views('units', 'panos')}, p as (select *, row_number() over (partition by floor(px / 10e0), floor(py / 10e0) order by pano_ord desc) as nth from panos)
