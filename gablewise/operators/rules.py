@@ -14,6 +14,27 @@ from gablewise.model import TRADE_USAGES, VISIBLE
 
 
 
+def summary_aggregates(run: str = "") -> list[Column]:
+    """What one aggregation says of a run's views (columns view, named, and target_visible, same_as_ref, between_marks, hidden_by of the run)."""
+    visible, same, marks, by = (F.col(c + run) for c in ("target_visible", "same_as_ref", "between_marks", "hidden_by"))
+    usable, yes = visible.isin(*VISIBLE), same == "yes"
+    chosen = usable & (F.col("named").isNull() | (F.col("named") == F.col("view")))
+    return [
+        F.count("*").alias("n_views" + run),
+        F.count_if(usable).alias("n_usable" + run),
+        F.min(F.when(chosen, F.struct("view", marks.alias("between_marks"), yes.alias("yes")))).alias("reference" + run),
+        F.count_if(usable & yes).alias("n_yes" + run),
+        F.array_join(F.array_sort(F.collect_set(F.coalesce(by, F.lit("?")))), ", ").alias("hidden_by" + run),
+    ]
+
+
+def with_summary(x: DataFrame, run: str = "") -> DataFrame:
+    """ref_view, ref_marks and n_agree of a run, from its aggregates: a reference that says yes of itself counts once."""
+    ref, yes = F.col("reference" + run), F.col("n_yes" + run)
+    agree = F.when(ref.isNotNull(), 1 + yes - ref.yes.cast("int")).otherwise(0).cast("long")
+    return x.withColumns({"ref_view" + run: ref.view, "ref_marks" + run: ref.between_marks, "n_agree" + run: agree}).drop("reference" + run, "n_yes" + run)
+
+
 def view_summary(views: DataFrame, key: str, named: DataFrame | None = None) -> DataFrame:
     """One row a reading: usable and agreeing views, the reference view's marks, hiding things, boards.
 
@@ -22,19 +43,8 @@ def view_summary(views: DataFrame, key: str, named: DataFrame | None = None) ->
     other usable ones that say yes. One aggregation, whose rows are mostly combined before the shuffle.
     """
     views = views.withColumn("named", F.lit(None).cast("int")) if named is None else views.join(named.withColumnRenamed("reference_view", "named"), key, "left")
-    usable = F.col("target_visible").isin(*VISIBLE)
-    chosen = usable & (F.col("named").isNull() | (F.col("named") == F.col("view")))
-    yes = F.col("same_as_ref") == "yes"
-    x = views.groupBy(key).agg(
-        F.count("*").alias("n_views"),
-        F.count_if(usable).alias("n_usable"),
-        F.min(F.when(chosen, F.struct("view", "between_marks", yes.alias("yes")))).alias("reference"),
-        F.count_if(usable & yes).alias("n_yes"),
-        F.array_join(F.array_sort(F.collect_set(F.coalesce("hidden_by", F.lit("?")))), ", ").alias("hidden_by"),
-    )
-    # a reference that says yes of itself counts once
-    agree = F.when(F.col("reference").isNotNull(), 1 + F.col("n_yes") - F.col("reference.yes").cast("int")).otherwise(0)
-    return x.select(key, "n_views", "n_usable", F.col("reference.view").alias("ref_view"), F.col("reference.between_marks").alias("ref_marks"), agree.cast("long").alias("n_agree"), "hidden_by")
+    x = with_summary(views.groupBy(key).agg(*summary_aggregates()))
+    return x.select(key, "n_views", "n_usable", "ref_view", "ref_marks", "n_agree", "hidden_by")
 
 
 def two_view_reason(r: dict[str, Column], run: str = "") -> Column:

@@ -26,14 +26,7 @@ res as (select fl.unit_key, access, verdict, reason as verdict_why, flag, case w
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a building: access, verdict and why, what was read against the record, doors, views, runs."""
     x = flagged(spark, sf_dir)
-    line, views, again = B.table(spark, sf_dir, "lineitem"), B.answer_views(spark, sf_dir), B.second_views(spark, sf_dir)
-    told = lambda df, c, name: df.groupBy("unit_key").agg(F.array_join(F.array_sort(F.collect_set(c)), ", ").alias(name))
-    numbers = again.join(x.where("n_runs > 1").select("unit_key"), "unit_key", "left_semi").select("unit_key", "number_read").unionByName(views.select("unit_key", "number_read"))
-    read = told(numbers.where("number_read is not null"), norm_door(F.col("number_read")), "door_read")
-    own = told(line.where("l_suppkey % 2 = 0").selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as raw"), norm_door(F.col("raw")), "door_record")
-    other = views.where("target_visible in ('clear', 'partly hidden') and same_as_ref = 'no'").groupBy("unit_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("view")), lambda v: v.cast("string")), ", ").alias("views_other"))
-    for more in (read, own, other):
-        x = x.join(more, "unit_key", "left")
+    x = x.withColumns({"door_read": F.array_join(F.array_sort("read"), ", "), "door_record": F.array_join(F.array_sort("own"), ", "), "views_other": F.array_join(F.transform("views_other", lambda v: v.cast("string")), ", ")})
     if_checked = lambda c: F.when(F.col("checked"), c)
     return x.fillna("", ["door_read", "door_record", "views_other"]).fillna(0, ["n_views"]).select(
         "unit_key", "access", "verdict", F.col("reason").alias("verdict_why"), "flag", if_checked(F.col("llm_floors")).alias("llm_floors"), "rec_floors", "floor_flag",

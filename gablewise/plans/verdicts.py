@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gablewise.functions.text import floors_text, norm_door
-from gablewise.model import REFERENCE, TRADE_USAGES, Settings
+from gablewise.model import REFERENCE, TRADE_USAGES, VISIBLE, Settings
 from gablewise.operators import rules
 from gablewise.plans.records import door_sql, main_value
 from gablewise.plans.registry import query
@@ -62,24 +62,28 @@ v as (select *, case when access = 'not visible' then 'Not visible' when access
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings with the summary of their views and their door hits."""
-    line, views, readings = B.table(spark, sf_dir, "lineitem"), B.answer_views(spark, sf_dir), B.readings(spark, sf_dir)
-    again, named = B.second_views(spark, sf_dir), readings.select("unit_key", "reference_view")
-    own = line.where("l_suppkey % 2 = 0").selectExpr("l_orderkey as unit_key", "concat(l_linenumber, '-', cast(l_quantity as int)) as raw").select("unit_key", norm_door(F.col("raw")).alias("door")).distinct()
-    numbers = again.join(readings.where("n_runs > 1").select("unit_key"), "unit_key", "left_semi").select("unit_key", "number_read")
-    numbers = views.select("unit_key", "number_read").unionByName(numbers).where("number_read is not null")
-    read = numbers.select("unit_key", norm_door(F.col("number_read")).alias("door")).distinct()
-    mine = own.withColumn("mine", F.lit(True))
-    after = own.select((F.col("unit_key") - 1).alias("unit_key"), "door", F.lit(True).alias("next"))
-    h = read.join(mine, ["unit_key", "door"], "left").join(after, ["unit_key", "door"], "left")
-    join = lambda c, sep: F.array_join(F.array_sort(F.collect_list(c)), sep)
-    hits = h.groupBy("unit_key").agg(
-        join(F.when(F.col("mine") & F.col("next").isNull(), F.col("door")), ", ").alias("own_hits"),
-        join(F.when(F.col("next") & F.col("mine").isNull(), F.concat("door", F.lit(" is "), (F.col("unit_key") + 1).cast("string"))), "; ").alias("neighbour_hits"),
-    )
-    second = rules.view_summary(again, "unit_key", named).select("unit_key", F.col("n_usable").alias("n_usable2"), F.col("n_agree").alias("n_agree2"), F.col("ref_marks").alias("ref_marks2"))
-    x = readings.join(rules.view_summary(views, "unit_key", named), "unit_key", "left").join(second, "unit_key", "left").join(hits, "unit_key", "left")
-    return x.fillna(0, ["n_usable", "n_agree", "n_usable2", "n_agree2"]).fillna("", ["ref_marks", "ref_marks2", "hidden_by", "own_hits", "neighbour_hits"])
+    """Readings with the summary of their views in both runs and their door hits; and read, own, views_other: arrays of what these come from.
+
+    All of a unit's lines meet in one aggregation. The neighbour's numbers come from a second, narrow one.
+    """
+    readings, lines = B.readings(spark, sf_dir), B.both_views(spark, sf_dir)
+    lines = lines.join(readings.select("unit_key", F.col("reference_view").alias("named")), "unit_key", "left")
+    doors = lambda c: F.collect_set(norm_door(F.col(c)))
+    other = F.col("target_visible").isin(*VISIBLE) & (F.col("same_as_ref") == "no")
+    per = lines.groupBy("unit_key").agg(
+        *rules.summary_aggregates(), *rules.summary_aggregates("2"), doors("number_read").alias("read"), doors("number_read2").alias("read2"), doors("own_raw").alias("own"),
+        F.array_sort(F.collect_list(F.when(other, F.col("view")))).alias("views_other"),
+    )
+    per = rules.with_summary(rules.with_summary(per), "2").drop("n_views2", "hidden_by2", "ref_view", "ref_view2")
+    beside = B.both_views(spark, sf_dir).where("own_raw is not null").groupBy((F.col("unit_key") - 1).alias("unit_key")).agg(doors("own_raw").alias("next"))
+    none = F.array().cast("array<string>")
+    x = readings.join(per, "unit_key", "left").join(beside, "unit_key", "left").withColumns({c: F.coalesce(c, none) for c in ("read", "read2", "own", "next")})
+    x = x.withColumn("read", F.when(F.col("n_runs") > 1, F.array_union("read", "read2")).otherwise(F.col("read"))).drop("read2")
+    has = lambda c, d: F.array_contains(c, d)
+    mine = F.filter("read", lambda d: has(F.col("own"), d) & ~has(F.col("next"), d))
+    theirs = F.transform(F.filter("read", lambda d: has(F.col("next"), d) & ~has(F.col("own"), d)), lambda d: F.concat(d, F.lit(" is "), (F.col("unit_key") + 1).cast("string")))
+    x = x.withColumns({"own_hits": F.array_join(F.array_sort(mine), ", "), "neighbour_hits": F.array_join(F.array_sort(theirs), "; ")}).drop("next")
+    return x.fillna(0, ["n_usable", "n_agree", "n_usable2", "n_agree2"]).fillna("", ["ref_marks", "ref_marks2", "hidden_by"])
 
 
 def columns(df: DataFrame) -> dict[str, Column]:

@@ -125,6 +125,13 @@ def second_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "lineitem"), SECOND_VIEWS)
 
 
+def both_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The views with what both runs say of them, the second's columns with a 2 behind; and own_raw, a door number on record of the unit, if the line has one."""
+    second = {c + "2": SECOND_VIEWS[c] for c in ("target_visible", "same_as_ref", "between_marks", "hidden_by", "number_read")}
+    own = {"own_raw": "case when l_suppkey % 2 = 0 then concat(l_linenumber, '-', cast(l_quantity as int)) end"}
+    return _select(table(spark, sf_dir, "lineitem"), ANSWER_VIEWS | second | own)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "orders"), READINGS)
 
