@@ -7,12 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.functions.geo import turn
 from gablewise.model import Settings
 from gablewise.operators.grid import cell, in_cells, points_within
+from gablewise.operators.looks import LOOK, NAMES, describe
 
 RECT = ("x0", "y0", "x1", "y1")
 
@@ -24,20 +23,12 @@ def outline(step: float) -> dict[str, Column]:
     return {"n": n, "step": length / n}
 
 
-def outline_point(at: Column) -> tuple[Column, Column]:
-    """The point at a distance along a rectangle's ring, anticlockwise from its lower left corner."""
-    w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    x = F.when(at < w, F.col("x0") + at).when(at < w + h, F.col("x1")).when(at < w + h + w, F.col("x1") - (at - w - h)).otherwise(F.col("x0"))
-    y = F.when(at < w, F.col("y0")).when(at < w + h, F.col("y0") + (at - w)).when(at < w + h + w, F.col("y1")).otherwise(F.col("y1") - (at - w - h - w))
-    return x, y
-
-
 def sight_pairs(units: DataFrame, panos: DataFrame, radius: float) -> DataFrame:
     return points_within(units.select("unit_id", *RECT), panos.select("pano_id", "pano_date", "pano_ord", "px", "py"), radius)
 
 
-def hidden_points(rects: np.ndarray, cameras: np.ndarray, n: np.ndarray, step: np.ndarray, blockers: list[np.ndarray], stop: float) -> list[np.ndarray]:
-    """For each pair of a rectangle and a camera, whether each of its n outline points is hidden by one of its blockers.
+def hidden_points(rects: np.ndarray, cameras: np.ndarray, n: np.ndarray, step: np.ndarray, blockers: list[np.ndarray], stop: float) -> list[tuple[np.ndarray, ...]]:
+    """For each pair of a rectangle and a camera, its n outline points, their distances, and whether one of its blockers hides each.
 
     All pairs are tested at once: each outline point with each blocker of its pair.
     """
@@ -69,15 +60,16 @@ def hidden_points(rects: np.ndarray, cameras: np.ndarray, n: np.ndarray, step: n
     ey, ly = span(py[point], dy[point], walls[1], walls[3])
     hit = np.maximum(np.maximum(ex, ey), 0.0) <= np.minimum(np.minimum(lx, ly), 1.0)
     hidden = np.bincount(point, hit, len(pair)) > 0
-    return np.split(hidden, np.cumsum(n)[:-1])
+    cuts = np.cumsum(n)[:-1]
+    return list(zip(*(np.split(v, cuts) for v in (qx, qy, d, ~hidden)), strict=True))
 
 
-def outline_sights(pairs: DataFrame, blockers: DataFrame, s: Settings, side: float = 32.0) -> DataFrame:
-    """(unit_id, pano_id, i, n, step, qx, qy, d, visible, and the pair's columns) for each outline point of each pair.
+def outline_looks(pairs: DataFrame, blockers: DataFrame, s: Settings, side: float = 32.0) -> DataFrame:
+    """(unit_id, pano_id, pano_date, pano_ord, px, py, and the columns of looks.LOOK) for each pair of a rectangle and a camera.
 
     A sight line stops a little short of its point, and any footprint that it touches hides the point; the target is a
     footprint too. Only footprints that meet the box around the camera and the target can: those few are gathered into one
-    array a pair, the only shuffle after the join by cells; behind it batches of pairs are tested at once.
+    array a pair, the only shuffle after the join by cells; behind it batches of pairs are looked at at once.
     """
     box = (F.least("x0", "px"), F.least("y0", "py"), F.greatest("x1", "px"), F.greatest("y1", "py"))
     p = in_cells(pairs, box, side)
@@ -88,94 +80,20 @@ def outline_sights(pairs: DataFrame, blockers: DataFrame, s: Settings, side: flo
     keep = ["pano_date", "pano_ord", "px", "py", *RECT]
     walls = F.flatten(F.collect_list(F.array("b0", "b1", "b2", "b3"))).alias("walls")
     x = near.groupBy("unit_id", "pano_id").agg(walls, *[F.first(c).alias(c) for c in keep]).withColumns(outline(s.outline_step))
-    stop = s.sight_stop
-
-    def seen(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for x0, y0, x1, y1, px, py, n, step, walls in batches:
-            every = [np.asarray(w, np.float64).reshape(-1, 4) for w in walls]
-            rects, cameras = np.stack([x0, y0, x1, y1], 1), np.stack([px, py], 1)
-            out, some = [], 500  # pairs at once
-            for i in range(0, len(every), some):
-                j = slice(i, i + some)
-                out += [~h for h in hidden_points(rects[j], cameras[j], n.to_numpy()[j], step.to_numpy()[j], every[j], stop)]
-            yield pd.Series(out)
-
-    seen = F.pandas_udf(seen, "array<boolean>")
-    x = x.withColumn("seen", seen(*RECT, "px", "py", "n", "step", "walls")).drop("walls")
-    x = x.select("*", F.posexplode("seen").alias("i", "visible")).drop("seen")
-    qx, qy = outline_point(F.col("i") * F.col("step"))
-    x = x.withColumns({"qx": qx, "qy": qy})
-    return x.withColumn("d", F.greatest(F.sqrt((F.col("qx") - F.col("px")) ** 2 + (F.col("qy") - F.col("py")) ** 2), F.lit(1e-9)))
-
-
-def longest_runs(sights: DataFrame) -> DataFrame:
-    """The visible outline points of each pair that lie in its longest run around the ring, of equally long ones the first.
-
-    Runs are told apart by the hidden points before them, counted from the first hidden one, so that none wraps.
-    """
-    pair = W.partitionBy("unit_id", "pano_id")
-    x = sights.withColumn("hidden_at", F.min(F.when(~F.col("visible"), F.col("i"))).over(pair))
-    x = x.withColumn("pos", F.pmod(F.col("i") - F.coalesce("hidden_at", F.lit(0)), F.col("n")))
-    x = x.withColumn("run", F.sum((~F.col("visible")).cast("int")).over(pair.orderBy("pos"))).where("visible")
-    runs = W.partitionBy("unit_id", "pano_id", "run")
-    x = x.withColumns({"run_n": F.count("*").over(runs), "run_at": F.min("pos").over(runs)})
-    best = F.max(F.struct("run_n", (-F.col("run_at")).alias("a"))).over(pair)
-    return x.withColumn("best", best).where((F.col("run_n") == F.col("best.run_n")) & (F.col("run_at") == -F.col("best.a")))
-
-
-def candidates(runs: DataFrame, s: Settings) -> DataFrame:
-    """What each camera sees: one row for each pair whose view is good enough.
-
-    The middle bearing is the circular mean over the run; the ends are the points furthest to its left and right, of equal
-    ones the first along the run. quality falls for views that are too close or too far.
-    """
-    pair = ["unit_id", "pano_id"]
-    r = runs.withColumn("bear", turn(F.degrees(F.atan2(F.col("qx") - F.col("px"), F.col("qy") - F.col("py")))))
-    rad = F.radians("bear")
-    w = W.partitionBy(*pair)
-    mid = turn(F.degrees(F.atan2(F.avg(F.sin(rad)).over(w), F.avg(F.cos(rad)).over(w))))
-    r = r.withColumn("mid", mid).withColumn("off", turn(F.col("bear") - F.col("mid") + 180) - 180)
-    end = F.struct("off", "pos", "qx", "qy", "d")
-    left, right = F.min(end), F.max(F.struct("off", (-F.col("pos")).alias("pos"), "qx", "qy", "d"))
-    first = [F.first(c).alias(c) for c in ("pano_date", "pano_ord", "px", "py", "mid", "step")]
-    c = r.groupBy(*pair).agg(F.count("*").alias("m"), F.min("d").alias("near"), left.alias("l"), right.alias("r"), *first)
-    span = F.col("r.off") - F.col("l.off")
-    m = F.radians("mid")
-    apparent = F.abs((F.col("r.qx") - F.col("l.qx")) * F.cos(m) - (F.col("r.qy") - F.col("l.qy")) * F.sin(m))
-    c = c.select(
-        *pair, "pano_date", "pano_ord", "px", "py", F.bround(F.col("m") * F.col("step"), 2).alias("visible_m"), F.bround(span, 2).alias("span_deg"),
-        F.bround("near", 2).alias("dist_near"), F.bround(apparent, 2).alias("apparent_m"),
-        F.bround(turn(F.col("mid") + F.col("l.off")), 2).alias("bearing_left"), F.bround(turn(F.col("mid") + F.col("r.off")), 2).alias("bearing_right"),
-        F.col("l.qx").alias("left_x"), F.col("l.qy").alias("left_y"), F.col("r.qx").alias("right_x"), F.col("r.qy").alias("right_y"),
-    )
-    return graded(c, s)
-
-
-def graded(c: DataFrame, s: Settings) -> DataFrame:
-    """The views that show enough at a fitting angle and distance, with quality and score. Lengths come rounded to centimetres."""
-    c = c.where((F.col("visible_m") >= s.min_visible) & F.col("span_deg").between(s.min_span, s.max_span) & (F.col("dist_near") >= s.min_view_dist))
-    # in whole ten-thousandths: no sum of decimal fractions stands between a tie and its rounding
-    near = F.rint(F.col("dist_near") * 100).cast("long")
-    loss = 10 * F.greatest(F.lit(0), 600 - near) + 5 * F.greatest(F.lit(0), near - 1800)
-    q = half_even(10_000 - F.least(F.lit(8000), loss), 100)
-    score = half_even(F.rint(F.col("apparent_m") * 100).cast("long") * q, 100)
-    return c.withColumns({"quality": q / 100, "score": score / 100})
-
-
-def half_even(n: Column, by: int) -> Column:
-    """n / by for whole numbers n >= 0, rounded to a whole number, halves to the even one."""
-    low, rest = F.floor(n / by), n % by
-    return low + F.when((2 * rest > by) | (2 * rest == by) & (low % 2 == 1), 1).otherwise(0)
-
-
-def square_on(sights: DataFrame, s: Settings) -> DataFrame:
-    """(unit_id, pano_id, i, cos, step): visible points that are seen squarely enough, with the cosine of the incidence."""
-    near = lambda k: outline_point(F.pmod(F.col("i") + k, F.col("n")) * F.col("step"))
-    (ax, ay), (bx, by) = near(-1), near(1)
-    tx, ty = bx - ax, by - ay
-    length = F.greatest(F.hypot(tx, ty), F.lit(1e-9))
-    cos = ((F.col("px") - F.col("qx")) / F.col("d")) * (ty / length) - ((F.col("py") - F.col("qy")) / F.col("d")) * (tx / length)
-    return sights.where("visible").withColumn("cos", cos).where(F.col("cos") >= s.square_on_cos).select("unit_id", "pano_id", "i", "cos", "step")
+    own = ["unit_id", "pano_id", "pano_date", "pano_ord", "px", "py"]
+    some = 500  # pairs at once
+
+    def looks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), some):
+                x = pdf.iloc[i : i + some]
+                walls = [np.asarray(w, np.float64).reshape(-1, 4) for w in x.walls]
+                points = hidden_points(x[list(RECT)].to_numpy(np.float64), x[["px", "py"]].to_numpy(np.float64), x.n.to_numpy(), x.step.to_numpy(), walls, s.sight_stop)
+                seen = [describe(qx, qy, step, px, py, d, visible, True, s) for (qx, qy, d, visible), step, px, py in zip(points, x.step, x.px, x.py, strict=True)]
+                yield x[own].assign(**{name: pd.Series(list(v), index=x.index) for name, v in zip(NAMES, zip(*seen, strict=True), strict=True)})
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in x.select(*own).schema)
+    return x.mapInPandas(looks, f"{kinds}, {LOOK}")
 
 
 def access_class(units: DataFrame, cands: DataFrame, s: Settings) -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from gablewise.functions.geo import bearing
 from gablewise.functions.text import floors_text, name_key, norm_unit
 from gablewise.model import TRADE_USAGES, VISIBLE, Settings
-from gablewise.operators import rules, selection, sight
+from gablewise.operators import looks, rules, selection, sight
 from gablewise.operators.grid import boxes_within, nearest, points_within
 from gablewise.plans import streets as street_plans
 from gablewise.plans.records import KEY_SQL, KEYS_SQL, cut_sql, main_value
 from gablewise.plans.registry import query
-from gablewise.plans.spatial import GRID_SQL, cameras, grid_points, pairs_sql, sights
+from gablewise.plans.spatial import GRID_SQL, cameras, grid_points, pairs_sql, views_of
 from gablewise.plans.streets import CUTS_SQL
 from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, PLACED, PLACED_WHY, SUM_SQL, VS_SQL, building_counts, cases, columns, flagged, judged, street_rows
 from gablewise.sources import bindings as B
@@ -112,7 +112,7 @@ def link_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to four links a unit: panoramas that see it first, on different sides, then the nearest others, spread likewise."""
     u, p = B.units(spark, sf_dir), B.panos(spark, sf_dir)
     x = points_within(u, p, S.link_dist)
-    seen = sight.candidates(sight.longest_runs(sights(spark, sf_dir)), S).select("unit_id", "pano_id", "dist_near")
+    seen = looks.candidates(views_of(spark, sf_dir), S).select("unit_id", "pano_id", "dist_near")
     x = x.join(seen, ["unit_id", "pano_id"], "left")
     cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
     one = F.struct(F.col("dist_near").isNull().alias("blind"), F.bround(F.coalesce("dist_near", "dist"), 6).alias("dist"), F.col("pano_ord").alias("ord"), bearing(cx, cy, "px", "py").alias("side"), "pano_id")

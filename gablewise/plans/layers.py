@@ -11,7 +11,7 @@ from gablewise.model import Settings
 from gablewise.operators import selection, sight
 from gablewise.operators.grid import points_within
 from gablewise.plans.registry import query
-from gablewise.plans.spatial import SIGHT_SQL
+from gablewise.plans.spatial import SIGHT_SQL, views_of
 from gablewise.sources import bindings as B
 from gablewise.sources.files import parse_answer, rectangle, to_feature
 
@@ -53,7 +53,5 @@ def answers_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{SIGHT_SQL}, k as (select unit_id, pano_id, count(*) filter (visible) as v from s group by all) select unit_id, count(*) as n_panos, count(*) filter (v > 0) as n_seeing, sum(v)::bigint as points_seen from k group by unit_id")
 def sight_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each unit all panoramas within reach see."""
-    u = B.units(spark, sf_dir)
-    x = sight.outline_sights(sight.sight_pairs(u, B.panos(spark, sf_dir), S.max_view_dist), u, S)
-    k = x.groupBy("unit_id", "pano_id").agg(F.count_if("visible").alias("v"))
+    k = views_of(spark, sf_dir).select("unit_id", F.size(F.filter("visible", lambda v: v)).alias("v"))
     return k.groupBy("unit_id").agg(F.count("*").alias("n_panos"), F.count_if(F.col("v") > 0).alias("n_seeing"), F.sum("v").alias("points_seen"))

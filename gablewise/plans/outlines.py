@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablewise.model import Settings
-from gablewise.operators import outlook, overlap, shapes, sight
+from gablewise.operators import looks, outlook, overlap, selection, shapes, sight
 from gablewise.plans.registry import query
 from gablewise.plans.spatial import RUN_SQL, SCORE_SQL
 from gablewise.sources import bindings as B
@@ -70,8 +70,6 @@ qs as (select *, px + (qx - px) * least(1, greatest(0, (d - 0.05e0) / d)) as tx,
 nb as (select p.unit_id, p.pano_id, {mm('ax', 'ay', 'ex', 'ey')} from pairs p join bd o on o.lo_x <= greatest(p.hi_x, px) and o.hi_x >= least(p.lo_x, px) and o.lo_y <= greatest(p.hi_y, py) and o.hi_y >= least(p.lo_y, py) join ed e on e.unit_id = o.unit_id),
 hi as (select unit_id, pano_id, i, bool_or(least(ipx, itx) <= greatest(iax, iex) and greatest(ipx, itx) >= least(iax, iex) and least(ipy, ity) <= greatest(iay, iey) and greatest(ipy, ity) >= least(iay, iey)
  and {SIGN.format('ipx', 'ipy', 'itx', 'ity', 'iax', 'iay')} * {SIGN.format('ipx', 'ipy', 'itx', 'ity', 'iex', 'iey')} <= 0 and {SIGN.format('iax', 'iay', 'iex', 'iey', 'ipx', 'ipy')} * {SIGN.format('iax', 'iay', 'iex', 'iey', 'itx', 'ity')} <= 0) as hidden from qt join nb using (unit_id, pano_id) group by all)"""
-#: Ends that lie in one direction, but for rounding, are ties.
-ENDS_SQL = RUN_SQL.replace("a := off", "a := round(off, 9)")
 SEEN_SQL = f"{EDGES_SQL}, {LINE_SQL}, s as (select ql.*, pano_ord, not hidden as visible from ql join hi using (unit_id, pano_id, i) join (select pano_id, pano_ord from panos) using (pano_id))"
 
 
@@ -93,24 +91,24 @@ def outline_square_on(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("unit_id", "pano_id", F.size("good").cast("long").alias("n_good"), F.bround(add, 3).alias("cos_sum"), F.bround(F.array_max("cos"), 5).alias("cos_max"))
 
 
-@query(f"{SEEN_SQL}, {ENDS_SQL}, {SCORE_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m, quality, score from h")
+@query(f"{SEEN_SQL}, {RUN_SQL}, {SCORE_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m, quality, score from h")
 def outline_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The views of units of any outline that are good enough, with quality and score."""
-    c = outlook.candidates(outline_looks(spark, sf_dir), S)
+    c = looks.candidates(outline_looks(spark, sf_dir), S)
     return c.select("unit_id", "pano_id", "visible_m", "span_deg", "dist_near", "apparent_m", "quality", "score")
 
 
-@query(f"""{SEEN_SQL}, {ENDS_SQL}, k as (select unit_id, count(*) as n, min(dist_near) as near from c group by unit_id)
+@query(f"""{SEEN_SQL}, {RUN_SQL}, k as (select unit_id, count(*) as n, min(dist_near) as near from c group by unit_id)
 select unit_id, case when n is null then 'not visible' when near > 15 then 'not street-facing' else 'street-facing' end as access, coalesce(n, 0) as n_candidates from units left join k using (unit_id)""")
 def outline_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of access of units of any outline: visible, from near enough or not."""
-    return sight.access_class(B.units(spark, sf_dir), outlook.candidates(outline_looks(spark, sf_dir), S), S)
+    return sight.access_class(B.units(spark, sf_dir), looks.candidates(outline_looks(spark, sf_dir), S), S)
 
 
 @query()
 def outline_views_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to four views of each unit of any outline, each that which adds most wall. A sequential choice, so without SQL."""
-    return outlook.choose_views(outlook.candidates(outline_looks(spark, sf_dir), S), S)
+    return selection.choose_views(looks.candidates(outline_looks(spark, sf_dir), S), S)
 
 
 IN_SQL = f"""(count(*) filter ((iay > ipy) <> (iey > ipy) and {SIGN.format('iax', 'iay', 'iex', 'iey', 'ipx', 'ipy')} = case when iey > iay then 1 else -1 end) % 2 = 1

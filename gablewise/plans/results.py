@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablewise.functions.text import norm_door, norm_usage
+from gablewise.functions.text import norm_usage
 from gablewise.model import Settings
-from gablewise.operators import merge, selection, sight
+from gablewise.operators import looks, merge, selection
 from gablewise.plans import spatial
 from gablewise.plans.registry import query
 from gablewise.plans.verdicts import CASE_SQL, FLAGS_SQL, NORM, flagged
@@ -167,9 +167,8 @@ def answers_rekeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def views_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to two more views a unit beside its chosen ones: the candidates of the best score at least 6 m from all that are taken, six in all."""
-    x = settled(spatial.sights(spark, sf_dir))
-    c = settled(sight.candidates(sight.longest_runs(x), S))
-    chosen = selection.choose_views(c, sight.square_on(x, S), S).select("unit_id", "pano_id", "nth")
+    c = settled(looks.candidates(spatial.views_of(spark, sf_dir), S))  # read twice
+    chosen = selection.choose_views(c, S).select("unit_id", "pano_id", "nth")
     return extra_views(c, chosen, 2, 6, S.views_apart)
 
 

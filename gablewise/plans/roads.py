@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gablewise.functions.text import name_key, norm_zone
 from gablewise.model import Settings
-from gablewise.operators import leaders, network, outlook, sight
+from gablewise.operators import leaders, looks, network, selection, sight
 from gablewise.plans.outlines import EDGES_SQL, SIGN, mm, outline_looks, outlines
 from gablewise.plans.records import building_roads, main_value
 from gablewise.plans.registry import query
@@ -119,9 +119,9 @@ def bent_picture_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bent_units_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The road of each unit of any outline: of its closest view's camera, or of its footprint, or that of its address."""
-    u, c = outlines(spark, sf_dir), settled(outlook.candidates(outline_looks(spark, sf_dir), S))  # read three times
+    u, c = outlines(spark, sf_dir), settled(looks.candidates(outline_looks(spark, sf_dir), S))  # read three times
     access = sight.access_class(B.units(spark, sf_dir), c, S).select("unit_id", "access")
-    views = outlook.choose_views(c, S).join(c.select("unit_id", "pano_id", "px", "py", "dist_near"), ["unit_id", "pano_id"])
+    views = selection.choose_views(c, S).join(c.select("unit_id", "pano_id", "px", "py", "dist_near"), ["unit_id", "pano_id"])
     r = roads(spark, sf_dir)
     return network.assign_units(u, access, views, r, r.select("road_fid", F.col("road_name").alias("name")), "road_fid", S.camera_reach, S.back_lot_reach)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gablewise.functions import geo
 from gablewise.model import Settings
-from gablewise.operators import selection, sight
+from gablewise.operators import looks, selection, sight
 from gablewise.operators.grid import boxes_within, cell, nearest, points_within
 from gablewise.plans.records import NEAR_SQL, building_neighbours
 from gablewise.plans.registry import query
@@ -189,20 +189,21 @@ b1 as (select *, ((degrees(atan2(qx - px, qy - py)) % 360) + 360) % 360 as bear
 b2 as (select *, ((degrees(atan2(avg(sin(radians(bear))) over p, avg(cos(radians(bear))) over p)) % 360) + 360) % 360 as mid from b1 window p as (partition by unit_id, pano_id)),
 b3 as (select *, (((bear - mid + 180) % 360) + 360) % 360 - 180 as off from b2),
 c1 as (select unit_id, pano_id, pano_ord, count(*) as m, min(d) as near, min(mid) as mid, min(step) as step, min(off) as lo, max(off) as hi,
-  arg_min(struct_pack(x := qx, y := qy), struct_pack(a := off, b := pos)) as l, arg_max(struct_pack(x := qx, y := qy), struct_pack(a := off, b := -pos)) as rr from b3 group by all),
+  arg_min(struct_pack(x := qx, y := qy), struct_pack(a := round(off, 9), b := pos)) as l, arg_max(struct_pack(x := qx, y := qy), struct_pack(a := round(off, 9), b := -pos)) as rr from b3 group by all),
 c2 as (select *, round_even(m * step, 2) as visible_m, round_even(hi - lo, 2) as span_deg, round_even(near, 2) as dist_near,
   round_even(abs((rr.x - l.x) * cos(radians(mid)) - (rr.y - l.y) * sin(radians(mid))), 2) as apparent_m from c1),
 c as (select *, round_even((1 - least(0.8e0, 0.10e0 * greatest(0, 6 - dist_near) + 0.05e0 * greatest(0, dist_near - 18)))::decimal(30, 15), 2)::double as quality from c2 where visible_m >= 3 and span_deg between 12 and 120 and dist_near >= 1.5e0)"""
 
 
-def sights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def views_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each panorama within reach sees of each unit."""
     units = B.units(spark, sf_dir)
-    return sight.outline_sights(sight.sight_pairs(units, B.panos(spark, sf_dir), S.max_view_dist), units, S)
+    return sight.outline_looks(sight.sight_pairs(units, B.panos(spark, sf_dir), S.max_view_dist), units, S)
 
 
 @query(f"{SIGHT_SQL} select unit_id, pano_id, min(n) as n_points, count(*) filter (visible) as n_visible from s group by all")
 def los_visible_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sights(spark, sf_dir).groupBy("unit_id", "pano_id").agg(F.min("n").alias("n_points"), F.count_if("visible").alias("n_visible"))
+    return views_of(spark, sf_dir).select("unit_id", "pano_id", F.col("n").alias("n_points"), F.size(F.filter("visible", lambda v: v)).cast("long").alias("n_visible"))
 
 
 #: Quality in hundredths from whole numbers, and the score with it.
@@ -214,21 +215,20 @@ h as (select * replace (q / 100e0 as quality), (m2 // 100 + case when 2 * (m2 %
 @query(f"{SIGHT_SQL}, {RUN_SQL}, {SCORE_SQL} select unit_id, pano_id, visible_m, span_deg, dist_near, apparent_m, quality, score from h")
 def los_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each camera sees, how good the view is, and its score."""
-    c = sight.candidates(sight.longest_runs(sights(spark, sf_dir)), S)
+    c = looks.candidates(views_of(spark, sf_dir), S)
     return c.select("unit_id", "pano_id", "visible_m", "span_deg", "dist_near", "apparent_m", "quality", "score")
 
 
 @query(f"""{SIGHT_SQL}, {RUN_SQL}, k as (select unit_id, count(*) as n, min(dist_near) as near from c group by unit_id)
 select unit_id, case when n is null then 'not visible' when near > 15 then 'not street-facing' else 'street-facing' end as access, coalesce(n, 0) as n_candidates from units left join k using (unit_id)""")
 def access_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = sight.candidates(sight.longest_runs(sights(spark, sf_dir)), S)
+    c = looks.candidates(views_of(spark, sf_dir), S)
     return sight.access_class(B.units(spark, sf_dir), c, S)
 
 
 @query()
 def views_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = sights(spark, sf_dir)
-    return selection.choose_views(sight.candidates(sight.longest_runs(x), S), sight.square_on(x, S), S)
+    return selection.choose_views(looks.candidates(views_of(spark, sf_dir), S), S)
 
 
 @query()

@@ -2,11 +2,12 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gablewise.model import Settings
-from gablewise.operators import grid, merge, names, rules, selection, sight, streets
+from gablewise.operators import grid, looks, merge, names, rules, selection, sight, streets
 from gablewise.sources import files
 from gablewise.streaming import clicks
 
@@ -19,29 +20,29 @@ PANO = "pano_id string, pano_date string, pano_ord long, px double, py double"
 def look(spark, points):
     units = spark.createDataFrame(HOUSES, UNIT)
     panos = spark.createDataFrame([(f"p{i}", "2026-02", i, float(x), float(y)) for i, (x, y) in enumerate(points)], PANO)
-    return sight.outline_sights(sight.sight_pairs(units, panos, 30.0), units, S)
+    return sight.outline_looks(sight.sight_pairs(units, panos, 30.0), units, S)
 
 
 def test_sight_of_a_row_of_houses(spark):
     seen = look(spark, [(17, -3)])
-    visible = {r.unit_id: r.n for r in seen.where("visible").groupBy("unit_id").agg(F.count("*").alias("n")).collect()}
-    assert "BACK" not in visible
-    c = {r.unit_id: r for r in sight.candidates(sight.longest_runs(seen), S).collect()}
+    assert {r.unit_id for r in looks.outline_sights(seen).where("visible").collect()} == {"A", "B", "C"}
+    c = {r.unit_id: r for r in looks.candidates(seen, S).collect()}
     assert c["B"].dist_near == pytest.approx(5, abs=0.3)
     assert 8 <= c["B"].apparent_m <= 11
     assert sorted((c["B"].left_x, c["B"].right_x)) == pytest.approx([12, 22], abs=0.6)
     assert c["B"].visible_m < 20
 
 
-def test_longest_run_wraps_around_the_ring(spark):
-    flags = [True, True, False, True, False, True, True]  # 5, 6, 0, 1 in one run
-    df = spark.createDataFrame([("u", "p", i, len(flags), v) for i, v in enumerate(flags)], "unit_id string, pano_id string, i int, n int, visible boolean")
-    assert [r.i for r in sight.longest_runs(df).orderBy("pos").collect()] == [5, 6, 0, 1]
+def test_longest_run_wraps_around_the_ring():
+    run = lambda *flags: looks.longest_run(np.array(flags, bool)).tolist()
+    assert run(1, 1, 0, 1, 0, 1, 1) == [5, 6, 0, 1]
+    assert run(1, 1, 1) == [0, 1, 2] and run(0, 0, 0) == [] and run(0, 1, 0, 1) == [1] and run(1, 0, 1, 0) == [2]
+    assert run(1, 0, 0, 1, 1, 0, 1) == [3, 4]  # of two runs of two the first after the first hidden place
 
 
 def test_views_go_to_other_walls(spark):
     x = look(spark, [(5, -4), (5, -4.5), (-6, 7)])
-    chosen = selection.choose_views(sight.candidates(sight.longest_runs(x), S), sight.square_on(x, S), S)
+    chosen = selection.choose_views(looks.candidates(x, S), S)
     got = [r.pano_id for r in chosen.where("unit_id = 'A'").orderBy("nth").collect()]
     assert "p2" in got and len(set(got) & {"p0", "p1"}) == 1
 

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from gablewise.model import Settings
-from gablewise.operators import outlook, overlap, shapes
+from gablewise.operators import looks, outlook, overlap, selection, shapes
 
 S = Settings()
 RING = "unit_id string, building_id string, ord long, ring array<struct<x:double,y:double>>"
@@ -138,8 +138,8 @@ def test_views_of_a_corner_plot(spark):
     """Two sides of a house get a view each, whichever way its ring is drawn."""
     for ring in (box(0, 2, 10, 12), box(0, 2, 10, 12)[::-1]):
         u = units(spark, [("A", ring)])
-        looks = outlook.outline_looks(shapes.points_near(u, cameras(spark, [(5, -4), (11, -4), (-6, 7)]), 30.0), u, S)
-        chosen = {x.pano_id for x in outlook.choose_views(outlook.candidates(looks, S), S).collect()}
+        seen = outlook.outline_looks(shapes.points_near(u, cameras(spark, [(5, -4), (11, -4), (-6, 7)]), 30.0), u, S)
+        chosen = {x.pano_id for x in selection.choose_views(looks.candidates(seen, S), S).collect()}
         assert {"p0", "p2"} <= chosen
 
 

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from gablewise.model import Settings
-from gablewise.operators import outlook, selection, shapes
+from gablewise.operators import looks, outlook, selection, shapes
 from gablewise.sources import files
 
 RING = "unit_id string, building_id string, ord long, ring array<struct<x:double,y:double>>"
@@ -59,15 +59,15 @@ def test_sight_of_a_row_of_houses(spark):
     u = spark.createDataFrame([(k, k, i, [(float(x), float(y)) for x, y in ring]) for i, (k, ring) in enumerate(rows)], RING)
     panos = spark.createDataFrame([("p0", "2026", 1, 17.0, -3.0)], PANOS)
     pairs = shapes.points_near(u, panos, 30.0)
-    looks = outlook.outline_looks(pairs, u, s)
-    c = {x.unit_id: x for x in outlook.candidates(looks, s).collect()}
+    seen_by = outlook.outline_looks(pairs, u, s)
+    c = {x.unit_id: x for x in looks.candidates(seen_by, s).collect()}
     assert "BACK" not in c and abs(c["B"].dist_near - 5) < 0.3 and 8 <= c["B"].apparent_m <= 11
     assert sorted((round(c["B"].left_x), round(c["B"].right_x))) == [12, 22]
     wall = spark.createDataFrame([("W", "W", 9, [(10.0, -1.0), (24.0, 0.5), (24.0, 1.0), (10.0, -0.5)])], RING)
-    hidden = outlook.outline_sights(outlook.outline_looks(pairs, u.unionByName(wall), s))
+    hidden = looks.outline_sights(outlook.outline_looks(pairs, u.unionByName(wall), s))
     assert hidden.where("unit_id = 'B' and visible").count() == 0
     notched = spark.createDataFrame([("N", "N", 1, [(10.0, 2.0), (24.0, 2.0), (24.0, 12.0), (20.0, 12.0), (20.0, 6.0), (14.0, 6.0), (14.0, 12.0), (10.0, 12.0)])], RING)
-    seen = outlook.outline_sights(outlook.outline_looks(shapes.points_near(notched, panos, 30.0), notched, s)).where("visible").agg(F.max("qy"), F.count("*")).first()
+    seen = looks.outline_sights(outlook.outline_looks(shapes.points_near(notched, panos, 30.0), notched, s)).where("visible").agg(F.max("qy"), F.count("*")).first()
     assert seen[0] < 6 and seen[1] > 20  # nothing of the notch behind the front
 
 
