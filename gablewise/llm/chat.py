@@ -49,15 +49,13 @@ def closing(role: Column) -> Column:
     return F.when(role == "user", USER_END).when(role == "assistant", ASSISTANT_END).otherwise(OTHER_END)
 
 
-def positions(turns: DataFrame, segment: int) -> DataFrame:
-    """turns (conv, turn, role, text) with `part`: of a conversation of more turns than a segment, the rank by turn over the segment."""
+def parted(turns: DataFrame, segment: int) -> tuple[DataFrame, DataFrame]:
+    """turns (conv, turn, role, text) in two: those of conversations of a segment at most, and those of others with `part`: the rank by turn over the segment."""
     counts = turns.groupBy("conv").count().where(F.col("count") > segment)
     long = save(counts.select(F.col("conv").alias("long")), "chat-long")
     hint = broadcast_if_small(long)
     same = F.col("conv").eqNullSafe(F.col("long"))
-    short = turns.join(hint, same, "left_anti").withColumn("part", F.lit(0).cast("long"))
-    if not long.take(1):
-        return turns.withColumn("part", F.lit(0).cast("long"))
+    short = turns.join(hint, same, "left_anti")
     order = [F.col(c).asc_nulls_first() for c in ("turn", "role", "text")]
     # a range holds a share of a conversation; rows that are wholly alike may lie on either side of a cut
     ranged = turns.join(hint, same, "left_semi").withColumn("tie", F.monotonically_increasing_id())
@@ -68,33 +66,40 @@ def positions(turns: DataFrame, segment: int) -> DataFrame:
     sizes = sizes.select(F.struct("conv").alias("of"), F.col("range").alias("in"), before.alias("before"))
     row = F.row_number().over(W.partitionBy("conv", "range").orderBy(*order, "tie")) - 1
     ranked = ranged.withColumn("row", row).join(broadcast_if_small(save(sizes, "chat-sizes")), (F.col("range") == F.col("in")) & F.struct("conv").eqNullSafe(F.col("of")))
-    part = F.floor((F.col("before") + F.col("row")) / segment)
-    return short.unionByName(ranked.select(*turns.columns, part.alias("part")))
+    rank = F.col("before") + F.col("row")
+    return short, ranked.select(*turns.columns, F.floor(rank / segment).alias("part"), rank.alias("rank"))
 
 
-def format_parts(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """(conv, part, formatted, loss, n): the written parts of conversations; loss has (start, length) of each assistant's text in its part.
-
-    turns has conv (of any type), turn, role and text. Turns go by `turn`, nulls first, ties by role and text; a null role or text is
-    an empty one; rows that are wholly alike are turns like others. The parts of a conversation, joined by part, are its text.
-    """
-    keep = turns.select("conv", "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))
-    got = positions(keep, segment).groupBy("conv", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    # turns of the same role that stand together become one block
+def blocks(turns: Column) -> Column:
+    """Sorted turns, those of the same role that stand together as one: structs (role, texts)."""
     none = F.array().cast("array<struct<role:string,texts:array<string>>>")
     fold = lambda out, t: F.when(
         F.try_element_at(out, F.lit(-1)).role == t.role,
         F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(t.role.alias("role"), F.concat(F.element_at(out, -1).texts, F.array(t.text)).alias("texts")))),
     ).otherwise(F.concat(out, F.array(F.struct(t.role.alias("role"), F.array(t.text).alias("texts")))))
-    got = got.withColumn("blocks", F.aggregate("turns", none, fold)).drop("turns")
-    first, last = F.get("blocks", F.lit(0)).role, F.element_at("blocks", -1).role
-    edge = got.select("conv", "part", first.alias("first"), last.alias("last"), F.size(F.flatten(F.col("blocks.texts"))).cast("long").alias("n"), "blocks")
-    alone = edge.where((F.col("part") == 0) & (F.col("n") < segment)).withColumns({"before": F.lit(None).cast("string"), "after": F.lit(None).cast("string")})
-    many = edge.where((F.col("part") > 0) | (F.col("n") >= segment))
+    return F.aggregate(turns, none, fold)
+
+
+def clean(turns: DataFrame) -> DataFrame:
+    return turns.select("conv", "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))
+
+
+def written(short: DataFrame, long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv, part, formatted, loss) of both. Texts are shuffled once, to where a part's turns are collected."""
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
+    nothing = F.lit(None).cast("string")
+    first = short.groupBy("conv").agg(turns).select("conv", F.lit(0).cast("long").alias("part"), "turns", nothing.alias("before"), nothing.alias("after"))
+    # the roles on either side of each part, from narrow rows
+    ends = long.select("conv", "part", "rank", "role").groupBy("conv", "part").agg(F.min_by("role", "rank").alias("first"), F.max_by("role", "rank").alias("last"))
     by_part = W.partitionBy("conv").orderBy("part")
-    near = many.select(F.struct("conv").alias("of"), F.col("part").alias("at"), F.lag("last").over(by_part).alias("before"), F.lead("first").over(by_part).alias("after"))
-    many = many.join(near, (F.col("part") == F.col("at")) & F.struct("conv").eqNullSafe(F.col("of"))).drop("of", "at")
-    x = alone.unionByName(many)
+    near = ends.select(F.struct("conv").alias("of"), F.col("part").alias("at"), F.lag("last").over(by_part).alias("before"), F.lead("first").over(by_part).alias("after"))
+    many = long.groupBy("conv", "part").agg(turns).join(near, (F.col("part") == F.col("at")) & F.struct("conv").eqNullSafe(F.col("of")))
+    return write(first), write(many.select("conv", "part", "turns", "before", "after"))
+
+
+def write(parts: DataFrame) -> DataFrame:
+    """(conv, part, formatted, loss) of parts (conv, part, turns, before, after): the roles that stand before and after tell what goes on there."""
+    x = parts.withColumn("blocks", blocks(F.col("turns"))).drop("turns")
 
     # the pieces of a part in order: openings, texts, joints and ends; those of assistants' texts are marked
     def pieces(b: Column, i: Column) -> Column:
@@ -105,12 +110,22 @@ def format_parts(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
         return F.concat(F.array(piece(F.when(starts, opening(b.role)).otherwise(NEXT), F.lit(False))), texts, F.array(piece(F.when(ends, closing(b.role)).otherwise(""), F.lit(False))))
 
     begin = F.array(F.struct(F.when(F.col("part") == 0, BEGIN).otherwise("").alias("text"), F.lit(False).alias("mask")))
-    x = x.select("conv", "part", "n", F.concat(begin, F.flatten(F.transform("blocks", pieces))).alias("pieces"))
+    x = x.select("conv", "part", F.concat(begin, F.flatten(F.transform("blocks", pieces))).alias("pieces"))
     step = lambda s, p: F.struct(
         (s.at + F.length(p.text)).alias("at"), F.when(p.mask, F.concat(s.loss, F.array(F.struct((s.at + 1).alias("start"), F.length(p.text).alias("length"))))).otherwise(s.loss).alias("loss")
     )
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("loss"))
-    return x.select("conv", "part", F.array_join(F.col("pieces.text"), "").alias("formatted"), F.aggregate("pieces", zero, step).loss.alias("loss"), "n")
+    return x.select("conv", "part", F.array_join(F.col("pieces.text"), "").alias("formatted"), F.aggregate("pieces", zero, step).loss.alias("loss"))
+
+
+def format_parts(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """(conv, part, formatted, loss): the written parts of conversations; loss has (start, length) of each assistant's text in its part.
+
+    turns has conv (of any type), turn, role and text. Turns go by `turn`, nulls first, ties by role and text; a null role or text is
+    an empty one; rows that are wholly alike are turns like others. The parts of a conversation, joined by part, are its text.
+    """
+    short, long = written(*parted(clean(turns), segment))
+    return short.unionByName(long)
 
 
 def read_back(formatted: Column) -> Column:
@@ -139,13 +154,11 @@ def conversation_texts(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
     Whole texts are values of Spark, which end at 2 GB; longer conversations have their parts only. Those of one part aren't shuffled again.
     """
-    parts = format_parts(turns, segment).withColumn("under", masked(F.col("formatted"), F.col("loss")))
-    one = (F.col("part") == 0) & (F.col("n") < segment)
+    short, long = (x.withColumn("under", masked(F.col("formatted"), F.col("loss"))) for x in written(*parted(clean(turns), segment)))
     texts = ("formatted", "under")
-    # a struct for each part: parts sort by number
-    joined = parts.where(~one).groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", *texts))).alias("all"))
+    joined = long.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", *texts))).alias("all"))
     joined = joined.select("conv", *(F.array_join(F.col(f"all.{c}"), "").alias(c) for c in texts))
-    return parts.where(one).select("conv", *texts).unionByName(joined)
+    return short.select("conv", *texts).unionByName(joined)
 
 
 def conversation_digests(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
