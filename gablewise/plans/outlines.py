@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablewise.model import Settings
-from gablewise.operators import looks, outlook, overlap, selection, shapes, sight
+from gablewise.operators import links, looks, outlook, overlap, selection, shapes, sight
 from gablewise.plans.registry import query
 from gablewise.plans.spatial import RUN_SQL, SCORE_SQL
 from gablewise.sources import bindings as B
@@ -135,6 +135,23 @@ def outline_panos_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("pano_id", "snapped", F.bround("px", 6).alias("px"), F.bround("py", 6).alias("py"))
 
 
+@query()
+def outline_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to four links a unit of any outline, with where each looks; those that see it first. A sequential choice, so without SQL."""
+    return unit_links(spark, sf_dir)
+
+
+def unit_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = outlines(spark, sf_dir)
+    return links.link_views(u, B.panos(spark, sf_dir), u.select("ring"), S)
+
+
+@query()
+def outline_link_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of each unit side by side: addresses for a viewer, and what they show in words."""
+    return links.link_fields(unit_links(spark, sf_dir), S, (711679.6, 1219908.4))
+
+
 OTHERS_SQL = """oe as (select ord, unit_id, k, ax + dx as ax, ay + dy as ay, ex + dx as ex, ey + dy as ey from (select *, ord % 7 + case when ord % 20 = 9 then 5000 else 0 end as dx, ord % 5 as dy from ed)),
 ob as (select ord, min(ax) as lo_x, min(ay) as lo_y, max(ax) as hi_x, max(ay) as hi_y, abs(sum(ax * ey - ex * ay)) / 2 as area from oe group by ord),
 bx as (select min(lo_x) - 80 as w0, min(lo_y) - 80 as w1, max(hi_x) + 80 as w2, max(hi_y) + 80 as w3 from bd),
