@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gablewise.functions.text import norm_unit
 from gablewise.model import Settings
 from gablewise.operators.overlap import area
 
@@ -27,3 +28,21 @@ def load_units(buildings: DataFrame, s: Settings) -> DataFrame:
     again = F.count("*").over(W.partitionBy("unit_id"))
     x = x.withColumn("again", again).withColumn("unit_id", F.when(F.col("again") > 1, F.raise_error(F.concat(F.lit("repeated unit id "), "unit_id"))).otherwise(F.col("unit_id")))
     return x.select("unit_id", "building_id", "part", "n_parts", "road", "usage", "storeys", "ring", "area")
+
+
+# What counts as a picture by its name's end.
+PICTURES = ("png", "jpg", "jpeg", "webp")
+
+
+def match_files(files: DataFrame, units: DataFrame) -> DataFrame:
+    """(name, unit_id, n) of each picture of files (name): the unit (unit_id, building_id, part) that its name says, and its number, 1 without one.
+
+    A name is a unit's id in any case, perhaps with _ or - and a number. The id of a building of several parts alone means its first part. Of other
+    pictures unit_id and n are null; files that aren't pictures, and null names, have no row.
+    """
+    x = files.select("name", F.regexp_extract("name", r"^(.*)\.([A-Za-z]+)$", 1).alias("stem"), F.lower(F.regexp_extract("name", r"^(.*)\.([A-Za-z]+)$", 2)).alias("kind")).where(F.col("kind").isin(*PICTURES))
+    pattern = r"^([A-Za-z0-9]*[0-9](?:_[pP][0-9]+)?)(?:[_-]([0-9]+))?$"
+    x = x.select("name", norm_unit(F.regexp_extract("stem", pattern, 1)).alias("said"), F.coalesce(F.regexp_extract("stem", pattern, 2).try_cast("int"), F.lit(1)).alias("n"))
+    alone = units.where("part = 1 and unit_id <> building_id").select(F.col("building_id").alias("said"), "unit_id")
+    known = units.select(F.col("unit_id").alias("said"), "unit_id").unionByName(alone)
+    return x.join(known, "said", "left").select("name", "unit_id", F.when(F.col("unit_id").isNotNull(), F.col("n")).alias("n"))

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.functions.text import norm_unit
 from gablewise.model import Settings
-from gablewise.operators import merge
-from gablewise.plans.registry import query
+from gablewise.operators import merge, parts
+from gablewise.plans import inputs
+from gablewise.plans.registry import ORACLES, query
 from gablewise.sources import bindings as B
 
 S = Settings()
@@ -73,19 +73,18 @@ def key_invalidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.still_valid(kept, now, ["unit_key"], "stamp").select("unit_key", "answer")
 
 
-NAMES = "concat(lower(concat('b', p_partkey)), case p_size % 4 when 0 then '' when 1 then '_2' when 2 then '-3' else '_x' end)"
+NAMES = """concat(lower(concat('b', p_partkey, case when p_partkey % 6 > 2 and p_size % 3 = 0 then '_P2' else '' end)), case p_size % 4 when 0 then '' when 1 then '_2' when 2 then '-3' else '_x' end,
+ case p_size % 7 when 0 then '.txt' when 1 then '.JPG' when 2 then '' when 3 then '.webp' else '.png' end)"""
+STEM, UNIT_NAME = r"^(.*)\.([A-Za-z]+)$", r"^([A-Za-z0-9]*[0-9](?:_[pP][0-9]+)?)(?:[_-]([0-9]+))?$"
 
 
-@query(f"""{B.with_views('units')}, f as (select {NAMES} as name, p_partkey from part), m as (select name, p_partkey, upper(regexp_extract(name, '^(.*?)([_-]([0-9]+))?$', 1)) as unit, regexp_extract(name, '^(.*?)([_-]([0-9]+))?$', 3) as n from f)
-select name, u.unit_id, case when u.unit_id is not null then coalesce(try_cast(nullif(n, '') as int), 1) end as n from m left join units u on u.unit_id = m.unit""")
+@query(f"""with un as ({ORACLES['units_of_parts']}), kn as (select unit_id as said, unit_id from un union all select building_id, unit_id from un where part = 1 and unit_id <> building_id),
+f as (select {NAMES} as name from part), g as (select name, regexp_extract(name, '{STEM}', 1) as stem from f where lower(regexp_extract(name, '{STEM}', 2)) in ('png', 'jpg', 'jpeg', 'webp')),
+m as (select name, regexp_replace(upper(regexp_extract(stem, '{UNIT_NAME}', 1)), '_P([0-9]+)$', '_p\\1') as said, coalesce(try_cast(nullif(regexp_extract(stem, '{UNIT_NAME}', 2), '') as int), 1) as n from g)
+select name, unit_id, case when unit_id is not null then n end as n from m left join kn using (said)""")
 def match_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pictures by their names: a unit's id, perhaps with a number; others are unknown."""
-    pattern = r"^(.*?)([_-]([0-9]+))?$"
-    f = B.table(spark, sf_dir, "part").selectExpr(f"{NAMES} as name")
-    f = f.select("name", norm_unit(F.regexp_extract("name", pattern, 1)).alias("unit_id"), F.coalesce(F.regexp_extract("name", pattern, 3).try_cast("int"), F.lit(1)).alias("n"))
-    known = B.units(spark, sf_dir).select("unit_id", F.lit(True).alias("known"))
-    x = f.join(known, "unit_id", "left")
-    return x.select("name", F.when(F.col("known"), F.col("unit_id")).alias("unit_id"), F.when(F.col("known"), F.col("n")).alias("n"))
+    """Pictures by their names: a unit's or a building's id, perhaps with a number; others are unknown, and other files left out."""
+    return parts.match_files(B.table(spark, sf_dir, "part").selectExpr(f"{NAMES} as name"), inputs.units_of_parts(spark, sf_dir))
 
 
 @query(f"""{B.with_views('reviews')}, l as (select *, row_number() over (partition by unit_key order by said_at desc, file_ord desc) as nth from reviews), r as (select l.*, o_orderkey % 4 as llm_floors, case o_custkey % 3 when 0 then 'Residential' when 1 then 'Mixed' end as rec_usage from l join orders on o_orderkey = unit_key where nth = 1)

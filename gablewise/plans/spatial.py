@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gablewise.functions import geo
 from gablewise.model import Settings
-from gablewise.operators import looks, selection, sight
+from gablewise.operators import links, looks, selection, sight
 from gablewise.operators.grid import boxes_within, cell, nearest, points_within
 from gablewise.plans.records import NEAR_SQL, building_neighbours
 from gablewise.plans.registry import query
@@ -300,12 +300,14 @@ def link_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("unit_id", "pano_id", F.format_string("%d m, from %s, %s", F.rint("dist").cast("int"), side, "pano_date").alias("label"))
 
 
-@query(f"{B.with_views('panos')} select pano_id, concat('pano=', pano_id, '&heading=', round_even(px % 360, 1), '&fov=', cast(least(100, 60 + pano_ord % 60) as int)) as url from panos")
+@query(f"""{B.with_views('panos')}, k as (select pano_id, px, py, round_even(px % 360, 1) as heading, least(100, 60e0 + pano_ord % 60) as fov, (pano_ord % 30) / 2e0 as pitch from panos)
+select pano_id, concat('https://www.google.com/maps/@?api=1&map_action=pano&pano=', pano_id, '&heading=', heading, '&pitch=', pitch, '&fov=', fov, case when pano_id like '%5' then '' else printf('&viewpoint=%.7f,%.7f', 11 + py / 1e5, 76.9e0 + px / 1e5) end) as url from k""")
 def viewer_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links to a viewer of panoramas; the field of view is at most 100."""
+    """Links to a viewer of panoramas, with the camera's place where it is known; the field of view is at most 100."""
     p = B.panos(spark, sf_dir)
-    fov = F.least(F.lit(100), 60 + F.col("pano_ord") % 60).cast("int")
-    return p.select("pano_id", F.concat(F.lit("pano="), "pano_id", F.lit("&heading="), F.bround(F.col("px") % 360, 1).cast("string"), F.lit("&fov="), fov.cast("string")).alias("url"))
+    place = F.struct((11 + F.col("py") / 1e5).alias("lat"), (76.9 + F.col("px") / 1e5).alias("lon"))
+    look = (F.bround(F.col("px") % 360, 1), 60.0 + F.col("pano_ord") % 60, (F.col("pano_ord") % 30) / 2)
+    return p.select("pano_id", F.when(F.col("pano_id").endswith("5"), links.viewer_url(F.col("pano_id"), *look)).otherwise(links.viewer_url(F.col("pano_id"), *look, place)).alias("url"))
 
 
 def _sum_sql(start: str, coefficients, sign: str, term: str) -> str:

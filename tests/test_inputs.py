@@ -116,3 +116,13 @@ def test_last_notes_and_vanished_ones(spark, tmp_path):
         (tmp_path / f"notes_{n}.json").write_text("\n".join(lines))
     got = files.last_notes(spark, str(tmp_path), "u string, t string", "u")
     assert {r.u: r.t for r in got.collect()} == {"A": "last", "B": "only"}
+
+
+def test_pictures_of_units(spark):
+    units = spark.createDataFrame([("44WN1", "44WN1", 1), ("44WN2_p1", "44WN2", 1), ("44WN2_p2", "44WN2", 2), ("7", "7", 1)], "unit_id string, building_id string, part int")
+    names = ["44WN1.png", "44wn1_2.PNG", "44wn1-3.jpeg", "44WN2.jpg", "44wn2_P2.webp", "44WN2_p2_4.png", "7.png", "44WN9.png", "notes.txt", "44WN1", "cat.png", "44WN1_2_3.png", "", None]
+    got = {r["name"]: (r.unit_id, r.n) for r in parts.match_files(spark.createDataFrame([(n,) for n in names], "name string"), units).collect()}
+    assert got == {
+        "44WN1.png": ("44WN1", 1), "44wn1_2.PNG": ("44WN1", 2), "44wn1-3.jpeg": ("44WN1", 3), "44WN2.jpg": ("44WN2_p1", 1), "44wn2_P2.webp": ("44WN2_p2", 1), "44WN2_p2_4.png": ("44WN2_p2", 4),
+        "7.png": ("7", 1), "44WN9.png": (None, None), "cat.png": (None, None), "44WN1_2_3.png": (None, None),
+    }
