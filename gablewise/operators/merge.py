@@ -35,6 +35,11 @@ def carry_over(rows: DataFrame, edits: DataFrame, key: Sequence[str], fields: Se
     return rows.join(last_by(e, key, [priority]).drop(priority), list(key), "left")
 
 
+def accepted(answers: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The answers that an import takes: not of another run (other_run), and of known keys."""
+    return answers.where(~F.col("other_run")).drop("other_run").join(known.select(key).distinct(), key, "left_semi")
+
+
 def latest_answers(answers: DataFrame, key: str, at: str, order: str, reviewer: str, same: Sequence[str]) -> DataFrame:
     """The last answer of each key, with a note where it differs from another reviewer's answer just before it.
 

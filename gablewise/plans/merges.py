@@ -34,6 +34,16 @@ def review_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("unit_key", "reviewer", "ident", "floors", "usage", "n_answers", "disagrees", "note")
 
 
+@query(f"""{B.with_views('reviews')}, t as (select * from reviews where file_ord % 97 <> 0 and unit_key in (select o_orderkey from orders)),
+l as (select *, lag(reviewer) over w as r0, lag(ident) over w as i0, lag(floors) over w as f0, lag(usage) over w as u0, row_number() over w as nth, count(*) over (partition by unit_key) as n from t window w as (partition by unit_key order by said_at, file_ord))
+select unit_key, reviewer, ident, floors, usage, n as n_answers, r0 is not null and r0 <> reviewer and (i0 is distinct from ident or f0 is distinct from floors or u0 is distinct from usage) as disagrees from l where nth = n""")
+def review_merge_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last answer on each building, of those that belong to this run and to a building of it."""
+    taken = merge.accepted(B.reviews(spark, sf_dir).withColumn("other_run", F.col("file_ord") % 97 == 0), B.readings(spark, sf_dir), "unit_key")
+    x = merge.latest_answers(taken, "unit_key", "said_at", "file_ord", "reviewer", ("ident", "floors", "usage"))
+    return x.select("unit_key", "reviewer", "ident", "floors", "usage", "n_answers", "disagrees")
+
+
 EDITS = {"unit_key": "user_id", "priority": "event_id", "remark": "case when event_id % 4 = 0 then '  ' when event_id % 4 = 1 then null else concat('seen ', event_type) end", "status": "case when event_id % 5 = 0 then 'done' end"}
 
 

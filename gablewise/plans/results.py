@@ -40,6 +40,54 @@ def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results(spark, sf_dir)
 
 
+#: What a reading says besides its verdict, as texts, lists with | between, and numbers; of a unit without a reading nothing.
+DETAILS = {
+    "floors_note": "case when o_orderkey % 8 = 0 then 'room on the terrace' else '' end",
+    "terrace": "case o_orderkey % 3 when 0 then 'none' when 1 then 'water tank' else 'sheet roof' end",
+    "shutters": "cast(o_orderkey % 3 as int)",
+    "front_struct": "case when o_orderkey % 6 = 1 then 'stairs' else 'none' end",
+    "constr": "case when o_orderkey % 10 = 3 then 'under construction' else 'complete' end",
+    "roof": "case when o_custkey % 4 = 0 then 'tiles' else 'RCC flat' end",
+    "conf_ident": "case when o_orderkey % 6 > 0 then (o_orderkey % 100) / 100.0e0 end",
+    "conf_floors": "(o_orderkey % 90) / 100.0e0",
+    "conf_usage": "(o_custkey % 80) / 100.0e0",
+    "llm_note": "concat('seen ', o_orderkey % 11, ' times')",
+}
+LISTS = {
+    "trade_evid": "case when o_totalprice > 100000e0 then concat('shutter|board ', o_orderkey % 7) when o_orderkey % 2 = 0 then '' end",
+    "other_boards": "case when o_orderkey % 5 = 0 then concat('no ', o_orderkey % 10, '|to let') else '' end",
+    "extras": "case when o_orderkey % 7 = 2 then 'gate|well|shed' else '' end",
+}
+MODELS = ("case when o_orderkey % 4 > 0 then concat('model ', o_orderkey % 3) end", "case when o_orderkey % 3 = 0 then 'model b' end")
+
+
+def _details_sql() -> str:
+    plain = ", ".join(f"case when n_runs > 0 then {e} end as {c}" for c, e in DETAILS.items())
+    lists = ", ".join(f"case when n_runs > 0 then coalesce(array_to_string(string_split({e}, '|'), '; '), '') else '' end as {c}" for c, e in LISTS.items())
+    return f"""de as (select o_orderkey as unit_key, o_custkey as place, {plain}, {lists}, coalesce(case when n_runs > 0 then {MODELS[0]} end, case when n_runs > 1 then {MODELS[1]} end) as model from orders join (select unit_key, n_runs from readings) r on r.unit_key = o_orderkey),
+pd as (select l_orderkey as unit_key, string_agg(distinct strftime(l_shipdate, '%Y-%m'), ', ' order by strftime(l_shipdate, '%Y-%m')) as pano_dates from lineitem group by 1),
+au as (select building_id, coalesce(string_agg(distinct trim(usage_raw), '+' order by trim(usage_raw)), '') as assess_usage from assess group by building_id),
+pl as (select ord as place, un.building_id, road, assess_usage from units un left join au using (building_id))"""
+
+
+@query(f"""{ROW_SQL}, units as ({B.WITH['units']}), assess as ({B.WITH['assess']}), {_details_sql()}
+select res.*, pl.building_id, pl.road, pl.assess_usage, {', '.join([*DETAILS, *LISTS])}, model, coalesce(pano_dates, '') as pano_dates, null::varchar as evidence, {', '.join(f'null::varchar as {c}' for c in ('rev_ident', 'rev_usage', 'rev_by', 'rev_at', 'rev_note'))}
+from res join de using (unit_key) left join pd using (unit_key) left join pl using (place)""")
+def result_rows_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a building with all that its reading says, where it stands, the months of its views, and empty fields for reviewers."""
+    x, o = results(spark, sf_dir), B.table(spark, sf_dir, "orders")
+    told = lambda e: F.expr(f"case when n_runs > 0 then {e} end")
+    listed = {c: F.coalesce(F.array_join(F.split(told(e), r"\|"), "; "), F.lit("")) for c, e in LISTS.items()}
+    model = F.coalesce(told(MODELS[0]), F.expr(f"case when n_runs > 1 then {MODELS[1]} end"))
+    runs = B.readings(spark, sf_dir).select("unit_key", "n_runs")
+    d = o.join(runs, F.col("o_orderkey") == F.col("unit_key")).select("unit_key", F.col("o_custkey").alias("place"), *[told(e).alias(c) for c, e in DETAILS.items()], *[v.alias(c) for c, v in listed.items()], model.alias("model"))
+    months = B.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("unit_key")).agg(F.array_join(F.array_sort(F.collect_set(F.date_format("l_shipdate", "yyyy-MM"))), ", ").alias("pano_dates"))
+    usages = B.assess(spark, sf_dir).groupBy("building_id").agg(F.concat_ws("+", F.array_sort(F.collect_set(F.trim("usage_raw")))).alias("assess_usage"))
+    places = B.units(spark, sf_dir).select(F.col("ord").alias("place"), "building_id", "road").join(usages, "building_id", "left")
+    x = x.join(d, "unit_key").join(months, "unit_key", "left").join(places, "place", "left").drop("place").fillna("", ["pano_dates"])
+    return x.withColumns({c: F.lit(None).cast("string") for c in ("evidence", "rev_ident", "rev_usage", "rev_by", "rev_at", "rev_note")})
+
+
 @query(f"""{B.with_views('answer_views')}, p as (select o_orderkey as unit_key, unnest(range(1, 2 + o_orderkey % 4)) as view from orders)
 select p.unit_key, p.view, target_visible as visible, hidden_by from p left join answer_views a on a.unit_key = p.unit_key and a.view = p.view where (p.unit_key + p.view) % 7 <> 0""")
 def result_views(spark: SparkSession, sf_dir: str) -> DataFrame:
