@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gablewise.model import Settings
-from gablewise.operators import grid, looks, merge, names, rules, selection, sight, streets
+from gablewise.operators import grid, looks, merge, names, network, rules, selection, sight, streets
+from gablewise.plans import streets as street_plans
 from gablewise.sources import files
 from gablewise.streaming import clicks
 
@@ -147,7 +148,7 @@ def test_split_lines(spark):
 def test_front_gaps(spark):
     line = spark.createDataFrame([("s", 0.0, 0.0, 100.0, 0.0)], "k string, x0 double, y0 double, x1 double, y1 double")
     boxes = spark.createDataFrame([(0.0, 4.0, 100.0, 14.0), (0.0, -20.0, 50.0, -5.0)], "x0 double, y0 double, x1 double, y1 double")
-    g = streets.front_gaps(line, "k", boxes, 10.0, 25.0).first()
+    g = network.front_gaps(street_plans.with_paths(line), "k", street_plans.with_rings(boxes), 10.0, 25.0).first()
     assert (g.samples, g.both, g.median_m, g.min_m) == (10, 5, 9.0, 9.0)
 
 
