@@ -178,22 +178,6 @@ def outline_blockers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.neighbour_blockers(others, u.select("ring"), "ord", S).select("ord", F.bround("covered", 4).alias("covered"))
 
 
-def bent_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lanes with a bend in the middle, and the cross roads."""
-    lanes = B.lanes(spark, sf_dir)
-    point = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
-    bend = F.when(F.col("y0") == F.col("y1"), F.array(point("x0", "y0"), point("(x0 + x1) / 2", "y0 + 6"), point("x1", "y1"))).otherwise(F.array(point("x0", "y0"), point("x1", "y1")))
-    return lanes.select("road_fid", "road_name", bend.alias("path"))
-
-
-@query()
-def bent_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roads with bends split at their junctions."""
-    roads = bent_roads(spark, sf_dir)
-    x = shapes.split_paths(roads, shapes.path_cuts(roads, S.junction), S.junction, S.min_stretch)
-    return x.select("stretch_id", "road_fid", "road_name", "n", F.size("path").alias("n_points"), "length_m")
-
-
 #: A road past the second row of houses.
 PAST = [(0.0, 24.0), (150.0, 30.0), (300.0, 24.0)]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gablewise.functions.text import name_key, norm_zone
 from gablewise.model import Settings
-from gablewise.operators import leaders, looks, network, selection, sight
+from gablewise.operators import leaders, looks, network, selection, shapes, sight
 from gablewise.plans.outlines import EDGES_SQL, SIGN, mm, outline_looks, outlines
 from gablewise.plans.records import building_roads, main_value
 from gablewise.plans.registry import query
@@ -98,6 +98,36 @@ def bent_gap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.front_gaps(roads(spark, sf_dir), "road_fid", outlines(spark, sf_dir), S.gap_step, S.gap_reach)
 
 
+def bent_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lanes with a bend in the middle, and the cross roads."""
+    lanes = B.lanes(spark, sf_dir)
+    point = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
+    bend = F.when(F.col("y0") == F.col("y1"), F.array(point("x0", "y0"), point("(x0 + x1) / 2", "y0 + 6"), point("x1", "y1"))).otherwise(F.array(point("x0", "y0"), point("x1", "y1")))
+    return lanes.select("road_fid", "road_name", bend.alias("path"))
+
+
+BENT_SQL = f"""bp as (select road_fid, road_name, unnest(case when y0 = y1 then [struct_pack(k := 1, x := x0, y := y0), struct_pack(k := 2, x := (x0 + x1) / 2, y := y0 + 6), struct_pack(k := 3, x := x1, y := y1)] else [struct_pack(k := 1, x := x0, y := y0), struct_pack(k := 2, x := x1, y := y1)] end) as p from lanes),
+rs as (select * from (select road_fid, road_name, p.k as k, p.x as ax, p.y as ay, lead(p.x) over w as fx, lead(p.y) over w as fy from bp window w as (partition by road_fid order by p.k)) where fx is not null), {ALONG_SQL},
+xs as (select s.road_fid, s.a, s.b, ((o.ax - s.ax) * (o.fy - o.ay) - (o.ay - s.ay) * (o.fx - o.ax)) / nullif((s.fx - s.ax) * (o.fy - o.ay) - (s.fy - s.ay) * (o.fx - o.ax), 0) as t,
+ ((o.ax - s.ax) * (s.fy - s.ay) - (o.ay - s.ay) * (s.fx - s.ax)) / nullif((s.fx - s.ax) * (o.fy - o.ay) - (s.fy - s.ay) * (o.fx - o.ax), 0) as u from rl s join rl o on o.road_fid <> s.road_fid),
+xc as (select distinct road_fid, a + t * (b - a) as cut from xs where t between 0 and 1 and u between 0 and 1),
+xk as (select c.road_fid, cut from xc c join rt using (road_fid) where cut > 1 and cut < len - 1 union all select road_fid, 0e0 from rt union all select road_fid, len from rt),
+xp as (select road_fid, cut as d0, lead(cut) over (partition by road_fid order by cut) as d1, (row_number() over (partition by road_fid order by cut) - 1)::int as n from xk), xq as (select * from xp where d1 - d0 >= 10),
+{at_sql('za', 'xq', 'd0', 's.road_fid, n')}, {at_sql('zb', 'xq', 'd1', 's.road_fid, n')}, {at_sql('zm', 'xq', '((d0 + d1) / 2)', 's.road_fid, n')},
+zz as (select q.road_fid, q.n, d0, d1, struct_pack(x := round_even(za.x, 0)::bigint, y := round_even(za.y, 0)::bigint) as p, struct_pack(x := round_even(zb.x, 0)::bigint, y := round_even(zb.y, 0)::bigint) as q, round_even(zm.x, 0)::bigint as mx, round_even(zm.y, 0)::bigint as my
+ from xq q join za on za.road_fid = q.road_fid and za.n = q.n join zb on zb.road_fid = q.road_fid and zb.n = q.n join zm on zm.road_fid = q.road_fid and zm.n = q.n),
+zi as (select *, concat('S', left(sha1(concat('[(', least(p, q).x, ', ', least(p, q).y, '), (', greatest(p, q).x, ', ', greatest(p, q).y, ')]|', mx, ',', my)), 6)) as stretch_id, (select count(*) from rl where rl.road_fid = zz.road_fid and rl.b > d0 and rl.b < d1) as bends from zz),
+zn as (select *, row_number() over (partition by stretch_id order by road_fid, n) as nth from zi)"""
+
+
+@query(f"{B.with_views('lanes')}, {BENT_SQL} select stretch_id, zn.road_fid, road_name, n, (2 + bends)::int as n_points, round_even(d1 - d0, 1) as length_m from zn join (select distinct road_fid, road_name from rs) using (road_fid) where nth = 1")
+def bent_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roads with bends split at their junctions."""
+    roads = bent_roads(spark, sf_dir)
+    x = shapes.split_paths(roads, shapes.path_cuts(roads, S.junction), S.junction, S.min_stretch)
+    return x.select("stretch_id", "road_fid", "road_name", "n", F.size("path").alias("n_points"), "length_m")
+
+
 PICTURES_SQL = f"""pk as (select *, greatest(1, round_even(len / 50, 0))::int as m from rt), pd as (select road_fid, len, n::int as n, (n - 0.5e0) * len / m as d from pk, unnest(range(1, m + 1)) r(n)),
 {at_sql('pp', 'pd', 'd', 's.road_fid, n, d')}, {at_sql('pb', 'pd', 'greatest(0e0, d - 2)', 's.road_fid, n')}, {at_sql('po', 'pd', 'least(s.len, d + 2)', 's.road_fid, n')},
 pt as (select pp.road_fid, pp.n, pp.d, pp.x, pp.y, ((degrees(atan2(po.x - pb.x, po.y - pb.y)) % 360) + 360) % 360 as heading from pp join pb using (road_fid, n) join po using (road_fid, n))"""
