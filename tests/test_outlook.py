@@ -207,3 +207,40 @@ def test_second_drawings_are_dropped(spark):
     got = {x.ord: x.covered for x in overlap.neighbour_blockers(others, own, "ord", S).collect()}
     assert set(got) == {2, 3, 5, 6, 7} and got[2] == 0 and abs(got[5] - 400) < 1e-6 and abs(got[3] - 30 + 70 / 39) < 1e-6
     assert [round(x.a, 6) for x in others.where("ord in (1, 4)").orderBy("ord").select(overlap.area(F.col("ring")).alias("a")).collect()] == [100.0, 45.0]
+
+
+def plain_choice(cands):
+    """Views in turn, each that which adds most wall times quality; ties by score, then order."""
+    chosen, covered = [], {}
+    gain = lambda c: sum(max(0.0, v - covered.get(i, 0.0)) for i, v in c["wall"].items()) * 0.5
+    while len(chosen) < S.max_views:
+        free = [c for c in cands if c not in [k for k, _ in chosen] and all(math.dist(c["at"], k["at"]) >= S.views_apart for k, _ in chosen)]
+        if not chosen:
+            free = [c for c in free if c["near"] <= S.near_view_dist] or free
+        if not free:
+            break
+        best = min(free, key=lambda c: (-round(gain(c) * c["quality"], 1), -c["score"], c["ord"]))
+        new = round(gain(best), 1)
+        if chosen and new < S.min_new_wall:
+            break
+        chosen.append((best, new))
+        for i, v in best["wall"].items():
+            covered[i] = max(covered.get(i, 0.0), v)
+    return [(c["ord"], new) for c, new in chosen]
+
+
+def test_views_are_chosen_in_turn(spark):
+    r = random.Random(21)
+    rows, want = [], {}
+    for u in range(40):
+        cands = []
+        for o in range(r.randrange(1, 9)):
+            wall = {i: r.choice([0.42, 0.6, 0.8, 1.0]) for i in r.sample(range(60), r.randrange(0, 40))}
+            cands.append({"ord": o, "at": (float(r.randrange(20)), float(r.randrange(20))), "near": r.choice([8.0, 15.0, 16.0, 22.0]), "quality": r.choice([0.5, 0.8, 1.0]), "score": float(r.randrange(4)), "wall": wall})
+        want[f"u{u}"] = plain_choice(cands)
+        rows += [(f"u{u}", f"p{c['ord']}", c["ord"], *c["at"], c["near"], c["quality"], c["score"], list(c["wall"]), list(c["wall"].values()), 0.5) for c in cands]
+    schema = "unit_id string, pano_id string, pano_ord long, px double, py double, dist_near double, quality double, score double, i array<int>, cos array<double>, step double"
+    got = {}
+    for x in selection.choose_views(spark.createDataFrame(rows, schema), S).orderBy("unit_id", "nth").collect():
+        got.setdefault(x.unit_id, []).append((int(x.pano_id[1:]), x.new_wall_m))
+    assert got == want and any(len(v) > 2 for v in want.values())
