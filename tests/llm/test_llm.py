@@ -791,7 +791,7 @@ def test_queries_with_sql(spark, small):
 
     for name, sql in queries.oracle_sql().items():
         c = duckdb.connect()
-        for t in ("documents", "embeddings", "pages"):
+        for t in ("documents", "embeddings", "pages", "conversations"):
             c.execute(f"create view {t} as select * from '{small}/{t}.parquet'")
         r = c.execute(sql)
         names = [x[0] for x in r.description]
