@@ -64,12 +64,13 @@ def hidden_points(rects: np.ndarray, cameras: np.ndarray, n: np.ndarray, step: n
     return list(zip(*(np.split(v, cuts) for v in (qx, qy, d, ~hidden)), strict=True))
 
 
-def outline_looks(pairs: DataFrame, blockers: DataFrame, s: Settings, side: float = 32.0) -> DataFrame:
+def outline_looks(pairs: DataFrame, blockers: DataFrame, s: Settings, side: float = 32.0, points: bool = True) -> DataFrame:
     """(unit_id, pano_id, pano_date, pano_ord, px, py, and the columns of looks.LOOK) for each pair of a rectangle and a camera.
 
     A sight line stops a little short of its point, and any footprint that it touches hides the point; the target is a
     footprint too. Only footprints that meet the box around the camera and the target can: those few are gathered into one
-    array a pair, the only shuffle after the join by cells; behind it batches of pairs are looked at at once.
+    array a pair, the only shuffle after the join by cells; behind it batches of pairs are looked at at once. Without points, the outline
+    points and which are visible stay in the task.
     """
     box = (F.least("x0", "px"), F.least("y0", "py"), F.greatest("x1", "px"), F.greatest("y1", "py"))
     p = in_cells(pairs, box, side)
@@ -82,18 +83,20 @@ def outline_looks(pairs: DataFrame, blockers: DataFrame, s: Settings, side: floa
     x = near.groupBy("unit_id", "pano_id").agg(walls, *[F.first(c).alias(c) for c in keep]).withColumns(outline(s.outline_step))
     own = ["unit_id", "pano_id", "pano_date", "pano_ord", "px", "py"]
     some = 500  # pairs at once
+    inner = () if points else ("qx", "qy", "visible")
+    kept = [(i, name) for i, name in enumerate(NAMES) if name not in inner]
 
     def looks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i in range(0, len(pdf), some):
                 x = pdf.iloc[i : i + some]
                 walls = [np.asarray(w, np.float64).reshape(-1, 4) for w in x.walls]
-                points = hidden_points(x[list(RECT)].to_numpy(np.float64), x[["px", "py"]].to_numpy(np.float64), x.n.to_numpy(), x.step.to_numpy(), walls, s.sight_stop)
-                seen = [describe(qx, qy, step, px, py, d, visible, True, s) for (qx, qy, d, visible), step, px, py in zip(points, x.step, x.px, x.py, strict=True)]
-                yield x[own].assign(**{name: pd.Series(list(v), index=x.index) for name, v in zip(NAMES, zip(*seen, strict=True), strict=True)})
+                every = hidden_points(x[list(RECT)].to_numpy(np.float64), x[["px", "py"]].to_numpy(np.float64), x.n.to_numpy(), x.step.to_numpy(), walls, s.sight_stop)
+                seen = [describe(qx, qy, step, px, py, d, visible, True, s) for (qx, qy, d, visible), step, px, py in zip(every, x.step, x.px, x.py, strict=True)]
+                yield x[own].assign(**{name: pd.Series([v[i] for v in seen], index=x.index) for i, name in kept})
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in x.select(*own).schema)
-    return x.mapInPandas(looks, f"{kinds}, {LOOK}")
+    return x.mapInPandas(looks, ", ".join([kinds, *(c for c in LOOK.split(", ") if c.split()[0] not in inner)]))
 
 
 def access_class(units: DataFrame, cands: DataFrame, s: Settings) -> DataFrame:

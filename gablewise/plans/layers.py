@@ -53,5 +53,5 @@ def answers_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{SIGHT_SQL}, k as (select unit_id, pano_id, count(*) filter (visible) as v from s group by all) select unit_id, count(*) as n_panos, count(*) filter (v > 0) as n_seeing, sum(v)::bigint as points_seen from k group by unit_id")
 def sight_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each unit all panoramas within reach see."""
-    k = views_of(spark, sf_dir).select("unit_id", F.size(F.filter("visible", lambda v: v)).alias("v"))
+    k = views_of(spark, sf_dir, True).select("unit_id", F.size(F.filter("visible", lambda v: v)).alias("v"))
     return k.groupBy("unit_id").agg(F.count("*").alias("n_panos"), F.count_if(F.col("v") > 0).alias("n_seeing"), F.sum("v").alias("points_seen"))

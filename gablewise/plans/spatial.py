@@ -195,15 +195,15 @@ c2 as (select *, round_even(m * step, 2) as visible_m, round_even(hi - lo, 2) as
 c as (select *, round_even((1 - least(0.8e0, 0.10e0 * greatest(0, 6 - dist_near) + 0.05e0 * greatest(0, dist_near - 18)))::decimal(30, 15), 2)::double as quality from c2 where visible_m >= 3 and span_deg between 12 and 120 and dist_near >= 1.5e0)"""
 
 
-def views_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each panorama within reach sees of each unit."""
+def views_of(spark: SparkSession, sf_dir: str, points: bool = False) -> DataFrame:
+    """What each panorama within reach sees of each unit, perhaps point by point."""
     units = B.units(spark, sf_dir)
-    return sight.outline_looks(sight.sight_pairs(units, B.panos(spark, sf_dir), S.max_view_dist), units, S)
+    return sight.outline_looks(sight.sight_pairs(units, B.panos(spark, sf_dir), S.max_view_dist), units, S, points=points)
 
 
 @query(f"{SIGHT_SQL} select unit_id, pano_id, min(n) as n_points, count(*) filter (visible) as n_visible from s group by all")
 def los_visible_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views_of(spark, sf_dir).select("unit_id", "pano_id", F.col("n").alias("n_points"), F.size(F.filter("visible", lambda v: v)).cast("long").alias("n_visible"))
+    return views_of(spark, sf_dir, True).select("unit_id", "pano_id", F.col("n").alias("n_points"), F.size(F.filter("visible", lambda v: v)).cast("long").alias("n_visible"))
 
 
 #: Quality in hundredths from whole numbers, and the score with it.
