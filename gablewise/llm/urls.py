@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gablewise.llm.common import broadcast_if_small, save
 
 #: (host, path, verdict). A rule holds for its host and all subdomains where the path starts with the rule's.
-RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
+RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 #: Characters of context; of the log ratios a character's counts in millionths, so that sums don't depend on their order.
 ORDER, UNIT = 3, 1_000_000
 #: One URL in so many calibrates the threshold; scores are told apart in steps of so many units.
