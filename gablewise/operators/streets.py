@@ -43,7 +43,7 @@ def junction_cuts(lines: DataFrame, tolerance: float, side: float = 64.0) -> Dat
 def split_lines(lines: DataFrame, cuts: DataFrame, min_gap: float, min_length: float) -> DataFrame:
     """Stretches between the cuts: cuts close to an end, or to the last one kept, don't count; short pieces go.
 
-    The thinning is a fold over one line's cuts. Of equal stretches the first stays.
+    The thinning is a fold over one line's cuts. Of stretches at one place the first stays; others may share an id by chance.
     """
     lists = cuts.groupBy("road_fid").agg(F.array_sort(F.collect_set("cut")).alias("cuts"))
     x = lines.join(lists, "road_fid", "left").withColumn("len", length())
@@ -55,19 +55,24 @@ def split_lines(lines: DataFrame, cuts: DataFrame, min_gap: float, min_length: f
     x = x.withColumn("b", F.get("ends", F.col("n") + 1)).where(F.col("b") - F.col("a") >= min_length)
     at = lambda p, q, d: F.col(p) + (F.col(q) - F.col(p)) * (F.col(d) / F.col("len"))
     x = x.select("road_fid", "road_name", "n", at("x0", "x1", "a").alias("x0"), at("y0", "y1", "a").alias("y0"), at("x0", "x1", "b").alias("x1"), at("y0", "y1", "b").alias("y1"))
-    x = x.withColumns({"stretch_id": stretch_id(), "length_m": F.bround(length(), 1)})
-    first = F.row_number().over(W.partitionBy("stretch_id").orderBy("road_fid", "n"))
-    return x.withColumn("nth", first).where("nth = 1").drop("nth")
+    x = x.withColumns({"place": stretch_place(), "length_m": F.bround(length(), 1)})
+    first = F.row_number().over(W.partitionBy("place").orderBy("road_fid", "n"))
+    return x.withColumn("nth", first).where("nth = 1").withColumn("stretch_id", stretch_id(F.col("place"))).drop("nth", "place")
 
 
-def stretch_id() -> Column:
-    """An id that a stretch keeps whichever way it is drawn: from its ends in order and its middle, in whole metres."""
+def stretch_place() -> Column:
+    """Where a stretch is, whichever way it is drawn: its ends in order and its middle, in whole metres."""
     whole = lambda c: F.rint(c).cast("bigint").cast("string")
     point = lambda x, y: F.concat(F.lit("("), whole(F.col(x)), F.lit(", "), whole(F.col(y)), F.lit(")"))
     a, b = F.struct(F.rint("x0"), F.rint("y0")), F.struct(F.rint("x1"), F.rint("y1"))
     ends = F.when(a <= b, F.concat(point("x0", "y0"), F.lit(", "), point("x1", "y1"))).otherwise(F.concat(point("x1", "y1"), F.lit(", "), point("x0", "y0")))
     middle = F.concat(whole((F.col("x0") + F.col("x1")) / 2), F.lit(","), whole((F.col("y0") + F.col("y1")) / 2))
-    return F.concat(F.lit("S"), F.substring(F.sha1(F.concat(F.lit("["), ends, F.lit("]|"), middle)), 1, 6))
+    return F.concat(F.lit("["), ends, F.lit("]|"), middle)
+
+
+def stretch_id(place: Column) -> Column:
+    """A short id of a stretch's place. Of some thousands of stretches two may have the same, so it tells no two apart."""
+    return F.concat(F.lit("S"), F.substring(F.sha1(place), 1, 6))
 
 
 def points_along(lines: DataFrame, key: str, step: float) -> DataFrame:

@@ -27,9 +27,8 @@ S = Settings()
 def select_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches that any of three selectors takes: a road, a name in any spelling, an id."""
     s = street_plans.stretches(spark, sf_dir)
-    one = s.agg(F.min("stretch_id").alias("stretch_id"))
-    named = s.where((F.col("road_fid") == 100001) | (name_key(F.col("road_name")) == "lane2"))
-    return named.select("stretch_id").unionByName(s.join(F.broadcast(one), "stretch_id", "left_semi").select("stretch_id")).distinct()
+    one = s.agg(F.min("stretch_id")).scalar()
+    return s.where((F.col("road_fid") == 100001) | (name_key(F.col("road_name")) == "lane2") | (F.col("stretch_id") == one)).select("stretch_id")
 
 
 @query(f"""{B.with_views('answer_views')}, g as (select unit_key, count(*) as n_views, count(*) filter (same_as_ref = 'this is the reference view') as n_ref,

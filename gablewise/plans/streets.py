@@ -70,7 +70,9 @@ def stretch_gap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def street_picture_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each picture point in turn the newest, then nearest panorama on this stretch that it hasn't taken yet; null if there is none."""
-    return network.choose_pictures(with_paths(stretches(spark, sf_dir)), B.panos(spark, sf_dir), "stretch_id", S)
+    s = with_paths(stretches(spark, sf_dir)).withColumn("piece", F.concat_ws("/", "road_fid", "n"))  # two stretches may share an id
+    x = network.choose_pictures(s, B.panos(spark, sf_dir), "piece", S)
+    return x.join(s.select("piece", "stretch_id"), "piece").select("stretch_id", "n", "pick")
 
 
 @query(f"""{B.with_views('units', 'lanes')}, {CUTS_SQL}, d as (select unit_id, stretch_id, sqrt(power(greatest(least(s.x0, s.x1) - u.x1, 0, u.x0 - greatest(s.x0, s.x1)), 2) + power(greatest(least(s.y0, s.y1) - u.y1, 0, u.y0 - greatest(s.y0, s.y1)), 2)) as dist from units u, si s),

@@ -136,6 +136,15 @@ def test_the_named_reference_counts(spark):
     assert [r.v for r in x.select(rules.runs_agree(*map(F.col, "abuw")).alias("v")).collect()] == [True, False, False, True]
 
 
+def test_stretches_that_share_a_short_id_all_stay(spark):
+    lines = spark.range(0, 12_000).selectExpr("id as road_fid", "0e0 as x0", "id * 24e0 as y0", "100e0 as x1", "id * 24e0 as y1", "'r' as road_name")
+    again = lines.where("road_fid < 3").selectExpr("road_fid + 20000 as road_fid", "x1 as x0", "y1 as y0", "x0 as x1", "y0 as y1", "road_name")
+    none = spark.createDataFrame([], "road_fid long, cut double")
+    got = streets.split_lines(lines.unionByName(again), none, 1.0, 10.0).select("stretch_id", "road_fid").collect()
+    assert len({x.stretch_id for x in got}) < 12_000  # by chance
+    assert sorted(x.road_fid for x in got) == list(range(12_000))
+
+
 def test_split_lines(spark):
     lines = spark.createDataFrame([(0, "r", 0.0, 0.0, 100.0, 0.0), (1, "c", 50.0, -40.0, 50.0, 40.0), (2, "e", 80.0, 0.6, 80.0, 30.0)], "road_fid long, road_name string, x0 double, y0 double, x1 double, y1 double")
     s = streets.split_lines(lines, streets.junction_cuts(lines, 1.0), 1.0, 10.0)
