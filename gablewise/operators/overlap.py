@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gablewise.functions.geo import segment_hits_rect
 from gablewise.model import Settings
-from gablewise.operators.grid import in_cells
+from gablewise.operators.grid import in_cells, meet
 from gablewise.operators.shapes import BOUNDS, bounds, edges, inside
 
 #: Pairs of triangles that are clipped at once.
@@ -122,7 +122,7 @@ def overlaps(left: DataFrame, right: DataFrame, key: str, side: float = 32.0) ->
     r = in_cells(r, BOUNDS, side).withColumnsRenamed({"first_x": "other_x", "first_y": "other_y"})
     once = (F.col("cell_x") == F.greatest("first_x", "other_x")) & (F.col("cell_y") == F.greatest("first_y", "other_y"))
     meets = (F.col("min_x") <= F.col("l_max_x")) & (F.col("max_x") >= F.col("l_min_x")) & (F.col("min_y") <= F.col("l_max_y")) & (F.col("max_y") >= F.col("l_min_y"))
-    return l.join(r, ["cell_x", "cell_y"]).where(once & meets).select(key, shared_area(F.col("ring"), F.col("other")).alias("area"))
+    return meet(l, r).where(once & meets).select(key, shared_area(F.col("ring"), F.col("other")).alias("area"))
 
 
 def meets_box(ring: Column, box: list[Column]) -> Column:

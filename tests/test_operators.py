@@ -1,5 +1,8 @@
 """Joins, sight, choices, rules, merges and streets on small cases."""
 
+import contextlib
+import io
+import math
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -192,3 +195,28 @@ def test_settings(tmp_path):
     p.write_text("nothing_known = 1\n")
     with pytest.raises(ValueError, match="nothing_known"):
         Settings.load(p)
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+def test_joins_by_cells_send_no_table_to_all_tasks(spark, small):
+    from gablewise.plans import catalogue
+
+    for name in ("join_units_panos_30m", "neighbour_letters", "zoom_view", "access_class", "outline_access"):
+        assert "BroadcastHashJoin" not in plan_of(catalogue.QUERIES[name](spark, small)), name
+
+
+def test_search_points_meet_where_their_cell_is(spark):
+    from gablewise.plans.spatial import points_around
+
+    boxes = [(0.0, 0.0, 12.0, 9.0), (30.0, 4.0, 41.0, 17.0), (-200.0, -3.0, -190.0, 8.0)]
+    got = points_around(spark.createDataFrame(boxes, "x0 double, y0 double, x1 double, y1 double"), 5.0, 40.0)
+    assert "hashpartitioning(px" not in plan_of(got)
+    gap = lambda x, y: min(math.hypot(max(a - x, 0, x - c), max(b - y, 0, y - d)) for a, b, c, d in boxes)
+    want = {(x * 5.0, y * 5.0) for x in range(-60, 30) for y in range(-20, 20) if 0 < gap(x * 5.0, y * 5.0) < 40}
+    assert sorted((r.x, r.y) for r in got.collect()) == sorted(want)
