@@ -220,3 +220,11 @@ def test_search_points_meet_where_their_cell_is(spark):
     gap = lambda x, y: min(math.hypot(max(a - x, 0, x - c), max(b - y, 0, y - d)) for a, b, c, d in boxes)
     want = {(x * 5.0, y * 5.0) for x in range(-60, 30) for y in range(-20, 20) if 0 < gap(x * 5.0, y * 5.0) < 40}
     assert sorted((r.x, r.y) for r in got.collect()) == sorted(want)
+
+
+def test_sides_of_rays_are_named_by_where_they_point(spark):
+    path = "array(struct(x0 as x, y0 as y), struct(x1 as x, y1 as y))"
+    roads = spark.createDataFrame([("k", 0.0, 0.0, 30.0, 0.0), ("k", 1000.0, 0.0, 1000.0, 30.0)], "key string, x0 double, y0 double, x1 double, y1 double").selectExpr("key", f"{path} as path")
+    walls = spark.createDataFrame([(0.0, 5.0, 30.0, 9.0), (1003.0, 0.0, 1009.0, 30.0)], "x0 double, y0 double, x1 double, y1 double")
+    x = network.front_gaps(roads, "key", street_plans.with_rings(walls), 10.0, 25.0).first()
+    assert (x.samples, x.both) == (6, 0)  # one side, above and to the right
