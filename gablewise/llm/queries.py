@@ -21,7 +21,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = spans.drop_repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    x = spans.drop_repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"), runs=True)
     return x.select("row.doc_id", "text", "n_removed", "removed")
 
 

@@ -5,11 +5,17 @@ run of SPAN consecutive sentences is hashed, and the hashes are joined over all
 ("Yes. No. Maybe.") would be no evidence of a copy, so it is hashed together with as many of the sentences after it, and once
 more of those before it, as bring it to MIN_WORDS; no run is left out. Of a text with fewer sentences or words, the one run is
 all of it. A sentence goes if a span that covers it stood before: in a document with a smaller doc_id, or earlier in its own.
+
+A passage that begins and ends inside sentences may hold too few whole ones. For those, with runs, RUN words are hashed as well
+from the places where a pair of words has the least hash of WINDOW places in a row: of every RUN + WINDOW words that two texts
+share, at least one such run begins at the same word of both. Its words go if they stood in a document before and no sentence
+that they touch goes as a whole.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gablewise.llm.common import id_columns, mix, packed, run_hashes, small_batches, tidied
+from gablewise.llm.common import id_columns, mix, packed, run_hashes, small_batches, tidied, word_hashes
 
 SPAN = 3
 MIN_WORDS = 10
+RUN = 24
+WINDOW = 14
 STOP = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
+WORD = re.compile(r"\S+\s*")
+ODD = np.cumprod(np.full((2, RUN), [[0x9E3779B97F4A7C15], [0xD6E8FEB86659FD93]], np.uint64), axis=1)
 FOUND = "a long, b int, id long, no_id boolean, mark long, at int, n int, sure boolean"
 
 
@@ -57,8 +67,29 @@ def span_places(sizes: np.ndarray, span: int, min_words: int) -> tuple[np.ndarra
     return places[0], places[1]
 
 
-def span_hashes(text: str, span: int = SPAN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
-    """Positions of the spans of a text, their numbers of sentences, and 96 bits of hash of each (of the words, in lower case)."""
+def word_runs(ws: list[str]) -> tuple[np.ndarray, ...]:
+    """Positions of the runs of words to hash, and two hashes of each; none of fewer than RUN words.
+
+    A run of less than half as many different words ("the the the") is no evidence of a copy.
+    """
+    n = len(ws) - RUN + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    h = word_hashes(" ".join(ws).encode("utf-8", "replace").split(b" "))
+    v = mix(h[:n] + h[1 : n + 1] * ODD[0, 0])
+    windows = np.lib.stride_tricks.sliding_window_view(v, min(WINDOW, n))
+    at = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+    run = h[at[:, None] + np.arange(RUN)]
+    plain = (np.diff(np.sort(run, axis=1), axis=1) != 0).sum(axis=1) + 1 >= RUN // 2
+    at, run = at[plain], run[plain]
+    return at, mix((run * ODD[0]).sum(axis=1, dtype=np.uint64)), mix((run * ODD[1]).sum(axis=1, dtype=np.uint64))
+
+
+def span_hashes(text: str, span: int = SPAN, min_words: int = MIN_WORDS, runs: bool = False) -> tuple[np.ndarray, ...]:
+    """Positions of the spans of a text, their numbers of sentences, and 96 bits of hash of each (of the words, in lower case).
+
+    A run of words has the position -1 - its first word, and its number of words.
+    """
     ws = [text[a:b].lower().split() for a, b in sentences(text)]
     at, many = span_places(np.fromiter(map(len, ws), np.int64, len(ws)), span, min_words)
     a, b = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
@@ -68,17 +99,21 @@ def span_hashes(text: str, span: int = SPAN, min_words: int = MIN_WORDS) -> tupl
             those = many == k
             a[those] = run_hashes(h, k)[at[those]]
             b[those] = run_hashes(h ^ np.uint64(0xC2B2AE3D27D4EB4F), k)[at[those]]
+    if runs:
+        first, c, d = word_runs([w for x in ws for w in x])
+        at, many, a, b = np.append(at, -1 - first), np.append(many, np.full(len(first), RUN)), np.append(a, c), np.append(b, d)
     return at, many, a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def mark_later(x: pd.DataFrame) -> pd.DataFrame:
     """sure: another row of this batch has the same span at an earlier place. Such rows need not meet the others of their hash.
 
-    They get a hash of their own, so that a span that very many documents share costs the shuffle one row a batch.
+    They get a hash of their own, so that a span that very many documents share costs the shuffle one row a batch. Runs of words
+    (at below 0) of one document have one place, as they don't count within it.
     """
     if not len(x):
         return x.assign(sure=pd.Series(dtype=bool))
-    a, b, place = x.a.to_numpy(), x.b.to_numpy(), np.stack([x.no_id.to_numpy(np.int64), x.id.to_numpy(), x.mark.to_numpy(), x["at"].to_numpy(np.int64)])
+    a, b, place = x.a.to_numpy(), x.b.to_numpy(), np.stack([x.no_id.to_numpy(np.int64), x.id.to_numpy(), x.mark.to_numpy(), np.maximum(x["at"].to_numpy(np.int64), -1)])
     order = np.lexsort((*place[::-1], b, a))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
@@ -89,7 +124,7 @@ def mark_later(x: pd.DataFrame) -> pd.DataFrame:
     return x.assign(a=np.where(sure, own, a), sure=sure)
 
 
-def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, runs: bool = False) -> DataFrame:
     """(id, no_id, mark, positions): for rows with spans that stood before, these as (at, n). mark is a hash of the text.
 
     The first of a span is that with the smallest doc_id, then hash of its text, then position; null doc_ids come last. Rows
@@ -101,7 +136,7 @@ def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_W
     @tidied
     def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            got = [span_hashes(t, span, min_words) for t in x.text]
+            got = [span_hashes(t, span, min_words, runs) for t in x.text]
             sizes = [len(g[0]) for g in got]
             cat = lambda i, kind, got=got: np.concatenate([g[i] for g in got] or [[]]).astype(kind)
             of = np.repeat(np.arange(len(got)), sizes)
@@ -112,20 +147,21 @@ def repeated_positions(docs: DataFrame, span: int = SPAN, min_words: int = MIN_W
 
     rows = docs.select(*id_columns(F.col("doc_id")), F.xxhash64("text").alias("mark"), "text").where("text IS NOT NULL")
     found = rows.mapInPandas(spans, FOUND)
-    place = W.partitionBy("a", "b").orderBy("no_id", "id", "mark", "at")
+    place = W.partitionBy("a", "b").orderBy("no_id", "id", "mark", F.greatest("at", F.lit(-1)))
     later = found.withColumn("rank", F.rank().over(place)).where("sure OR rank > 1")
     return later.groupBy("id", "no_id", "mark").agg(F.collect_set(F.struct("at", "n")).alias("positions"))
 
 
-def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, runs: bool = False) -> DataFrame:
     """(row, text, n_removed, removed) for every row of docs (doc_id, text, any others).
 
     row is the row itself as a struct, so that no column of docs can clash; text what is left of its text, removed the (start,
     end) of what went, in characters of the text. A null text stays null; an empty one, or one without a repeated span, stays
     as it is, and one that consists of such spans becomes empty. Texts of any length are taken whole. No rows give no rows.
+    With runs, words that stood in a document before go as well, and n_removed counts each sentence of which something went.
     Rows and positions meet by shuffle at every size; each text is in it once.
     """
-    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words)
+    gone = repeated_positions(docs.select("doc_id", "text"), span, min_words, runs)
     rows = docs.select(packed(docs), *id_columns(F.col("doc_id")), F.xxhash64("text").alias("mark"))
     rows = rows.join(gone.hint("merge"), ["id", "no_id", "mark"], "left").select("row", "positions")
 
@@ -142,15 +178,28 @@ def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_
 
 
 def without(text: str | None, at: np.ndarray | None, many: np.ndarray | None) -> tuple[str | None, int, list[dict]]:
-    """What is left of a text without the sentences of some spans, how many went, and where they were."""
+    """What is left of a text without some spans, of how many sentences something went, and where that was."""
     if at is None or text is None:
         return text, 0, []
     found = sentences(text)
+    covered = {i for p, n in zip(at, many, strict=True) if p >= 0 for i in range(p, p + n)}
+    pieces = [found[i] for i in covered]
+    runs = [(-1 - p, n) for p, n in zip(at, many, strict=True) if p < 0]
+    if runs:
+        ws = [m.span() for m in WORD.finditer(text)]
+        starts = [a for a, _ in found]
+        whole = np.zeros(len(found) + 1, bool)
+        whole[list(covered)] = True
+        for p, n in runs:
+            a, b = ws[p][0], ws[p + n - 1][1]
+            if not whole[bisect_right(starts, a) - 1 : bisect_left(starts, b)].any():
+                pieces.append((a, b))
+        for a, b in pieces[whole.sum() :]:
+            covered.update(range(bisect_right(starts, a) - 1, bisect_left(starts, b)))
     ranges: list[list[int]] = []
-    covered = sorted({i for p, n in zip(at, many, strict=True) for i in range(p, p + n)})
-    for a, b in map(found.__getitem__, covered):
-        if ranges and ranges[-1][1] == a:
-            ranges[-1][1] = b
+    for a, b in sorted(pieces):
+        if ranges and ranges[-1][1] >= a:
+            ranges[-1][1] = max(b, ranges[-1][1])
         else:
             ranges.append([a, b])
     kept, last = [], 0
@@ -165,7 +214,7 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
 
     Rows without any text before stay as they are. Rows, nulls and clashing names: as drop_repeated_spans has them.
     """
-    x = drop_repeated_spans(docs)
+    x = drop_repeated_spans(docs, runs=True)
     x = x.where(~((F.col("n_removed") > 0) & (F.trim("text") == "")))
     for name, value in (("text", F.col("text")), ("n_chars", F.length("text").cast("long"))):
         if name in docs.columns:

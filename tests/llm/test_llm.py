@@ -237,6 +237,27 @@ def test_spans_equal_brute_force(spark, small, odd):
     assert spans.drop_repeated_spans(d.limit(0)).count() == 0
 
 
+def test_passages_inside_sentences_go(spark):
+    r = random.Random(51)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    some = lambda n: " ".join(word() for _ in range(n))
+    texts, passages = [], [f"{some(24)}. {some(27)}" if i % 2 else some(51) for i in range(20)]
+    for p in passages:  # begins and ends inside sentences, and holds no three whole ones
+        texts += [f"{some(9)} {p} {some(9)}. {some(8)}." for _ in range(2)]
+    alone = f"{some(30)} " * 2 + some(5)  # repeats itself only
+    d = docs(spark, [*texts, alone, f"{some(30)}. {' '.join(passages[0].split()[:12])} {some(30)}.", *[f"{some(5)} {'the ' * 60}{some(5)}" for _ in range(2)]])
+    got = {x.row.doc_id: x for x in spans.drop_repeated_spans(d, runs=True).collect()}
+    assert all(got[i].text == texts[i] and not got[i].n_removed for i in range(0, 40, 2)) and got[40].text == alone and not any(got[i].n_removed for i in (41, 42, 43))
+    for i in range(1, 40, 2):
+        x = got[i]
+        own = set(texts[i].split()) - set(passages[i // 2].split())
+        assert x.n_removed >= 1 and own <= set(x.text.split()) and len(x.text.split()) <= len(texts[i].split()) - spans.RUN
+        assert texts[i] == "".join(texts[i][a:b] for a, b in zip([0, *(y.start for y in x.removed)], [x.removed[0].start, *(y.end for y in x.removed)], strict=True)) + texts[i][x.removed[-1].end :]
+    assert sum(len(got[i].text.split()) for i in range(1, 40, 2)) < 20 * (18 + 20)
+    left = {x.doc_id: x.text for x in spans.dedup_documents(d).collect()}
+    assert {i: x.text for i, x in got.items()} == left
+
+
 # ---------------------------------------------------------------------------------------------- 4: quality
 
 
