@@ -244,3 +244,28 @@ def test_views_are_chosen_in_turn(spark):
     for x in selection.choose_views(spark.createDataFrame(rows, schema), S).orderBy("unit_id", "nth").collect():
         got.setdefault(x.unit_id, []).append((int(x.pano_id[1:]), x.new_wall_m))
     assert got == want and any(len(v) > 2 for v in want.values())
+
+
+def test_pairs_of_one_plan_and_asked_columns_only(spark):
+    """A pair is made once, stays without walls around it, and leaves unasked columns in the task; far walls are exact as well."""
+    u = units(spark, ROW[:1])
+    p, none = shapes.points_near(u, cameras(spark, [(5, -4)]), 30.0), u.where("false")
+    x = outlook.outline_looks(p, none, S, unasked=("qx", "qy", "visible"))
+    assert not {"qx", "qy", "visible"} & set(x.columns) and [r.run for r in x.collect()] == [r.n for r in x.collect()]
+    plan = outlook.outline_looks(p, u, S)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2  # pairs, and their walls
+    r = np.random.default_rng(17)
+    for far in (0.0, 700_000.0):  # the camera in the middle of the walls, or so far off that products are no exact floats
+        walls, t = r.integers(-40, 40, (30, 4)).astype(float), r.integers(-40, 40, (50, 2)).astype(float)
+        got = outlook.hidden(far, -far, t[:, 0], t[:, 1], walls)
+        want = [any(touching((far, -far), tuple(q), tuple(w)) for w in walls) for q in t]
+        assert got.tolist() == want
+    assert not outlook.hidden(0.0, 0.0, t[:, 0], t[:, 1], np.empty((0, 4))).any()
+
+
+def touching(p, q, w):
+    """The same in whole numbers of any size."""
+    (px, py), (qx, qy), (ax, ay, bx, by) = ([round(v * 1000) for v in t] for t in (p, q, w))
+    side = lambda x0, y0, x1, y1, x, y: (d := (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0)) and (1 if d > 0 else -1)
+    near = min(px, qx) <= max(ax, bx) and max(px, qx) >= min(ax, bx) and min(py, qy) <= max(ay, by) and max(py, qy) >= min(ay, by)
+    return near and side(px, py, qx, qy, ax, ay) * side(px, py, qx, qy, bx, by) <= 0 and side(ax, ay, bx, by, px, py) * side(ax, ay, bx, by, qx, qy) <= 0
