@@ -17,7 +17,6 @@ documents hold travels once a block.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from array import array
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablewise.llm.common import id_again, id_columns, save, small_batches, tidied
-from gablewise.llm.tokens import byte_alphabet
+from gablewise.llm.tokens import byte_alphabet, ranked
 
 #: Units that a task remembers, twice, the characters of each at most, and transitions.
 UNITS, UNIT_SIZE, TRANSITIONS = 100_000, 40, 500_000
@@ -122,7 +121,7 @@ class Aligner:
         apart = self.mark >= 0 and str(type(self.a.pre_tokenizer).__name__) == "ByteLevel" and self.a.normalizer is None
         self.apart = apart and not any(across.search(p) for p in pieces) and self.b.encode(" a  b") == self.b.encode(" a") + self.b.encode(" b")
         self.cut = re.compile(r"(?<=\S)(?=[ \n])")
-        self.fast = ranked(a, self.transducer.bytes[0]) if apart else None
+        self.fast = plain.encode_ordinary if apart and (plain := ranked(a, self.transducer.bytes[0])) else None
         self.lengths = [np.array(list(map(len, x)), np.int64) for x in self.transducer.bytes]
         self.pairs: dict[int, str] = {}  # of groups of one token each: how they are written; others have ""
         self.known: dict[str, tuple | bool] = {}
@@ -235,24 +234,6 @@ class Aligner:
             yield n >> 80, n >> 40 & low, n & low, ";".join(written), codes, times
 
 
-def ranked(vocabulary: str, of: list[bytes]) -> Callable[[str], list[int]] | None:
-    """The encoder that takes a vocabulary's ids as ranks of its merges; None if they aren't."""
-    import public_tokenizers
-    import tiktoken
-
-    with open(vocabulary, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    ids, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
-    order = [ids.get(x + y, -1) for x, y in merges]
-    known = set(ids.values())
-    if order != list(range(256, 256 + len(order))) or any(len(of[i]) != 1 for i in range(256)) or not known.issuperset(range(256 + len(order))):
-        return None
-    ranks = {of[i]: i for i in range(256 + len(order))}
-    if len(ranks) != 256 + len(order):
-        return None
-    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-
 def align_documents(docs: DataFrame, a: str, b: str, block: int = BLOCK) -> DataFrame:
     """A row (of_block false) for every row of docs (doc_id, text), and one (of_block true) for each block of them.
 

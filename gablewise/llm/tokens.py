@@ -7,13 +7,15 @@ past a run of white space, or to the rest of the word; and a special token may b
 is a boundary of both that is followed, in the first, by two whole words and as many characters as the longest special token
 has. Without one, the overlap is widened, up to the whole document.
 
-The library's model encodes each distinct word of the pattern once per task, which a table of bounded size remembers. Texts of
+A plain text is encoded by the ranks of the same vocabulary (another library, twice as fast) if its merges are ranked as its ids are. Where words count,
+or with other vocabularies, the library's model encodes each distinct word of the pattern once per task, which a table of bounded size remembers. Texts of
 one chunk with special tokens in them, or characters outside the plain range, go to the library whole; chunks of such texts
 have the boundaries that the library's own splitting gives, so that huge texts of any script are spliced alike.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -35,6 +37,8 @@ CHUNK, OVERLAP = 20_000, 200
 KNOWN = 100_000
 #: The range in which character classes are taken from a table; texts with others go to the library.
 PLAIN = 0x250
+#: Characters that are encoded at once by ranks, and where longer texts are cut.
+PIECE, CUT = 20_000, re.compile("[A-Za-z](?= [A-Za-z])")
 
 
 def _class(*kinds: str) -> str:
@@ -55,6 +59,26 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b if b in shown else next(other)) for b in range(256)}
 
 
+def ranked(vocabulary: str, of: list[bytes]):
+    """The encoder that takes a vocabulary's ids as ranks of its merges, given the bytes of each token; None if they aren't."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(vocabulary, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model.get("type", "BPE") != "BPE" or len(of) < 256 or any(model.get(k) for k in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")):
+        return None
+    ids, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    order = [ids.get(x + y, -1) for x, y in merges]
+    known = set(ids.values())
+    if order != list(range(256, 256 + len(order))) or any(len(of[i]) != 1 for i in range(256)) or not known.issuperset(range(256 + len(order))):
+        return None
+    ranks = {of[i]: i for i in range(256 + len(order))}
+    if len(ranks) != 256 + len(order):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
     """Texts to token ids (32-bit little-endian, joined), as the library's encode gives them without special tokens added."""
 
@@ -66,21 +90,45 @@ class Encoder:
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.guard = max(map(len, added), default=0)
-        plain = str(type(self.library.pre_tokenizer).__name__) == "ByteLevel" and self.library.normalizer is None
-        self.words = word_pattern() if plain else None
+        byte_level = str(type(self.library.pre_tokenizer).__name__) == "ByteLevel" and self.library.normalizer is None
+        self.words = word_pattern() if byte_level else None
         # the model itself takes a word as the library's byte alphabet writes it
         self.model, self.bytes = self.library.model, byte_alphabet()
         self.strange = re.compile(f"[^\\x00-{re.escape(chr(PLAIN - 1))}‐-‧‰-⁞]")
         self.known: dict[str, bytes] = {}
+        self.fast = ranked(vocabulary, self.token_bytes()) if byte_level else None
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of each token of a byte-level vocabulary; of a special token none."""
+        back, ids = {c: bytes([b]) for b, c in self.bytes.items()}, self.library.get_vocab(with_added_tokens=False)
+        of = [b""] * (max(ids.values(), default=-1) + 1)
+        for token, i in ids.items():
+            of[i] = b"".join(back.get(c, b"") for c in token)
+        return of
+
+    def pieces(self, text: str) -> list[str] | None:
+        """A plain text cut where a letter is followed by one space and a letter, which is an end of words in any context; None if there is no such place far on."""
+        if len(text) <= PIECE:
+            return [text]
+        out, at = [], 0
+        while len(text) - at > PIECE:
+            m = CUT.search(text, at + PIECE // 2, at + PIECE)
+            if not m:
+                return None
+            out.append(text[at : m.start() + 1])
+            at = m.start() + 1
+        return [*out, text[at:]]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def plain(self, text: str) -> bool:
+        """Has a text only characters whose words the pattern finds, and no special tokens?"""
+        return not (self.words is None or self.strange.search(text) or self.special and self.special.search(text))
+
     def split(self, text: str) -> list[str] | None:
         """The words that merges stay within; None for a text that only the library can split."""
-        if self.words is None or self.strange.search(text) or self.special and self.special.search(text):
-            return None
-        return self.words.findall(text)
+        return self.words.findall(text) if self.plain(text) else None
 
     def library_words(self, text: str) -> tuple[list[int], list[int]]:
         """The ends of the library's words in characters, and the tokens of each; a special token is a word."""
@@ -110,8 +158,12 @@ class Encoder:
         return [known[w] for w in ws]
 
     def __call__(self, text: str) -> bytes:
-        ws = self.split(text)
-        return self.whole(text) if ws is None else b"".join(self.of_words(ws))
+        if not self.plain(text):
+            return self.whole(text)
+        pieces = self.pieces(text) if self.fast else None
+        if pieces is None:
+            return b"".join(self.of_words(self.words.findall(text)))
+        return b"".join(self.fast.encode_to_numpy(p, disallowed_special=()).astype("<u4", copy=False).tobytes() for p in pieces)
 
 
 def cached_encoder(vocabulary: str) -> Encoder:

@@ -499,6 +499,18 @@ def test_token_counts_equal_the_library(spark, small, odd):
     assert tokens.token_counts(d.limit(0), VOCABULARY).count() == 0
 
 
+def test_plain_texts_are_encoded_by_ranks():
+    """Without a table of their words; the ids are the library's, also where long texts are cut or can't be."""
+    e, r = tokens.Encoder(VOCABULARY), random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzé'  1-\n"
+    long = ["".join(r.choice(letters) for _ in range(n)) for n in (0, 1, 300, 19_999, 20_001, 70_000)]
+    for text in [*long, "it's we'll  x\n\n y", "word " * 9000, "a" * 19_000, " " * 19_000 + "x"]:
+        assert e(text) == e.whole(text)
+        assert not e.known
+    for text in ("a" * 30_000, "1 2 " * 9000, " " * 50_000 + "q", "x<|endoftext|>y", "汉 b"):
+        assert e(text) == e.whole(text)
+
+
 @pytest.mark.parametrize("alphabet", ["абвгд еёж, ", "αβγ δέ. ", "汉字，文 本。", "🙂👍🏽 ok ", "नमस्ते दुनिया ", "ab <|endoftext|> c"])
 def test_huge_texts_of_all_scripts_are_spliced(alphabet):
     """At the first overlap, without the whole text."""
