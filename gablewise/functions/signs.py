@@ -7,6 +7,7 @@ The patterns, word lists and prefixes below are fixed values.
 from __future__ import annotations
 
 import difflib
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,6 +34,11 @@ VIEWER = r"(?i)search google maps|google street view|google maps|image capture|^
 PRIORITY = ("road", "street", "salai", "cross", "lane", "avenue", "veethi", "layout", "nagar", "colony", "extension")
 
 
+def once(c: Column, of: Callable[[Column], Column]) -> Column:
+    """of(c), with c evaluated once however often it is used there: what stands in a branch or a lambda is else evaluated at each use."""
+    return F.get(F.transform(F.array(c), of), F.lit(0))
+
+
 def _ends(c: Column) -> Column:
     return F.regexp_replace(c, r"^[ ,.\-]+|[ ,.\-]+$", "")
 
@@ -46,8 +52,8 @@ def normal_name(name: Column) -> Column:
         s = F.regexp_replace(s, pattern, spelling)
     s = _ends(F.regexp_replace(s, r"\s+", " "))
     keep = lambda w: w.rlike(r"^\d|\.") | ((w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) <= 3))
-    cased = F.array_join(F.transform(F.split(s, " "), lambda w: F.when(keep(w), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w)))))), " ")
-    return F.when(s != "", F.when(s.rlike(r"[\u0B80-\u0BFF]"), s).otherwise(cased))
+    cased = lambda s: F.array_join(F.transform(F.split(s, " "), lambda w: F.when(keep(w), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w)))))), " ")
+    return once(s, lambda s: F.when(s != "", F.when(s.rlike(r"[\u0B80-\u0BFF]"), s).otherwise(cased(s))))
 
 
 def street_number(name: Column) -> Column:
@@ -127,12 +133,11 @@ def viewer_address(panel: Column) -> Column:
 
 
 def sign_kind(lines: Column) -> Column:
-    text = sign_text(lines)
-    low = F.lower(text)
-    board = F.lit(False)
-    for w in BOARD:
-        board = board | low.contains(w)
-    return F.when(board, "street_name_board").when((F.size(doors(text)) > 0) | (F.size(pins(text)) > 0), "shop_address").otherwise("other")
+    def kind(text: Column) -> Column:
+        board = once(F.lower(text), lambda low: F.exists(F.array(*map(F.lit, BOARD)), lambda w: low.contains(w)))
+        return F.when(board, "street_name_board").when((F.size(doors(text)) > 0) | (F.size(pins(text)) > 0), "shop_address").otherwise("other")
+
+    return once(sign_text(lines), kind)
 
 
 def shop_lines(lines: Column) -> Column:

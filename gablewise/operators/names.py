@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablewise.functions.signs import normal_name, street_number
+from gablewise.sources.files import settled
 
 ALIKE = 0.85
 #: How a decision is put in words.
@@ -29,31 +30,62 @@ def _plain(name: str) -> str:
     return re.sub(r"[^a-z0-9\u0B80-\u0BFF]", "", name.lower())
 
 
+def first_groups(names: list[str], numbers: list[str | None]) -> tuple[list[int], list[str]]:
+    """The group of each name in turn, the first whose longest name so far it is like, and each group's longest name.
+
+    Two names' letters are compared once, whatever their number. A name that comes again goes where it went before, unless the groups before that one, or it, have
+    got other names since.
+    """
+    heads: list[tuple[str, str | None]] = []
+    renamed: list[int] = []  # the groups that got another name, in turn
+    known: dict[tuple[str, str], bool] = {}
+    plain: dict[str, str] = {}
+    went: dict[tuple[str, str | None], tuple[int, int]] = {}  # where, and after how many changes
+
+    def like(name: str, number: str | None, head: str, n: str | None) -> bool:
+        if name.lower() == head.lower():
+            return True
+        if n != number:
+            return False
+        low, top = (plain.get(x) or plain.setdefault(x, _plain(x)) for x in (name, head))
+        hit = known.get((low, top))
+        if hit is None:
+            # what two names can have in common at most is counted first
+            few = 2 * min(len(low), len(top)) < ALIKE * (len(low) + len(top))
+            m = difflib.SequenceMatcher(None, low, top)
+            hit = known[low, top] = not few and m.quick_ratio() >= ALIKE and m.ratio() >= ALIKE
+        return hit
+
+    at = []
+    for name, number in zip(names, numbers, strict=True):
+        i, upto = went.get((name, number), (None, 0))
+        if i is None or any(j <= i for j in renamed[upto:]):
+            i = next((k for k, (head, n) in enumerate(heads) if like(name, number, head, n)), None)
+            if i is None:
+                i = len(heads)
+                heads.append((name, number))
+            elif len(name) > len(heads[i][0]):
+                heads[i] = name, number
+                renamed.append(i)
+        went[name, number] = i, len(renamed)
+        at.append(i)
+    return at, [head for head, _ in heads]
+
+
 def leader_groups(evidence: DataFrame, key: str) -> DataFrame:
     """Evidence (key, ord, name, kind, unit_id, dist_m) with group and group_name: in order, each name joins the first group it is like.
 
     A group is called by its longest name so far, so the order matters; a key's evidence is the signs of one stretch. Rows
     without a name are left out.
     """
-    x = evidence.withColumn("name", normal_name(F.col("name"))).where("name is not null").withColumn("number", street_number(F.lower("name")))
+    # made once a row: nothing is carried through a generator
+    x = evidence.withColumn("name", F.explode(F.array(normal_name(F.col("name"))))).where("name is not null").withColumn("number", street_number(F.lower("name")))
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
-        heads: list[list] = []  # name, number
-        at = []
-        for name, number in zip(pdf["name"], pdf.number, strict=True):
-            for i, (head, n) in enumerate(heads):
-                like = head.lower() == name.lower() or n == number and difflib.SequenceMatcher(None, _plain(name), _plain(head)).ratio() >= ALIKE
-                if like:
-                    if len(name) > len(head):
-                        heads[i] = [name, number]
-                    break
-            else:
-                i = len(heads)
-                heads.append([name, number])
-            at.append(i)
+        at, heads = first_groups(pdf["name"].tolist(), pdf.number.tolist())
         out = pdf.drop(columns="number")
-        return out.assign(group=at, group_name=[heads[i][0] for i in at])
+        return out.assign(group=at, group_name=[heads[i] for i in at])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in x.drop("number").schema)
     return x.groupBy(key, "kind").applyInPandas(group, f"{schema}, group int, group_name string")
@@ -68,7 +100,7 @@ def decide_names(evidence: DataFrame, candidates: DataFrame, key: str) -> DataFr
     """
     from gablewise.functions.signs import same_road
 
-    e = leader_groups(evidence, key)
+    e = settled(leader_groups(evidence, key))  # read four times
     first = e.where("kind = 'shop_address'").groupBy(key, "kind", "unit_id").agg(F.min("ord").alias("ord"))
     votes = e.where("kind = 'street_name_board'").unionByName(e.join(first, [key, "kind", "unit_id", "ord"], "left_semi"))
     cand = candidates.select(key, normal_name(F.col("candidate")).alias("candidate"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gablewise.functions import signs
 from gablewise.functions.text import alike_candidates
 from gablewise.operators import names
+from gablewise.operators.grid import parts
 from gablewise.plans.registry import query
 from gablewise.sources import bindings as B
 
@@ -65,7 +66,8 @@ def same_road_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decide_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sign_rows(spark, sf_dir)
     lines = F.col("lines")
-    e = s.select((F.col("p_partkey") % 61).alias("stretch"), F.col("p_partkey").alias("ord"), F.get(signs.raw_roads(lines), F.lit(0)).alias("name"), signs.sign_kind(lines).alias("kind"), (F.col("p_partkey") % 7).cast("string").alias("unit_id"), (F.col("p_partkey") % 30).cast("double").alias("dist_m"))
+    read = s.repartition(parts(s, 5_000), "p_partkey")  # many patterns for each of the rows, of which a file has a lot
+    e = read.select((F.col("p_partkey") % 61).alias("stretch"), F.col("p_partkey").alias("ord"), F.get(signs.raw_roads(lines), F.lit(0)).alias("name"), signs.sign_kind(lines).alias("kind"), (F.col("p_partkey") % 7).cast("string").alias("unit_id"), (F.col("p_partkey") % 30).cast("double").alias("dist_m"))
     c = s.groupBy((F.col("p_partkey") % 61).alias("stretch")).agg(F.min("p_name").alias("candidate"))
     c = c.select("stretch", F.when(F.col("stretch") % 3 != 0, F.concat("candidate", F.lit(" Main Road"))).alias("candidate"))
     return names.decide_names(e, c, "stretch")

@@ -180,6 +180,16 @@ def test_names_are_decided_by_rule(spark):
     assert got[6] == ("Nehru Road", "none", False) and got[7] == ("Anna Salai", "none", False)
 
 
+def test_names_that_come_again_are_not_compared_again(monkeypatch):
+    """Groups are those of a loop over all; each two names are compared once, however often they come."""
+    compared, matcher = [], names.difflib.SequenceMatcher
+    monkeypatch.setattr(names.difflib, "SequenceMatcher", lambda _, a, b: compared.append((a, b)) or matcher(None, a, b))
+    every = ["Gandhi Road", "Gandi Road", "Gandhii Roadd", "Nehru Street", "gandhi road", "Gandhi Roaddd"] * 50
+    at, heads = names.first_groups(every, [None] * len(every))
+    assert at == [0, 0, 0, 1, 0, 0] * 50 and heads == ["Gandhii Roadd", "Nehru Street"]
+    assert len(compared) == len(set(compared)) < 20
+
+
 def test_layers_are_published_whole(spark, tmp_path):
     path = str(tmp_path / "layer")
     assert files.publish(spark.range(5).toDF("a"), path) == 5
