@@ -269,3 +269,35 @@ def touching(p, q, w):
     side = lambda x0, y0, x1, y1, x, y: (d := (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0)) and (1 if d > 0 else -1)
     near = min(px, qx) <= max(ax, bx) and max(px, qx) >= min(ax, bx) and min(py, qy) <= max(ay, by) and max(py, qy) >= min(ay, by)
     return near and side(px, py, qx, qy, ax, ay) * side(px, py, qx, qy, bx, by) <= 0 and side(ax, ay, bx, by, px, py) * side(ax, ay, bx, by, qx, qy) <= 0
+
+
+def test_pairs_are_looked_at_together(monkeypatch):
+    """Pairs of rings with equally many points are described at once, each as it is alone, whatever the others' edges, walls and order."""
+    r, calls = random.Random(5), []
+    ring = lambda points: np.array([(*a, *b) for a, b in zip(points, points[1:] + points[:1], strict=True)])
+    rings = [ring(box(0, 0, 6 + i % 3, 8)) if i % 2 else ring(star(r, 0, 0, 9.0)) for i in range(40)]
+    px, py = (np.array([r.uniform(-20, 20) for _ in rings]) for _ in "xy")
+    walls = [np.concatenate([e, *(ring(star(r, r.uniform(-15, 15), r.uniform(-15, 15), 4.0)) for _ in range(i % 4))]) if i % 5 else np.empty((0, 4)) for i, e in enumerate(rings)]
+    one = outlook.describe
+    monkeypatch.setattr(outlook, "describe", lambda *a: calls.append(len(a[0])) or one(*a))
+    got = outlook.look(rings, px, py, walls, looks.NAMES, S)
+    assert sum(calls) == 40 and max(calls) > 3
+    for i in range(40):
+        alone = outlook.look([rings[i]], px[i : i + 1], py[i : i + 1], [walls[i]], looks.NAMES, S)
+        assert all(np.array_equal(got[c][i], alone[c][0], equal_nan=got[c].dtype == float) for c in looks.NAMES), i
+
+
+def test_units_choose_views_in_rows(spark):
+    """No frame is made for each unit: tasks read their units one after the other, whichever batch they are in."""
+    row = lambda u, k: (f"u{u}", f"p{k}", k, 10.0 * k, 0.0, 9.0, 1.0, 5.0 - k, [0, 1 + k], [0.5, 0.9], 0.5)
+    c = spark.createDataFrame([row(u, k) for k in range(3) for u in range(5)], "unit_id string, pano_id string, pano_ord long, px double, py double, dist_near double, quality double, score double, i array<int>, cos array<double>, step double")
+    x = selection.choose_views(c, S)
+    assert "FlatMapGroupsInPandas" not in x._jdf.queryExecution().optimizedPlan().toString()
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)  # units lie across batches
+    try:
+        got = sorted(tuple(v) for v in x.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert {u for u, *_ in got} == {f"u{u}" for u in range(5)} and all([v[1:] for v in got if v[0] == u] == [v[1:] for v in got if v[0] == "u0"] for u in ("u1", "u4"))
+    assert got[0][:3] == ("u0", 1, "p0") and got[0][3] == 0.7
