@@ -31,6 +31,7 @@ def link_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
     one = F.struct(F.bround("dist", 6).alias("dist"), F.col("pano_ord").alias("ord"), geo.bearing(cx, cy, "px", "py").alias("side"), "pano_id", "pano_date")
     lists = x.groupBy("unit_id").agg(selection.spread(F.array_sort(F.collect_list(one)), S.max_links, S.link_sector).alias("c"))
+    lists = lists.select("unit_id", F.explode(F.array("c")).alias("c"))  # made once a row: a generator keeps it from being made anew at each use
     text = lambda k: F.format_string("%d m, from %s, %s", F.rint(k.dist).cast("int"), geo.compass(k.side), k.pano_date)
     cells = {}
     for i in range(S.max_links):

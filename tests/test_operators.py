@@ -238,3 +238,11 @@ def test_sides_of_rays_are_named_by_where_they_point(spark):
     walls = spark.createDataFrame([(0.0, 5.0, 30.0, 9.0), (1003.0, 0.0, 1009.0, 30.0)], "x0 double, y0 double, x1 double, y1 double")
     x = network.front_gaps(roads, "key", street_plans.with_rings(walls), 10.0, 25.0).first()
     assert (x.samples, x.both) == (6, 0)  # one side, above and to the right
+
+
+def test_spread_is_one_fold(spark):
+    """The chosen ones are not found anew for each of the others; equal numbers don't come twice."""
+    df = spark.createDataFrame([([(1.0, 1, 0.0), (2.0, 2, 10.0), (3.0, 3, 90.0), (4.0, 2, 20.0), (5.0, 5, 15.0)],)], "c array<struct<dist:double,ord:long,side:double>>")
+    x = df.select(selection.spread(F.col("c"), 4, 60.0).alias("x"))
+    assert x._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert [k.ord for k in x.first().x] == [1, 3, 2, 2]
