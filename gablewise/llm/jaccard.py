@@ -9,8 +9,9 @@ connected already is done. A region that fits in a task is split there; larger o
 Regions start from a coarse filter that loses no link, since a pivot of the whole corpus would tell nothing: different texts
 are all at a distance of almost 1 from each other, so that its window would hold every document. Documents with equal sets
 become one class. Within a band of sizes the universe of shingles is cut into more slices than two linked sets can have
-differences, so that linked sets agree on a whole slice. Documents joined by equal slices, directly or through others, form a
-region, and there distances spread from 0 to 1.
+differences, so that linked sets agree on several whole slices. Each document leaves out as many of its slices, those that most
+documents have, as still leave it one of these. Documents joined by equal slices, directly or through others, form a region,
+and there distances spread from 0 to 1.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,12 +36,11 @@ class Settings:
     percent: int = 90
     #: Sizes of a band, the largest over the smallest.
     ratio: float = 1.5
-    #: Slices without telling shingles that the number of slices makes up for: so many, and one more for so many differences.
+    #: Slices that linked sets agree on beyond the one that they need: so many, and one more for so many differences.
     spare: int = 2
     spare_each: int = 8
-    #: Shingles that `frequent` of about `sample` documents have tell little. Any choice of them is exact.
-    sample: int = 10_000
-    frequent: int = 4
+    #: Documents of two blocks that are compared in one task.
+    blocks: int = 1_000
     #: Documents and bytes of sets of a region that one task splits alone; pivots of a split; documents that are compared at once.
     region: int = 250
     region_bytes: int = 32 << 20
@@ -76,82 +76,101 @@ def start_of(b: int, s: Settings) -> int:
     return int(np.ceil(s.ratio**b))
 
 
-def signatures(h: np.ndarray, s: Settings, frequent: np.ndarray | None = None) -> np.ndarray:
-    """The slices of a set: linked, unequal sets share one at least.
+def bands(h: np.ndarray, s: Settings) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of a set, for each band that it may meet linked sets in: the band, d, the number of slices, the values of those that aren't empty, and the order
+    of the shingles by slice with the places where slices begin.
 
     Sets of sizes m <= n that are linked have a union of at most 100 m / percent, so at most d = m (100 - percent) / percent
     differences. A band's number of slices is over d for its largest m, and by `spare` more, so that spare + 1 slices agree.
-    Slices that are empty or hold frequent shingles only (sorted hashes; passages that very many texts share) are left out if
-    there are no more than spare of them: then one that agrees is given by both sets. A set with more of them gives all slices
-    that aren't empty; with too many empty ones also the d + 1 first of its shingles in the order of their hashes, since the
-    prefixes of linked sets meet. The larger set looks up the bands of all sizes that m may have.
+    The larger set looks up the bands of all sizes that m may have.
     """
-    n = len(h)
-    out: list[np.ndarray] = []
-    if not n:
-        return np.empty(0, np.uint64)
-    telling = np.ones(n, np.int64)
-    if frequent is not None and len(frequent):
-        telling = (frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] != h).astype(np.int64)
-    for b in range(band_of(-(-n * s.percent // 100), s), band_of(n, s) + 1):
+    for b in range(band_of(-(-len(h) * s.percent // 100), s), band_of(len(h), s) + 1) if len(h) else ():
         d = (start_of(b + 1, s) - 1) * (100 - s.percent) // s.percent
         if d == 0:
             continue
-        spare = s.spare + d // s.spare_each
-        slices = d + 1 + spare
+        slices = d + 1 + s.spare + d // s.spare_each
         at = (mix(h + np.uint64(1000003 * (b + 1))) % np.uint64(slices)).astype(np.int64)
         order = np.argsort(at, kind="stable")
         starts = np.flatnonzero(np.diff(at[order], prepend=-1))
         which = at[order][starts].astype(np.uint64)
-        sums = mix(np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))[order], starts) + mix(which * np.uint64(4096) + np.uint64(b)))
-        tells = np.add.reduceat(telling[order], starts) > 0
-        if slices - int(tells.sum()) <= spare:
-            out.append(sums[tells])
-            continue
-        out.append(sums)
-        if slices - len(starts) > spare:
-            prefix = np.sort(mix(h + np.uint64(7)))[: d + 1]
-            out.append(mix(prefix ^ mix(np.uint64(1 << 40) + np.array([b], np.uint64))))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
+        yield b, d, slices, mix(np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))[order], starts) + mix(which * np.uint64(4096) + np.uint64(b))), order, starts
 
 
-def frequent_shingles(docs: DataFrame, s: Settings) -> np.ndarray:
-    """The sorted hashes of the shingles that `frequent` of a sample of about s.sample documents have.
+def prefix(h: np.ndarray, b: int, d: int) -> np.ndarray:
+    """The d + 1 first shingles of a set in the order of their hashes: those of linked sets meet."""
+    return mix(np.sort(mix(h + np.uint64(7)))[: d + 1] ^ mix(np.uint64(1 << 40) + np.array([b], np.uint64)))
 
-    The sample serves the choice of slices alone, and its bound is that of the result: links are exact without it.
+
+def counted_slices(h: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slices of a set, the group of each, and how many of its group may be left out: linked, unequal sets then still share one.
+
+    A group is a band. Of the spare + 1 slices on which linked sets agree there, as many may be empty as one of them has empty ones; of the others all
+    but one may be left out, if they are left out in one order of all slices: the first of the common slices stays in both sets. A set with more than
+    `spare` empty slices gives its prefix, a group of its own, as well, of which nothing may be left out.
     """
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL")
-    share = min(1.0, s.sample / max(1, rows.count()))
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    values, group, left_out = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for b, d, slices, sums, _, starts in bands(h, s):
+        empty, spare = slices - len(starts), slices - d - 1
+        found = [(sums, 2 * b, max(0, spare - empty)), *([(prefix(h, b, d), 2 * b + 1, 0)] if empty > spare else [])]
+        for v, g, n in found:
+            values.append(v)
+            group.append(np.full(len(v), g))
+            left_out.append(np.full(len(v), n))
+    return np.concatenate(values), np.concatenate(group), np.concatenate(left_out)
 
-    @tidied
-    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            sets = [shingle_set(t, s.k).view(np.int64) for t in x.text]
-            yield pd.DataFrame({"h": np.concatenate(sets) if sets else np.empty(0, np.int64)})
 
-    found = rows.select("text").mapInPandas(shingles, "h long").groupBy("h").count().where(F.col("count") >= s.frequent).select("h")
-    return np.sort(np.fromiter((r.h for r in found.collect()), np.int64).view(np.uint64))
+def signatures(h: np.ndarray, s: Settings, frequent: np.ndarray | None = None) -> np.ndarray:
+    """The slices of a set where they can't be counted: linked, unequal sets share one at least.
 
+    Slices that are empty or hold frequent shingles only (sorted hashes; passages that very many texts share) are left out if
+    there are no more than spare of them: then one that agrees is given by both sets. A set with more of them gives all slices
+    that aren't empty; with too many empty ones also its prefix.
+    """
+    telling = np.ones(len(h), np.int64)
+    if len(h) and frequent is not None and len(frequent):
+        telling = (frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] != h).astype(np.int64)
+    out: list[np.ndarray] = []
+    for b, d, slices, sums, order, starts in bands(h, s):
+        tells, spare = np.add.reduceat(telling[order], starts) > 0, slices - d - 1
+        if slices - int(tells.sum()) <= spare:
+            out.append(sums[tells])
+            continue
+        out += [sums, *([prefix(h, b, d)] if slices - len(starts) > spare else [])]
+    return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
-def profiles(docs: DataFrame, s: Settings, sliced: bool) -> DataFrame:
-    """(doc_id, n, a, b): the set's size and 128 bits that name the set; and its slices, if sliced."""
+
+def profiles(docs: DataFrame, s: Settings) -> DataFrame:
+    """(doc_id, n, a, b): the set's size and 128 bits that name the set."""
     small_batches(docs.sparkSession)
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, s)) if sliced else None
 
     @tidied
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             sets = [shingle_set(t, s.k) for t in x.text]
-            out = {
+            yield pd.DataFrame({
                 "id": x.id, "no_id": x.no_id, "n": [len(h) for h in sets],
                 "a": np.array([mix(h).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
                 "b": np.array([mix(h ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for h in sets], np.uint64).view(np.int64),
-            }
-            yield pd.DataFrame(out | ({"signatures": [signatures(h, s, frequent.value).view(np.int64) for h in sets]} if sliced else {}))
+            })
+
+    found = docs.select(*id_columns(F.col("doc_id")), "text").mapInPandas(profile, "id long, no_id boolean, n long, a long, b long")
+    return found.select(id_again().alias("doc_id"), "n", "a", "b")
 
-    found = docs.select(*id_columns(F.col("doc_id")), "text").mapInPandas(profile, "id long, no_id boolean, n long, a long, b long" + ", signatures array<long>" * sliced)
-    return found.select(id_again().alias("doc_id"), *found.columns[2:])
+
+def all_slices(docs: DataFrame, s: Settings) -> DataFrame:
+    """(id, slice, group, left_out): the slices of each document, a row each."""
+    small_batches(docs.sparkSession)
+
+    @tidied
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            got = [counted_slices(shingle_set(t, s.k), s) for t in x.text]
+            of = np.repeat(np.arange(len(got)), [len(v) for v, _, _ in got])
+            v, group, left_out = (np.concatenate([g[i] for g in got] or [np.empty(0, np.int64)]) for i in range(3))
+            yield pd.DataFrame({"id": x.id.to_numpy(np.int64)[of], "slice": v.view(np.int64), "group": group.astype(np.int32), "left_out": left_out.astype(np.int32)})
+
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
+    return rows.mapInPandas(slices, "id long, slice long, group int, left_out int")
 
 
 class Unions:
@@ -307,6 +326,11 @@ def task_links(members: DataFrame, s: Settings) -> DataFrame:
     return dealt.mapInPandas(join, EDGES)
 
 
+def tasks(docs: int, s: Settings) -> Column:
+    """How many tasks of at most so many documents a region (m, bytes) needs."""
+    return F.greatest(F.ceil(F.col("m") / docs), F.ceil(F.col("bytes") / s.region_bytes)).cast("int")
+
+
 def region_links(members: DataFrame, s: Settings) -> DataFrame:
     """(a, b): a spanning forest of the links inside regions, from (region long, id long, set binary, ball long).
 
@@ -321,12 +345,12 @@ def region_links(members: DataFrame, s: Settings) -> DataFrame:
         sizes = save(sizes, "join-sizes")
         fits = (F.col("m") <= s.region) & (F.col("bytes") <= s.region_bytes)
         found.append(save(task_links(todo.join(broadcast_if_small(sizes.where(fits & (F.col("m") > 1))), "region"), s), "join-links"))
-        large = sizes.where(~fits & (F.col("m") > 1)).withColumn("parts", F.greatest(F.ceil(F.col("m") / s.region), F.ceil(F.col("bytes") / s.region_bytes)).cast("int"))
+        large = sizes.where(~fits & (F.col("m") > 1)).withColumns({"parts": tasks(s.region, s), "blocks": tasks(s.blocks, s)})
         if not large.take(1):
             break
         rest = todo.join(broadcast_if_small(large), "region")
         if depth == s.depth:
-            found.append(block_links(rest, s))
+            found.append(block_links(rest.withColumn("parts", F.col("blocks")), s))
             break
         cells, near = voronoi(rest, s, depth)
         found.append(near)
@@ -335,7 +359,8 @@ def region_links(members: DataFrame, s: Settings) -> DataFrame:
         grown = grown.groupBy("was").agg(F.sum(F.col("c").cast("double") * F.col("c")).alias("squares"), F.max("m").alias("m"))
         grown = save(grown.where(~s.pays(F.col("squares"), F.col("m").cast("double"))).select("was"), "join-stuck")
         if grown.take(1):
-            stuck = cells.join(broadcast_if_small(grown), "was", "left_semi").select(F.col("was").alias("region"), "id", "set", "parts", "ball")
+            stuck = cells.join(broadcast_if_small(grown), "was", "left_semi").select(F.col("was").alias("region"), "id", "set", "ball")
+            stuck = stuck.join(broadcast_if_small(large.select("region", F.col("blocks").alias("parts"))), "region")
             found.append(block_links(stuck.dropDuplicates(["region", "id", "set"]), s))
             cells = cells.join(broadcast_if_small(grown), "was", "left_anti")
         before, todo = todo, save(cells.select("region", "id", "set", "ball"), "join-members")
@@ -385,7 +410,10 @@ def voronoi(rest: DataFrame, s: Settings, depth: int) -> tuple[DataFrame, DataFr
 
 
 def block_links(rest: DataFrame, s: Settings) -> DataFrame:
-    """Links of regions in blocks of about half of what a task takes: every pair of blocks meets in one task."""
+    """Links of regions in blocks of about half of what a task takes: every pair of blocks meets in one task.
+
+    A document is copied as often as there are blocks; so these are larger than what a task splits by pivots.
+    """
     n = F.col("parts") * 2
     x = rest.withColumn("block", F.pmod(F.xxhash64("id"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
     x = x.select("region", "id", "set", "ball", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
@@ -400,15 +428,17 @@ def block_links(rest: DataFrame, s: Settings) -> DataFrame:
 
 
 def coarse_regions(docs: DataFrame, s: Settings) -> DataFrame:
-    """(id, component): the classes that share slices, directly or through others. Classes alone in all their slices have no row.
+    """(id, component): the documents that share slices, directly or through others. Documents alone in all their slices have no row.
 
-    Slices are shuffled once and ordered by document where they land: each document pairs with the first of its slice.
+    Slices are shuffled once and counted where they land; most have one document and go no further. Of the others each document leaves out those that
+    most documents have, as many as it may, so that what many texts have in common by chance joins nothing, however large the table. Each
+    document pairs with the first of its slice.
     """
-    known = profiles(docs, s, sliced=True).where("doc_id IS NOT NULL AND n > 0")
-    classes = known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.min_by("signatures", "doc_id").alias("signatures"))
-    slices = classes.select("rep", F.explode("signatures").alias("slice"))
-    pairs = slices.withColumn("head", F.first("rep").over(W.partitionBy("slice").orderBy("rep"))).where("rep <> head")
-    return save(connected_components(pairs.select(F.col("rep").alias("a"), F.col("head").alias("b"))), "join-regions")
+    several = all_slices(docs, s).withColumn("many", F.count("*").over(W.partitionBy("slice"))).where("many > 1")
+    nth = F.row_number().over(W.partitionBy("id", "group", "left_out").orderBy(F.desc("many"), "slice"))
+    kept = several.withColumn("nth", nth).where("nth > left_out").select("id", "slice")
+    pairs = kept.withColumn("head", F.first("id").over(W.partitionBy("slice").orderBy("id"))).where("id <> head")
+    return save(connected_components(pairs.select(F.col("id").alias("a"), F.col("head").alias("b"))), "join-regions")
 
 
 def set_classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
@@ -416,10 +446,11 @@ def set_classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
 
     rep is the smallest doc_id of the class, component the smallest that its links reach. Rows without a doc_id take no part.
     """
-    every = save(profiles(docs, s, sliced=False), "join-profiles")
+    every = save(profiles(docs, s), "join-profiles")
     known = every.where("doc_id IS NOT NULL AND n > 0")
     classes = save(known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep")), "join-classes")
-    regions = coarse_regions(docs, s)
+    regions = coarse_regions(docs, s).join(classes.select(F.col("rep").alias("id")), "id", "left_semi")  # one document a class
+    regions = save(regions.withColumn("m", F.count("*").over(W.partitionBy("component"))).where("m > 1").select("id", "component"), "join-regions")
 
     text = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
     text = text.join(broadcast_if_small(regions), "id").select(F.col("component").alias("region"), "id", "text")

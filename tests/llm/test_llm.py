@@ -455,6 +455,40 @@ def test_linked_sets_share_a_slice(s):
     assert len(few) > 1000
 
 
+def test_slices_left_out_lose_no_link():
+    """Whatever the order in which slices are left out, if it is one for all."""
+    s, r, tried = jaccard.Settings(k=5, percent=80), np.random.default_rng(4), 0
+
+    def kept(slices, late):
+        for g in np.unique(slices[1]).tolist():
+            v, n = slices[0][slices[1] == g], int(slices[2][slices[1] == g][0])
+            v = v[np.lexsort((v, np.isin(v, late)))]
+            yield from v[: len(v) - n].tolist()
+
+    for _ in range(800):
+        x = r.integers(0, 1 << 62, int(r.integers(1, 160))).astype(np.uint64)
+        edits = len(x) // 5 + 1
+        y = np.concatenate([x[int(r.integers(0, edits)) :], r.integers(0, 1 << 62, int(r.integers(0, edits))).astype(np.uint64)])
+        a, b = np.unique(x), np.unique(y)
+        if len(b) and not np.array_equal(a, b) and jaccard.linked(jaccard.overlap(a, b), len(a), len(b), s.percent):
+            p, q = jaccard.counted_slices(a, s), jaccard.counted_slices(b, s)
+            tried += 1
+            for late in (np.empty(0, np.uint64), np.intersect1d(p[0], q[0])):
+                assert set(kept(p, late)) & set(kept(q, late))
+    assert tried > 300
+
+
+def test_a_phrase_in_common_makes_no_region(spark):
+    """Of texts that have a phrase in common with two others few are compared; near copies all."""
+    r = random.Random(9)
+    phrases = [[f"p{i}x{j}" for j in range(14)] for i in range(300)]
+    texts = [[*(f"w{r.randrange(1 << 40)}" for _ in range(12)), *phrases[i // 3], *(f"w{r.randrange(1 << 40)}" for _ in range(12))] for i in range(900)]
+    texts += [[*texts[i][:-1], "other"] for i in range(0, 900, 90)]
+    got = {x.id: x.component for x in jaccard.coarse_regions(docs(spark, [" ".join(t) for t in texts]), jaccard.Settings(k=5, percent=80)).collect()}
+    assert all(got[i] == got[900 + i // 90] for i in range(0, 900, 90))
+    assert len(got) <= 100
+
+
 def test_block_links_find_every_component(spark):
     s = jaccard.Settings(region=20)
     r = random.Random(1)
